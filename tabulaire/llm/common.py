@@ -106,3 +106,14 @@ def tokenizer_path(name: str) -> str:
     except ImportError:
         return os.path.join("/opt/tokenizers", name)
     return public_tokenizers.path(name)
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread: list[str], how: str = "left", salts: int = 32) -> DataFrame:
+    """Joins on ``on`` with every key of ``left`` dealt over ``salts`` tasks by ``spread``.
+
+    ``right`` has one row a key and is repeated once a salt, so a key that
+    holds a third of ``left`` costs no task more than a share of it.
+    """
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [*on, "_salt"], how).drop("_salt")

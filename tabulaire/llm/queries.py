@@ -9,19 +9,30 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .packing import pack_documents
 from .tokens import token_counts
+from .urls import judge, page_outcomes, sql as urls_sql
+from .warc import archive_round_trip
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return judge(pages, page_outcomes(pages, table(spark, sf_dir, "labels"))).drop("bad_rate", "bad_bound")
+
+
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op8_best_fit_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_url_reputation, op3_warc_index, op8_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_url_reputation": urls_sql()}
