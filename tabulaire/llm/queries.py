@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import quality, toxicity
 from .common import table
+from .language import identify
 from .packing import pack_documents
 from .tokens import token_counts
 from .urls import judge, page_outcomes, sql as urls_sql
@@ -26,12 +28,24 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_url_reputation, op3_warc_index, op8_best_fit_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_url_reputation, op3_warc_index, op7_language_id, op8_best_fit_packing, op9_toxicity, op10_quality_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:
