@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, toxicity
+from . import decontaminate, quality, toxicity
 from .common import table
 from .language import identify
 from .packing import pack_documents
@@ -28,6 +28,11 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -45,8 +50,8 @@ def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_url_reputation, op3_warc_index, op7_language_id, op8_best_fit_packing, op9_toxicity, op10_quality_neighbours)}
+    return {f.__name__: f for f in (op1_token_counts, op2_url_reputation, op3_warc_index, op4_suffix_decontamination, op7_language_id, op8_best_fit_packing, op9_toxicity, op10_quality_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_reputation": urls_sql()}
+    return {"op2_url_reputation": urls_sql(), "op4_suffix_decontamination": decontaminate.sql()}

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import small_batches
+from .common import bounded_arrow, small_batches
 
 #: UTF-8 bytes of a word, after lower-casing.
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -111,3 +111,14 @@ def score_rows(rows: DataFrame, score, schema: str, kinds: dict[str, pa.DataType
             yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), *[pa.array(got[k], t) for k, t in kinds.items()]], names=["doc_id", "held_out", *kinds])
 
     return rows.select("doc_id", "held_out", "text").mapInArrow(run, f"doc_id long, held_out boolean, {schema}")
+
+
+def keep_rows(docs: DataFrame, keep) -> DataFrame:
+    """The rows of ``docs``, all columns, for which ``keep(texts)`` says so, text by whole text; nothing is shuffled."""
+    bounded_arrow(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            yield batch.filter(pa.array(keep(batch.column("text").to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
