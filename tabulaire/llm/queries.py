@@ -10,6 +10,7 @@ from . import decontaminate, quality, toxicity
 from .common import table
 from .language import identify
 from .media import media_round_trip
+from .near import near_duplicates
 from .packing import pack_documents
 from .tokens import token_counts
 from .urls import judge, page_outcomes, sql as urls_sql
@@ -34,6 +35,10 @@ def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_bayes_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_round_trip(table(spark, sf_dir, "documents"))
 
@@ -55,7 +60,7 @@ def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_url_reputation, op3_warc_index, op4_suffix_decontamination, op6_media_chunks, op7_language_id, op8_best_fit_packing, op9_toxicity, op10_quality_neighbours)}
+    return {f.__name__: f for f in (op1_token_counts, op2_url_reputation, op3_warc_index, op4_suffix_decontamination, op5_bayes_jaccard_join, op6_media_chunks, op7_language_id, op8_best_fit_packing, op9_toxicity, op10_quality_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:
