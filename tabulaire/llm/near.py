@@ -291,11 +291,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, tolerance:
 def first_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` (doc_id, text, ...) with one row of each class: that of the smallest doc_id, all columns.
 
-    Rows that repeat a class's smallest doc_id all stay if they are the same
-    document; a class whose ids are all null stays whole.
+    Rows that repeat a class's smallest doc_id all stay, and so do rows without
+    a doc_id.
     """
     classes = near_duplicates(docs, similarity)
-    gone = classes.where("class_id is not null and (doc_id is null or doc_id <> class_id)").select("doc_id").where("doc_id is not null").distinct()
+    gone = classes.where("class_id is not null and doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
     gone = keep(gone, "repeated")
     small = gone.count() <= 4 * SMALL
-    return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
