@@ -1,18 +1,67 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next."""
+"""The corpus pipeline over ``documents``: each stage is written as Parquet and reread by the next.
+
+Language identification drops documents without a language it knows, toxicity
+drops toxic ones, the near-duplicate join keeps one document of each class,
+decontamination drops documents that hold a window of a benchmark item, and
+packing returns the pieces of what is left. All but the last stage return the
+columns they are given. Models learn from the labelled rows of ``sf_dir``;
+each stage judges every row it is given.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabulaire.llm.common import keep, table
+from tabulaire.llm import decontaminate, language, near, toxicity
+from tabulaire.llm.common import fold_of, keep, only, table
 from tabulaire.llm.packing import pack_documents
+from tabulaire.llm.words import keep_rows
+
+#: Documents whose best language is less probable than this are rejected.
+LEAST_SURE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without letters and those in no language that the model is sure of."""
+    known = only(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", lang="lang")
+    model = spark.sparkContext.broadcast(language.learn(known, fold_of(F.col("doc_id"), 4) != 2))
+
+    def sure(texts: list) -> list[bool]:
+        got = model.value.predict(texts)
+        return [lang != language.UNKNOWN and score >= LEAST_SURE for lang, score in zip(got["lang_pred"], got["score"], strict=True)]
+
+    return keep_rows(docs, sure)
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that the toxicity model predicts as toxic."""
+    known = only(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", lang="lang")
+    model = spark.sparkContext.broadcast(toxicity.learn(known, toxicity.labels_of(table(spark, sf_dir, "labels"), "toxic")))
+    return keep_rows(docs, lambda texts: model.value.score(texts)["predicted"] == 0)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each class of near duplicates."""
+    return near.first_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that hold a window of a benchmark item."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents that are left, packed into sequences."""
     return pack_documents(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("language_id", language_id),
+    ("toxicity", toxicity_filter),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 #: The learned stages have no SQL form; tests hold the whole against brute force.
 ORACLE_SQL = None
