@@ -1,0 +1,8 @@
+"""Operators on sample-by-feature tables: scalers, row norms, sample filters, feature matrices."""
+
+from .design import extract_features, feature_listing, select_features
+from .normalizers import normalize
+from .scalers import MaxAbs, MinMax, Robust, Standard, standardize
+from .selection import FILTERS, complete_cases
+
+__all__ = ["FILTERS", "MaxAbs", "MinMax", "Robust", "Standard", "complete_cases", "extract_features", "feature_listing", "normalize", "select_features", "standardize"]

@@ -1,0 +1 @@
+"""Aggregation plans: how statistics are computed over narrow and wide tables."""
