@@ -1,0 +1 @@
+"""Preparation of sample-by-feature tables on Spark: scaling, normalising, filtering, design matrices."""

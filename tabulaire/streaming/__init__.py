@@ -1,0 +1,19 @@
+"""Streams: the operators that look at one row at a time run on them as they are.
+
+Row norms, filters and projections need no state. Scalers transform a stream
+with what they learned from a table before.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from tabulaire.operators import complete_cases, normalize, select_features
+from tabulaire.operators.scalers import Fitted, Scaler
+
+
+def scale_stream(stream: DataFrame, scaler: Scaler, fitted: Fitted) -> DataFrame:
+    return scaler.transform(stream, fitted)
+
+
+__all__ = ["complete_cases", "normalize", "scale_stream", "select_features"]
