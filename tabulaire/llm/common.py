@@ -112,8 +112,31 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread: list[s
     """Joins on ``on`` with every key of ``left`` dealt over ``salts`` tasks by ``spread``.
 
     ``right`` has one row a key and is repeated once a salt, so a key that
-    holds a third of ``left`` costs no task more than a share of it.
+    holds a third of ``left`` costs no task more than a share of it. The join
+    is a merge join: Spark judges a table by its files, before it is repeated,
+    and might broadcast what is many times too large for that.
     """
     dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copies, [*on, "_salt"], how).drop("_salt")
+    return dealt.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")
+
+
+def hot_keys(rows: DataFrame, on: str, total: int, least: int = 10_000, most: int = 50_000) -> DataFrame:
+    """Keys that so many of ``rows`` (of which there are ``total``) have that a task may not hold them; ``most`` keys at most.
+
+    Counting is partial before it is shuffled.
+    """
+    often = max(least, total // most + 1)
+    return rows.groupBy(on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= often).select(on)
+
+
+def hot_join(left: DataFrame, right: DataFrame, on: str, spread: list[str], hot: DataFrame, how: str = "inner", salts: int = 64) -> DataFrame:
+    """Joins on ``on`` and deals only the ``hot`` keys (from ``hot_keys``, so few enough to broadcast) over ``salts`` tasks.
+
+    ``right`` has one row a key; its rows are repeated for hot keys alone.
+    """
+    marks = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    dealt = left.join(marks, on, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)).drop("_hot")
+    last = F.when(F.col("_hot"), salts - 1).otherwise(0)
+    copies = right.join(marks, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot")
+    return dealt.join(copies.hint("merge"), [on, "_salt"], how).drop("_salt")

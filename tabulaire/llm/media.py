@@ -7,7 +7,7 @@ give every digest one place (the smallest of those it was written to), and an
 ordered list of places reconstructs each medium, whose digest is verified.
 
 Only digests, places and lists are shuffled, never payload bytes; digests that
-many media share are counted within tasks first and joined with a salt.
+very many media share are joined with a salt.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_arrow, keep, only, salted_join, shared_path, small_batches
+from .common import bounded_arrow, hot_join, hot_keys, keep, only, shared_path, small_batches
 
 UNIT = 192  #: payloads are padded to a positive multiple
 PAD = b" "
@@ -187,7 +187,8 @@ def store_media(docs: DataFrame, root: str | None = None, *, doc_id: str = "doc_
     # one place a digest: the smallest, whichever tasks wrote it
     chunks = written.select(F.explode("fresh").alias("c")).groupBy("c.digest").agg(F.min(F.struct("c.pack", "c.offset", "c.size")).alias("place"))
     wanted = written.select("medium", "media").mapInArrow(_list, "medium long, position int, digest binary")
-    placed = salted_join(wanted, chunks, ["digest"], ["medium", "position"], "inner").select("medium", F.struct("position", "place.pack", "place.offset", "place.size").alias("p"))
+    hot = hot_keys(wanted, "digest", wanted.count())
+    placed = hot_join(wanted, chunks, "digest", ["medium", "position"], hot).select("medium", F.struct("position", "place.pack", "place.offset", "place.size").alias("p"))
     lists = placed.groupBy("medium").agg(F.collect_list("p").alias("places"))
     return written.select("medium", "doc_id", "media").join(lists, "medium"), root
 
