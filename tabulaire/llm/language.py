@@ -20,7 +20,7 @@ from .words import labelled_sample, score_rows
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
-SAMPLE = 4000  #: labelled rows to learn from, at most
+SAMPLE = 3000  #: labelled rows to learn from, at most
 SCALE = 50.0  #: what relative frequencies are multiplied by
 SLICE = 1 << 20  #: characters of a text that are hashed at once
 UNKNOWN = "und"
@@ -96,8 +96,10 @@ def fit(sample: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta
         parts = [np.unique(grams(p), return_counts=True) for p in slices(text)]
         counts = np.bincount(np.concatenate([f for f, _ in parts]), weights=np.concatenate([n for _, n in parts]), minlength=BUCKETS) if len(parts) > 1 else None
         f, n = parts[0] if counts is None else (np.flatnonzero(counts), counts[counts > 0])
-        docs.append((f, n / n.sum() * SCALE))
-    df = np.bincount(np.concatenate([f for f, _ in docs]), minlength=BUCKETS)
+        docs.append((f.astype(np.uint16), (n / n.sum() * SCALE).astype(np.float32)))
+    df = np.zeros(BUCKETS)
+    for f, _ in docs:
+        df[f] += 1
     idf = np.log((1 + len(docs)) / (1 + df)) + 1
     y = np.eye(len(classes))[[classes.index(v) for _, v in sample]]
     train = [i for i in range(len(docs)) if i % 5] or list(range(len(docs)))
@@ -111,7 +113,7 @@ def fit(sample: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta
     rng = np.random.default_rng(7)
     for _ in range(epochs):
         for i in rng.permutation(train):
-            f = np.append(docs[i][0], BUCKETS)  # the last is the bias
+            f = np.append(docs[i][0].astype(np.int64), BUCKETS)  # the last is the bias
             x = np.append(docs[i][1] * idf[docs[i][0]], 1.0)
             w = weights(f)
             s = x @ w

@@ -20,7 +20,7 @@ from .words import labelled_sample, score_rows, to_bytes, word_hashes
 
 BUCKETS = 1 << 13
 RANK = 48
-SAMPLE = 4000  #: labelled rows, so 4000 vectors of 48 floats (0.8 MB) are broadcast at most
+SAMPLE = 3000  #: labelled rows, so 3000 vectors of 48 floats (0.6 MB) are broadcast at most
 NEIGHBOURS = 15
 SHARPNESS = 8.0  #: a neighbour's weight is its similarity to this power
 BLOCK = 256  #: documents whose cosines are computed at once
@@ -79,7 +79,10 @@ def terms(text: str | None) -> np.ndarray:
 
 
 def _tf(texts: list[str | None]) -> np.ndarray:
-    return np.stack([terms(t) for t in texts]) if texts else np.zeros((0, TERMS), np.float32)
+    out = np.empty((len(texts), TERMS), np.float32)
+    for i, text in enumerate(texts):
+        out[i] = terms(text)
+    return out
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -90,16 +93,17 @@ def fit(sample: list[tuple[str, int]], rank: int = RANK) -> QualityModel:
     """The decomposition (by random projection and two power iterations) and the labelled vectors of (text, 0 or 1) pairs."""
     if not sample:
         return QualityModel(np.zeros((TERMS, rank), np.float32), np.zeros((0, rank), np.float32), np.zeros(0))
-    tf = _tf([t for t, _ in sample])
-    idf = (np.log((1 + len(tf)) / (1 + (tf > 0).sum(0))) + 1).astype(np.float32)
+    x = _tf([t for t, _ in sample])
+    idf = (np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))) + 1).astype(np.float32)
     idf[BUCKETS:] = 3.0  # terms of repetition count alike, common or not
-    x = _unit(tf * idf)
+    x *= idf
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
     q = np.random.default_rng(3).normal(size=(TERMS, min(rank + 10, len(x)))).astype(np.float32)
     for _ in range(3):
         q, _ = np.linalg.qr(x.T @ np.linalg.qr(x @ q)[0])
     _, _, v = np.linalg.svd(x @ q, full_matrices=False)
-    basis = idf[:, None] * (q @ v.T)[:, :rank]
-    return QualityModel(basis.astype(np.float32), _unit(tf @ basis).astype(np.float32), np.array([int(y) for _, y in sample], float))
+    directions = (q @ v.T)[:, :rank].astype(np.float32)
+    return QualityModel(idf[:, None] * directions, _unit(x @ directions), np.array([int(y) for _, y in sample], float))
 
 
 def learn(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, most_rows: int = SAMPLE) -> QualityModel:

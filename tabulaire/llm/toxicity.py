@@ -27,7 +27,7 @@ _CUTS = np.array([_WHOLE, *PREFIXES])
 _SALTS = np.array([0] + [1 << 32] * len(PREFIXES), np.uint64)
 LEAST_DOCS = 4  #: training documents that a word or prefix must be in to get an embedding,
 LEAST_Z = 4.0  #: and how many standard errors apart its shares of the two labels' documents must be
-SAMPLE = 6000  #: labelled rows to learn from, at most
+SAMPLE = 5000  #: labelled rows to learn from, at most
 SLOTS = 1 << 20
 FLAGGED = 0.002  #: share of clean rows that a threshold may flag
 
@@ -188,34 +188,36 @@ def _threshold(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(cuts[best[np.argmax(gaps[best])]])
 
 
-def _telling(docs: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes whose presence goes with a label, and in how many documents they are."""
+def _telling(texts: list[str], labels: np.ndarray) -> np.ndarray:
+    """Hashes whose presence goes with a label, by falling number of texts; counted some texts at a time."""
+    known, n, toxic = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+    for at in range(0, len(texts), 100):
+        seen = [np.unique(features(to_bytes(t))) for t in texts[at : at + 100]]
+        marks = np.repeat(labels[at : at + 100], [len(x) for x in seen])
+        all_ = np.concatenate([known, *seen])
+        known, place = np.unique(all_, return_inverse=True)
+        n = np.bincount(place, weights=np.r_[n, np.ones(len(marks))], minlength=len(known))
+        toxic = np.bincount(place, weights=np.r_[toxic, marks], minlength=len(known))
     both = [max(1, (labels == v).sum()) for v in (0, 1)]
-    seen = np.concatenate(docs) if docs else np.zeros(0, np.uint64)
-    marks = np.repeat(labels, [len(d) for d in docs]) if docs else np.zeros(0, int)
-    known, at, n = np.unique(seen, return_inverse=True, return_counts=True)
-    toxic = np.bincount(at, weights=marks, minlength=len(known))
     p = n / sum(both)
     z = (toxic / both[1] - (n - toxic) / both[0]) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / both[0] + 1 / both[1]))
     keep = (n >= LEAST_DOCS) & (np.abs(z) >= LEAST_Z) & (known > 0)
-    return known[keep], n[keep]
+    return known[keep][np.argsort(-n[keep], kind="stable")]
 
 
 def fit(sample: list[tuple[str, int]], languages: language.LanguageModel, epochs: int = 12) -> ToxicityModel:
     """Trains on (text, 0 or 1) pairs; every fourth is left out of training and sets the thresholds."""
-    hashed = [features(to_bytes(t)) for t, _ in sample]
-    labels = np.array([int(y) for _, y in sample])
+    texts, labels = [t for t, _ in sample], np.array([int(y) for _, y in sample])
     train = [i for i in range(len(sample)) if i % 4] or list(range(len(sample)))
-    known, n = _telling([np.unique(hashed[i]) for i in train], labels[train])
-    vocabulary = Vocabulary(known[np.argsort(-n, kind="stable")])
-    network = Network(len(known))
-    docs = [near(vocabulary.rows(h)) for h in hashed]
+    vocabulary = Vocabulary(_telling([texts[i] for i in train], labels[train]) if train else np.zeros(0, np.uint64))
+    network = Network(len(vocabulary.hashes) - 1)
+    docs = [near(vocabulary.rows(features(to_bytes(t)))) for t in texts]
     if 0 < labels[train].sum() < len(train):
         network.train([docs[i] for i in train], labels[train].astype(np.float32), epochs)
     model = ToxicityModel(vocabulary, network, {"": 0.0}, languages)
     held = [i for i in range(len(sample)) if not i % 4]
     logits = np.array([network.logit(docs[i]) for i in held])
-    named = np.array(languages.predict([sample[i][0] for i in held])["lang_pred"])
+    named = np.array(languages.predict([texts[i] for i in held])["lang_pred"])
     model.shifts[""] = _threshold(logits, labels[held])
     for name in sorted(set(map(str, named))):
         own = named == name
