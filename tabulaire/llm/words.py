@@ -63,7 +63,7 @@ def to_bytes(text: str | None) -> bytes:
     return text.encode() if text else b""
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int, seed: str, most_chars: int = 24_000_000) -> list[tuple[str, object]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int, seed: str, most_chars: int = 16_000_000) -> list[tuple[str, object]]:
     """A bounded training sample of (text, value): ``most_rows`` rows at most in equal shares for each value, about ``most_chars`` characters.
 
     ``labels`` has (doc_id, value) and is all that is counted and drawn from:
@@ -116,9 +116,12 @@ def score_rows(rows: DataFrame, score, schema: str, kinds: dict[str, pa.DataType
 def keep_rows(docs: DataFrame, keep) -> DataFrame:
     """The rows of ``docs``, all columns, for which ``keep(texts)`` says so, text by whole text; nothing is shuffled."""
     bounded_arrow(docs.sparkSession)
+    at = docs.columns.index("text")
+    # mapInArrow resolves columns by unquoted names, so they pass through it by number
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
-            yield batch.filter(pa.array(keep(batch.column("text").to_pylist()), pa.bool_()))
+        for batch in small_batches(batches, f"c{at}"):
+            yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
