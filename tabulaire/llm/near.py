@@ -11,9 +11,9 @@ min-hash values are compared a few at a time, and a pair is dropped once the
 posterior probability that its similarity reaches the threshold is below a
 tolerance (uniform prior, so the posterior's tail is a binomial one). What is
 left is verified exactly on the shingles. A task returns each text's number of
-links and a spanning forest of the links, never the links themselves, so the
-rows do not grow with the square of a group; classes are the connected
-components of the forests.
+links and, for all that its links connect, one link to the smallest text, never
+the links themselves, so the rows do not grow with the square of a group;
+classes are the connected components of these.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_arrow, keep, only, salted_join, small_batches
+from .common import bounded_arrow, hot_join, keep, only, salted_join, small_batches
 from .words import mix, to_bytes, word_hashes
 
 WORDS = 5
@@ -36,6 +36,7 @@ HASHES = BANDS * ROWS
 TOLERANCE = 1e-7  #: posterior probability below which a pair is dropped
 STEP = 20  #: min-hash values compared at a time
 BLOCK = 256  #: texts in a block, on average
+SALTS = 8  #: tasks that the neighbours of one node are dealt over
 SMALL = 1_000_000  #: candidate texts whose ids are broadcast, at most (about 40 MB); more are joined by a shuffle
 
 _FLIP, _MULTIPLY = np.split((mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)[:, None], 2)
@@ -104,32 +105,33 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column("doc_id"), batch.column("hash"), pa.array(same, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "hash", "same", "bands"])
 
 
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge up at most, and none up and down; one small exchange."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.agg(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0]
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component): the smallest node connected to each node of ``edges`` (a, b), by large and small stars.
 
     Each round links every node's larger neighbours to its smallest one, then
-    its smaller ones; rounds are written tables, and their number grows with
-    the logarithm of a component's size.
+    its smaller ones, until only stars are left; rounds are written tables,
+    and their number grows with the logarithm of a component's size.
     """
     both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    marks = lambda e: e.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")), F.countDistinct("a")).first()
-    before = marks(edges)
-    while True:
+    while not _is_forest_of_stars(edges):
         # large star: neighbours above a node join the least of its neighbourhood
         around = both(edges)
         least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        up = salted_join(around.where("b > a"), least, ["a"], ["b"], "inner").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        up = keep(up, name)
+        up = salted_join(around.where("b > a"), least, ["a"], ["b"], "inner", SALTS)
+        up = keep(up.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"), name)
         # small star: a node and its neighbours below join the least of them
         least = up.groupBy("a").agg(F.min("b").alias("m"))
-        joined = salted_join(up, least, ["a"], ["b"], "inner")
-        down = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        down = keep(down, name)
-        after = marks(down)
-        if after == before and after[0] == after[2]:
-            return down.select(F.col("a").alias("node"), F.col("b").alias("component")).union(down.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        edges, before = down, after
+        joined = salted_join(up, least, ["a"], ["b"], "inner", SALTS)
+        edges = keep(joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), name)
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,27 +187,19 @@ def similar_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, s
     return rows[i[ok]], rows[j[ok]]
 
 
-def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
-    """Links of (i, j) that connect all that the links connect."""
-    parent, out = list(range(n)), []
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    pending = np.stack([i, j], 1)
-    while len(pending):
-        for a, b in pending[:4096].tolist():
-            a_, b_ = root(a), root(b)
-            if a_ != b_:
-                parent[max(a_, b_)] = min(a_, b_)
-                out.append((a, b))
-        roots = np.array([root(x) for x in range(n)])
-        pending = pending[4096:]
-        pending = pending[roots[pending[:, 0]] != roots[pending[:, 1]]]
-    return out
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of ``n`` texts the smallest text that the links (i, j) connect it to."""
+    root = np.arange(n)
+    while True:
+        # links pull both roots down to the smaller, then paths are halved until they are flat
+        low = np.minimum(root[i], root[j])
+        before = root.copy()
+        np.minimum.at(root, root[i].copy(), low)
+        np.minimum.at(root, root[j].copy(), low)
+        while (root != root[root]).any():
+            root = root[root]
+        if (root == before).all():
+            return root
 
 
 def _verify(similarity: float, tolerance: float):
@@ -225,11 +219,11 @@ def _verify(similarity: float, tolerance: float):
             return
         links = np.bincount(np.r_[i, j], minlength=len(nodes))
         linked = np.flatnonzero(links)
-        forest = _forest(len(nodes), i, j)
+        root = _roots(len(nodes), i, j)
+        leaf = np.flatnonzero(root != np.arange(len(nodes)))
         name = np.array(nodes, np.int64)
-        a = np.r_[name[linked], name[[p for p, _ in forest]]]
-        b = np.r_[name[linked], name[[q for _, q in forest]]]
-        yield pa.record_batch([pa.array(a), pa.array(b), pa.array(np.r_[links[linked], np.zeros(len(forest), np.int64)])], schema=schema)
+        a, b = np.r_[name[linked], name[leaf]], np.r_[name[linked], name[root[leaf]]]
+        yield pa.record_batch([pa.array(a), pa.array(b), pa.array(np.r_[links[linked], np.zeros(len(leaf), np.int64)])], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -264,8 +258,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, tolerance:
     first = F.min(F.struct("row", "doc_id", "hash", "bands")).alias("first")
     texts = keep(sketched.groupBy("same").agg(first, F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies")).withColumn("node", F.col("first.row")), "texts")
     bands = texts.select("node", F.explode("first.bands").alias("key"))
-    hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
-    linked = salted_join(bands, keep(hubs, "buckets"), ["key"], ["node"], "inner")
+    hubs = keep(bands.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1"), "buckets")
+    often = max(10_000, BANDS * texts.count() // 50_000 + 1)  # so that there are no more than 50 000 such keys
+    linked = hot_join(bands, hubs.select("key", "hub"), "key", ["node"], hubs.where(F.col("n") >= often).select("key"))
     parts = keep(components(linked.select(F.col("node").alias("a"), F.col("hub").alias("b")), "candidate-links"), "candidates")
     blocks = parts.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = salted_join(parts, blocks, ["component"], ["node"], "inner").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
