@@ -22,7 +22,7 @@ from .pretokens import BYTE_LEVEL_SPLIT, Cache, is_plain
 from .tokens import tokenizer
 
 GROUP = 65_536  #: pieces that one task packs, on average
-CACHED = 250_000  #: pre-tokens a worker's cache keeps
+CACHED = 100_000  #: pre-tokens a worker's cache keeps
 
 _caches: dict = {}
 
