@@ -294,3 +294,18 @@ def first_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     gone = keep(gone, "repeated")
     small = gone.count() <= 4 * SMALL
     return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+
+
+def sql(similarity: float = SIMILARITY, words: int = WORDS) -> str:
+    """The same rows by an inverted index of all shingles and a recursive search for classes."""
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') END AS w FROM documents),
+t AS (SELECT w, min(r) AS node, min(doc_id) AS first_id, count(*) AS n_copies FROM d GROUP BY w),
+s AS (SELECT DISTINCT node, array_to_string(w[p:p + {words - 1}], ' ') AS g FROM t, unnest(range(1, greatest(len(w) - {words - 1}, 1) + 1)) AS u(p) WHERE len(w) > 0),
+z AS (SELECT node, count(*) AS n FROM s GROUP BY node),
+c AS (SELECT a.node AS a, b.node AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.node <> b.node GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN z x ON x.node = a JOIN z y ON y.node = b WHERE k >= {similarity} * (x.n + y.n - k) - 1e-9),
+f AS (SELECT node, node AS other FROM t UNION SELECT f.node, l.b FROM f JOIN l ON l.a = f.other),
+m AS (SELECT f.node, min(o.first_id) AS class_id FROM f JOIN t o ON o.node = f.other GROUP BY f.node),
+n AS (SELECT a AS node, count(*) AS n_links FROM l GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, n_copies FROM d JOIN t USING (w) JOIN m USING (node) LEFT JOIN n USING (node)"""

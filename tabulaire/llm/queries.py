@@ -6,15 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, toxicity
+from . import decontaminate, near, quality, toxicity, urls, warc
 from .common import table
 from .language import identify
 from .media import media_round_trip
-from .near import near_duplicates
 from .packing import pack_documents
 from .tokens import token_counts
-from .urls import judge, page_outcomes, sql as urls_sql
-from .warc import archive_round_trip
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +20,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return judge(pages, page_outcomes(pages, table(spark, sf_dir, "labels"))).drop("bad_rate", "bad_bound")
+    return urls.judge(pages, urls.page_outcomes(pages, table(spark, sf_dir, "labels"))).drop("bad_rate", "bad_bound")
 
 
 def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archive_round_trip(table(spark, sf_dir, "pages"))
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
 def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +33,7 @@ def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bayes_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op6_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,4 +61,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_reputation": urls_sql(), "op4_suffix_decontamination": decontaminate.sql()}
+    return {
+        "op2_url_reputation": urls.sql(),
+        "op3_warc_index": warc.sql(),
+        "op4_suffix_decontamination": decontaminate.sql(),
+        "op5_bayes_jaccard_join": near.sql(),
+    }

@@ -297,3 +297,15 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     """
     archives = write_archives(pages)
     return archives.read(keys_of(only(pages, page_id="page_id", url="url").withColumn("page_id", F.col("page_id").cast("long"))))
+
+
+def sql() -> str:
+    """The same rows from the table itself; base 32 is spelled out, five bits a character."""
+    bits = "array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(CAST('0x' || substr(sha1, i, 1) AS INT)), 4, '0')), '')"
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha1 FROM pages),
+b AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, {bits} AS bits, min(page_id) OVER (PARTITION BY sha1) AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(list_sum(list_transform(range(0, 5), lambda k: CAST(substr(bits, CAST(j * 5 + k + 1 AS INT), 1) AS INT) * CAST(power(2, 4 - k) AS INT))) AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b"""
