@@ -81,9 +81,9 @@ def _strength(children: DataFrame, n: str, k: str, of_n: str, of_k: str) -> floa
 
     ``of_n`` and ``of_k`` are the parent's counts on each child's row.
     """
-    p, own = F.col(of_k) / F.col(of_n), F.col(k) / F.col(n)
+    p, own, share = F.try_divide(of_k, of_n), F.try_divide(k, n), F.try_divide(n, of_n)
     total, seen, expected, binomial = children.agg(
-        F.sum(n), F.sum(F.col(n) * (own - p) * (own - p)), F.sum(p * (1 - p) * (1 - F.col(n) / F.col(of_n))), F.sum(F.col(n) * p * (1 - p))
+        F.sum(n), F.sum(F.col(n) * (own - p) * (own - p)), F.sum(p * (1 - p) * (1 - share)), F.sum(F.col(n) * p * (1 - p))
     ).first()
     if not total or not binomial:
         return STRENGTH[0]
