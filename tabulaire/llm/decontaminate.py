@@ -6,8 +6,10 @@ numbered by their place in a block's vocabulary, all other words are 0 and end
 a match, so only suffixes that begin with a known word are sorted. Every test
 suffix is binary-searched in every shard, word by word, for all test suffixes at
 once: an interval of the array holds all its occurrences, and is narrowed until
-it is empty, which gives the longest verbatim match and its locations. Word
-numbers are exact, so matches need no further check, and no document is shuffled.
+it is empty. Intervals nest, so the number of depths whose intervals hold a
+suffix of the array is the longest verbatim match at that place: every place of
+every document has its own. Word numbers are exact, so matches need no further
+check, and no document is shuffled.
 """
 
 from __future__ import annotations
@@ -37,9 +39,9 @@ class Tests:
     vocabulary: dict[bytes, int]
     words: np.ndarray
     items: list[str]  # id of each item
-    starts: np.ndarray  # of test suffixes that begin a window, as places in words
+    starts: np.ndarray  # of all test suffixes, as places in words
     item_of: np.ndarray  # of each such suffix
-    lengths: np.ndarray  # of its window
+    lengths: np.ndarray  # of the window it begins; 0: too few words are left for one
 
 
 def tests_of(items: list[tuple[str, str]], window: int = WINDOW) -> Tests:
@@ -48,10 +50,10 @@ def tests_of(items: list[tuple[str, str]], window: int = WINDOW) -> Tests:
     for i, (_, text) in enumerate(items):
         own = WORD.findall(to_bytes(text).lower())
         n = min(window, len(own))
-        for at in range(len(own) - n + 1 if own else 0):
+        for at in range(len(own)):
             starts.append(len(words) + at)
             item_of.append(i)
-            lengths.append(n)
+            lengths.append(n if at + n <= len(own) else 0)
         words += [vocabulary.setdefault(w, len(vocabulary) + 1) for w in own]
         words.append(0)
     as_array = lambda x: np.array(x, np.int64)
@@ -147,18 +149,55 @@ class Shard:
             words[at : at + len(own)] = list(map(number, own, repeat(0)))
         return cls(words, starts[:-1], counts, suffix_array(words))
 
-    def matches(self, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Every occurrence of every test window: test suffix and place in ``words``, and each suffix's longest match and one place of it."""
+    def matches(self, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Every occurrence of every test window: test suffix and place in ``words``; and each document's longest match: words, place, and test suffix.
+
+        Of a document's longest matches the first is given, with the first test suffix that begins with it.
+        """
         suffixes, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        longest, where = np.zeros(len(tests.starts), np.int64), np.zeros(len(tests.starts), np.int64)
+        n = len(self.order)
+        steps = np.zeros(n + 1, np.int64)  # up and down at the borders of each depth's intervals
+        none = np.zeros(0, np.int64)
+        keys, owners = [none], [none]  # depth * n + low of the intervals that some test suffix leaves there, and its number
+        before = none, none, none
+
+        def left(depth: int, gone: np.ndarray) -> None:
+            low, first = np.unique(before[1][gone], return_index=True)
+            keys.append(depth * n + low)
+            owners.append(before[0][gone][first])
+
+        depth = 0
         for depth, live, low, high in search(self.words, self.order, tests):
-            longest[live], where[live] = depth, self.order[low]
+            starts, first = np.unique(low, return_index=True)
+            steps[starts] += 1
+            steps[high[first]] -= 1
+            # an interval that stays as it is has no match that ends there
+            gone = np.ones(len(before[0]), bool)
+            same = np.searchsorted(before[0], live) if depth > 1 else none
+            if depth > 1:
+                gone[same] = (before[1][same] != low) | (before[2][same] != high)
+            left(depth - 1, gone)
+            before = live, low, high
             whole = tests.lengths[live] == depth
             if whole.any():
-                a, n = low[whole], (high - low)[whole]
-                suffixes.append(np.repeat(live[whole], n))
-                places.append(self.order[np.repeat(a - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())])
-        return np.concatenate(suffixes), np.concatenate(places), longest, where
+                a, m = low[whole], (high - low)[whole]
+                suffixes.append(np.repeat(live[whole], m))
+                places.append(self.order[np.repeat(a - np.r_[0, np.cumsum(m)[:-1]], m) + np.arange(m.sum())])
+        left(depth, np.ones(len(before[0]), bool))
+        longest = np.zeros(len(self.words), np.int64)
+        longest[self.order] = np.cumsum(steps)[:-1]
+        rank = np.zeros(len(self.words), np.int64)
+        rank[self.order] = np.arange(n)
+        top = np.maximum.reduceat(longest, self.starts) if len(self.starts) else none
+        doc = np.repeat(np.arange(len(self.starts)), self.counts + 1)
+        at = np.flatnonzero((longest == top[doc]) & (longest > 0))
+        first = np.full(len(self.starts), -1)
+        first[doc[at][::-1]] = at[::-1]
+        owner = np.full(len(self.starts), -1)
+        key = np.concatenate(keys)  # ascending: depth by depth, and each in order
+        found = np.flatnonzero(top)
+        owner[found] = np.concatenate(owners)[np.searchsorted(key, top[found] * n + rank[first[found]], "right") - 1]
+        return np.concatenate(suffixes), np.concatenate(places), top, first, owner
 
 
 def _digest(ids: set[str]) -> str:
@@ -166,7 +205,7 @@ def _digest(ids: set[str]) -> str:
 
 
 def examine(texts: list[str | None], blocks: list) -> tuple[list[np.ndarray], list[set[str]], list[tuple]]:
-    """Per text: which of its words are hit, the items found, and a longest match as (words, item, start in the text)."""
+    """Per text: which of its words are hit, the items found, and its longest match as (words, item, start in the text)."""
     hits: list[np.ndarray] = []
     items: list[set[str]] = [set() for _ in texts]
     best: list[tuple] = [(0, None, None)] * len(texts)
@@ -174,7 +213,7 @@ def examine(texts: list[str | None], blocks: list) -> tuple[list[np.ndarray], li
         tests = block.value
         shard = Shard.of(texts, tests)
         hits = hits or [np.zeros(n, bool) for n in shard.counts]
-        suffixes, places, longest, where = shard.matches(tests)
+        suffixes, places, longest, where, owner = shard.matches(tests)
         docs = np.searchsorted(shard.starts, places, "right") - 1
         # spans of windows as steps up and down: their running sum is above 0 inside any
         steps = np.zeros(len(shard.words) + 1, np.int64)
@@ -185,10 +224,10 @@ def examine(texts: list[str | None], blocks: list) -> tuple[list[np.ndarray], li
             hits[d] |= inside[shard.starts[d] : shard.starts[d] + shard.counts[d]]
         for d, i in np.unique(np.stack([docs, tests.item_of[suffixes]], 1), axis=0):
             items[d].add(tests.items[i])
-        for s in np.flatnonzero(longest >= tests.lengths):
-            d = int(np.searchsorted(shard.starts, where[s], "right") - 1)
-            if longest[s] > best[d][0]:
-                best[d] = int(longest[s]), tests.items[tests.item_of[s]], int(where[s] - shard.starts[d])
+        for d in np.flatnonzero(longest):
+            found = int(longest[d]), tests.items[tests.item_of[owner[d]]], int(where[d] - shard.starts[d])
+            if (-found[0], found[2], found[1]) < (-best[d][0], best[d][2] or 0, best[d][1] or ""):
+                best[d] = found
         if len(blocks) > 1:
             block.unpersist_local()
     return hits, items, best
@@ -258,8 +297,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     A window is ``window`` consecutive words of an item of ``benchmark``
     (item_id, text), or all words of a shorter item. n_hit counts the
     document's words inside any occurrence of a window, items the items with
-    such windows; the last three are a longest verbatim match of a test suffix
-    (ties: any), its item and its first word in the document. Null and empty
+    such windows; the last three are the document's longest verbatim match of a
+    test suffix, be it shorter than a window (ties: the first in the document,
+    then the smallest item), its item and its first word in the document; 0 and
+    nulls if no word is an item's. Null and empty
     texts have no words and the digest of an empty string; items without words,
     text or id are never found; items that repeat count once by id. Every row
     of ``docs`` is kept; an empty benchmark finds nothing; other columns are

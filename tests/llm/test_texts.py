@@ -49,6 +49,30 @@ def test_contamination_equals_brute_force(spark, odd, none, block):
     assert not any(r.contaminated for r in decontaminate.contamination(odd, bench.limit(0)).collect())
 
 
+def brute_match(text, items):
+    """The longest run of words shared with an item (ties: first in the text, then smallest item): (words, item, start)."""
+    own, best = words(text), (0, 0, "")
+    for key, item in items:
+        w = words(item)
+        for i in range(len(own) if key is not None else 0):
+            for j in range(len(w)):
+                n = next((k for k, (a, b) in enumerate(zip(own[i:], w[j:])) if a != b), min(len(own) - i, len(w) - j))
+                if n:
+                    best = min(best, (-n, i, str(key)))
+    return (-best[0], best[2], best[1]) if best[0] else (0, None, None)
+
+
+@pytest.mark.parametrize("block", [1_000_000, 2])
+def test_longest_match_of_every_copy(spark, block):
+    rng = random.Random(5)
+    draw = lambda n: " ".join(rng.choice("abcdef") for _ in range(n))
+    bench = [(k, draw(rng.choice([3, 12, 30]))) for k in range(8)] + [(8, "q " * 15), (9, "the"), (3, draw(14))]
+    long = bench[0][1] + " z " + " ".join(w for _, t in bench for w in t.split()[:11])
+    texts = [draw(rng.randint(0, 40)) for _ in range(30)] + [t for _, t in bench] * 3 + [long, long, "z " + long, "q " * 40, "z z", "the fox", None, ""]
+    got = decontaminate.contamination(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2), spark.createDataFrame(bench, "item_id long, text string"), block=block)
+    assert {r.doc_id: (r.match_words, r.match_item, r.match_start) for r in got.collect()} == {i: brute_match(t, bench) for i, t in enumerate(texts)}
+
+
 def test_sql_equals_brute_force():
     con = duckdb.connect()
     docs = [(i, t) for i, t, _ in ODD if t is None or len(t) < 1000]
