@@ -35,7 +35,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _spans(raw: np.ndarray) -> Iterator[np.ndarray]:
-    """``raw`` in parts of less than ``_SPAN`` bytes that end between words (or, where a word is over 4096 bytes, inside it)."""
+    """``raw`` in parts of less than ``_SPAN`` bytes that end between words (or, where a word is over 4096 bytes, inside it: its hash is carried on)."""
     at = 0
     while len(raw) - at >= _SPAN:
         part = raw[at : at + _SPAN - 1]
@@ -46,17 +46,40 @@ def _spans(raw: np.ndarray) -> Iterator[np.ndarray]:
     yield raw[at:]
 
 
+def _sums(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where words start and stop in ``part``, the sums that hash them, and the running total of the bytes."""
+    low = _LOW[part]
+    edge = np.flatnonzero(np.diff(np.r_[0, low != 0, 0].astype(np.int8)))
+    starts, stops = edge[::2], edge[1::2]
+    total = np.r_[np.uint64(0), np.cumsum(low * _POWER[: len(low)], dtype=np.uint64)]
+    return starts, stops, (total[stops] - total[starts]) * _BACK[starts], total
+
+
 def word_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash of each word of a UTF-8 text, in order."""
-    out = []
+    """A 64-bit hash of each word of a UTF-8 text, in order; a word of any length, wherever it stands, has one hash."""
+    sums, sizes = [], []
+    begun, size = 0, 0  # sum and bytes of the word that the last part ended in
     with np.errstate(over="ignore"):
         for part in _spans(np.frombuffer(raw, np.uint8)):
-            low = _LOW[part]
-            edge = np.flatnonzero(np.diff(np.r_[0, low != 0, 0].astype(np.int8)))
-            starts, stops = edge[::2], edge[1::2]
-            total = np.r_[np.uint64(0), np.cumsum(low * _POWER[: len(low)], dtype=np.uint64)]
-            out.append(mix((total[stops] - total[starts]) * _BACK[starts] + (stops - starts).astype(np.uint64)))
-    return out[0] if len(out) == 1 else np.concatenate(out)
+            starts, stops, own, _ = _sums(part)
+            n = (stops - starts).astype(np.uint64)
+            if size:
+                if len(starts) and not starts[0]:
+                    own[0] = (begun + pow(int(_ODD), size, 1 << 64) * int(own[0])) % (1 << 64)
+                    n[0] += np.uint64(size)
+                else:
+                    own, n = np.r_[np.uint64(begun), own], np.r_[np.uint64(size), n]
+                begun = size = 0
+            if len(raw) >= _SPAN and len(stops) and stops[-1] == len(part):
+                begun, size = int(own[-1]), int(n[-1])
+                own, n = own[:-1], n[:-1]
+            sums.append(own)
+            sizes.append(n)
+        if size:
+            sums.append(np.array([begun], np.uint64))
+            sizes.append(np.array([size], np.uint64))
+        own, n = (sums[0], sizes[0]) if len(sums) == 1 else (np.concatenate(sums), np.concatenate(sizes))
+        return mix(own + n)
 
 
 def to_bytes(text: str | None) -> bytes:

@@ -181,3 +181,29 @@ def test_word_hashes():
             for w, h in zip(found, hashes.tolist(), strict=True):
                 assert seen.setdefault(w, h) == h
     assert len(set(seen.values())) == len(seen)
+
+
+def test_words_of_any_length_and_place_have_one_hash():
+    seen: dict = {}
+    for n in (4095, 4096, 4097, 65_535, 65_536, 70_000, 131_070, 300_000):
+        word = "".join(random.Random(n).choices("ABCdef0123é", k=n))
+        for before in ("", "a ", "-" * 65_534 + " ", "b c " * 20_000, "d" * 65_530 + " "):
+            for after in ("", " ", " e", "." * 70_000):
+                raw = (before + word + after).encode()
+                found, hashes = WORD.findall(raw.lower()), word_hashes(raw).tolist()
+                assert len(found) == len(hashes)
+                for w, h in zip(found, hashes, strict=True):
+                    assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_near_duplicates_with_long_words_equal_sql(spark):
+    blob = "".join(random.Random(2).choices("abcdefghij0123456789", k=100_000))
+    rest = " ".join(f"w{i}" for i in range(30))
+    texts = ["a " + "x" * 100_000, "a  " + "x" * 100_000, "A, - " + "X" * 100_000, rest + " " + blob, "... " + rest + "  -- " + blob, rest + " v " + blob, blob + " " + rest]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(list(enumerate(texts)), columns=["doc_id", "text"]))
+    expected = con.sql(near.sql()).select("doc_id", "class_id", "n_links", "n_copies").fetchall()
+    got = near.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(expected)
+    assert (0, 0, 0, 3) in expected
