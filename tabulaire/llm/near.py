@@ -251,12 +251,20 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, tolerance:
     there is, or null; repeated rows are copies; an empty table gives an empty
     result; other columns are ignored.
     """
+    return _classes(docs, similarity, tolerance, doc_id, text).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``near_duplicates``, with each row's xxhash64 of its text (hash) and that of its class's first row (class_hash).
+
+    The first row of a class has its smallest doc_id (null: only if all are) and, of these, the smallest hash.
+    """
     spark = docs.sparkSession
     bounded_arrow(spark)
     rows = only(docs, doc_id=doc_id, text=text).withColumns({"doc_id": F.col("doc_id").cast("long"), "hash": F.xxhash64("text")})
     sketched = keep(rows.mapInArrow(_sketch, "doc_id long, hash long, same binary, bands array<bigint>").withColumn("row", F.monotonically_increasing_id()), "sketches")
     first = F.min(F.struct("row", "doc_id", "hash", "bands")).alias("first")
-    texts = keep(sketched.groupBy("same").agg(first, F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies")).withColumn("node", F.col("first.row")), "texts")
+    texts = keep(sketched.groupBy("same").agg(first, F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")).alias("least"), F.count("*").alias("n_copies")).withColumn("node", F.col("first.row")), "texts")
     bands = texts.select("node", F.explode("first.bands").alias("key"))
     hubs = keep(bands.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1"), "buckets")
     often = max(10_000, BANDS * texts.count() // 50_000 + 1)  # so that there are no more than 50 000 such keys
@@ -276,24 +284,32 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, tolerance:
     found = keep(dealt.mapInArrow(_verify(similarity, tolerance), "a long, b long, links long"), "links")
     counts = found.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n_links"))
     classes = components(found.where("a <> b").select("a", "b"), "links-of-classes")
-    named = texts.select("same", "node", "first_id", "n_copies").join(counts, "node", "left").join(classes, "node", "left")
+    named = texts.select("same", "node", "least", "n_copies").join(counts, "node", "left").join(classes, "node", "left")
     named = keep(named.withColumn("component", F.coalesce("component", "node")), "named")
-    firsts = named.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    named = salted_join(named, firsts, ["component"], ["node"]).select("same", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n_copies").cast("long").alias("n_copies"))
-    return salted_join(sketched.select("doc_id", "same", "row"), named, ["same"], ["row"]).select("doc_id", "class_id", "n_links", "n_copies")
+    firsts = named.groupBy("component").agg(F.min("least").alias("least_of_class"))
+    named = salted_join(named, firsts, ["component"], ["node"])
+    named = named.select("same", F.col("least_of_class.doc_id").alias("class_id"), F.col("least_of_class.hash").alias("class_hash"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n_copies").cast("long").alias("n_copies"))
+    return salted_join(sketched.select("doc_id", "hash", "same", "row"), named, ["same"], ["row"])
 
 
 def first_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with one row of each class: that of the smallest doc_id, all columns.
+    """``docs`` (doc_id, text, ...) with one row of each class: one of the smallest doc_id, all columns.
 
-    Rows that repeat a class's smallest doc_id all stay, and so do rows without
-    a doc_id.
+    Rows without a doc_id come last in a class. Rows are told apart by doc_id
+    and text (hashed); of rows that share both any one stays.
     """
-    classes = near_duplicates(docs, similarity)
-    gone = classes.where("class_id is not null and doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = keep(gone, "repeated")
-    small = gone.count() <= 4 * SMALL
-    return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    mark = lambda i, h: F.xxhash64(i, h)
+    first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("hash") == F.col("class_hash"))
+    rows = _classes(docs, similarity).select(mark("doc_id", "hash").alias("_mark"), first.alias("_first"), "n_copies").where("not _first or n_copies > 1")
+    found = keep(rows.groupBy("_mark").agg(F.max("_first").alias("_first"), F.count("*").alias("_n")).where("not _first or _n > 1"), "repeated")
+    small = found.count() <= 4 * SMALL
+    joined = lambda marks, how: docs.join(F.broadcast(marks) if small else marks, mark(docs["doc_id"].cast("long"), F.xxhash64(docs["text"])) == marks["_mark"], how)
+    kept = joined(found.select("_mark"), "left_anti")
+    if found.where("_first").isEmpty():
+        return kept
+    # rows that repeat a class's first row as a whole
+    again = joined(found.where("_first").select("_mark"), "inner").dropDuplicates(["_mark"]).drop("_mark")
+    return kept.union(again)
 
 
 def sql(similarity: float = SIMILARITY, words: int = WORDS) -> str:

@@ -147,6 +147,14 @@ def test_one_of_each_stays(spark, odd, none):
     assert near.first_of_each(none).count() == 0 and near.near_duplicates(none).count() == 0
 
 
+def test_one_row_of_each_class_stays(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(30)) for k in "abc")
+    pairs = [(1, a), (5, a + " more"), (5, b), (None, c), (None, c), (None, a), (7, "x y"), (7, "x y"), (7, "X-y"), (8, c + " z"), (None, "q"), (None, "Q"), (None, "q"), (9, None), (9, None)]
+    kept = near.first_of_each(spark.createDataFrame(rows_of([(i, t, None) for i, t in pairs]), SCHEMA).repartition(3))
+    got = [(r.doc_id, tuple(words(r.text))) for r in kept.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [(1, tuple(words(a))), (5, tuple(words(b))), (8, tuple(words(c + " z"))), (7, (b"x", b"y")), (None, (b"q",)), (9, ())]))
+
+
 def test_posterior_bound():
     for n, least in zip(range(near.STEP, near.HASHES + 1, near.STEP), near.least_matches(0.8, 1e-7), strict=True):
         # numerically: the share of Beta(m+1, n-m+1) above the threshold
