@@ -92,7 +92,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int, seed: st
     ``labels`` has (doc_id, value) and is all that is counted and drawn from:
     each value's rows of the smallest hashes of ids, so a fair draw that is
     the same at any partitioning. Texts are then fetched for the drawn ids
-    alone. Null values, ids and texts take no part.
+    alone. The draw ends with the first text that goes beyond the characters (texts
+    longer than all of them are passed over), so it favours no length. Null values, ids and texts take no part.
     """
     spark = docs.sparkSession
     labels = labels.where("doc_id is not null and value is not null").withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
@@ -117,9 +118,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int, seed: st
     sizes = sorted((rank[r.doc_id], r.n, r.doc_id) for r in rows.select("doc_id", F.length("text").alias("n")).collect())
     total, fits = 0, set()
     for _, n, k in sizes:
-        if total + n <= most_chars:
-            total += n
-            fits.add(k)
+        if n > most_chars:
+            continue
+        total += n
+        if total > most_chars:
+            break
+        fits.add(k)
     if len(fits) < len(drawn):
         rows = rows.join(F.broadcast(spark.createDataFrame([(k,) for k in fits], "doc_id long")), "doc_id", "left_semi") if fits else rows.limit(0)
     return [(text, drawn[k]) for _, k, text in sorted((rank[r.doc_id], r.doc_id, r.text) for r in rows.collect())]

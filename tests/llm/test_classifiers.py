@@ -93,3 +93,11 @@ def test_sample_is_bounded_and_stable(docs, labels):
     assert one == labelled_sample(docs.repartition(7), marked.repartition(5), 40, "s")
     assert sum(len(t) for t, _ in labelled_sample(docs, marked, 40, "s", 20_000)) <= 20_000
     assert labelled_sample(docs, marked.limit(0), 40, "s") == []
+
+
+def test_sample_ends_at_its_cap_by_rank(spark):
+    docs = spark.createDataFrame([(i, "x" * (900 if i % 2 else 10), 0) for i in range(60)] + [(99, "y" * 9000, 0)], "doc_id long, text string, value int")
+    whole = labelled_sample(docs, docs.select("doc_id", "value"), 100, "s")
+    short = [t for t in whole if len(t[0]) <= 5000]
+    n = next(n for n in range(len(short)) if sum(len(t) for t, _ in short[: n + 1]) > 5000)
+    assert len(whole) == 61 and labelled_sample(docs, docs.select("doc_id", "value"), 100, "s", 5000) == short[:n]
