@@ -7,6 +7,7 @@ Texts are hashed as whole arrays of bytes, never word by word in Python.
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,6 +83,10 @@ def word_hashes(raw: bytes) -> np.ndarray:
         return mix(own + n)
 
 
+#: Label values that a sample is drawn from, at most.
+MOST_VALUES = 1024
+
+
 def to_bytes(text: str | None) -> bytes:
     return text.encode() if text else b""
 
@@ -91,13 +96,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int, seed: st
 
     ``labels`` has (doc_id, value) and is all that is counted and drawn from:
     each value's rows of the smallest hashes of ids, so a fair draw that is
-    the same at any partitioning. Texts are then fetched for the drawn ids
+    the same at any partitioning. Of more than ``MOST_VALUES`` values the most
+    frequent are drawn from, with a warning. Texts are then fetched for the drawn ids
     alone. The draw ends with the first text that goes beyond the characters (texts
     longer than all of them are passed over), so it favours no length. Null values, ids and texts take no part.
     """
     spark = docs.sparkSession
     labels = labels.where("doc_id is not null and value is not null").withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
-    counts = {r.value: r["count"] for r in labels.groupBy("value").count().orderBy("value").limit(1024).collect()}
+    found = labels.groupBy("value").count().orderBy(F.desc("count"), "value").limit(MOST_VALUES + 1).collect()
+    if len(found) > MOST_VALUES:
+        warnings.warn(f"more than {MOST_VALUES} label values: only the most frequent are learned", stacklevel=2)
+    counts = {r.value: r["count"] for r in sorted(found[:MOST_VALUES], key=lambda r: r.value)}
     if not counts:
         return []
     share = max(1, most_rows // len(counts))

@@ -95,6 +95,13 @@ def test_sample_is_bounded_and_stable(docs, labels):
     assert labelled_sample(docs, marked.limit(0), 40, "s") == []
 
 
+def test_sample_takes_the_most_frequent_values(spark, monkeypatch):
+    monkeypatch.setattr("tabulaire.llm.words.MOST_VALUES", 2)
+    docs = spark.createDataFrame([(i, "x", v) for i, v in enumerate("abbccc")], "doc_id long, text string, value string")
+    with pytest.warns(UserWarning, match="label values"):
+        assert {v for _, v in labelled_sample(docs, docs.select("doc_id", "value"), 100, "s")} == {"b", "c"}
+
+
 def test_sample_ends_at_its_cap_by_rank(spark):
     docs = spark.createDataFrame([(i, "x" * (900 if i % 2 else 10), 0) for i in range(60)] + [(99, "y" * 9000, 0)], "doc_id long, text string, value int")
     whole = labelled_sample(docs, docs.select("doc_id", "value"), 100, "s")
