@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -40,7 +43,16 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._kept_at = path
+    return kept
+
+
+def forget(kept: DataFrame) -> None:
+    """Deletes a table that ``keep`` wrote, once what was made of it is written itself."""
+    spark = kept.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(kept._kept_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -140,3 +152,45 @@ def hot_join(left: DataFrame, right: DataFrame, on: str, spread: list[str], hot:
     last = F.when(F.col("_hot"), salts - 1).otherwise(0)
     copies = right.join(marks, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot")
     return dealt.join(copies.hint("merge"), [on, "_salt"], how).drop("_salt")
+
+
+SIEVE_BITS = 1 << 27  #: of a sieve at most (16 MB); a full one lets all rows pass
+
+
+def sieve(keys: DataFrame) -> Callable[[Column], Column]:
+    """A test of 64-bit hashes that every key of ``keys`` (key, not null) passes, and few others: a broadcast Bloom filter.
+
+    Its size follows the number of keys and is bounded. It spares rows a join
+    that goes on to decide, so it may let any row pass but never holds one back.
+    """
+    spark = keys.sparkSession
+    bits = min(SIEVE_BITS, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
+
+    def places(h: np.ndarray) -> Iterator[np.ndarray]:
+        h = h.astype(np.int64).view(np.uint64)
+        for by in (0, 21, 37):
+            yield ((h >> np.uint64(by)) & np.uint64(bits - 1)).astype(np.int64)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.zeros(bits, bool)
+        for batch in batches:
+            for at in places(batch.column("key").to_numpy(zero_copy_only=False)):
+                marks[at] = True
+        yield pa.record_batch([pa.array([zlib.compress(np.packbits(marks).tobytes(), 1)], pa.binary())], names=["marks"])
+
+    unpack = lambda b: np.frombuffer(zlib.decompress(b), np.uint8)
+    parts = keys.select("key").mapInArrow(mark, "marks binary").rdd.map(lambda r: bytes(r[0]))
+    empty = zlib.compress(bytes(bits // 8))
+    shared = spark.sparkContext.broadcast(parts.treeReduce(lambda a, b: zlib.compress((unpack(a) | unpack(b)).tobytes(), 1), depth=3) if parts.getNumPartitions() else empty)
+    held: list = []
+
+    @F.pandas_udf("boolean")
+    def passes(h: pd.Series) -> pd.Series:
+        if not held:
+            held.append(unpack(shared.value))
+        ok = np.ones(len(h), bool)
+        for at in places(h.to_numpy()):
+            ok &= (held[0][at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+        return pd.Series(ok)
+
+    return passes

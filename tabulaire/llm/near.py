@@ -2,9 +2,16 @@
 
 Documents with the same words are one text. Each text's shingles (five words)
 are min-hashed; texts that agree on all hashes of a band meet in a bucket. No
-pairs are made there: a bucket links its texts to its smallest, and the
-connected components of these links are the only places where similar texts
-can be. A component is cut into blocks of texts; pairs of blocks are tasks.
+pairs are made there: a bucket links its texts to its first, and the connected
+components of these links are the only places where similar texts can be.
+Band keys travel once, packed into one row for each range of keys and some
+thousands of texts, after a task has linked the texts that meet within it; so a
+bucket that holds a third of all texts is a few entries of each task.
+
+Chains of chance meetings can tie unlike texts into large components. Texts of
+components of more than a block are therefore bucketed again by bands of twice
+the length (``LONG``), which similar texts share no less surely and unlike ones
+hardly ever. What is left is cut into blocks; pairs of blocks are tasks.
 
 Inside such a task pairs are pruned as in Bayesian locality-sensitive hashing:
 min-hash values are compared a few at a time, and a pair is dropped once the
@@ -26,22 +33,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_arrow, hot_join, keep, only, salted_join, small_batches
+from .common import bounded_arrow, forget, hot_join, keep, only, sieve, small_batches
 from .words import mix, to_bytes, word_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 40, 5  #: two texts of similarity 0.8 share no band with a probability of 1.3e-7
+LONG = (160, 10)  #: bands and rows inside large components: a probability of 1.3e-8, and 0.02 of sharing any at similarity 0.4
 HASHES = BANDS * ROWS
 TOLERANCE = 1e-7  #: posterior probability below which a pair is dropped
 STEP = 20  #: min-hash values compared at a time
-BLOCK = 256  #: texts in a block, on average
-SALTS = 8  #: tasks that the neighbours of one node are dealt over
-SMALL = 1_000_000  #: candidate texts whose ids are broadcast, at most (about 40 MB); more are joined by a shuffle
-
-_FLIP, _MULTIPLY = np.split((mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)[:, None], 2)
-_MULTIPLY |= np.uint32(1)
-
+BLOCK = 128  #: texts in a block, on average; components of over 16 blocks have larger ones,
+MOST = 2048  #: of so many texts at most
+BLOCK_BYTES = 8_000_000  #: and so many bytes of shingles
+FLUSH = 1_000_000  #: band keys that a task gathers before it packs them (some 40 MB)
+RANGES = 256  #: ranges of keys that they are packed by (their first byte)
+ENTRIES = 2_000_000  #: band keys of one range that a task holds; beyond, ranges are split
 
 def shingles(w: np.ndarray) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of ``WORDS`` words (hashed); fewer words are one shingle, no words none."""
@@ -60,22 +67,31 @@ def identity(w: np.ndarray) -> bytes:
     return hashlib.blake2b(w.tobytes(), digest_size=16).digest()
 
 
-def signature(sets: np.ndarray) -> np.ndarray:
-    """The ``HASHES`` min-hash values of a set of shingles: bijections of 32 bits, their minima taken for many at a time."""
-    x = (sets >> np.uint64(32)).astype(np.uint32)
-    out = np.full(HASHES, 2**32 - 1, np.uint32)
+def _bijections(n: int) -> tuple[np.ndarray, np.ndarray]:
+    flip, multiply = np.split((mix(np.arange(1, 2 * n + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)[:, None], 2)
+    return flip, multiply | np.uint32(1)
+
+
+_FIRST, _SECOND = _bijections(HASHES), _bijections(LONG[0] * LONG[1])
+
+
+def signature(sets: np.ndarray, by: tuple[np.ndarray, np.ndarray] = _FIRST) -> np.ndarray:
+    """The min-hash values of a set of shingles: bijections of 32 bits, their minima taken for many at a time."""
+    x, (flip, multiply) = (sets >> np.uint64(32)).astype(np.uint32), by
+    out = np.full(len(flip), 2**32 - 1, np.uint32)
     with np.errstate(over="ignore"):
         for at in range(0, len(x), 1024):
-            np.minimum(out, ((x[None, at : at + 1024] ^ _FLIP) * _MULTIPLY).min(1), out=out)
+            np.minimum(out, ((x[None, at : at + 1024] ^ flip) * multiply).min(1), out=out)
     return out
 
 
-def band_keys(values: np.ndarray) -> np.ndarray:
+def band_keys(values: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """A 64-bit key of each run of ``rows`` values and its number."""
     with np.errstate(over="ignore"):
-        h = np.arange(BANDS, dtype=np.uint64)
-        for j in range(ROWS):
-            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + values[j::ROWS].astype(np.uint64))
-    return h.view(np.int64)
+        h = np.arange(len(values) // rows, dtype=np.uint64)
+        for j in range(rows):
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + values[j::rows].astype(np.uint64))
+    return h
 
 
 def least_matches(similarity: float, tolerance: float) -> list[int]:
@@ -94,15 +110,165 @@ def least_matches(similarity: float, tolerance: float) -> list[int]:
     return out
 
 
+def _linked(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, the first node of each, and the links (node, first node) of all others, each once."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    first = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
+    hub = nodes[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
+    ok = nodes != hub
+    a, b = _once(nodes[ok], hub[ok])
+    return keys[first], nodes[first], a, b
+
+
+def _once(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+    return a[new], b[new]
+
+
+PACKED = "span int, n int, pack binary, a long, b long"
+_PACKED = pa.schema([("span", pa.int32()), ("n", pa.int32()), ("pack", pa.binary()), ("a", pa.int64()), ("b", pa.int64())])
+
+
+class _Bands:
+    """Band keys of the texts that a task has met, until they are packed."""
+
+    def __init__(self):
+        self.keys, self.nodes, self.seen, self.n = [], [], set(), 0
+
+    def add(self, node: int, same: bytes, keys: np.ndarray) -> None:
+        """``keys`` of the text ``same``, if it is new."""
+        if same not in self.seen:
+            self.seen.add(same)
+            self.keys.append(keys)
+            self.nodes.append(node)
+            self.n += len(keys)
+
+    def flush(self) -> pa.RecordBatch:
+        """A row (span, n, pack) for each range of keys, and a row (a, b) for each link between two of the texts."""
+        keys = np.concatenate([*self.keys, np.zeros(0, np.uint64)])
+        nodes = np.repeat(np.array(self.nodes, np.int64), [len(k) for k in self.keys])
+        self.__init__()
+        keys, nodes, a, b = _linked(keys, nodes)
+        edges = np.searchsorted((keys >> np.uint64(56)).astype(np.int64), np.arange(RANGES + 1))
+        full = np.flatnonzero(np.diff(edges))
+        packs = [_pack((keys[edges[s] : edges[s + 1]] >> np.uint64(8)) & np.uint64(2**48 - 1), nodes[edges[s] : edges[s + 1]]) for s in full]
+        none = lambda n, kind: pa.nulls(n, kind)
+        return pa.concat_batches([
+            pa.record_batch([pa.array(full, pa.int32()), pa.array(np.diff(edges)[full], pa.int32()), pa.array(packs, pa.binary()), none(len(full), pa.int64()), none(len(full), pa.int64())], schema=_PACKED),
+            pa.record_batch([none(len(a), pa.int32()), none(len(a), pa.int32()), none(len(a), pa.binary()), pa.array(a), pa.array(b)], schema=_PACKED),
+        ])
+
+
+def _pack(keys: np.ndarray, nodes: np.ndarray) -> bytes:
+    """48-bit keys of one range, and nodes by their distance from the least; keys that agree so far only make a few more candidates."""
+    base = nodes.min()
+    away = nodes - base
+    return base.tobytes() + (keys >> np.uint64(16)).astype("<u4").tobytes() + (keys & np.uint64(0xFFFF)).astype("<u2").tobytes() + away.astype("<u4" if away.max() < 2**32 else "<u8").tobytes()
+
+
+def _unpack(pack: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``n`` keys and nodes of a pack."""
+    keys = np.frombuffer(pack, "<u4", n, 8).astype(np.uint64) << np.uint64(16) | np.frombuffer(pack, "<u2", n, 8 + 4 * n).astype(np.uint64)
+    away = np.frombuffer(pack, "<u4" if len(pack) == 8 + 10 * n else "<u8", n, 8 + 6 * n)
+    return keys, np.frombuffer(pack, np.int64, 1)[0] + away.astype(np.int64)
+
+
+_SKETCH = pa.schema([("node", pa.int64()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("same", pa.binary()), *_PACKED])
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of documents (node, doc_id, hash, same) and, between them, of ``PACKED``; the others' columns are null."""
+    from pyspark import TaskContext
+
+    at, bands = TaskContext.get().partitionId() << 33, _Bands()
+    wide = lambda b: pa.record_batch([b.column(f.name) if f.name in b.schema.names else pa.nulls(b.num_rows, f.type) for f in _SKETCH], schema=_SKETCH)
     for batch in small_batches(batches, "text"):
-        same, keys = [], []
-        for text in batch.column("text").to_pylist():
+        same = []
+        for i, text in enumerate(batch.column("text").to_pylist()):
             words = word_hashes(to_bytes(text))
-            found = shingles(words)
             same.append(identity(words))
-            keys.append(band_keys(signature(found)) if len(found) else [])
-        yield pa.record_batch([batch.column("doc_id"), batch.column("hash"), pa.array(same, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "hash", "same", "bands"])
+            if len(words) and same[-1] not in bands.seen:
+                bands.add(at + i, same[-1], band_keys(signature(shingles(words))))
+        nodes = pa.array(np.arange(at, at + batch.num_rows))
+        yield wide(pa.record_batch([nodes, batch.column("doc_id"), batch.column("hash"), pa.array(same, pa.binary())], names=["node", "doc_id", "hash", "same"]))
+        at += batch.num_rows
+        if bands.n >= FLUSH:
+            yield wide(bands.flush())
+    yield wide(bands.flush())
+
+
+def _sketch_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``PACKED`` rows of the longer bands of (node, component, shingles); texts meet only within their component."""
+    bands = _Bands()
+    for batch in small_batches(batches, "shingles"):
+        for node, component, found in zip(*[batch.column(c).to_pylist() for c in ("node", "component", "shingles")], strict=True):
+            keys = band_keys(signature(np.frombuffer(found, np.uint64), _SECOND), LONG[1])
+            bands.add(node, node, mix(keys ^ mix(np.array([component], np.int64).view(np.uint64))))
+        if bands.n >= FLUSH:
+            yield bands.flush()
+    yield bands.flush()
+
+
+def _split(parts: int):
+    """Packs of ranges to packs of ranges ``parts`` times as narrow."""
+    wide = np.uint64(2**48 // parts + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for span, n, pack in zip(*[batch.column(c).to_pylist() for c in ("span", "n", "pack")], strict=True):
+                keys, nodes = _unpack(pack, n)
+                inner = keys // wide
+                cut = np.flatnonzero(np.r_[True, inner[1:] != inner[:-1], True])
+                rows += [(span * parts + int(inner[lo]), hi - lo, _pack(keys[lo:hi], nodes[lo:hi])) for lo, hi in zip(cut[:-1], cut[1:], strict=True)]
+            spans, counts, packs = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.record_batch([pa.array(spans, pa.int64()), pa.array(counts, pa.int32()), pa.array(packs, pa.binary())], names=["span", "n", "pack"])
+
+    return run
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the nodes that share a key, from packs sorted by range; a task's links are distinct where they fit in memory."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    last = None
+
+    def settle() -> None:
+        x, y = _linked(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))[2:]
+        a.append(x)
+        b.append(y)
+        held.clear()
+
+    def out() -> pa.RecordBatch:
+        x, y = _once(np.concatenate(a), np.concatenate(b))
+        a[:], b[:] = [x[:0]], [y[:0]]
+        return pa.record_batch([pa.array(x), pa.array(y)], names=["a", "b"])
+
+    for batch in batches:
+        for span, n, pack in zip(*[batch.column(c).to_pylist() for c in ("span", "n", "pack")], strict=True):
+            if held and span != last:
+                settle()
+                if sum(map(len, a)) > FLUSH:
+                    yield out()
+            held.append(_unpack(pack, n))
+            last = span
+    if held:
+        settle()
+    yield out()
+
+
+def candidate_links(packed: DataFrame, keys: int) -> DataFrame:
+    """Links (a, b) that connect all nodes with a common band key, from written ``PACKED`` rows of ``keys`` band keys in all."""
+    packs = packed.where("pack is not null").select("span", "n", "pack")
+    parts = -(-keys // (RANGES * ENTRIES))
+    if parts > 1:
+        packs = packs.mapInArrow(_split(parts), "span long, n int, pack binary")
+    met = packs.repartition("span").sortWithinPartitions("span").mapInArrow(_meet, "a long, b long")
+    return packed.where("a is not null").select("a", "b").unionByName(met)
 
 
 def _is_forest_of_stars(edges: DataFrame) -> bool:
@@ -112,26 +278,37 @@ def _is_forest_of_stars(edges: DataFrame) -> bool:
     return not nodes.agg(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0]
 
 
+def _often(total: int) -> int:
+    """A key with so many of ``total`` rows is dealt over several tasks; no more than 50,000 keys can have them."""
+    return max(10_000, total // 50_000 + 1)
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component): the smallest node connected to each node of ``edges`` (a, b), by large and small stars.
 
     Each round links every node's larger neighbours to its smallest one, then
-    its smaller ones, until only stars are left; rounds are written tables,
-    and their number grows with the logarithm of a component's size.
+    its smaller ones, until only stars are left; rounds are written tables, the
+    one before is deleted, and their number grows with the logarithm of a
+    component's size. Nodes with very many neighbours are dealt over tasks.
     """
     both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     while not _is_forest_of_stars(edges):
+        often = _often(2 * edges.count())
         # large star: neighbours above a node join the least of its neighbourhood
         around = both(edges)
-        least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        up = salted_join(around.where("b > a"), least, ["a"], ["b"], "inner", SALTS)
+        least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
+        up = hot_join(around.where("b > a"), least.select("a", "m"), "a", ["b"], least.where(F.col("n") >= often).select("a"))
         up = keep(up.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"), name)
+        forget(edges)
         # small star: a node and its neighbours below join the least of them
-        least = up.groupBy("a").agg(F.min("b").alias("m"))
-        joined = salted_join(up, least, ["a"], ["b"], "inner", SALTS)
+        least = up.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        joined = hot_join(up, least.select("a", "m"), "a", ["b"], least.where(F.col("n") >= often).select("a"))
         edges = keep(joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), name)
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+        forget(up)
+    found = keep(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), name)
+    forget(edges)
+    return found
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +321,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mask.append(node not in seen and identity(words) == same)
             seen.add(node)
             sets.append(shingles(words).tobytes() if mask[-1] else b"")
-        out = pa.record_batch([batch.column("node"), batch.column("component"), batch.column("block"), batch.column("blocks"), pa.array(sets, pa.binary())], names=["node", "component", "block", "blocks", "shingles"])
+        out = pa.record_batch([batch.column("node"), batch.column("component"), pa.array(sets, pa.binary())], names=["node", "component", "shingles"])
         yield out.filter(pa.array(mask, pa.bool_()))
 
 
@@ -152,11 +329,11 @@ def similar_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, s
     """Pairs (i of ``left``, j of ``right``, i before j) whose Jaccard similarity is at least ``similarity``."""
     sizes = np.array([len(s) for s in sets])
     values = np.stack([signature(s) for s in sets])
-    i, j = np.meshgrid(left, right, indexing="ij")
+    i, j = np.meshgrid(left.astype(np.int32), right.astype(np.int32), indexing="ij")
     ok = (i < j) if left is right else np.ones(i.shape, bool)
     ok &= np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j])
     i, j = i[ok], j[ok]
-    hits = np.zeros(len(i), np.int64)
+    hits = np.zeros(len(i), np.int16)
     for at, least in zip(range(0, HASHES, STEP), least_matches(similarity, tolerance), strict=True):
         for lo in range(0, len(i), 65_536):
             part = slice(lo, lo + 65_536)
@@ -254,6 +431,47 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, tolerance:
     return _classes(docs, similarity, tolerance, doc_id, text).select("doc_id", "class_id", "n_links", "n_copies")
 
 
+def _sized(members: DataFrame) -> DataFrame:
+    """``members`` (node, component, shingles) of components of several texts, with n (texts) and bytes of their component."""
+    sizes = members.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.octet_length("shingles")).alias("bytes")).where("n > 1")
+    return hot_join(members, sizes, "component", ["node"], sizes.where(F.col("n") >= _often(members.count())).select("component"))
+
+
+def _candidates(docs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """(node, component, shingles, n, bytes) of the texts that may have a similar one; a written table.
+
+    ``docs`` has doc_id, hash and text, ``sketched`` is what ``_sketch`` made of it.
+    """
+    rows = sketched.where("same is not null").select("node", "doc_id", "hash", "same")
+    links = candidate_links(sketched.select("span", "n", "pack", "a", "b"), BANDS * rows.count())
+    parts = components(links, "candidate-links")
+    # texts, each by one of its rows; copies of one text need no comparison
+    first = F.min(F.struct("node", F.col("doc_id").alias("wanted_id"), F.col("hash").alias("wanted_hash"))).alias("first")
+    texts = keep(rows.join(parts, "node").groupBy("component", "same").agg(first).select("component", "same", "first.*"), "met")
+    sizes = texts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
+    wanted = keep(hot_join(texts, sizes, "component", ["node"], sizes.where(F.col("n") >= _often(texts.count())).select("component")).drop("n"), "candidates")
+    # only rows that may be wanted go into the join, so few texts are shuffled where it is no broadcast
+    may = sieve(wanted.select(F.xxhash64("wanted_id", "wanted_hash").alias("key")))
+    match = docs["doc_id"].eqNullSafe(wanted["wanted_id"]) & (docs["hash"] == wanted["wanted_hash"])
+    found = docs.where(may(F.xxhash64("doc_id", "hash"))).join(wanted, match)
+    sets = keep(found.select("node", "component", "same", "text").mapInArrow(_members, "node long, component long, shingles binary"), "shingles")
+    sized = keep(_sized(sets), "components")
+    for old in (parts, texts, wanted, sets):
+        forget(old)
+    return sized
+
+
+def _refined(sized: DataFrame) -> DataFrame:
+    """``sized`` with the components of more than a block parted by the longer bands."""
+    large = sized.where(F.col("n") > BLOCK).select("node", "component", "shingles")
+    packed = keep(large.mapInArrow(_sketch_again, PACKED), "longer-bands")
+    parts = components(candidate_links(packed, LONG[0] * large.count()), "longer-links")
+    found = keep(_sized(large.drop("component").join(parts, "node")), "refined")
+    forget(packed)
+    forget(parts)
+    return sized.where(F.col("n") <= BLOCK).unionByName(found)
+
+
 def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """As ``near_duplicates``, with each row's xxhash64 of its text (hash) and that of its class's first row (class_hash).
 
@@ -262,54 +480,50 @@ def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, d
     spark = docs.sparkSession
     bounded_arrow(spark)
     rows = only(docs, doc_id=doc_id, text=text).withColumns({"doc_id": F.col("doc_id").cast("long"), "hash": F.xxhash64("text")})
-    sketched = keep(rows.mapInArrow(_sketch, "doc_id long, hash long, same binary, bands array<bigint>").withColumn("row", F.monotonically_increasing_id()), "sketches")
-    first = F.min(F.struct("row", "doc_id", "hash", "bands")).alias("first")
-    texts = keep(sketched.groupBy("same").agg(first, F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")).alias("least"), F.count("*").alias("n_copies")).withColumn("node", F.col("first.row")), "texts")
-    bands = texts.select("node", F.explode("first.bands").alias("key"))
-    hubs = keep(bands.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1"), "buckets")
-    often = max(10_000, BANDS * texts.count() // 50_000 + 1)  # so that there are no more than 50 000 such keys
-    linked = hot_join(bands, hubs.select("key", "hub"), "key", ["node"], hubs.where(F.col("n") >= often).select("key"))
-    parts = keep(components(linked.select(F.col("node").alias("a"), F.col("hub").alias("b")), "candidate-links"), "candidates")
-    blocks = parts.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = salted_join(parts, blocks, ["component"], ["node"], "inner").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    wanted = keep(placed.join(texts, "node").select("node", "component", "block", "blocks", "same", F.col("first.doc_id").alias("wanted_id"), F.col("first.hash").alias("wanted_hash")), "candidate-texts")
-    match = rows["doc_id"].eqNullSafe(wanted["wanted_id"]) & (rows["hash"] == wanted["wanted_hash"])
-    if wanted.count() <= SMALL:
-        candidates = rows.join(F.broadcast(wanted), match)
-    else:
-        candidates = rows.join(wanted, match)
-    sets = candidates.select("node", "component", "block", "blocks", "same", "text").mapInArrow(_members, "node long, component long, block int, blocks int, shingles binary")
-    pairs = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "block", "shingles")
+    sketched = keep(rows.mapInArrow(_sketch, f"node long, doc_id long, hash long, same binary, {PACKED}"), "sketches")
+    placed = _refined(_candidates(rows, sketched))
+    n, size = F.col("n"), F.col("bytes")
+    blocks = F.greatest(F.least(F.ceil(n / BLOCK), F.lit(16)), F.ceil(n / MOST), F.ceil(size / BLOCK_BYTES)).cast("int")
+    placed = placed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "block", "shingles")
     dealt = pairs.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
     found = keep(dealt.mapInArrow(_verify(similarity, tolerance), "a long, b long, links long"), "links")
     counts = found.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n_links"))
     classes = components(found.where("a <> b").select("a", "b"), "links-of-classes")
-    named = texts.select("same", "node", "least", "n_copies").join(counts, "node", "left").join(classes, "node", "left")
-    named = keep(named.withColumn("component", F.coalesce("component", "node")), "named")
-    firsts = named.groupBy("component").agg(F.min("least").alias("least_of_class"))
-    named = salted_join(named, firsts, ["component"], ["node"])
-    named = named.select("same", F.col("least_of_class.doc_id").alias("class_id"), F.col("least_of_class.hash").alias("class_hash"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n_copies").cast("long").alias("n_copies"))
-    return salted_join(sketched.select("doc_id", "hash", "same", "row"), named, ["same"], ["row"])
+    documents = sketched.where("same is not null").select("node", "doc_id", "hash", "same")
+    texts = documents.groupBy("same").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")).alias("least"), F.count("*").alias("n_copies"))
+    texts = keep(texts, "texts")
+    linked = keep(documents.select("node", "same").join(counts, "node").join(classes, "node").join(texts.select("same", "least"), "same"), "linked")
+    firsts = linked.groupBy("component").agg(F.min("least").alias("least_of_class"), F.count("*").alias("n"))
+    linked = hot_join(linked, firsts.drop("n"), "component", ["node"], firsts.where(F.col("n") >= _often(linked.count())).select("component")).select("same", "n_links", "least_of_class")
+    first = F.coalesce("least_of_class", "least")
+    named = texts.join(linked, "same", "left").select("same", first["doc_id"].alias("class_id"), first["hash"].alias("class_hash"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n_copies").cast("long").alias("n_copies"))
+    hot = texts.where(F.col("n_copies") >= _often(documents.count())).select("same")
+    return hot_join(documents, named, "same", ["node"], hot).drop("node", "same")
 
 
 def first_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` (doc_id, text, ...) with one row of each class: one of the smallest doc_id, all columns.
 
     Rows without a doc_id come last in a class. Rows are told apart by doc_id
-    and text (hashed); of rows that share both any one stays.
+    and text (hashed), so a row is never dropped for another that shares its
+    doc_id alone; of rows that share both any one stays. Texts without words
+    (null and empty ones too) are copies of each other; an empty table stays empty.
     """
     mark = lambda i, h: F.xxhash64(i, h)
+    name = "_mark" + max([c for c in docs.columns if c.startswith("_mark")], default="")  # no column of docs
     first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("hash") == F.col("class_hash"))
-    rows = _classes(docs, similarity).select(mark("doc_id", "hash").alias("_mark"), first.alias("_first"), "n_copies").where("not _first or n_copies > 1")
-    found = keep(rows.groupBy("_mark").agg(F.max("_first").alias("_first"), F.count("*").alias("_n")).where("not _first or _n > 1"), "repeated")
-    small = found.count() <= 4 * SMALL
-    joined = lambda marks, how: docs.join(F.broadcast(marks) if small else marks, mark(docs["doc_id"].cast("long"), F.xxhash64(docs["text"])) == marks["_mark"], how)
-    kept = joined(found.select("_mark"), "left_anti")
-    if found.where("_first").isEmpty():
+    rows = _classes(docs, similarity).select(mark("doc_id", "hash").alias(name), first.alias("first"), "n_copies").where("not first or n_copies > 1")
+    found = keep(rows.groupBy(name).agg(F.max("first").alias("first"), F.count("*").alias("n")).where("not first or n > 1"), "repeated")
+    own = mark(docs["doc_id"].cast("long"), F.xxhash64(docs["text"]))
+    may = sieve(found.select(F.col(name).alias("key")))
+    # most rows are no candidates for dropping and take no part in a join
+    kept = docs.where(~may(own)).union(docs.where(may(own)).join(found.select(name), own == found[name], "left_anti"))
+    again = found.where("first").select(name)
+    if again.isEmpty():
         return kept
     # rows that repeat a class's first row as a whole
-    again = joined(found.where("_first").select("_mark"), "inner").dropDuplicates(["_mark"]).drop("_mark")
-    return kept.union(again)
+    return kept.union(docs.where(may(own)).join(again, own == again[name]).dropDuplicates([name]).drop(name))
 
 
 def sql(similarity: float = SIMILARITY, words: int = WORDS) -> str:

@@ -8,9 +8,13 @@ from math import comb
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 import pytest
+from pyspark.sql import functions as F
 
 from tabulaire.llm import decontaminate, near
+from tabulaire.llm.common import sieve
 from tabulaire.llm.words import word_hashes
 from tests.llm.conftest import ODD, SCHEMA, rows_of
 
@@ -215,3 +219,77 @@ def test_near_duplicates_with_long_words_equal_sql(spark):
     got = near.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert sorted(map(tuple, got)) == sorted(expected)
     assert (0, 0, 0, 3) in expected
+
+
+def test_every_branch_of_the_join_equals_brute_force(spark, monkeypatch):
+    """Narrow ranges of keys, refined and cut components, nodes and keys dealt over tasks, and joins that are no broadcasts."""
+    for name, value in {"BLOCK": 3, "MOST": 4, "BLOCK_BYTES": 2000, "ENTRIES": 5, "_often": lambda total: 2}.items():
+        monkeypatch.setattr(near, name, value)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, -1)
+    try:
+        pairs = [(i, t) for i, t, _ in ODD] + list(enumerate(random_texts(60, 8), 100))
+        df = spark.createDataFrame(rows_of([(i, t, None) for i, t in pairs]), SCHEMA).repartition(3)
+        expected = brute_classes(pairs)
+        got = sorted(str(tuple(r)) for r in near.near_duplicates(df).collect())
+    finally:
+        spark.conf.set(key, before)
+    assert got == sorted(str((i, *expected[tuple(words(t))])) for i, t in pairs)
+
+
+def test_packed_keys_link_what_meets(monkeypatch):
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(near, "FLUSH", 300)
+    keys = rng.integers(0, 200, (90, 5)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    nodes = [int(n) for n in rng.permutation(90) * 2**35]
+    batches = []
+    for part in (range(0, 30), range(30, 90)):
+        bands = near._Bands()
+        for i in part:
+            bands.add(nodes[i], bytes([i]), keys[i])
+            bands.add(nodes[i] + 1, bytes([i]), keys[i])  # a copy is met once
+            if bands.n >= 100:
+                batches.append(bands.flush())
+        batches.append(bands.flush())
+    for parts in (1, 7):
+        rows = pa.Table.from_batches(batches)
+        packs = rows.filter(pa.compute.is_valid(rows["pack"])).select(["span", "n", "pack"])
+        if parts > 1:
+            packs = pa.Table.from_batches(list(near._split(parts)(iter(packs.to_batches()))))
+        met = pa.Table.from_batches(list(near._meet(iter(packs.sort_by("span").to_batches(max_chunksize=50)))))
+        links = list(zip(met["a"].to_pylist(), met["b"].to_pylist())) + [x for x in zip(rows["a"].to_pylist(), rows["b"].to_pylist()) if x[0] is not None]
+        label = {n: n for n in nodes}
+        for _ in nodes:
+            for a, b in links:
+                label[a] = label[b] = min(label[a], label[b])
+        expected = {n: n for n in nodes}
+        for _ in range(20):
+            for k in np.unique(keys):
+                own = [nodes[i] for i in np.flatnonzero((keys == k).any(1))]
+                low = min(expected[n] for n in own)
+                expected |= dict.fromkeys(own, low)
+        assert label == expected
+
+
+def test_sieve_lets_every_key_pass(spark):
+    keys = spark.range(0, 3000, 3).selectExpr("xxhash64(id) as key")
+    may = sieve(keys)
+    got = {r.id for r in spark.range(3000).where(may(F.xxhash64("id"))).collect()}
+    assert set(range(0, 3000, 3)) <= got and len(got) < 1300
+    assert spark.range(10).where(sieve(keys.limit(0))(F.xxhash64("id"))).count() == 0
+
+
+def test_longer_bands_keep_similar_texts_together():
+    rng, apart = random.Random(9), 0
+    for n in (40, 300):
+        for _ in range(60):
+            base = [rng.random().hex() for _ in range(n)]
+            copy = list(base)
+            copy[rng.randrange(n)] = "x"
+            sets = [near.shingles(word_hashes(" ".join(w).encode())) for w in (base, copy, [rng.choice([w, "y"]) for w in base])]
+            bands = [set(near.band_keys(near.signature(s, near._SECOND), near.LONG[1]).tolist()) for s in sets]
+            similar = len(np.intersect1d(*sets[:2])) >= 0.8 * len(np.union1d(*sets[:2]))
+            assert not similar or bands[0] & bands[1]
+            apart += not bands[0] & bands[2]
+    assert apart > 110
