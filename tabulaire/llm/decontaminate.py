@@ -18,7 +18,7 @@ import hashlib
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -139,9 +139,9 @@ class Shard:
     order: np.ndarray
 
     @classmethod
-    def of(cls, texts: list[str | None], tests: Tests) -> Shard:
+    def of(cls, found: list[list[bytes]], tests: Tests) -> Shard:
+        """Of documents given by their words."""
         number = tests.vocabulary.get
-        found = [WORD.findall(to_bytes(t).lower()) for t in texts]
         counts = np.array([len(w) for w in found], np.int64)
         starts = np.r_[0, np.cumsum(counts + 1)]
         words = np.zeros(starts[-1], np.int32)
@@ -149,15 +149,18 @@ class Shard:
             words[at : at + len(own)] = list(map(number, own, repeat(0)))
         return cls(words, starts[:-1], counts, suffix_array(words))
 
-    def matches(self, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Every occurrence of every test window: test suffix and place in ``words``; and each document's longest match: words, place, and test suffix.
+    def matches(self, tests: Tests) -> Matches:
+        """Every occurrence of every test window, and each document's longest match.
 
-        Of a document's longest matches the first is given, with the first test suffix that begins with it.
+        Windows of the same words have one interval of the array, whose places
+        are listed once, however many items hold them. Of a document's longest
+        matches the first is given, with the first test suffix that begins with it.
         """
-        suffixes, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        none = np.zeros(0, np.int64)
+        windows, places, of_window, items = [none], [none], [none], [none]
+        depths: list[int] = []  # words of each distinct window
         n = len(self.order)
         steps = np.zeros(n + 1, np.int64)  # up and down at the borders of each depth's intervals
-        none = np.zeros(0, np.int64)
         keys, owners = [none], [none]  # depth * n + low of the intervals that some test suffix leaves there, and its number
         before = none, none, none
 
@@ -180,9 +183,14 @@ class Shard:
             before = live, low, high
             whole = tests.lengths[live] == depth
             if whole.any():
-                a, m = low[whole], (high - low)[whole]
-                suffixes.append(np.repeat(live[whole], m))
+                a, first, which = np.unique(low[whole], return_index=True, return_inverse=True)
+                m = high[whole][first] - a
+                windows.append(np.repeat(np.arange(len(a)) + len(depths), m))
                 places.append(self.order[np.repeat(a - np.r_[0, np.cumsum(m)[:-1]], m) + np.arange(m.sum())])
+                pairs = np.unique(np.stack([which + len(depths), tests.item_of[live[whole]]], 1), axis=0)
+                of_window.append(pairs[:, 0])
+                items.append(pairs[:, 1])
+                depths += [depth] * len(a)
         left(depth, np.ones(len(before[0]), bool))
         longest = np.zeros(len(self.words), np.int64)
         longest[self.order] = np.cumsum(steps)[:-1]
@@ -197,7 +205,22 @@ class Shard:
         key = np.concatenate(keys)  # ascending: depth by depth, and each in order
         found = np.flatnonzero(top)
         owner[found] = np.concatenate(owners)[np.searchsorted(key, top[found] * n + rank[first[found]], "right") - 1]
-        return np.concatenate(suffixes), np.concatenate(places), top, first, owner
+        at, items = np.concatenate(of_window), np.concatenate(items)
+        cut = np.searchsorted(at, np.arange(len(depths) + 1))
+        return Matches(np.concatenate(windows), np.concatenate(places), np.array(depths, np.int64), [items[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], top, first, owner)
+
+
+@dataclass
+class Matches:
+    """Occurrences (window number and place in the shard's words), each window's words and items, and each document's longest match."""
+
+    windows: np.ndarray
+    places: np.ndarray
+    depths: np.ndarray
+    items: list[np.ndarray]
+    longest: np.ndarray  # words, by document
+    where: np.ndarray  # place
+    owner: np.ndarray  # test suffix
 
 
 def _digest(ids: set[str]) -> str:
@@ -206,28 +229,28 @@ def _digest(ids: set[str]) -> str:
 
 def examine(texts: list[str | None], blocks: list) -> tuple[list[np.ndarray], list[set[str]], list[tuple]]:
     """Per text: which of its words are hit, the items found, and its longest match as (words, item, start in the text)."""
-    hits: list[np.ndarray] = []
+    words = [WORD.findall(to_bytes(t).lower()) for t in texts]
+    hits = [np.zeros(len(w), bool) for w in words]
     items: list[set[str]] = [set() for _ in texts]
     best: list[tuple] = [(0, None, None)] * len(texts)
     for block in blocks:
         tests = block.value
-        shard = Shard.of(texts, tests)
-        hits = hits or [np.zeros(n, bool) for n in shard.counts]
-        suffixes, places, longest, where, owner = shard.matches(tests)
-        docs = np.searchsorted(shard.starts, places, "right") - 1
+        shard = Shard.of(words, tests)
+        found = shard.matches(tests)
+        docs = np.searchsorted(shard.starts, found.places, "right") - 1
         # spans of windows as steps up and down: their running sum is above 0 inside any
         steps = np.zeros(len(shard.words) + 1, np.int64)
-        np.add.at(steps, places, 1)
-        np.add.at(steps, places + tests.lengths[suffixes], -1)
+        np.add.at(steps, found.places, 1)
+        np.add.at(steps, found.places + found.depths[found.windows], -1)
         inside = np.cumsum(steps)[:-1] > 0
         for d in np.unique(docs):
             hits[d] |= inside[shard.starts[d] : shard.starts[d] + shard.counts[d]]
-        for d, i in np.unique(np.stack([docs, tests.item_of[suffixes]], 1), axis=0):
-            items[d].add(tests.items[i])
-        for d in np.flatnonzero(longest):
-            found = int(longest[d]), tests.items[tests.item_of[owner[d]]], int(where[d] - shard.starts[d])
-            if (-found[0], found[2], found[1]) < (-best[d][0], best[d][2] or 0, best[d][1] or ""):
-                best[d] = found
+        for d, w in np.unique(np.stack([docs, found.windows], 1), axis=0):
+            items[d].update(tests.items[i] for i in found.items[w])
+        for d in np.flatnonzero(found.longest):
+            own = int(found.longest[d]), tests.items[tests.item_of[found.owner[d]]], int(found.where[d] - shard.starts[d])
+            if (-own[0], own[2], own[1]) < (-best[d][0], best[d][2] or 0, best[d][1] or ""):
+                best[d] = own
         if len(blocks) > 1:
             block.unpersist_local()
     return hits, items, best
@@ -272,23 +295,23 @@ class Block:
 
     def unpersist_local(self) -> None:
         self._tests = None
+        if hasattr(self.shared, "_path") and hasattr(self.shared, "_value") and self.shared._path:
+            del self.shared._value  # it is read again from the worker's file
 
 
 def blocks_of(benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK) -> list[Block]:
     """The query set (item_id, text) as broadcasts of about ``block`` words each; the driver holds one block at a time.
 
-    Blocks are dealt by a hash of the item, their number by the characters there are.
+    Blocks are dealt by a hash of the item, their number by the characters there
+    are; after these are counted the table is read once, whatever their number.
     """
     spark = benchmark.sparkSession
     rows = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-chars // (5 * block)))
-    dealt = rows.withColumn("b", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
-    out = []
-    for b in range(n):
-        items = [(r.item_id, r.text) for r in dealt.where(F.col("b") == b).select("item_id", "text").collect()]
-        out.append(Block(tests_of(sorted(items), window), spark))
-    return out
+    b = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    dealt = rows.withColumn("b", b).repartition(n, "b").sortWithinPartitions("b")
+    return [Block(tests_of(sorted((r.item_id, r.text) for r in own), window), spark) for _, own in groupby(dealt.toLocalIterator(), lambda r: r.b)]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
@@ -319,15 +342,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 
 
 def sql(window: int = WINDOW) -> str:
+    """The same rows by joins of windows, and longest matches as runs along the diagonals of equal words."""
     words = lambda: "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     return f"""
-WITH i AS (SELECT CAST(item_id AS VARCHAR) AS item, {words()} AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+WITH i AS (SELECT CAST(item_id AS VARCHAR) AS item, row_number() OVER () AS b, {words()} AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
 s AS (SELECT item, w, least({window}, len(w)) AS n FROM i WHERE len(w) > 0),
 t AS (SELECT DISTINCT item, n, array_to_string(w[p:p + n - 1], ' ') AS g FROM s, unnest(range(1, len(w) - n + 2)) AS u(p)),
 d AS (SELECT doc_id, row_number() OVER () AS r, CASE WHEN text IS NULL THEN [] ELSE {words()} END AS w FROM documents),
 x AS (SELECT r, n, p, array_to_string(w[p:p + n - 1], ' ') AS g FROM d, (SELECT DISTINCT n FROM t), unnest(range(1, len(w) + 1)) AS u(p) WHERE p + n - 1 <= len(w)),
 m AS (SELECT x.r, x.p, x.n, t.item FROM x JOIN t ON x.n = t.n AND x.g = t.g),
 h AS (SELECT r, count(DISTINCT q) AS n_hit FROM m, unnest(range(p, p + n)) AS u(q) GROUP BY r),
-k AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN h USING (r) LEFT JOIN k USING (r)"""
+k AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r),
+e AS (SELECT r, item, b, p, p - q AS diagonal FROM (SELECT r, unnest(w) AS g, unnest(range(1, len(w) + 1)) AS p FROM d) JOIN (SELECT item, b, unnest(w) AS g, unnest(range(1, len(w) + 1)) AS q FROM i) USING (g)),
+f AS (SELECT r, item, min(p) AS p, count(*) AS n FROM (SELECT *, p - row_number() OVER (PARTITION BY r, b, diagonal ORDER BY p) AS run FROM e) GROUP BY r, item, b, diagonal, run),
+l AS (SELECT r, max(n) AS match_words, arg_min(item, (-n, p, item)) AS match_item, arg_min(p, (-n, p, item)) - 1 AS match_start FROM f GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(match_words, 0) AS match_words, match_item, match_start
+FROM d LEFT JOIN h USING (r) LEFT JOIN k USING (r) LEFT JOIN l USING (r)"""

@@ -84,6 +84,22 @@ def test_sql_equals_brute_force():
     con.register("benchmark", pd.DataFrame(BENCH, columns=["item_id", "text"]).astype({"item_id": "Int64"}))
     got = con.sql(decontaminate.sql()).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").fetchall()
     assert sorted(map(str, got)) == sorted(str((i, *brute(t, BENCH))) for i, t in docs)
+    found = con.sql(decontaminate.sql()).select("doc_id", "match_words", "match_item", "match_start").fetchall()
+    assert sorted(map(str, found)) == sorted(str((i, *brute_match(t, BENCH))) for i, t in docs)
+
+
+def test_equal_items_are_found_once_each(spark):
+    """A thousand items of the same text cost its places once, and one block or many give the same rows."""
+    text = " ".join(f"w{i}" for i in range(30))
+    bench = spark.createDataFrame([(k, text) for k in range(1000)] + [(5000, "w3 w4 w5")], "item_id long, text string").repartition(3)
+    docs = spark.createDataFrame([(i, ("a b " + text + " c ") * (i % 3)) for i in range(200)], "doc_id long, text string")
+    one, many = (sorted(map(str, decontaminate.contamination(docs, bench, block=b).collect())) for b in (1_000_000, 3000))
+    assert one == many
+    by = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
+    assert (by[1].n_hit, by[1].n_items, by[2].n_hit, by[3].n_items, by[2].match_words, by[2].match_item, by[2].match_start) == (30, 1001, 60, 0, 30, "0", 2)
+    tests = decontaminate.tests_of([(str(k), text) for k in range(1000)])
+    shard = decontaminate.Shard.of([[w.encode() for w in ("a b " + text).split()]] * 50, tests)
+    assert len(shard.matches(tests).places) == 21 * 50
 
 
 def test_suffix_array_and_search():
