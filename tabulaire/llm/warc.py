@@ -1,15 +1,19 @@
 """Operator 3: WARC archives with a two-level capture index.
 
-Writing: one gzip member per record, archives of up to ``ROLL`` bytes per task.
-Of records with equal payloads the smallest page_id is the response and the
-others are revisits of it; only digests and ids are shuffled to find that out,
-and digests that occur once take no part in the join that follows.
+Writing: payloads are staged first, each as a run of deflate blocks in a pack of
+the task that read it, and a row of a few words stays for each page. Of records
+with equal payloads the smallest page_id is the response and the others are
+revisits of it; that is found out on those rows alone, and digests that occur
+once take no part in the join. Records are then written pack by pack, one gzip
+member each, in archives of up to ``ROLL`` bytes: the staged blocks go between
+those of the headers as they are. So no payload is ever shuffled, however many
+digests repeat, and none is compressed twice.
 
 Index: every capture's key (reversed host, path, page) sorted over shards; each
 shard file holds compressed blocks of ``BLOCK`` lines and, at its end, a sparse
 directory with one entry a block. Reading: keys are binary-searched in the list
 of shards, in a shard's directory and in a block, and the record is a range
-read of its archive.
+read of its archive; a revisit's payload is that of the capture it names.
 
 Files are written under unique names, and only the names that a successful task
 returns are used, so a task that is run again does no harm.
@@ -33,7 +37,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_arrow, keep, only, salted_join, shared_path, small_batches
+from .common import bounded_arrow, forget, hot_join, keep, only, shared_path, sieve, small_batches
 
 ROLL = 1 << 30  #: bytes of an archive after which a task begins the next
 BLOCK = 1024  #: index lines in a compressed block
@@ -41,16 +45,22 @@ SHARDS = 4096  #: index shards at most: their first keys are what the readers ar
 OPEN = 32  #: archives, blocks and directories a reading task keeps
 DATE = "2024-01-01T00:00:00Z"
 URN = "urn:page:"
-SMALL = 200_000  #: repeated digests that are broadcast, at most (about 10 MB)
+SEEN = 200_000  #: digests a task remembers as staged; beyond, a repeated payload may be staged again
+PART = 128 << 20  #: bytes of staged payloads that a task makes records of, about
+CHECKED = 4096  #: responses that a reading task remembers as checked
 
 
 class Recent(OrderedDict):
-    """A cache of the ``OPEN`` things used last."""
+    """A cache of the ``most`` things used last."""
+
+    def __init__(self, most: int = OPEN):
+        super().__init__()
+        self.most = most
 
     def get_or(self, key, make):
         if key not in self:
             self[key] = make()
-            if len(self) > OPEN:
+            if len(self) > self.most:
                 self.popitem(last=False)
         self.move_to_end(key)
         return self[key]
@@ -62,7 +72,7 @@ def surt(url: str | None) -> str:
     if not sep:
         return quote(url or "", safe="/:?=&%")
     cut = min([i for i in map(rest.find, "/?#") if i >= 0], default=len(rest))
-    host, _, port = rest[:cut].lower().partition(":")
+    host, _, port = quote(rest[:cut].lower(), safe=":@[]%").partition(":")
     return ",".join(reversed(host.split("."))) + (f":{port}" if port else "") + ")" + quote(rest[cut:], safe="/:?=&%#")
 
 
@@ -74,19 +84,32 @@ def base32(hex_sha1: str) -> str:
     return base64.b32encode(bytes.fromhex(hex_sha1)).decode()
 
 
-def record(url: str | None, page_id: int | None, payload: bytes, digest: str, first: int | None) -> bytes:
-    """A WARC record: a response with its payload, or (``first``: the response's page) a revisit with the HTTP header alone."""
-    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    body = head if first is not None else head + payload
+def record_head(url: str | None, page_id: int | None, length: int, digest: str, first: int | None = None, first_key: str = "") -> bytes:
+    """All of a WARC record before its payload of ``length`` bytes: a response, or (``first``: the response's page, ``first_key``: its capture key) a revisit, which ends there."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode()
     named = "" if page_id is None else str(page_id)
     lines = ["WARC/1.0", f"WARC-Type: {'response' if first is None else 'revisit'}", f"WARC-Record-ID: <{URN}{named}>", f"WARC-Date: {DATE}"]
     if url is not None:
         lines.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~')}")
     lines.append(f"WARC-Payload-Digest: sha1:{digest}")
     if first is not None:
-        lines += [f"WARC-Refers-To: <{URN}{first}>", "WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"]
-    lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+        lines += [f"WARC-Refers-To: <{URN}{first}>", f"Refers-To-Capture: {first_key}", "WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"]
+    lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(http) + (length if first is None else 0)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + http
+
+
+def deflate(data: bytes, last: bool = False) -> bytes:
+    """Whole bytes of deflate blocks, which others may follow unless they are the ``last``."""
+    c = zlib.compressobj(4, zlib.DEFLATED, -15)
+    return c.compress(data) + c.flush(zlib.Z_FINISH if last else zlib.Z_FULL_FLUSH)
+
+
+def member(head: bytes, payload: bytes, blocks: bytes) -> bytes:
+    """The gzip member of a record, from its head and its payload, which ``blocks`` has deflated."""
+    end = b"\r\n\r\n"
+    crc = zlib.crc32(end, zlib.crc32(payload, zlib.crc32(head)))
+    size = (len(head) + len(payload) + len(end)) & 0xFFFFFFFF
+    return b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff" + deflate(head) + blocks + deflate(end, True) + struct.pack("<II", crc, size)
 
 
 def parse(member: bytes) -> tuple[dict[str, str], int, bytes]:
@@ -100,32 +123,71 @@ def parse(member: bytes) -> tuple[dict[str, str], int, bytes]:
     return fields, length, payload
 
 
-def _gzip(data: bytes) -> bytes:
-    c = zlib.compressobj(4, zlib.DEFLATED, 31)
-    return c.compress(data) + c.flush()
+class Rolling:
+    """Files of about ``ROLL`` bytes under unique names, one open at a time."""
+
+    def __init__(self, root: str, ending: str):
+        self.store, self.base = fs.FileSystem.from_uri(root)
+        self.ending, self.out, self.name, self.at = ending, None, "", 0
 
+    def write(self, data: bytes) -> tuple[str, int, int]:
+        """Where ``data`` now is: name, offset, length."""
+        if self.out is None or self.at > ROLL:
+            self.close()
+            self.name, self.at = f"{uuid.uuid4().hex}{self.ending}", 0
+            self.out = self.store.open_output_stream(f"{self.base}/{self.name}", compression=None)
+        self.out.write(data)
+        self.at += len(data)
+        return self.name, self.at - len(data), len(data)
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+
+
+_STAGED = pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("sha1", pa.string()), ("bytes", pa.int64()), ("pack", pa.string()), ("start", pa.int64()), ("size", pa.int64())])
+
+
+def _stage(root: str):
+    """Rows (page_id, url, payload, sha1) to where their payloads are staged."""
 
-def _write(root: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(root)
-        out, name, at = None, "", 0
+        packs, seen = Rolling(root, ".pack"), {}
         for batch in small_batches(batches, "payload"):
-            keys, names, offsets, lengths = [], [], [], []
-            columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "sha1", "refers_to")]
-            for page_id, url, payload, sha1, first in zip(*columns, strict=True):
-                if out is None or at > ROLL:
-                    if out is not None:
-                        out.close()
-                    name, at = f"{uuid.uuid4().hex}.warc.gz", 0
-                    out = store.open_output_stream(f"{base}/{name}", compression=None)
-                member = _gzip(record(url, page_id, payload, base32(sha1), first))
-                out.write(member)
-                for column, value in zip((keys, names, offsets, lengths), (capture_key(url, page_id), name, at, len(member)), strict=True):
-                    column.append(value)
-                at += len(member)
-            yield pa.record_batch([pa.array(keys, pa.string()), pa.array(names, pa.string()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], names=["key", "archive", "offset", "length"])
-        if out is not None:
-            out.close()
+            rows = []
+            for page_id, url, payload, sha1 in zip(*[batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "sha1")], strict=True):
+                place = seen.get(sha1) or packs.write(deflate(payload))
+                if len(seen) < SEEN:
+                    seen[sha1] = place
+                rows.append((capture_key(url, page_id), page_id, url, sha1, len(payload), *place))
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _STAGED, strict=True)], schema=_STAGED)
+        packs.close()
+
+    return run
+
+
+def _write(packs: str, root: str):
+    """Staged rows, in the order of their packs, to the places of their records."""
+    names = ("key", "page_id", "url", "sha1", "bytes", "pack", "start", "size", "refers_to", "refers_to_key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(packs)
+        archives, files = Rolling(root, ".warc.gz"), Recent()
+        for batch in batches:
+            places = []
+            for _, page_id, url, sha1, length, pack, start, size, first, first_key in zip(*[batch.column(c).to_pylist() for c in names], strict=True):
+                payload, blocks = b"", b""
+                if first is None:
+                    f = files.get_or(pack, lambda: store.open_input_file(f"{base}/{pack}"))  # noqa: B023
+                    f.seek(start)
+                    blocks = f.read(size)
+                    payload = zlib.decompressobj(-15).decompress(blocks)
+                    if hashlib.sha1(payload).hexdigest() != sha1:
+                        raise ValueError(f"damaged payload of page {page_id}")
+                places.append(archives.write(member(record_head(url, page_id, length, base32(sha1), first, first_key), payload, blocks)))
+            name, at, n = zip(*places, strict=True) if places else ((), (), ())
+            yield pa.record_batch([batch.column("key"), pa.array(name, pa.string()), pa.array(at, pa.int64()), pa.array(n, pa.int64())], names=["key", "archive", "offset", "length"])
+        archives.close()
 
     return run
 
@@ -207,19 +269,36 @@ def _page(urn: str | None) -> int | None:
     return int(number) if number else None
 
 
+def _checked(index: CaptureIndex, place: tuple[str, int, int]) -> tuple[dict[str, str], int, bytes]:
+    """The record at ``place``, its payload (if it is a response) held against length and digest."""
+    fields, length, payload = parse(index.fetch(*place))
+    if fields["WARC-Type"] == "response" and (len(payload) != length or f"sha1:{base32(hashlib.sha1(payload).hexdigest())}" != fields["WARC-Payload-Digest"]):
+        raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
+    return fields, length, payload
+
+
+def _original(index: CaptureIndex, fields: dict[str, str], length: int, with_payload: bool) -> tuple[int, bytes]:
+    """A checked length, and the payload, of the response that a revisit names."""
+    for place in index.lookup(fields["Refers-To-Capture"]):
+        found, n, payload = _checked(index, place)
+        if found["WARC-Type"] == "response" and (n, found["WARC-Payload-Digest"]) == (length, fields["WARC-Payload-Digest"]):
+            return n, payload if with_payload else b""
+    raise ValueError(f"revisit {fields['WARC-Record-ID']} without its response")
+
+
 def _read(root: str, shards: list[tuple[str, str]], with_payload: bool):
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())] + [("payload", pa.binary())] * with_payload)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = CaptureIndex(root, shards)
+        index, originals = CaptureIndex(root, shards), Recent(OPEN if with_payload else CHECKED)
         for batch in batches:
             rows, held = [], 0
             for key in batch.column("key").to_pylist():
                 for place in index.lookup(key):
-                    fields, length, payload = parse(index.fetch(*place))
+                    fields, length, payload = _checked(index, place)
                     kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if kind == "response" and (len(payload) != length or base32(hashlib.sha1(payload).hexdigest()) != digest):
-                        raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
+                    if kind == "revisit":
+                        length, payload = originals.get_or((fields["Refers-To-Capture"], digest), lambda: _original(index, fields, length, with_payload))  # noqa: B023
                     rows.append({"page_id": _page(fields["WARC-Record-ID"]), "payload_bytes": length, "payload_digest": digest, "record_type": kind, "refers_to": _page(fields.get("WARC-Refers-To"))} | ({"payload": payload} if with_payload else {}))
                     held += length * with_payload
                     if held > 4_000_000:
@@ -239,7 +318,7 @@ class Archives:
     shards: DataFrame
 
     def read(self, keys: DataFrame, with_payload: bool = False) -> DataFrame:
-        """The records of ``keys`` (key, from ``capture_key``), each distinct key looked up once."""
+        """The records of ``keys`` (key, from ``capture_key``), each distinct key looked up once; a revisit has the payload of its response."""
         listed = sorted((r.first_key, r.shard) for r in self.shards.select("first_key", "shard").collect())
         wanted = keys.select("key").distinct()
         dealt = wanted.repartitionByRange(16 * max(1, len(listed)), "key").sortWithinPartitions("key")
@@ -269,20 +348,30 @@ def write_archives(pages: DataFrame, root: str | None = None, least: int = 0, *,
     """
     spark = pages.sparkSession
     bounded_arrow(spark, 256)
-    root = root or shared_path(spark, "warc")
+    root, packs = root or shared_path(spark, "warc"), shared_path(spark, "staged")
+    for path in (root, packs):
+        store, base = fs.FileSystem.from_uri(path)
+        store.create_dir(base, recursive=True)
     rows = only(pages, page_id=page_id, url=url, html=html).select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary")).alias("payload"))
     rows = rows.withColumn("sha1", F.sha1("payload"))
-    large = rows.where(F.octet_length("payload") >= least)
-    firsts = large.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("sha1", "first")
-    firsts = keep(firsts, "payloads")
-    if firsts.count() <= SMALL:
-        rows = rows.join(F.broadcast(firsts), "sha1", "left")
-    else:
-        rows = salted_join(rows, firsts, ["sha1"], ["page_id", "url"])
-    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.octet_length("payload") >= least)
-    rows = rows.select("page_id", "url", "payload", "sha1", F.when(again, F.col("first")).alias("refers_to"))
-    fs.FileSystem.from_uri(root)[0].create_dir(fs.FileSystem.from_uri(root)[1], recursive=True)
-    captures = keep(rows.mapInArrow(_write(root), "key string, archive string, offset long, length long"), "captures")
+    staged = keep(rows.mapInArrow(_stage(packs), "key string, page_id long, url string, sha1 string, bytes long, pack string, start long, size long"), "staged-rows")
+    # the smallest page_id of each repeated digest, and that page's capture key; null ids come last
+    once = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "key"))).alias("least")
+    firsts = staged.where(F.col("bytes") >= least).groupBy("sha1").agg(once, F.count("*").alias("n")).where("n > 1 and least is not null")
+    firsts = keep(firsts.select("sha1", "n", F.col("least.page_id").alias("first"), F.col("least.key").alias("first_key")), "payloads")
+    may = sieve(firsts.select(F.xxhash64("sha1").alias("key")))(F.xxhash64("sha1"))
+    hot = firsts.where(F.col("n") >= max(10_000, staged.count() // 50_000 + 1)).select("sha1")
+    joined = hot_join(staged.where(may), firsts.drop("n"), "sha1", ["key"], hot, "left")
+    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.col("bytes") >= least)
+    joined = joined.withColumns({"refers_to": F.when(again, F.col("first")), "refers_to_key": F.when(again, F.col("first_key"))}).drop("first", "first_key")
+    alone = staged.where(~may).withColumns({"refers_to": F.lit(None).cast("long"), "refers_to_key": F.lit(None).cast("string")})
+    total = staged.agg(F.sum("size")).first()[0] or 0
+    dealt = alone.unionByName(joined).repartitionByRange(max(1, -(-total // PART), min(spark.sparkContext.defaultParallelism, total >> 20)), "pack", "start").sortWithinPartitions("pack", "start")
+    captures = keep(dealt.mapInArrow(_write(packs, root), "key string, archive string, offset long, length long"), "captures")
+    store, base = fs.FileSystem.from_uri(packs)
+    store.delete_dir(base)
+    forget(staged)
+    forget(firsts)
     n = min(SHARDS, max(1, captures.count() // (16 * BLOCK)))
     by_key = captures.repartitionByRange(n, "key").sortWithinPartitions("key", "archive", "offset")
     shards = keep(by_key.mapInArrow(_index(root, BLOCK), "shard string, first_key string, last_key string, blocks long, captures long"), "index")

@@ -70,11 +70,45 @@ def test_archives_round_trip(pages):
         first = min(i for i in firsts[data] if i is not None)
         assert r.payload_bytes == len(data) and r.payload_digest == base64.b32encode(hashlib.sha1(data).digest()).decode()
         assert (r.record_type, r.refers_to) == (("response", None) if r.page_id == first else ("revisit", first))
-        assert r.payload == (data if r.record_type == "response" else b"")
+        assert r.payload == data
     large = warc.write_archives(pages, least=2)
     assert {r.page_id for r in large.read(warc.keys_of(pages)).collect() if r.record_type == "revisit"} == set()
 
 
+def test_many_repeated_payloads(spark, monkeypatch):
+    """Most payloads repeat, one in a third of the rows; joins are none of broadcasts, packs and archives roll, tasks forget digests."""
+    rows = [(i, f"http://h{i % 9}.example.com/{i}", "hot" if i % 3 == 0 else f"p{i % 150}" * 40) for i in range(900)]
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    results = []
+    for least_hot, threshold in ((10_000, before), (1, -1)):
+        monkeypatch.setattr(warc, "max", lambda a, b, least_hot=least_hot: max(b, least_hot) if a == 10_000 else max(a, b), raising=False)
+        spark.conf.set(key, threshold)
+        try:
+            df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+            archives = warc.write_archives(df)
+            results.append(sorted(map(tuple, archives.read(warc.keys_of(df), with_payload=True).collect())))
+        finally:
+            spark.conf.set(key, before)
+    assert results[0] == results[1] and len(results[0]) == 900
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(rows, columns=["page_id", "url", "html"]))
+    expected = con.sql(warc.sql()).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").fetchall()
+    assert [r[:5] for r in results[0]] == sorted(expected) and [bytes(r[5]).decode() for r in results[0]] == [h for _, _, h in rows]
+
+
+def test_records_are_gzip_members(tmp_path):
+    import gzip
+
+    payload = "é".encode() * 5000
+    raw = gzip.decompress(warc.member(warc.record_head("http://a/b", 7, len(payload), "D"), payload, warc.deflate(payload)))
+    assert raw.endswith(b"\r\n\r\n" + payload + b"\r\n\r\n") and warc.parse(warc.member(warc.record_head(None, None, 0, "D", 3, "k 1"), b"", b""))[0]["Refers-To-Capture"] == "k 1"
+    monkey = warc.Rolling(f"file://{tmp_path}", ".x")
+    places = [monkey.write(b"ab"), monkey.write(b"c")]
+    monkey.close()
+    assert [p[1:] for p in places] == [(0, 2), (2, 1)] and (tmp_path / places[0][0]).read_bytes() == b"abc"
+
+
 def test_archive_rows_equal_sql(pages):
     rows = [p for p in PAGES if p[0] is not None]
     con = duckdb.connect()
