@@ -6,10 +6,9 @@ import os
 import tempfile
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -157,40 +156,53 @@ def hot_join(left: DataFrame, right: DataFrame, on: str, spread: list[str], hot:
 SIEVE_BITS = 1 << 27  #: of a sieve at most (16 MB); a full one lets all rows pass
 
 
-def sieve(keys: DataFrame) -> Callable[[Column], Column]:
-    """A test of 64-bit hashes that every key of ``keys`` (key, not null) passes, and few others: a broadcast Bloom filter.
+class Sieve:
+    """A test of 64-bit hashes: a Bloom filter that is broadcast, for columns (by call) and arrays (by ``passes``)."""
+
+    def __init__(self, shared, bits: int):
+        self.shared, self.bits, self._marks = shared, bits, None
+
+    def __getstate__(self):
+        return {"shared": self.shared, "bits": self.bits, "_marks": None}
+
+    def places(self, h: np.ndarray) -> Iterator[np.ndarray]:
+        h = h.astype(np.int64).view(np.uint64)
+        for by in (0, 21, 37):
+            yield ((h >> np.uint64(by)) & np.uint64(self.bits - 1)).astype(np.int64)
+
+    def passes(self, h: np.ndarray) -> np.ndarray:
+        if self._marks is None:
+            self._marks = np.frombuffer(zlib.decompress(self.shared.value), np.uint8)
+        ok = np.ones(len(h), bool)
+        for at in self.places(h):
+            ok &= (self._marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+        return ok
+
+    def __call__(self, h: Column) -> Column:
+        def test(x: pa.Array) -> pa.Array:
+            return pa.array(self.passes(x.to_numpy(zero_copy_only=False)), pa.bool_())
+
+        return F.arrow_udf(test, "boolean")(h)
+
+
+def sieve(keys: DataFrame) -> Sieve:
+    """A test that every key of ``keys`` (key, not null) passes, and few other hashes.
 
     Its size follows the number of keys and is bounded. It spares rows a join
     that goes on to decide, so it may let any row pass but never holds one back.
     """
     spark = keys.sparkSession
     bits = min(SIEVE_BITS, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
-
-    def places(h: np.ndarray) -> Iterator[np.ndarray]:
-        h = h.astype(np.int64).view(np.uint64)
-        for by in (0, 21, 37):
-            yield ((h >> np.uint64(by)) & np.uint64(bits - 1)).astype(np.int64)
+    places = Sieve(None, bits).places
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.zeros(bits, bool)
+        marks = np.zeros(bits // 8, np.uint8)
         for batch in batches:
             for at in places(batch.column("key").to_numpy(zero_copy_only=False)):
-                marks[at] = True
-        yield pa.record_batch([pa.array([zlib.compress(np.packbits(marks).tobytes(), 1)], pa.binary())], names=["marks"])
+                np.bitwise_or.at(marks, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+        yield pa.record_batch([pa.array([zlib.compress(marks.tobytes(), 1)], pa.binary())], names=["marks"])
 
     unpack = lambda b: np.frombuffer(zlib.decompress(b), np.uint8)
     parts = keys.select("key").mapInArrow(mark, "marks binary").rdd.map(lambda r: bytes(r[0]))
     empty = zlib.compress(bytes(bits // 8))
-    shared = spark.sparkContext.broadcast(parts.treeReduce(lambda a, b: zlib.compress((unpack(a) | unpack(b)).tobytes(), 1), depth=3) if parts.getNumPartitions() else empty)
-    held: list = []
-
-    @F.pandas_udf("boolean")
-    def passes(h: pd.Series) -> pd.Series:
-        if not held:
-            held.append(unpack(shared.value))
-        ok = np.ones(len(h), bool)
-        for at in places(h.to_numpy()):
-            ok &= (held[0][at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-        return pd.Series(ok)
-
-    return passes
+    return Sieve(spark.sparkContext.broadcast(parts.treeReduce(lambda a, b: zlib.compress((unpack(a) | unpack(b)).tobytes(), 1), depth=3) if parts.getNumPartitions() else empty), bits)

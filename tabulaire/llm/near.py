@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_arrow, forget, hot_join, keep, only, sieve, small_batches
+from .common import Sieve, bounded_arrow, forget, hot_join, keep, only, sieve, small_batches
 from .words import mix, to_bytes, word_hashes
 
 WORDS = 5
@@ -311,18 +311,25 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return found
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles of the candidates' texts, each text once a task; rows whose text is another's than the candidate's fall away."""
-    seen: set[int] = set()
-    for batch in small_batches(batches, "text"):
-        mask, sets = [], []
-        for text, same, node in zip(*[batch.column(c).to_pylist() for c in ("text", "same", "node")], strict=True):
-            words = word_hashes(to_bytes(text))
-            mask.append(node not in seen and identity(words) == same)
-            seen.add(node)
-            sets.append(shingles(words).tobytes() if mask[-1] else b"")
-        out = pa.record_batch([batch.column("node"), batch.column("component"), pa.array(sets, pa.binary())], names=["node", "component", "shingles"])
-        yield out.filter(pa.array(mask, pa.bool_()))
+def _members(may: Sieve):
+    """(doc_id, hash, same, shingles) of the texts whose ``key`` may be wanted, each row's once a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            passed = batch.filter(pa.array(may.passes(batch.column("key").to_numpy(zero_copy_only=False)), pa.bool_()))
+            for part in small_batches(iter([passed]), "text"):
+                rows = []
+                for doc_id, h, text in zip(*[part.column(c).to_pylist() for c in ("doc_id", "hash", "text")], strict=True):
+                    words = word_hashes(to_bytes(text))
+                    same = identity(words)
+                    if (doc_id, h, same) not in seen:
+                        seen.add((doc_id, h, same))
+                        rows.append((doc_id, h, same, shingles(words).tobytes()))
+                columns = zip(*rows, strict=True) if rows else ((),) * 4
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["doc_id", "hash", "same", "shingles"])
+
+    return run
 
 
 def similar_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
@@ -450,11 +457,12 @@ def _candidates(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     texts = keep(rows.join(parts, "node").groupBy("component", "same").agg(first).select("component", "same", "first.*"), "met")
     sizes = texts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
     wanted = keep(hot_join(texts, sizes, "component", ["node"], sizes.where(F.col("n") >= _often(texts.count())).select("component")).drop("n"), "candidates")
-    # only rows that may be wanted go into the join, so few texts are shuffled where it is no broadcast
+    # only texts that may be wanted are hashed again and go into the join, so little is shuffled where it is no broadcast
     may = sieve(wanted.select(F.xxhash64("wanted_id", "wanted_hash").alias("key")))
-    match = docs["doc_id"].eqNullSafe(wanted["wanted_id"]) & (docs["hash"] == wanted["wanted_hash"])
-    found = docs.where(may(F.xxhash64("doc_id", "hash"))).join(wanted, match)
-    sets = keep(found.select("node", "component", "same", "text").mapInArrow(_members, "node long, component long, shingles binary"), "shingles")
+    keyed = docs.select("doc_id", "hash", F.xxhash64("doc_id", "hash").alias("key"), "text")
+    found = keyed.mapInArrow(_members(may), "doc_id long, hash long, same binary, shingles binary")
+    match = found["doc_id"].eqNullSafe(wanted["wanted_id"]) & (found["hash"] == wanted["wanted_hash"]) & (found["same"] == wanted["same"])
+    sets = keep(found.join(wanted, match).select("node", "component", "shingles"), "shingles")
     sized = keep(_sized(sets), "components")
     for old in (parts, texts, wanted, sets):
         forget(old)
