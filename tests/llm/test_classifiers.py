@@ -77,13 +77,24 @@ def test_network_sees_all_that_matters():
 def test_neighbours_are_exact():
     rng = np.random.default_rng(1)
     texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"], 30)) for _ in range(60)]
+    texts += texts[:7]  # equal vectors of both labels
     model = quality.fit([(t, i % 2) for i, t in enumerate(texts)], rank=8)
-    got = model.score(texts[:5] + [None, ""])["score"]
-    vectors = model.vectorise(texts[:5])
-    for p, v in zip(got, vectors, strict=False):
-        near = sorted(range(60), key=lambda i: -(model.vectors[i] @ v))[: quality.NEIGHBOURS]
-        weight = [max(float(model.vectors[i] @ v), 1e-3) ** quality.SHARPNESS for i in near]
-        assert p == pytest.approx(np.dot(weight, model.labels[near]) / sum(weight), abs=1e-3)
+    asked = [*texts[:5], texts[3] + " gamma", "zzz"]
+    for p, v in zip(model.score(asked)["score"], model.vectorise(asked), strict=True):
+        near = [round(float(x @ v), quality.PLACES) for x in model.vectors.astype(float)]
+        last = sorted(near)[-quality.NEIGHBOURS]
+        free, ties = quality.NEIGHBOURS - sum(x > last for x in near), near.count(last)
+        weight = [max(x, 1e-3) ** quality.SHARPNESS * (1 if x > last else free / ties if x == last else 0) for x in near]
+        assert p == pytest.approx(np.dot(weight, model.labels) / sum(weight) if v.any() else 0.5, abs=2e-2)
+
+
+def test_order_of_labels_has_no_effect():
+    rng = np.random.default_rng(2)
+    sample = [(" ".join(rng.choice(["alpha", "beta", "gamma"], 3)), i % 3 and 1) for i in range(60)] * 2
+    texts = ["", None, "a", "alpha beta gamma", "beta beta beta", "0123456789"]
+    scores = [quality.fit([sample[i] for i in rng.permutation(len(sample))], 0.7).score(texts)["score"] for _ in range(3)]
+    assert scores[0][:3].tolist() == [0.7, 0.7, 0.7] and np.allclose(scores[0], scores[1], atol=1e-3) and np.allclose(scores[0], scores[2], atol=1e-3)
+    assert quality.initials("Ab  cD\n\tÉf | x".encode()) == b"ac\xc3|x" and quality.initials(b"") == quality.initials(b" \n") == b""
 
 
 def test_sample_is_bounded_and_stable(docs, labels):
