@@ -3,8 +3,7 @@
 Writing: payloads are staged first, each as a run of deflate blocks in a pack of
 the task that read it, and a row of a few words stays for each page. Of records
 with equal payloads the smallest page_id is the response and the others are
-revisits of it; that is found out on those rows alone, and digests that occur
-once take no part in the join. Records are then written pack by pack, one gzip
+revisits of it; that is found out on those rows alone. Records are then written pack by pack, one gzip
 member each, in archives of up to ``ROLL`` bytes: the staged blocks go between
 those of the headers as they are. So no payload is ever shuffled, however many
 digests repeat, and none is compressed twice.
@@ -37,7 +36,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_arrow, forget, hot_join, keep, only, shared_path, sieve, small_batches
+from .common import bounded_arrow, forget, hot_join, keep, only, shared_path, small_batches
 
 ROLL = 1 << 30  #: bytes of an archive after which a task begins the next
 BLOCK = 1024  #: index lines in a compressed block
@@ -359,15 +358,13 @@ def write_archives(pages: DataFrame, root: str | None = None, least: int = 0, *,
     once = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "key"))).alias("least")
     firsts = staged.where(F.col("bytes") >= least).groupBy("sha1").agg(once, F.count("*").alias("n")).where("n > 1 and least is not null")
     firsts = keep(firsts.select("sha1", "n", F.col("least.page_id").alias("first"), F.col("least.key").alias("first_key")), "payloads")
-    may = sieve(firsts.select(F.xxhash64("sha1").alias("key")))(F.xxhash64("sha1"))
-    hot = firsts.where(F.col("n") >= max(10_000, staged.count() // 50_000 + 1)).select("sha1")
-    joined = hot_join(staged.where(may), firsts.drop("n"), "sha1", ["key"], hot, "left")
+    n_rows, total = staged.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    hot = firsts.where(F.col("n") >= max(10_000, n_rows // 50_000 + 1)).select("sha1")
+    joined = hot_join(staged, firsts.drop("n"), "sha1", ["key"], hot, "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.col("bytes") >= least)
     joined = joined.withColumns({"refers_to": F.when(again, F.col("first")), "refers_to_key": F.when(again, F.col("first_key"))}).drop("first", "first_key")
-    alone = staged.where(~may).withColumns({"refers_to": F.lit(None).cast("long"), "refers_to_key": F.lit(None).cast("string")})
-    total = staged.agg(F.sum("size")).first()[0] or 0
-    dealt = alone.unionByName(joined).repartitionByRange(max(1, -(-total // PART), min(spark.sparkContext.defaultParallelism, total >> 20)), "pack", "start").sortWithinPartitions("pack", "start")
-    captures = keep(dealt.mapInArrow(_write(packs, root), "key string, archive string, offset long, length long"), "captures")
+    parts = max(1, -(-total // PART), min(spark.sparkContext.defaultParallelism, total >> 20))
+    captures = keep(joined.repartition(parts, "pack").sortWithinPartitions("pack", "start").mapInArrow(_write(packs, root), "key string, archive string, offset long, length long"), "captures")
     store, base = fs.FileSystem.from_uri(packs)
     store.delete_dir(base)
     forget(staged)
