@@ -1,10 +1,13 @@
 """Operator 9: toxicity, by a convolutional text classifier in numpy.
 
 A word's embedding is the sum of rows for its hash and the hashes of its
-prefixes, so that new forms of known words are recognised. Filters of several
-widths run over the whole text, each filter's maximum feeds a logistic output.
-Thresholds are calibrated for each language, as predicted from the text, on
-rows left out of training, and moved to 0.5 by a shift of the logit.
+prefixes, so that new forms of known words are recognised. Every word and prefix
+of a few training documents has a row; its first coordinate begins at how far
+the word's shares of the two labels differ, in standard errors, the others at
+random, and all are trained. Filters of several widths run over the whole text,
+each filter's maximum feeds a logistic output. Thresholds are calibrated for
+each language, as predicted from the text, on rows left out of training, and
+moved to 0.5 by a shift of the logit.
 """
 
 from __future__ import annotations
@@ -25,25 +28,30 @@ DIM, FILTERS = 12, 12
 _WHOLE = 1 << 20
 _CUTS = np.array([_WHOLE, *PREFIXES])
 _SALTS = np.array([0] + [1 << 32] * len(PREFIXES), np.uint64)
-LEAST_DOCS = 4  #: training documents that a word or prefix must be in to get an embedding,
-LEAST_Z = 4.0  #: and how many standard errors apart its shares of the two labels' documents must be
+LEAST_DOCS = 4  #: training documents that a word or prefix must be in to get an embedding
+ROWS = 60_000  #: embeddings at most (3 MB): of more words and prefixes the most frequent
+LONG = 4096  #: bytes from which a word is known by its prefixes only
 SAMPLE = 6000  #: labelled rows to learn from, at most
 SLOTS = 1 << 20
 FLAGGED = 0.002  #: share of clean rows that a threshold may flag
 
 
 def features(raw: bytes) -> np.ndarray:
-    """(words, 1 + prefixes) 64-bit hashes; 0 where a word is shorter than the prefix."""
-    out = []
+    """(words, 1 + prefixes) 64-bit hashes; 0 where a word is shorter than the prefix, and for the whole of a word of ``LONG`` bytes or more."""
+    out, inside = [], False  # whether the last part ended inside a word
     with np.errstate(over="ignore"):
         for part in _spans(np.frombuffer(raw, np.uint8)):
             low = _LOW[part]
             edge = np.flatnonzero(np.diff(np.r_[0, low != 0, 0].astype(np.int8)))
             starts, stops = edge[::2], edge[1::2]
+            if inside and len(starts) and not starts[0]:
+                starts, stops = starts[1:], stops[1:]
+            inside = bool(len(low)) and low[-1] != 0
             total = np.r_[np.uint64(0), np.cumsum(low * _POWER[: len(low)], dtype=np.uint64)]
             cut = np.minimum((stops - starts)[:, None], _CUTS)
             sums = (total[starts[:, None] + cut] - total[starts, None]) * _BACK[starts, None] + cut.astype(np.uint64) + _SALTS
-            out.append(np.where((cut == _CUTS) | (_CUTS == _WHOLE), mix(sums), np.uint64(0)))
+            known = np.where(_CUTS == _WHOLE, cut < LONG, cut == _CUTS)
+            out.append(np.where(known, mix(sums), np.uint64(0)))
     return np.concatenate(out)
 
 
@@ -73,9 +81,11 @@ def near(rows: np.ndarray) -> np.ndarray:
 class Network:
     """Embedding rows (row 0 stays zero), one filter bank a width, and a logistic output."""
 
-    def __init__(self, n: int, seed: int = 11):
+    def __init__(self, leaning: np.ndarray, seed: int = 11):
+        """``leaning`` has each row's difference between the labels, in standard errors."""
         rng = np.random.default_rng(seed)
-        self.e = rng.normal(0, 0.1, (n + 1, DIM)).astype(np.float32)
+        self.e = rng.normal(0, 0.02, (len(leaning) + 1, DIM)).astype(np.float32)
+        self.e[1:, 0] += 0.1 * np.clip(leaning, -8, 8)
         self.e[0] = 0
         self.w = [rng.normal(0, 0.3, (k, DIM, FILTERS)).astype(np.float32) for k in WIDTHS]
         self.b = [np.zeros(FILTERS, np.float32) for _ in WIDTHS]
@@ -83,18 +93,19 @@ class Network:
         self.bias = np.zeros(1, np.float32)
 
     def maps(self, x: np.ndarray):
-        """For word vectors ``x`` of a text followed by zeros: each width's filters at each word."""
-        pad = np.vstack([x, np.zeros((max(WIDTHS) - 1, DIM), np.float32)])
+        """Each width's filters at each word vector of ``x`` but the last ``max(WIDTHS) - 1``."""
+        n = len(x) - max(WIDTHS) + 1
         for k, w, b in zip(WIDTHS, self.w, self.b, strict=True):
-            y = pad[: len(x)] @ w[0]
+            y = x[:n] @ w[0]
             for j in range(1, k):
-                y += pad[j : j + len(x)] @ w[j]
+                y += x[j : j + n] @ w[j]
             yield y + b
 
     def embed(self, rows: np.ndarray) -> np.ndarray:
-        x = self.e[rows[:, 0]]
-        for j in range(1, rows.shape[1]):
-            x += self.e[rows[:, j]]
+        """The word vectors of ``rows`` and those of the blanks after them."""
+        x = np.zeros((len(rows) + max(WIDTHS) - 1, DIM), np.float32)
+        for j in range(rows.shape[1]):
+            x[: len(rows)] += self.e[rows[:, j]]
         return x
 
     def logit(self, rows: np.ndarray) -> float:
@@ -102,53 +113,55 @@ class Network:
         pooled = np.maximum(np.concatenate([y.max(0) for y in self.maps(self.embed(near(rows)))]), 0)
         return float(pooled @ self.out + self.bias[0])
 
+    def gradients(self, docs: list[np.ndarray], labels: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Of the mean logistic loss, for w, b, out and bias; and embedding rows (each once) with theirs.
+
+        The documents' words stand one after the other, with blanks between
+        that no filter sees beyond; only what a maximum came from gets a gradient.
+        """
+        gap = max(WIDTHS) - 1
+        blanks = np.zeros((gap, docs[0].shape[1]), docs[0].dtype)
+        rows = np.vstack([part for d in docs for part in (d, blanks)])
+        starts = np.cumsum([0] + [len(d) + gap for d in docs[:-1]])
+        x = self.embed(rows)
+        tops = np.empty((len(docs), len(WIDTHS), FILTERS), np.int64)
+        pooled = np.empty(tops.shape, np.float32)
+        for k, y in enumerate(self.maps(x)):
+            for i, (at, d) in enumerate(zip(starts, docs, strict=True)):
+                tops[i, k] = at + y[at : at + len(d)].argmax(0)
+            pooled[:, k] = y[tops[:, k], np.arange(FILTERS)]
+        flat = np.maximum(pooled, 0).reshape(len(docs), -1)
+        g = (1 / (1 + np.exp(-np.clip(flat @ self.out + self.bias[0], -30, 30))) - labels).astype(np.float32) / len(docs)
+        back = np.where(pooled > 0, (g[:, None] * self.out).reshape(pooled.shape), 0)
+        gw, where, grads = [np.zeros_like(w) for w in self.w], [], []
+        for k, width in enumerate(WIDTHS):
+            for j in range(width):
+                at = tops[:, k] + j
+                gw[k][j] = np.einsum("ife,if->ef", x[at], back[:, k])
+                r = np.vstack([rows, blanks])[at.ravel()]
+                where.append(r.ravel())
+                grads.append(np.repeat((self.w[k][j].T * back[:, k, :, None]).reshape(-1, DIM), r.shape[1], 0))
+        where, grads = np.concatenate(where), np.concatenate(grads)
+        some = (where > 0) & grads.any(1)
+        found, place = np.unique(where[some], return_inverse=True)
+        ge = np.stack([np.bincount(place, grads[some, e], len(found)) for e in range(DIM)], 1).astype(np.float32)
+        return [*gw, *(back[:, k].sum(0) for k in range(len(WIDTHS))), g @ flat, np.array([g.sum()], np.float32)], found, ge
+
     def train(self, docs: list[np.ndarray], labels: np.ndarray, epochs: int, rate: float = 0.05, batch: int = 32) -> None:
-        """Adagrad on the logistic loss; only what a maximum came from gets a gradient."""
+        """Adagrad, by batches in random order."""
         rng = np.random.default_rng(5)
-        sums = {id(a): np.full(a.shape, 1e-6, np.float32) for a in [self.e, *self.w, *self.b, self.out, self.bias]}
-
-        def step(a: np.ndarray, g: np.ndarray, at=slice(None)) -> None:
-            s = sums[id(a)]
-            s[at] += g * g
-            a[at] -= rate * g / np.sqrt(s[at])
-
+        weights = [*self.w, *self.b, self.out, self.bias]
+        sums, of_rows = [np.full(a.shape, 1e-6, np.float32) for a in weights], np.full(self.e.shape, 1e-6, np.float32)
         for _ in range(epochs):
             order = rng.permutation(len(docs))
             for at in range(0, len(order), batch):
-                gw, gb = [np.zeros_like(w) for w in self.w], [np.zeros_like(b) for b in self.b]
-                go, gbias, rows_of, grads = np.zeros_like(self.out), 0.0, [], []
                 chosen = order[at : at + batch]
-                for i in chosen:
-                    rows = docs[i]
-                    x = self.embed(rows)
-                    pad = np.vstack([x, np.zeros((max(WIDTHS) - 1, DIM), np.float32)])
-                    tops, values = [], []
-                    for y in self.maps(x):
-                        tops.append(y.argmax(0))
-                        values.append(y.max(0))
-                    pooled = np.maximum(np.concatenate(values), 0)
-                    g = 1 / (1 + np.exp(-np.clip(pooled @ self.out + self.bias[0], -30, 30))) - labels[i]
-                    go += g * pooled
-                    gbias += g
-                    back = np.where(pooled > 0, g * self.out, 0).reshape(len(WIDTHS), FILTERS)
-                    for k, (width, top) in enumerate(zip(WIDTHS, tops, strict=True)):
-                        gb[k] += back[k]
-                        for j in range(width):
-                            gw[k][j] += pad[top + j].T * back[k]
-                            inside = top + j < len(rows)
-                            d = (self.w[k][j] * back[k]).T[inside]
-                            r = rows[(top + j)[inside]]
-                            rows_of.append(r.ravel())
-                            grads.append(np.repeat(d, r.shape[1], 0))
-                r, d = np.concatenate(rows_of), np.concatenate(grads)
-                d, r = d[r > 0], r[r > 0]
-                if len(r):
-                    u, inverse = np.unique(r, return_inverse=True)
-                    total = np.zeros((len(u), DIM), np.float32)
-                    np.add.at(total, inverse, d)
-                    step(self.e, total / len(chosen), u)
-                for a, g in zip([*self.w, *self.b, self.out, self.bias], [*gw, *gb, go, np.array([gbias], np.float32)], strict=True):
-                    step(a, g / len(chosen))
+                given, found, ge = self.gradients([docs[i] for i in chosen], labels[chosen])
+                for a, s, g in zip(weights, sums, given, strict=True):
+                    s += g * g
+                    a -= rate * g / np.sqrt(s)
+                of_rows[found] += ge * ge
+                self.e[found] -= rate * ge / np.sqrt(of_rows[found])
 
 
 @dataclass
@@ -188,8 +201,8 @@ def _threshold(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(cuts[best[np.argmax(gaps[best])]])
 
 
-def _telling(texts: list[str], labels: np.ndarray) -> np.ndarray:
-    """Hashes whose presence goes with a label, by falling number of texts; counted some texts at a time."""
+def _frequent(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of at least ``LEAST_DOCS`` texts by falling number of texts, and how far their shares of the labels differ, in standard errors; counted some texts at a time."""
     known, n, toxic = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
     for at in range(0, len(texts), 100):
         seen = [np.unique(features(to_bytes(t))) for t in texts[at : at + 100]]
@@ -201,16 +214,17 @@ def _telling(texts: list[str], labels: np.ndarray) -> np.ndarray:
     both = [max(1, (labels == v).sum()) for v in (0, 1)]
     p = n / sum(both)
     z = (toxic / both[1] - (n - toxic) / both[0]) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / both[0] + 1 / both[1]))
-    keep = (n >= LEAST_DOCS) & (np.abs(z) >= LEAST_Z) & (known > 0)
-    return known[keep][np.argsort(-n[keep], kind="stable")]
+    often = np.flatnonzero((n >= LEAST_DOCS) & (known > 0))
+    often = often[np.argsort(-n[often], kind="stable")][:ROWS]
+    return known[often], z[often]
 
 
-def fit(sample: list[tuple[str, int]], languages: language.LanguageModel, epochs: int = 12) -> ToxicityModel:
+def fit(sample: list[tuple[str, int]], languages: language.LanguageModel, epochs: int = 8) -> ToxicityModel:
     """Trains on (text, 0 or 1) pairs; every fourth is left out of training and sets the thresholds."""
     texts, labels = [t for t, _ in sample], np.array([int(y) for _, y in sample])
     train = [i for i in range(len(sample)) if i % 4] or list(range(len(sample)))
-    vocabulary = Vocabulary(_telling([texts[i] for i in train], labels[train]) if train else np.zeros(0, np.uint64))
-    network = Network(len(vocabulary.hashes) - 1)
+    known, leaning = _frequent([texts[i] for i in train], labels[train]) if train else (np.zeros(0, np.uint64), np.zeros(0))
+    vocabulary, network = Vocabulary(known), Network(leaning)
     docs = [near(vocabulary.rows(features(to_bytes(t)))) for t in texts]
     if 0 < labels[train].sum() < len(train):
         network.train([docs[i] for i in train], labels[train].astype(np.float32), epochs)

@@ -71,6 +71,7 @@ def test_network_sees_all_that_matters():
     rows = model.vocabulary.rows(toxicity.features(b"one vile two " * 50 + b"three " * 100 + b"vile"))
     full = np.vstack([rows, np.zeros((3, rows.shape[1]), rows.dtype)])
     pooled = np.maximum(np.concatenate([y.max(0) for y in model.network.maps(model.network.embed(full))]), 0)
+    assert rows[:, 0].all(), "every word of some documents has an embedding"
     assert model.network.logit(rows) == pytest.approx(float(pooled @ model.network.out + model.network.bias[0]), abs=1e-4)
 
 
@@ -119,3 +120,70 @@ def test_sample_ends_at_its_cap_by_rank(spark):
     short = [t for t in whole if len(t[0]) <= 5000]
     n = next(n for n in range(len(short)) if sum(len(t) for t, _ in short[: n + 1]) > 5000)
     assert len(whole) == 61 and labelled_sample(docs, docs.select("doc_id", "value"), 100, "s", 5000) == short[:n]
+
+
+def naive_logit(network, rows):
+    """Word by word and filter by filter."""
+    words = [sum(network.e[r] for r in row) for row in rows] + [np.zeros(toxicity.DIM)] * 2
+    z = float(network.bias[0])
+    for k, (width, w, b) in enumerate(zip(toxicity.WIDTHS, network.w, network.b)):
+        for f in range(toxicity.FILTERS):
+            top = max(sum(float(words[at + j] @ w[j][:, f]) for j in range(width)) + b[f] for at in range(len(rows)))
+            z += max(top, 0.0) * float(network.out[k * toxicity.FILTERS + f])
+    return z
+
+
+def test_network_equals_a_naive_one():
+    """Forward word by word; backward by finite differences of the loss."""
+    rng = np.random.default_rng(3)
+    network = toxicity.Network(rng.normal(0, 3, 9))
+    for a in [network.e[1:], *network.w, *network.b, network.out, network.bias]:
+        a += rng.normal(0, 0.4, a.shape).astype(np.float32)
+    docs = [np.vstack([rng.integers(0, 10, (n, 7)), np.zeros((3, 7), int)]) for n in (0, 1, 2, 6, 11)]
+    labels = np.array([0, 1, 0, 1, 1], np.float32)
+    for d in docs:
+        assert network.logit(d) == pytest.approx(naive_logit(network, d), abs=1e-4)
+
+    def loss():
+        z = np.array([naive_logit(network, d) for d in docs])
+        return float(np.mean(np.log1p(np.exp(z)) - labels * z))
+
+    given, found, ge = network.gradients(docs, labels)
+    weights = [*network.w, *network.b, network.out, network.bias]
+    checks = [(a, at, g[at]) for a, g in zip(weights, given) for at in [tuple(rng.integers(0, n) for n in a.shape) for _ in range(4)]]
+    checks += [(network.e, (r, e), ge[i, e]) for i, r in enumerate(found) for e in (0, 5)]
+    for a, at, g in checks:
+        before = a[at]
+        a[at] = before + 1e-3
+        up = loss()
+        a[at] = before - 1e-3
+        down = loss()
+        a[at] = before
+        assert g == pytest.approx((up - down) / 2e-3, abs=2e-3)
+
+
+def test_toxicity_of_held_out_texts():
+    """Recall and precision at sf0.1: labels of texts whose toxic words were taken out cannot be found."""
+    import zlib
+
+    import duckdb
+
+    rows = duckdb.sql("select doc_id, text, lang, toxic from '/root/testdata/sf0.1/documents.parquet' join '/root/testdata/sf0.1/labels.parquet' using (doc_id)").fetchall()
+    held = [zlib.crc32(str(r[0]).encode()) % 5 == 0 for r in rows]
+    languages = language.fit([(r[1], r[2]) for r, h in zip(rows, held) if not h and r[2]][:1000])
+    model = toxicity.fit([(r[1], r[3]) for r, h in zip(rows, held) if not h], languages)
+    known = [r for r, h in zip(rows, held) if h]
+    found = model.score([r[1] for r in known])["predicted"]
+    truth = np.array([r[3] for r in known])
+    assert found[truth == 1].mean() > 0.75 and truth[found == 1].mean() > 0.93
+
+
+def test_features_of_long_words():
+    word = "".join(np.random.default_rng(0).choice(list("abcdeé"), 90_000))
+    seen = None
+    for before in ("", "a ", "-" * 65_534 + " ", "b c " * 20_000):
+        got = toxicity.features((before + word + " the end").encode())
+        assert len(got) == len(before.split()) - (before[:1] == "-") + 3
+        seen = got[-3:] if seen is None else seen
+        assert (got[-3:] == seen).all() and got[-3, 0] == 0 and got[-3, 1:].all()
+    assert (toxicity.features(b"") == np.zeros((0, 7))).all()
