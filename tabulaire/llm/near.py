@@ -48,6 +48,7 @@ MOST = 2048  #: of so many texts at most
 BLOCK_BYTES = 8_000_000  #: and so many bytes of shingles
 FLUSH = 1_000_000  #: band keys that a task gathers before it packs them (some 40 MB)
 RANGES = 256  #: ranges of keys that they are packed by (their first byte)
+SMALL = 200_000  #: candidate texts whose ids are broadcast, at most (some 15 MB); more are joined by a shuffle
 ENTRIES = 2_000_000  #: band keys of one range that a task holds; beyond, ranges are split
 
 def shingles(w: np.ndarray) -> np.ndarray:
@@ -177,24 +178,25 @@ def _unpack(pack: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.frombuffer(pack, np.int64, 1)[0] + away.astype(np.int64)
 
 
-_SKETCH = pa.schema([("node", pa.int64()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("same", pa.binary()), *_PACKED])
+_SKETCH = pa.schema([("node", pa.int64()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("same", pa.binary()), ("size", pa.int64()), *_PACKED])
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of documents (node, doc_id, hash, same) and, between them, of ``PACKED``; the others' columns are null."""
+    """Rows of documents (node, doc_id, hash, same, size: words) and, between them, of ``PACKED``; the others' columns are null."""
     from pyspark import TaskContext
 
     at, bands = TaskContext.get().partitionId() << 33, _Bands()
     wide = lambda b: pa.record_batch([b.column(f.name) if f.name in b.schema.names else pa.nulls(b.num_rows, f.type) for f in _SKETCH], schema=_SKETCH)
     for batch in small_batches(batches, "text"):
-        same = []
+        same, sizes = [], []
         for i, text in enumerate(batch.column("text").to_pylist()):
             words = word_hashes(to_bytes(text))
             same.append(identity(words))
+            sizes.append(len(words))
             if len(words) and same[-1] not in bands.seen:
                 bands.add(at + i, same[-1], band_keys(signature(shingles(words))))
         nodes = pa.array(np.arange(at, at + batch.num_rows))
-        yield wide(pa.record_batch([nodes, batch.column("doc_id"), batch.column("hash"), pa.array(same, pa.binary())], names=["node", "doc_id", "hash", "same"]))
+        yield wide(pa.record_batch([nodes, batch.column("doc_id"), batch.column("hash"), pa.array(same, pa.binary()), pa.array(sizes, pa.int64())], names=["node", "doc_id", "hash", "same", "size"]))
         at += batch.num_rows
         if bands.n >= FLUSH:
             yield wide(bands.flush())
@@ -438,46 +440,45 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, tolerance:
     return _classes(docs, similarity, tolerance, doc_id, text).select("doc_id", "class_id", "n_links", "n_copies")
 
 
-def _sized(members: DataFrame) -> DataFrame:
-    """``members`` (node, component, shingles) of components of several texts, with n (texts) and bytes of their component."""
-    sizes = members.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.octet_length("shingles")).alias("bytes")).where("n > 1")
-    return hot_join(members, sizes, "component", ["node"], sizes.where(F.col("n") >= _often(members.count())).select("component"))
+def _sized(nodes: DataFrame, name: str) -> DataFrame:
+    """``nodes`` (node, component, size, ...) of components of several, with n (nodes) and total (size) of their component; a written table."""
+    sizes = nodes.groupBy("component").agg(F.count("*").alias("n"), F.sum("size").alias("total")).where("n > 1")
+    return keep(hot_join(nodes, sizes, "component", ["node"], sizes.where(F.col("n") >= _often(nodes.count())).select("component")), name)
 
 
 def _candidates(docs: DataFrame, sketched: DataFrame) -> DataFrame:
-    """(node, component, shingles, n, bytes) of the texts that may have a similar one; a written table.
+    """(node, component, n, total, shingles) of the texts that may have a similar one; a written table.
 
     ``docs`` has doc_id, hash and text, ``sketched`` is what ``_sketch`` made of it.
     """
-    rows = sketched.where("same is not null").select("node", "doc_id", "hash", "same")
+    rows = sketched.where("same is not null").select("node", "doc_id", "hash", "same", "size")
     links = candidate_links(sketched.select("span", "n", "pack", "a", "b"), BANDS * rows.count())
     parts = components(links, "candidate-links")
     # texts, each by one of its rows; copies of one text need no comparison
-    first = F.min(F.struct("node", F.col("doc_id").alias("wanted_id"), F.col("hash").alias("wanted_hash"))).alias("first")
+    first = F.min(F.struct("node", F.col("doc_id").alias("wanted_id"), F.col("hash").alias("wanted_hash"), "size")).alias("first")
     texts = keep(rows.join(parts, "node").groupBy("component", "same").agg(first).select("component", "same", "first.*"), "met")
-    sizes = texts.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
-    wanted = keep(hot_join(texts, sizes, "component", ["node"], sizes.where(F.col("n") >= _often(texts.count())).select("component")).drop("n"), "candidates")
+    wanted = _sized(texts, "candidates")
     # only texts that may be wanted are hashed again and go into the join, so little is shuffled where it is no broadcast
     may = sieve(wanted.select(F.xxhash64("wanted_id", "wanted_hash").alias("key")))
     keyed = docs.select("doc_id", "hash", F.xxhash64("doc_id", "hash").alias("key"), "text")
     found = keyed.mapInArrow(_members(may), "doc_id long, hash long, same binary, shingles binary")
     match = found["doc_id"].eqNullSafe(wanted["wanted_id"]) & (found["hash"] == wanted["wanted_hash"]) & (found["same"] == wanted["same"])
-    sets = keep(found.join(wanted, match).select("node", "component", "shingles"), "shingles")
-    sized = keep(_sized(sets), "components")
-    for old in (parts, texts, wanted, sets):
+    ids = F.broadcast(wanted) if wanted.count() <= SMALL else wanted
+    sets = keep(found.join(ids, match).select("node", "component", "n", "total", "shingles"), "shingles")
+    for old in (parts, texts, wanted):
         forget(old)
-    return sized
+    return sets
 
 
-def _refined(sized: DataFrame) -> DataFrame:
-    """``sized`` with the components of more than a block parted by the longer bands."""
-    large = sized.where(F.col("n") > BLOCK).select("node", "component", "shingles")
+def _refined(sets: DataFrame) -> DataFrame:
+    """``sets`` with the components of more than a block parted by the longer bands."""
+    large = sets.where(F.col("n") > BLOCK)
     packed = keep(large.mapInArrow(_sketch_again, PACKED), "longer-bands")
     parts = components(candidate_links(packed, LONG[0] * large.count()), "longer-links")
-    found = keep(_sized(large.drop("component").join(parts, "node")), "refined")
+    sized = _sized(large.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).join(parts, "node"), "refined").drop("size")
     forget(packed)
     forget(parts)
-    return sized.where(F.col("n") <= BLOCK).unionByName(found)
+    return sets.where(F.col("n") <= BLOCK).unionByName(large.select("node", "shingles").join(sized, "node"))
 
 
 def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -488,9 +489,9 @@ def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, d
     spark = docs.sparkSession
     bounded_arrow(spark)
     rows = only(docs, doc_id=doc_id, text=text).withColumns({"doc_id": F.col("doc_id").cast("long"), "hash": F.xxhash64("text")})
-    sketched = keep(rows.mapInArrow(_sketch, f"node long, doc_id long, hash long, same binary, {PACKED}"), "sketches")
+    sketched = keep(rows.mapInArrow(_sketch, f"node long, doc_id long, hash long, same binary, size long, {PACKED}"), "sketches")
     placed = _refined(_candidates(rows, sketched))
-    n, size = F.col("n"), F.col("bytes")
+    n, size = F.col("n"), 8 * F.col("total")
     blocks = F.greatest(F.least(F.ceil(n / BLOCK), F.lit(16)), F.ceil(n / MOST), F.ceil(size / BLOCK_BYTES)).cast("int")
     placed = placed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "block", "shingles")
