@@ -72,19 +72,6 @@ def fold_of(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
-def steps(texts: list, most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` whose lengths sum to about ``most`` at the most (one text at least)."""
-    at = total = 0
-    for i, x in enumerate(texts):
-        n = len(x) if x is not None else 0
-        if i > at and total + n > most:
-            yield at, i
-            at, total = i, 0
-        total += n
-    if at < len(texts):
-        yield at, len(texts)
-
-
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of ``column``, without copying."""
     for batch in batches:
@@ -106,10 +93,6 @@ def bounded_arrow(spark: SparkSession, rows: int = 1024) -> None:
         spark.conf.set(key, rows)
 
 
-def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name] for f in schema], schema=schema)
-
-
 def tokenizer_path(name: str) -> str:
     """Where the installed public tokenizer files are; each operator takes the path as a parameter."""
     try:
@@ -119,26 +102,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], spread: list[str], how: str = "left", salts: int = 32) -> DataFrame:
-    """Joins on ``on`` with every key of ``left`` dealt over ``salts`` tasks by ``spread``.
-
-    ``right`` has one row a key and is repeated once a salt, so a key that
-    holds a third of ``left`` costs no task more than a share of it. The join
-    is a merge join: Spark judges a table by its files, before it is repeated,
-    and might broadcast what is many times too large for that.
-    """
-    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")
+def often(total: int) -> int:
+    """A key with so many of ``total`` rows is dealt over several tasks; no more than 50,000 keys can have them."""
+    return max(10_000, total // 50_000 + 1)
 
 
-def hot_keys(rows: DataFrame, on: str, total: int, least: int = 10_000, most: int = 50_000) -> DataFrame:
-    """Keys that so many of ``rows`` (of which there are ``total``) have that a task may not hold them; ``most`` keys at most.
-
-    Counting is partial before it is shuffled.
-    """
-    often = max(least, total // most + 1)
-    return rows.groupBy(on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= often).select(on)
+def hot_keys(rows: DataFrame, on: str, total: int) -> DataFrame:
+    """Keys that ``often`` of ``rows`` (of which there are ``total``) have. Counting is partial before it is shuffled."""
+    return rows.groupBy(on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= often(total)).select(on)
 
 
 def hot_join(left: DataFrame, right: DataFrame, on: str, spread: list[str], hot: DataFrame, how: str = "inner", salts: int = 64) -> DataFrame:

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Sieve, bounded_arrow, forget, hot_join, keep, only, sieve, small_batches
+from .common import Sieve, bounded_arrow, forget, hot_join, keep, often, only, sieve, small_batches
 from .words import mix, to_bytes, word_hashes
 
 WORDS = 5
@@ -280,11 +280,6 @@ def _is_forest_of_stars(edges: DataFrame) -> bool:
     return not nodes.agg(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0]
 
 
-def _often(total: int) -> int:
-    """A key with so many of ``total`` rows is dealt over several tasks; no more than 50,000 keys can have them."""
-    return max(10_000, total // 50_000 + 1)
-
-
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component): the smallest node connected to each node of ``edges`` (a, b), by large and small stars.
 
@@ -296,16 +291,16 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     while not _is_forest_of_stars(edges):
-        often = _often(2 * edges.count())
+        most = often(2 * edges.count())
         # large star: neighbours above a node join the least of its neighbourhood
         around = both(edges)
         least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
-        up = hot_join(around.where("b > a"), least.select("a", "m"), "a", ["b"], least.where(F.col("n") >= often).select("a"))
+        up = hot_join(around.where("b > a"), least.select("a", "m"), "a", ["b"], least.where(F.col("n") >= most).select("a"))
         up = keep(up.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"), name)
         forget(edges)
         # small star: a node and its neighbours below join the least of them
         least = up.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        joined = hot_join(up, least.select("a", "m"), "a", ["b"], least.where(F.col("n") >= often).select("a"))
+        joined = hot_join(up, least.select("a", "m"), "a", ["b"], least.where(F.col("n") >= most).select("a"))
         edges = keep(joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), name)
         forget(up)
     found = keep(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), name)
@@ -443,7 +438,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, tolerance:
 def _sized(nodes: DataFrame, name: str) -> DataFrame:
     """``nodes`` (node, component, size, ...) of components of several, with n (nodes) and total (size) of their component; a written table."""
     sizes = nodes.groupBy("component").agg(F.count("*").alias("n"), F.sum("size").alias("total")).where("n > 1")
-    return keep(hot_join(nodes, sizes, "component", ["node"], sizes.where(F.col("n") >= _often(nodes.count())).select("component")), name)
+    return keep(hot_join(nodes, sizes, "component", ["node"], sizes.where(F.col("n") >= often(nodes.count())).select("component")), name)
 
 
 def _candidates(docs: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -504,10 +499,10 @@ def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, d
     texts = keep(texts, "texts")
     linked = keep(documents.select("node", "same").join(counts, "node").join(classes, "node").join(texts.select("same", "least"), "same"), "linked")
     firsts = linked.groupBy("component").agg(F.min("least").alias("least_of_class"), F.count("*").alias("n"))
-    linked = hot_join(linked, firsts.drop("n"), "component", ["node"], firsts.where(F.col("n") >= _often(linked.count())).select("component")).select("same", "n_links", "least_of_class")
+    linked = hot_join(linked, firsts.drop("n"), "component", ["node"], firsts.where(F.col("n") >= often(linked.count())).select("component")).select("same", "n_links", "least_of_class")
     first = F.coalesce("least_of_class", "least")
     named = texts.join(linked, "same", "left").select("same", first["doc_id"].alias("class_id"), first["hash"].alias("class_hash"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n_copies").cast("long").alias("n_copies"))
-    hot = texts.where(F.col("n_copies") >= _often(documents.count())).select("same")
+    hot = texts.where(F.col("n_copies") >= often(documents.count())).select("same")
     return hot_join(documents, named, "same", ["node"], hot).drop("node", "same")
 
 

@@ -1,15 +1,17 @@
 """Operator 2: URL filters by empirical-Bayes host reputation.
 
-Labelled outcomes of pages (bad or not) are counted by host, registered domain
-and suffix. Each level's rate is a beta-binomial posterior whose prior is the
-level above: suffix to domain to host, with prior strengths estimated from the
-spread of the labelled rates themselves (method of moments). A host is blocked
-if the upper posterior bound of its bad rate passes a limit, so a host with few
-outcomes is judged by its domain and suffix. Fixed rules go before reputation.
-
-Everything is counted before it is shuffled; joins on levels, where one host or
-suffix may hold a third of the rows, are salted. Only three prior strengths and
-the overall rate come to the driver.
+Labelled outcomes of pages (bad or not) are counted by site (a host without
+port), registered domain and suffix. Each level's rate is a beta-binomial
+posterior whose prior is the level above: suffix to domain to site, with prior
+strengths estimated from the spread of the labelled rates themselves (method of
+moments), so where sites differ no more than by chance, none stands out. A site
+is blocked if the lower posterior bound of its bad rate passes a limit that
+follows the overall rate (``ODDS`` times its odds): it must be worse than others
+beyond doubt, be there 200 outcomes in all or millions. Fixed rules go before
+reputation.
+
+Everything is counted before it is shuffled; keys of very many rows are dealt
+over tasks. Only three prior strengths and the overall rate come to the driver.
 """
 
 from __future__ import annotations
@@ -19,14 +21,21 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import keep, only, salted_join
+from .common import hot_join, keep, often, only
 
 #: (host and path, verdict); a rule fits its host and all subdomains if the path starts with its path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 Z = 1.645  #: one-sided 95 % bound
-MOST_BAD = 0.35  #: hosts whose bound of the bad rate is above are blocked
+ODDS = 2.0  #: sites whose bound of the bad rate has more than so many times the overall odds are blocked
 STRENGTH = (1.0, 1000.0)  #: limits of a prior's strength, in outcomes
-
+#: Common public suffixes of several labels.
+MANY = (
+    "ac.jp", "ac.nz", "ac.uk", "ac.za", "co.id", "co.il", "co.in", "co.jp", "co.ke", "co.kr", "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.co",
+    "com.eg", "com.hk", "com.mx", "com.my", "com.ng", "com.pe", "com.ph", "com.pk", "com.pl", "com.sa", "com.sg", "com.tr", "com.tw", "com.ua", "com.vn", "edu.au", "edu.cn", "go.jp",
+    "gov.au", "gov.br", "gov.cn", "gov.in", "gov.uk", "ltd.uk", "me.uk", "ne.jp", "net.au", "net.br", "net.cn", "net.nz", "net.uk", "nhs.uk", "or.jp", "or.kr", "org.au", "org.br",
+    "org.cn", "org.nz", "org.uk", "org.za", "plc.uk", "police.uk", "sch.uk",
+)
+IP = "(ip)"  #: the suffix that all addresses share
 
 def host_of(url: Column) -> Column:
     rest = F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + 3, F.length(url)))
@@ -50,31 +59,44 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...]) -> t
     return rule, verdict
 
 
-def domain_of(host: Column, suffix: Column) -> Column:
-    """The registered domain: the suffix and one label more."""
-    ahead = F.substring(host, F.lit(1), F.length(host) - F.length(suffix) - 1)
-    return F.when(host == suffix, host).otherwise(F.concat_ws(".", F.regexp_extract(ahead, r"[^.]*$", 0), suffix))
+_PORT, _ADDRESS = r"(^.*@)|(:[0-9]*$)", r"^([0-9]{1,3}\.){3}[0-9]{1,3}$|^\["
+
+
+def _suffix_pattern(many: tuple[str, ...]) -> str:
+    """Leftmost of all matches, so the longest of ``many`` that fits, else the last label."""
+    return "(?:^|\\.)(" + "|".join(s.replace(".", "\\.") for s in sorted(many)) + ("|" if many else "") + "[^.]*)$"
+
+
+def site_of(host: Column) -> Column:
+    """The host that outcomes count for: without user, port and dots at the end."""
+    return F.regexp_replace(F.regexp_replace(host, _PORT, ""), r"\.+$", "")
 
 
-def suffix_of(host: Column, many: tuple[str, ...] = ()) -> Column:
-    """The last label, or the longest of ``many`` (suffixes of several labels, such as co.uk) that fits."""
-    out = F.regexp_extract(host, r"[^.]*$", 0)
-    for s in sorted(many, key=len):
-        out = F.when((host == s) | host.endswith("." + s), s).otherwise(out)
-    return out
+def suffix_of(site: Column, many: tuple[str, ...] = MANY) -> Column:
+    """The last label, or the longest of ``many`` (suffixes of several labels) that fits; addresses share one."""
+    return F.when(site.rlike(_ADDRESS), IP).otherwise(F.regexp_extract(site, _suffix_pattern(many), 1))
+
+
+def domain_of(site: Column, suffix: Column) -> Column:
+    """The registered domain: the suffix and one label more; an address is its own."""
+    ahead = F.substring(site, F.lit(1), F.length(site) - F.length(suffix) - 1)
+    return F.when((site == suffix) | (suffix == IP), site).otherwise(F.concat_ws(".", F.regexp_extract(ahead, r"[^.]*$", 0), suffix))
 
 
 @dataclass
 class Reputation:
-    """Counted outcomes by level and what the priors weigh; ``rate`` is the overall bad rate."""
+    """Counted outcomes by level and what the priors weigh; ``rate`` is the overall bad rate, ``limit`` the bound from which sites are blocked."""
 
-    hosts: DataFrame
+    sites: DataFrame
     domains: DataFrame
     suffixes: DataFrame
     rate: float
-    strengths: tuple[float, float, float]  # of a domain for its hosts, a suffix for its domains, all for suffixes
+    strengths: tuple[float, float, float]  # of a domain for its sites, a suffix for its domains, all for suffixes
     many: tuple[str, ...]
 
+    def limit(self, odds: float) -> float:
+        return odds * self.rate / (1 - self.rate + odds * self.rate)
+
 
 def _strength(children: DataFrame, n: str, k: str, of_n: str, of_k: str) -> float:
     """Strength of the beta prior that parents give children, by the method of moments.
@@ -91,55 +113,66 @@ def _strength(children: DataFrame, n: str, k: str, of_n: str, of_k: str) -> floa
     return min(max(binomial / total / between - 1, STRENGTH[0]), STRENGTH[1])
 
 
-def learn(outcomes: DataFrame, many: tuple[str, ...] = ()) -> Reputation:
+def _up(children: DataFrame, parents: DataFrame, on: str, spread: str, how: str = "left") -> DataFrame:
+    """``children`` with the counts of their parents (one row a key); parents of very many children are dealt over tasks."""
+    counts = children.groupBy(on).agg(F.count("*").alias("n"))
+    return hot_join(children, parents, on, [spread], counts.where(F.col("n") >= often(children.count())).select(on), how)
+
+
+def learn(outcomes: DataFrame, many: tuple[str, ...] = MANY) -> Reputation:
     """Counts labelled outcomes, rows of (host, bad): bad 0 or 1, null not counted."""
-    counted = outcomes.where("bad is not null").groupBy("host").agg(F.count("*").alias("n_h"), F.sum("bad").alias("k_h"))
-    suffix = suffix_of(F.col("host"), many)
-    hosts = keep(counted.select("host", domain_of(F.col("host"), suffix).alias("domain"), suffix.alias("suffix"), "n_h", "k_h"), "hosts")
-    domains = keep(hosts.groupBy("domain", "suffix").agg(F.sum("n_h").alias("n_d"), F.sum("k_h").alias("k_d")), "domains")
+    counted = outcomes.where("bad is not null").groupBy(site_of(F.col("host")).alias("site")).agg(F.count("*").alias("n_h"), F.sum("bad").alias("k_h"))
+    suffix = suffix_of(F.col("site"), many)
+    sites = keep(counted.select("site", domain_of(F.col("site"), suffix).alias("domain"), suffix.alias("suffix"), "n_h", "k_h"), "sites")
+    domains = keep(sites.groupBy("domain", "suffix").agg(F.sum("n_h").alias("n_d"), F.sum("k_h").alias("k_d")), "domains")
     suffixes = keep(domains.groupBy("suffix").agg(F.sum("n_d").alias("n_s"), F.sum("k_d").alias("k_s")), "suffixes")
     n, k = suffixes.agg(F.sum("n_s"), F.sum("k_s")).first()
     up = (
-        _strength(salted_join(hosts, domains.drop("suffix"), ["domain"], ["host"], "inner"), "n_h", "k_h", "n_d", "k_d"),
-        _strength(salted_join(domains, suffixes, ["suffix"], ["domain"], "inner"), "n_d", "k_d", "n_s", "k_s"),
+        _strength(_up(sites, domains.drop("suffix"), "domain", "site", "inner"), "n_h", "k_h", "n_d", "k_d"),
+        _strength(_up(domains, suffixes, "suffix", "domain", "inner"), "n_d", "k_d", "n_s", "k_s"),
         _strength(suffixes.withColumns({"n_all": F.lit(n or 0), "k_all": F.lit(k or 0)}), "n_s", "k_s", "n_all", "k_all"),
     )
-    return Reputation(hosts, domains, suffixes, (k / n) if n else 0.0, up, many)
+    return Reputation(sites, domains, suffixes, (k / n) if n else 0.0, up, many)
 
 
 def reputations(hosts: DataFrame, known: Reputation, z: float = Z) -> DataFrame:
-    """For distinct ``hosts`` (host): n_h, bad_rate (posterior mean) and bad_bound (upper posterior bound)."""
-    per_host, per_domain, per_suffix = map(F.lit, known.strengths)
-    suffix = suffix_of(F.col("host"), known.many)
-    rows = hosts.select("host", domain_of(F.col("host"), suffix).alias("domain"), suffix.alias("suffix"))
-    rows = rows.join(known.hosts.select("host", "n_h", "k_h"), "host", "left")
-    rows = salted_join(rows, known.domains.drop("suffix"), ["domain"], ["host"])
-    rows = salted_join(rows, known.suffixes, ["suffix"], ["host"])
+    """For distinct ``hosts`` (host): n_h, bad_rate (posterior mean) and bad_bound (lower posterior bound)."""
+    per_site, per_domain, per_suffix = map(F.lit, known.strengths)
+    site = site_of(F.col("host"))
+    suffix = suffix_of(F.col("site"), known.many)
+    rows = hosts.select("host", site.alias("site")).select("host", "site", domain_of(F.col("site"), suffix).alias("domain"), suffix.alias("suffix"))
+    rows = rows.join(known.sites.select("site", "n_h", "k_h"), "site", "left")
+    rows = _up(rows, known.domains.drop("suffix"), "domain", "host")
+    rows = _up(rows, known.suffixes, "suffix", "host")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     m_s = (zero("k_s") + per_suffix * F.lit(known.rate)) / (zero("n_s") + per_suffix)
     m_d = (zero("k_d") + per_domain * m_s) / (zero("n_d") + per_domain)
-    a, n = zero("k_h") + per_host * m_d, zero("n_h") + per_host
+    a, n = zero("k_h") + per_site * m_d, zero("n_h") + per_site
     rows = rows.select("host", zero("n_h").alias("n_h"), a.alias("a"), n.alias("n"))
     mean = F.col("a") / F.col("n")
-    return rows.select("host", "n_h", mean.alias("bad_rate"), (mean + z * F.sqrt(mean * (1 - mean) / (F.col("n") + 1))).alias("bad_bound"))
+    return rows.select("host", "n_h", mean.alias("bad_rate"), (mean - z * F.sqrt(mean * (1 - mean) / (F.col("n") + 1))).alias("bad_bound"))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, most_bad: float = MOST_BAD, z: float = Z, *, page_id: str = "page_id", url: str = "url", many: tuple[str, ...] = ()) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, odds: float = ODDS, z: float = Z, *, page_id: str = "page_id", url: str = "url", many: tuple[str, ...] = MANY) -> DataFrame:
     """Per row of ``pages``: page_id, host, path, rule, verdict (allow or block), bad_rate, bad_bound.
 
     ``outcomes`` has rows of (host, bad). Every row of ``pages`` is kept, also
     repeated ones. A null url or one without ``://`` has an empty host and
     path, and the overall rate decides on it unless outcomes of the empty host
-    are known. A null page_id stays null; without outcomes all hosts have a
-    bad rate of 0 before the rules; empty tables give empty results; other
+    are known. Ports, users and dots at the end make no other site of a host;
+    an address is its own domain. A bound that equals the limit is allowed. A
+    null page_id stays null; without outcomes all hosts have a bad rate of 0
+    and are allowed but for the rules; empty tables give empty results; other
     columns are ignored.
     """
     rows = only(pages, page_id=page_id, url=url).select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     known = learn(outcomes, many)
-    hosts = reputations(rows.select("host").distinct(), known, z)
-    rows = salted_join(rows, hosts, ["host"], ["page_id", "path"])
+    counts = keep(rows.groupBy("host").agg(F.count("*").alias("n")), "hosts")
+    hosts = reputations(counts.select("host"), known, z)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    rows = hot_join(rows, hosts, "host", ["page_id", "path"], counts.where(F.col("n") >= often(total)).select("host"), "left")
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
-    return rows.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(says, F.when(F.col("bad_bound") > most_bad, "block").otherwise("allow")).alias("verdict"), "bad_rate", "bad_bound")
+    return rows.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(says, F.when(F.col("bad_bound") > known.limit(odds), "block").otherwise("allow")).alias("verdict"), "bad_rate", "bad_bound")
 
 
 def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -170,15 +203,17 @@ def sql() -> str:
     return f"""
 WITH p AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*', 0), '{upper}', '{lower}'), '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
   FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages)),
-named AS (SELECT host, regexp_extract(host, '[^.]*$', 0) AS suffix, regexp_extract(host, '([^.]*\\.)?[^.]*$', 0) AS domain FROM (SELECT DISTINCT host FROM p)),
-h AS (SELECT host, domain, suffix, count(*) AS n_h, sum(bad) AS k_h FROM p JOIN named USING (host) JOIN (SELECT doc_id, CAST(quality = 0 OR toxic = 1 AS INT) AS bad FROM labels) l ON l.doc_id = p.page_id WHERE bad IS NOT NULL GROUP BY ALL),
+sited AS (SELECT host, regexp_replace(regexp_replace(host, '{_PORT}', '', 'g'), '\\.+$', '') AS site FROM (SELECT DISTINCT host FROM p)),
+parted AS (SELECT host, site, CASE WHEN regexp_matches(site, '{_ADDRESS}') THEN '{IP}' ELSE regexp_extract(site, '{_suffix_pattern(MANY)}', 1) END AS suffix FROM sited),
+named AS (SELECT host, site, suffix, CASE WHEN suffix = '{IP}' OR suffix = site THEN site ELSE regexp_extract(substr(site, 1, length(site) - length(suffix) - 1), '[^.]*$', 0) || '.' || suffix END AS domain FROM parted),
+h AS (SELECT site, domain, suffix, count(*) AS n_h, sum(bad) AS k_h FROM p JOIN named USING (host) JOIN (SELECT doc_id, CAST(quality = 0 OR toxic = 1 AS INT) AS bad FROM labels) l ON l.doc_id = p.page_id WHERE bad IS NOT NULL GROUP BY ALL),
 d AS (SELECT domain, suffix, sum(n_h) AS n_d, sum(k_h) AS k_d FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n_d) AS n_s, sum(k_d) AS k_s FROM d GROUP BY ALL),
-g AS (SELECT coalesce(sum(n_s), 0) AS n_g, coalesce(sum(k_s), 0) AS k_g FROM s),
+g AS (SELECT coalesce(sum(n_s), 0) AS n_g, coalesce(sum(k_s), 0) AS k_g, CASE WHEN coalesce(sum(n_s), 0) = 0 THEN 0 ELSE sum(k_s) * 1.0 / sum(n_s) END AS rate FROM s),
 s0 AS ({_strength_sql("h JOIN d USING (domain)", "n_h", "k_h", "n_d", "k_d")}),
 s1 AS ({_strength_sql("d JOIN s USING (suffix)", "n_d", "k_d", "n_s", "k_s")}),
 s2 AS ({_strength_sql("s, g", "n_s", "k_s", "n_g", "k_g")}),
-r AS (SELECT named.host, coalesce(k_h, 0) + s0.s * (coalesce(k_d, 0) + s1.s * (coalesce(k_s, 0) + s2.s * CASE WHEN n_g = 0 THEN 0 ELSE k_g * 1.0 / n_g END) / (coalesce(n_s, 0) + s2.s)) / (coalesce(n_d, 0) + s1.s) AS a, coalesce(n_h, 0) + s0.s AS n
-  FROM named LEFT JOIN h USING (host) LEFT JOIN d ON d.domain = named.domain LEFT JOIN s ON s.suffix = named.suffix, g, s0, s1, s2)
-SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN a / n + {Z} * sqrt(a / n * (1 - a / n) / (n + 1)) > {MOST_BAD} THEN 'block' ELSE 'allow' END) AS verdict
+r AS (SELECT named.host, rate, coalesce(k_h, 0) + s0.s * (coalesce(k_d, 0) + s1.s * (coalesce(k_s, 0) + s2.s * rate) / (coalesce(n_s, 0) + s2.s)) / (coalesce(n_d, 0) + s1.s) AS a, coalesce(n_h, 0) + s0.s AS n
+  FROM named LEFT JOIN h USING (site) LEFT JOIN d ON d.domain = named.domain LEFT JOIN s ON s.suffix = named.suffix, g, s0, s1, s2)
+SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN a / n - {Z} * sqrt(a / n * (1 - a / n) / (n + 1)) > {ODDS} * rate / (1 - rate + {ODDS} * rate) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p JOIN r USING (host)"""

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_arrow, forget, hot_join, keep, only, shared_path, small_batches
+from .common import bounded_arrow, forget, hot_join, keep, often, only, shared_path, small_batches
 
 ROLL = 1 << 30  #: bytes of an archive after which a task begins the next
 BLOCK = 1024  #: index lines in a compressed block
@@ -359,7 +359,7 @@ def write_archives(pages: DataFrame, root: str | None = None, least: int = 0, *,
     firsts = staged.where(F.col("bytes") >= least).groupBy("sha1").agg(once, F.count("*").alias("n")).where("n > 1 and least is not null")
     firsts = keep(firsts.select("sha1", "n", F.col("least.page_id").alias("first"), F.col("least.key").alias("first_key")), "payloads")
     n_rows, total = staged.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    hot = firsts.where(F.col("n") >= max(10_000, n_rows // 50_000 + 1)).select("sha1")
+    hot = firsts.where(F.col("n") >= often(n_rows)).select("sha1")
     joined = hot_join(staged, firsts.drop("n"), "sha1", ["key"], hot, "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.col("bytes") >= least)
     joined = joined.withColumns({"refers_to": F.when(again, F.col("first")), "refers_to_key": F.when(again, F.col("first_key"))}).drop("first", "first_key")

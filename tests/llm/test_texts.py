@@ -239,7 +239,7 @@ def test_near_duplicates_with_long_words_equal_sql(spark):
 
 def test_every_branch_of_the_join_equals_brute_force(spark, monkeypatch):
     """Narrow ranges of keys, refined and cut components, nodes and keys dealt over tasks, and joins that are no broadcasts."""
-    for name, value in {"BLOCK": 3, "MOST": 4, "BLOCK_BYTES": 2000, "ENTRIES": 5, "SMALL": 0, "_often": lambda total: 2}.items():
+    for name, value in {"BLOCK": 3, "MOST": 4, "BLOCK_BYTES": 2000, "ENTRIES": 5, "SMALL": 0, "often": lambda total: 2}.items():
         monkeypatch.setattr(near, name, value)
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)

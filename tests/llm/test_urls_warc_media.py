@@ -5,6 +5,7 @@ import zlib
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tabulaire.llm import media, urls, warc
 from tests.llm.conftest import ODD
@@ -40,14 +41,42 @@ def test_verdicts_equal_sql(pages, labels):
     assert (by[5].host, by[6].path, by[14].host) == ("", "", "ÄÖ.example.com")
 
 
-def test_shrinkage(spark, pages, labels):
+def test_shrinkage(spark):
     outcomes = spark.createDataFrame([("bad.a.com", 1)] * 40 + [("good.a.com", 0)] * 40 + [("few.a.com", 1)] + [(f"h{i}.b.com", i % 4 == 0 and 1 or 0) for i in range(40)], "host string, bad int")
-    hosts = spark.createDataFrame([(h,) for h in ("bad.a.com", "good.a.com", "few.a.com", "new.a.com", "new.b.com", "new.c.com", "new.c.org", "")], "host string")
+    hosts = spark.createDataFrame([(h,) for h in ("bad.a.com", "bad.a.com:80", "good.a.com", "few.a.com", "new.a.com", "new.b.com", "new.c.com", "new.c.org", "")], "host string")
     rate = {r.host: r for r in urls.reputations(hosts, urls.learn(outcomes)).collect()}
     assert rate["bad.a.com"].bad_rate > 0.9 > rate["few.a.com"].bad_rate > rate["new.a.com"].bad_rate > rate["good.a.com"].bad_rate
-    assert all(r.bad_rate <= r.bad_bound for r in rate.values()) and rate["good.a.com"].bad_bound < 0.2
-    many = urls.learn(spark.createDataFrame([("a.x.co.uk", 1)], "host string, bad int"), ("co.uk",)).hosts.first()
-    assert (many.domain, many.suffix) == ("x.co.uk", "co.uk")
+    assert all(r.bad_rate >= r.bad_bound for r in rate.values()) and rate["bad.a.com"].bad_bound > 0.8 and rate["bad.a.com:80"].bad_bound == rate["bad.a.com"].bad_bound
+
+
+@pytest.mark.parametrize(("total", "base", "hot"), [(200, 0.1, 10_000), (20_000, 0.1, 10_000), (20_000, 0.3, 5)])
+def test_planted_hosts(spark, monkeypatch, total, base, hot):
+    """Bad hosts and a bad domain are blocked, all others allowed, however many outcomes there are."""
+    import random
+
+    monkeypatch.setattr(urls, "often", lambda n: hot)
+    rng = random.Random(total)
+    names = [f"h{i}.d{i % 6}.{('com', 'org', 'co.uk')[i % 3]}" for i in range(12)]
+    rows = [(names[i % 12], int(rng.random() < base)) for i in range(int(total * 0.7))]
+    rows += [("bad.d0.com", int(rng.random() < 0.9)) for _ in range(int(total * 0.15))] + [(f"x{i % 5}.evil.org", int(rng.random() < 0.9)) for i in range(int(total * 0.15))]
+    asked = [*names, "bad.d0.com", "bad.d0.com.:443", "x1.evil.org", "new.evil.org", "new.d1.org", "never.seen.io", "10.0.0.1:80", ""]
+    pages = spark.createDataFrame([(i, f"https://{h}/p") for i, h in enumerate(asked)] + [(99, None)], "page_id long, url string")
+    got = {r.host: r.verdict for r in urls.judge(pages, spark.createDataFrame(rows, "host string, bad int"), ()).collect()}
+    unseen = got.pop("new.evil.org")  # its domain's outcomes speak for it once there are enough
+    assert unseen == "block" or total == 200
+    assert {h for h, v in got.items() if v == "block"} == {"bad.d0.com", "bad.d0.com.:443", "x1.evil.org"}
+
+
+def test_sites_domains_and_suffixes(spark):
+    hosts = ["a.b.co.uk", "co.uk", "b.co.uk:8080", "x.y.example.com.", "user:pw@a.com:80", "1.2.3.4:80", "1.2.3.4", "[::1]:80", "com", "", "notco.uk", "a..b", "localhost:1"]
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", urls.site_of(F.col("host")).alias("site"))
+    suffix = urls.suffix_of(F.col("site"))
+    got = {r.host: (r.site, r.domain, r.suffix) for r in rows.select("*", urls.domain_of(F.col("site"), suffix).alias("domain"), suffix.alias("suffix")).collect()}
+    assert got == {
+        "a.b.co.uk": ("a.b.co.uk", "b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk", "co.uk"), "b.co.uk:8080": ("b.co.uk", "b.co.uk", "co.uk"), "x.y.example.com.": ("x.y.example.com", "example.com", "com"),
+        "user:pw@a.com:80": ("a.com", "a.com", "com"), "1.2.3.4:80": ("1.2.3.4", "1.2.3.4", "(ip)"), "1.2.3.4": ("1.2.3.4", "1.2.3.4", "(ip)"), "[::1]:80": ("[::1]", "[::1]", "(ip)"),
+        "com": ("com", "com", "com"), "": ("", "", ""), "notco.uk": ("notco.uk", "notco.uk", "uk"), "a..b": ("a..b", ".b", "b"), "localhost:1": ("localhost", "localhost", "localhost"),
+    }
 
 
 def test_empty_tables(pages, labels):
@@ -82,7 +111,7 @@ def test_many_repeated_payloads(spark, monkeypatch):
     before = spark.conf.get(key)
     results = []
     for least_hot, threshold in ((10_000, before), (1, -1)):
-        monkeypatch.setattr(warc, "max", lambda a, b, least_hot=least_hot: max(b, least_hot) if a == 10_000 else max(a, b), raising=False)
+        monkeypatch.setattr(warc, "often", lambda total, least_hot=least_hot: least_hot)
         spark.conf.set(key, threshold)
         try:
             df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
