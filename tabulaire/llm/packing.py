@@ -10,19 +10,21 @@ sequence partly empty, so groups cost next to nothing against one global run.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import bounded_arrow, keep, only, small_batches, tokenizer_path
-from .pretokens import BYTE_LEVEL_SPLIT, Cache, is_plain
-from .tokens import tokenizer
+from .pretokens import BYTE_LEVEL_SPLIT, Cache
+from .tokens import splitter
 
 GROUP = 65_536  #: pieces that one task packs, on average
-CACHED = 100_000  #: pre-tokens a worker's cache keeps
+CACHED = 24_000_000  #: bytes of a worker's cache at most
 
 _caches: dict = {}
 
@@ -81,33 +83,41 @@ def _alphabet() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def merged_in_order(path: str) -> bool:
+    """Whether ids are the bytes and then the merges in their order, each token from one merge: ids alone then say how to merge."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    made = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    return sorted(i for w, i in model["vocab"].items() if len(w) > 1) == made and all(a < b for a, b in pairwise(made)) and max(i for w, i in model["vocab"].items() if len(w) == 1) < made[0]
+
+
 def piece_encoder(path: str):
-    """Pre-token to little-endian uint32 ids. The same merges from the same file, by a faster library if it is there and agrees."""
-    t, special = tokenizer(path)
+    """Pre-token to little-endian uint32 ids. The same merges from the same file, by a faster library if it is there and they are in order."""
+    t = splitter(path, BYTE_LEVEL_SPLIT, False).tokenizer
     slow = lambda w: np.array(t.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
     try:
         import tiktoken
 
-        to = _alphabet()
+        if not merged_in_order(path):
+            return slow
+        to, special = _alphabet(), set(splitter(path).specials)
         ranks = {bytes(to[c] for c in w): i for w, i in t.get_vocab(with_added_tokens=False).items() if w not in special}
         encoding = tiktoken.Encoding("merges", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
     except (ImportError, KeyError):
         return slow
-    fast = lambda w: np.array(encoding.encode_ordinary(w), "<u4").tobytes()
-    probe = [" the", "\n\n", " unlikely", "Straße", " ñandú", "1984", "***", "  "]
-    return fast if all(fast(w) == slow(w) for w in probe) else slow
+    return lambda w: np.array(encoding.encode_ordinary(w), "<u4").tobytes()
 
 
 def encode(text: str | None, path: str) -> bytes:
-    """The library's ids of a whole text, as little-endian uint32."""
-    if not text:
-        return b""
-    t, special = tokenizer(path)
-    if not is_plain(text, special):
-        return np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    """The library's ids of a whole text, as little-endian uint32; texts are split and encoded part by part."""
+    s = splitter(path, BYTE_LEVEL_SPLIT, False)
     if path not in _caches:
-        _caches[path] = Cache(piece_encoder(path), CACHED)
-    return b"".join(map(_caches[path].__getitem__, BYTE_LEVEL_SPLIT.findall(text)))
+        model = s.tokenizer.model
+        _caches[path] = Cache(piece_encoder(path), lambda w: np.array([x.id for x in model.tokenize(w)], "<u4").tobytes(), CACHED)
+    cache, out = _caches[path], bytearray()
+    for special, pieces, own in s.split(text or ""):
+        out += np.array([special], "<u4").tobytes() if special is not None else b"".join(cache.all_of(pieces, own))
+    return bytes(out)
 
 
 def _cut(path: str, capacity: int, end_id: int, with_ids: bool):

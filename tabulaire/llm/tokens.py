@@ -3,8 +3,8 @@
 Tier one is a broadcast table of the corpus's frequent pre-tokens and their
 lengths in tokens; tier two is a cache in each Python worker that encodes what
 tier one lacks with the tokenizer library. Both tiers only remember what the
-library says, so counts are the library's whatever they hold. No pre-token is
-ever shuffled: the frequent table is merged from one bounded summary (heavy
+library says, so counts are the library's whatever they hold; texts in any script
+go through them. No pre-token is ever shuffled: the frequent table is merged from one bounded summary (heavy
 hitters with an error bound) per partition, over all documents.
 """
 
@@ -19,25 +19,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import bounded_arrow, only, small_batches, tokenizer_path
-from .pretokens import WORD_END_SPLIT, Cache, is_plain, specials
+from .pretokens import WORD_END_SPLIT, Cache, Splitter
 
 SUMMARY = 4096  #: counters a partition's summary keeps
 FREQUENT = 16_384  #: entries of the broadcast table at most (about 0.3 MB)
-CACHED = 500_000  #: entries of a worker's cache at most
+CACHED = 64_000_000  #: bytes of a worker's cache at most
 
-_tokenizers: dict = {}
+_splitters: dict = {}
 _caches: dict = {}
 
 
-def tokenizer(path: str):
-    if path not in _tokenizers:
+def splitter(path: str, pattern=WORD_END_SPLIT, lower: bool = True) -> Splitter:
+    """The splitter of the tokenizer at ``path``, one a process."""
+    if path not in _splitters:
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        _tokenizers[path] = t, specials(t)
-    return _tokenizers[path]
+        _splitters[path] = Splitter(t, pattern, lower)
+    return _splitters[path]
 
 
 def _trim(counts: Counter, most: int) -> Counter:
@@ -50,14 +51,14 @@ def _trim(counts: Counter, most: int) -> Counter:
 
 def _summarise(path: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, special = tokenizer(path)
+        split = splitter(path).split
         counts: Counter = Counter()
         for batch in small_batches(batches, "text"):
             for text in batch.column("text").to_pylist():
-                if text and is_plain(text, special):
-                    counts.update(WORD_END_SPLIT.findall(text.lower()))
-            if len(counts) > 16 * most:
-                counts = _trim(counts, most)
+                for _, pieces, _ in split(text or ""):
+                    counts.update(pieces)
+                    if len(counts) > 16 * most:
+                        counts = _trim(counts, most)
         packed = zlib.compress(json.dumps(_trim(counts, most)).encode())
         yield pa.record_batch([pa.array([packed], pa.binary())], names=["summary"])
 
@@ -70,7 +71,7 @@ def frequent_lengths(docs: DataFrame, path: str, summary: int = SUMMARY, most: i
     unpack = lambda b: Counter(json.loads(zlib.decompress(b)))
     pack = lambda c: zlib.compress(json.dumps(c).encode())
     merged = rows.map(lambda r: bytes(r[0])).treeReduce(lambda a, b: pack(_trim(unpack(a) + unpack(b), most)), depth=3)
-    t, _ = tokenizer(path)
+    t = splitter(path).tokenizer
     words = [w for w, _ in unpack(merged).most_common(most)]
     lengths = [len(e.ids) for e in t.encode_batch(words, add_special_tokens=False)]
     return zlib.compress(json.dumps([words, lengths]).encode())
@@ -80,21 +81,15 @@ def _count(path: str, frequent, limit: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, special = tokenizer(path)
+        s = splitter(path)
+        t = s.tokenizer
         if path not in _caches or _caches[path][0] != frequent.value:
             # a worker that serves another broadcast starts anew, so its memory stays bounded
             words, lengths = json.loads(zlib.decompress(frequent.value))
-            _caches[path] = frequent.value, Cache(lambda w: len(t.encode(w, add_special_tokens=False).ids), len(words) + CACHED, zip(words, lengths))
-        length = _caches[path][1].__getitem__
+            _caches[path] = frequent.value, Cache(lambda w: len(t.encode(w, add_special_tokens=False).ids), lambda w: len(t.model.tokenize(w)), CACHED, zip(words, lengths))
+        cache = _caches[path][1]
         for batch in small_batches(batches, "text"):
-            counts = []
-            for text in batch.column("text").to_pylist():
-                if not text:
-                    counts.append(0)
-                elif is_plain(text, special):
-                    counts.append(sum(map(length, WORD_END_SPLIT.findall(text.lower()))))
-                else:
-                    counts.append(len(t.encode(text, add_special_tokens=False).ids))
+            counts = [sum(1 if special is not None else sum(cache.all_of(pieces, own)) for special, pieces, own in s.split(text or "")) for text in batch.column("text").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())], schema=schema)
 
     return run
@@ -106,7 +101,8 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 2048, *,
     Every row is kept, repeated ones too. A null or empty text has 0 bytes and
     0 tokens; a null doc_id stays null; an empty table gives an empty result;
     other columns of ``docs``, whatever their names, are ignored. Special
-    strings in texts count as the library counts them by default.
+    strings in texts count as the library counts them by default. Very long
+    texts are split and counted part by part.
     """
     spark = docs.sparkSession
     path = path or tokenizer_path("word_bpe_49k.json")

@@ -1,17 +1,21 @@
+import json
 import zlib
 from collections import defaultdict
+from unittest import mock
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from tabulaire.llm.common import tokenizer_path
-from tabulaire.llm.packing import CapacityTree, best_fit_decreasing, encode, pack_documents
-from tabulaire.llm.pretokens import BYTE_LEVEL_SPLIT, WORD_END_SPLIT, is_plain
-from tabulaire.llm.tokens import token_counts
+from tabulaire.llm import pretokens
+from tabulaire.llm.packing import CapacityTree, best_fit_decreasing, encode, merged_in_order, pack_documents
+from tabulaire.llm.pretokens import BYTE_LEVEL_SPLIT
+from tabulaire.llm.tokens import splitter, token_counts
 from tests.llm.conftest import ODD
 
-WORD, BYTE = (Tokenizer.from_file(tokenizer_path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+WORD_PATH, BYTE_PATH = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.json")
+WORD, BYTE = Tokenizer.from_file(WORD_PATH), Tokenizer.from_file(BYTE_PATH)
 ids_of = lambda t, text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -22,13 +26,49 @@ def test_counts_are_the_librarys(odd, none):
     assert token_counts(none).collect() == []
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(st.one_of(st.characters(max_codepoint=0x250), st.sampled_from(" '\n\tsredvmlltaeA1,.-")), max_size=30))
-def test_plain_texts_split_as_the_library_does(text):
-    if is_plain(text, ("<|endoftext|>",)):
-        assert [i for w in WORD_END_SPLIT.findall(text.lower()) for i in ids_of(WORD, w)] == ids_of(WORD, text)
-        assert [i for w in BYTE_LEVEL_SPLIT.findall(text) for i in ids_of(BYTE, w)] == ids_of(BYTE, text)
-    assert np.frombuffer(encode(text, tokenizer_path("byte_bpe_50k.json")), "<u4").tolist() == ids_of(BYTE, text)
+ANY = st.one_of(
+    st.characters(max_codepoint=0x250),
+    st.sampled_from(" '\n\tsredvmlltaeA1,.-’“”—…€"),
+    st.characters(codec="utf-8"),
+    st.sampled_from("Σςİßǅﬁ①Ⅷ½٣字。漢、かカ한글，\u0301\u0307\u200b\u2028\u3000\u00a0\ufeffаяЖ🎉👩\u200d🚀"),
+    st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", " the ", "it's ", "I’ll"]),
+)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(ANY, max_size=30).map("".join), st.integers(1, 12))
+def test_texts_split_as_the_library_does(text, most):
+    """In any script, with special strings, and cut into parts of a few characters."""
+    with mock.patch.object(pretokens, "PART", most), mock.patch.object(pretokens.parts, "__defaults__", (most,)):
+        for t, s in ((WORD, splitter(WORD_PATH)), (BYTE, splitter(BYTE_PATH, BYTE_LEVEL_SPLIT, False))):
+            got = []
+            for special, pieces, own in s.split(text):
+                got += [special] if special is not None else [i for w in pieces for i in ids_of(t, w)] if own is None else [x.id for w in own for x in t.model.tokenize(w)]
+            assert got == ids_of(t, text)
+        assert np.frombuffer(encode(text, BYTE_PATH), "<u4").tolist() == ids_of(BYTE, text)
+
+
+def test_long_texts_are_split_in_parts():
+    text = ("It’s fine — yes, “really”. Привет, мир! 東京は、大きい。 " * 9000)[:400_000] + "x" * 150_000 + " <|endoftext|> end"
+    sizes = [len(p) for p in pretokens.parts(text)]
+    assert sum(sizes) == len(text) and max(sizes) < 300_000 and len(sizes) >= 4
+    for t, path, pattern in ((WORD, WORD_PATH, None), (BYTE, BYTE_PATH, BYTE_LEVEL_SPLIT)):
+        s = splitter(path) if pattern is None else splitter(path, pattern, False)
+        assert sum(1 if special is not None else len([x for w in own for x in t.model.tokenize(w)]) if own else sum(len(ids_of(t, w)) for w in pieces) for special, pieces, own in s.split(text)) == len(ids_of(t, text))
+
+
+def test_caches_are_bounded_by_bytes():
+    cache = pretokens.Cache(len, len, 1000)
+    assert cache.all_of([f"w{i}" for i in range(50)] + ["x" * 300], None) == [2] * 10 + [3] * 40 + [300]
+    assert 0 < len(cache) < 10 and "x" * 300 not in cache
+    assert cache.all_of(["w1", "zz"], ["w1", "zzz"]) == [2, 3]
+
+
+def test_merges_are_in_order(tmp_path):
+    assert merged_in_order(BYTE_PATH)
+    for vocab, merges, ok in (({"a": 0, "b": 1, "ab": 2, "aab": 3}, [["a", "b"], ["a", "ab"]], True), ({"a": 0, "b": 1, "ab": 3, "ba": 2}, [["a", "b"], ["b", "a"]], False), ({"a": 0, "ab": 1, "b": 2}, ["a b"], False)):
+        (tmp_path / "t.json").write_text(json.dumps({"model": {"vocab": vocab, "merges": merges}}))
+        assert merged_in_order(str(tmp_path / "t.json")) == ok
 
 
 def check_sequences(rows, capacity):
