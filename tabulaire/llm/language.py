@@ -8,7 +8,7 @@ rows; whole texts are scored in the executors, a batch of texts at a time.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,8 @@ from .common import bounded_arrow, fold_of, only
 from .words import labelled_sample, score_rows
 
 ORDERS = (1, 2, 3)
-BUCKETS = 1 << 16
+BUCKETS = 1 << 16  #: of n-grams; fewer for more than 128 languages, so that a model has
+CELLS = 1 << 23  #: so many weights at most
 SAMPLE = 4000  #: labelled rows to learn from, at most
 SCALE = 50.0  #: what relative frequencies are multiplied by
 SLICE = 1 << 20  #: characters of a text that are hashed at once
@@ -29,25 +30,30 @@ _LETTER = regex.compile(r"\p{L}")
 _MULTIPLY = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
-def grams(text: str) -> np.ndarray:
-    """Bucket numbers of all character n-grams of a text, lower-cased, the orders one after the other."""
-    c = np.frombuffer(f" {text} ".lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    out = []
-    with np.errstate(over="ignore"):
-        for n in ORDERS:
-            if len(c) >= n:
-                h = np.full(len(c) - n + 1, n, np.uint32)
-                for j in range(n):
-                    h = (h ^ c[j : len(c) - n + 1 + j]) * _MULTIPLY[j]
-                    h ^= h >> np.uint32(15)
-                out.append(h & np.uint32(BUCKETS - 1))
-    return np.concatenate(out)
-
-
-def slices(text: str):
-    """A very long text in parts, each reaching back so that no n-gram is lost; the parts' borders add a few."""
-    for at in range(0, max(1, len(text)), SLICE):
-        yield text[max(0, at - max(ORDERS) + 1) : at + SLICE]
+def lowered(text: str) -> np.ndarray:
+    """Code points of a text in lower case, character by character (so the two small sigmas are one)."""
+    return np.frombuffer(text.lower().replace("ς", "σ").encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def grams(text: str) -> Iterator[np.ndarray]:
+    """Bucket numbers of all character n-grams of a text between two blanks, lower-cased; very long texts slice by slice, no n-gram lost or added."""
+    carried = lowered(" ")
+    for at in range(0, len(text) or 1, SLICE):
+        new = lowered(text[at : at + SLICE] + (" " if at + SLICE >= len(text) else ""))
+        c = np.concatenate([carried, new])
+        out = []
+        with np.errstate(over="ignore"):
+            for n in ORDERS:
+                # those that end in what is new (the first blank is new to the first slice)
+                own = c[max(0, len(carried) - (n - 1)) if at else 0 :]
+                if len(own) >= n:
+                    h = np.full(len(own) - n + 1, n, np.uint32)
+                    for j in range(n):
+                        h = (h ^ own[j : len(own) - n + 1 + j]) * _MULTIPLY[j]
+                        h ^= h >> np.uint32(15)
+                    out.append(h & np.uint32(BUCKETS - 1))
+        carried = c[-(max(ORDERS) - 1) :]
+        yield np.concatenate(out)
 
 
 def has_letter(text: str | None) -> bool:
@@ -55,17 +61,18 @@ def has_letter(text: str | None) -> bool:
 
 
 class LanguageModel:
-    """Classes and, per bucket and class, idf times weight, temperature included."""
+    """Classes and, per bucket and class, idf times weight, temperature included. Of classes that tie the first by name is predicted."""
 
     def __init__(self, classes: list[str], table: np.ndarray, bias: np.ndarray):
         self.classes, self.table, self.bias = classes, table.astype(np.float32), bias
 
     def logits(self, text: str) -> np.ndarray:
         total, n = np.zeros(len(self.classes)), 0
-        for part in slices(text):
-            g = grams(part)
-            if len(g) > BUCKETS // 2:
-                total += np.bincount(g, minlength=BUCKETS).astype(np.float32) @ self.table
+        buckets = len(self.table)
+        for g in grams(text):
+            g &= np.uint32(buckets - 1)
+            if len(g) > buckets // 2:
+                total += np.bincount(g, minlength=buckets).astype(np.float32) @ self.table
             else:
                 total += self.table[g].sum(0)
             n += len(g)
@@ -91,20 +98,21 @@ def fit(sample: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta
     classes = sorted({y for _, y in sample})
     if not classes:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0))
+    buckets = min(BUCKETS, 1 << (CELLS // len(classes)).bit_length() - 1)
     docs = []
     for text, _ in sample:
-        parts = [np.unique(grams(p), return_counts=True) for p in slices(text)]
-        counts = np.bincount(np.concatenate([f for f, _ in parts]), weights=np.concatenate([n for _, n in parts]), minlength=BUCKETS) if len(parts) > 1 else None
-        f, n = parts[0] if counts is None else (np.flatnonzero(counts), counts[counts > 0])
-        docs.append((f.astype(np.uint16), (n / n.sum() * SCALE).astype(np.float32)))
-    df = np.zeros(BUCKETS)
+        counts = sum(np.bincount(g & np.uint32(buckets - 1), minlength=buckets) for g in grams(text))
+        f = np.flatnonzero(counts)
+        docs.append((f.astype(np.uint16), (counts[f] / counts.sum() * SCALE).astype(np.float32)))
+    df = np.zeros(buckets)
     for f, _ in docs:
         df[f] += 1
     idf = np.log((1 + len(docs)) / (1 + df)) + 1
-    y = np.eye(len(classes))[[classes.index(v) for _, v in sample]]
+    place = {v: i for i, v in enumerate(classes)}
+    y = np.array([place[v] for _, v in sample])
     train = [i for i in range(len(docs)) if i % 5] or list(range(len(docs)))
     held = [i for i in range(len(docs)) if not i % 5]
-    z, n = np.zeros((BUCKETS + 1, len(classes))), np.zeros((BUCKETS + 1, len(classes)))
+    z, n = np.zeros((buckets + 1, len(classes))), np.zeros((buckets + 1, len(classes)))
 
     def weights(f: np.ndarray) -> np.ndarray:
         # the elastic net in closed form: small sums of gradients leave a weight at exactly 0
@@ -113,23 +121,25 @@ def fit(sample: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta
     rng = np.random.default_rng(7)
     for _ in range(epochs):
         for i in rng.permutation(train):
-            f = np.append(docs[i][0].astype(np.int64), BUCKETS)  # the last is the bias
+            f = np.append(docs[i][0].astype(np.int64), buckets)  # the last is the bias
             x = np.append(docs[i][1] * idf[docs[i][0]], 1.0)
             w = weights(f)
             s = x @ w
             p = np.exp(s - s.max())
-            g = x[:, None] * (p / p.sum() - y[i])
+            p /= p.sum()
+            p[y[i]] -= 1
+            g = x[:, None] * p
             z[f] += g - (np.sqrt(n[f] + g * g) - np.sqrt(n[f])) / alpha * w
             n[f] += g * g
-    w = weights(np.arange(BUCKETS + 1))
-    scores = np.array([(docs[i][1] * idf[docs[i][0]]) @ w[docs[i][0]] + w[BUCKETS] for i in held]).reshape(len(held), len(classes))
+    w = weights(np.arange(buckets + 1))
+    scores = np.array([(docs[i][1] * idf[docs[i][0]]) @ w[docs[i][0]] + w[buckets] for i in held]).reshape(len(held), len(classes))
 
     def loss(t: float) -> float:
         s = scores / t
-        return float(np.mean(np.log(np.exp(s - s.max(1, keepdims=True)).sum(1)) + s.max(1) - (s * y[held]).sum(1)))
+        return float(np.mean(np.log(np.exp(s - s.max(1, keepdims=True)).sum(1)) + s.max(1) - s[np.arange(len(held)), y[held]]))
 
     t = min(np.geomspace(0.05, 20, 121), key=loss) if held else 1.0
-    return LanguageModel(classes, w[:BUCKETS] * idf[:, None] / t, w[BUCKETS] / t)
+    return LanguageModel(classes, w[:buckets] * idf[:, None] / t, w[buckets] / t)
 
 
 def learn(docs: DataFrame, may_learn: Column, most_rows: int = SAMPLE) -> LanguageModel:
@@ -151,8 +161,10 @@ def identify(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
     Learns from rows with a language whose crc32(doc_id) mod ``folds`` is not
     ``held``. Every row is kept, repeated ones too. A null text or one without
     a letter is ``und`` with score 0, as is every text where nothing could be
-    learned; a null doc_id is not held out and never learned from; an empty
-    table gives an empty result; other columns are ignored.
+    learned; of languages that tie the first by name is taken; a null doc_id is
+    not held out and never learned from; an empty table gives an empty result;
+    other columns are ignored. Every language of the labels is learned, unless
+    there are more than rows in the sample: then the most frequent, with a warning.
     """
     bounded_arrow(docs.sparkSession)
     rows = only(docs, doc_id="doc_id", text="text", lang="lang").withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import bounded_arrow, small_batches
 
@@ -83,10 +83,6 @@ def word_hashes(raw: bytes) -> np.ndarray:
         return mix(own + n)
 
 
-#: Label values that a sample is drawn from, at most.
-MOST_VALUES = 1024
-
-
 def to_bytes(text: str | None) -> bytes:
     return text.encode() if text else b""
 
@@ -96,28 +92,27 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int, seed: st
 
     ``labels`` has (doc_id, value) and is all that is counted and drawn from:
     each value's rows of the smallest hashes of ids, so a fair draw that is
-    the same at any partitioning. Of more than ``MOST_VALUES`` values the most
-    frequent are drawn from, with a warning. Texts are then fetched for the drawn ids
-    alone. The draw ends with the first text that goes beyond the characters (texts
+    the same at any partitioning. Every value is in the sample; of more values than
+    ``most_rows`` the most frequent are, with a warning. Texts are then fetched for the
+    drawn ids alone. The draw ends with the first text that goes beyond the characters (texts
     longer than all of them are passed over), so it favours no length. Null values, ids and texts take no part.
     """
     spark = docs.sparkSession
     labels = labels.where("doc_id is not null and value is not null").withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
-    found = labels.groupBy("value").count().orderBy(F.desc("count"), "value").limit(MOST_VALUES + 1).collect()
-    if len(found) > MOST_VALUES:
-        warnings.warn(f"more than {MOST_VALUES} label values: only the most frequent are learned", stacklevel=2)
-    counts = {r.value: r["count"] for r in sorted(found[:MOST_VALUES], key=lambda r: r.value)}
+    found = labels.groupBy("value").count().orderBy(F.desc("count"), "value").limit(most_rows + 1).collect()
+    if len(found) > most_rows:
+        warnings.warn(f"more than {most_rows} label values: only the most frequent are learned", stacklevel=2)
+    counts = {r.value: r["count"] for r in sorted(found[:most_rows], key=lambda r: r.value)}
     if not counts:
         return []
     share = max(1, most_rows // len(counts))
-    near = F.lit(False)
-    for value, n in counts.items():
-        # hashes are uniform, so this many of the smallest hold the share's rows and few more
-        part = min(1.0, (share + 6 * share**0.5 + 6) / n)
-        near = near | ((F.col("value") == value) & (F.col("h") <= min(2**63 - 1, int(part * 2**64) - 2**63)))
+    # hashes are uniform, so this many of the smallest hold the share's rows and few more
+    parts = {v: min(1.0, (share + 6 * share**0.5 + 6) / n) for v, n in counts.items()}
+    bounds = spark.createDataFrame([(v, min(2**63 - 1, int(p * 2**64) - 2**63)) for v, p in parts.items()], T.StructType([labels.schema["value"], T.StructField("bound", T.LongType())]))
+    near = labels.join(F.broadcast(bounds), "value").where("h <= bound")
     drawn: dict = {}
     taken: dict = dict.fromkeys(counts, 0)
-    for r in sorted(labels.where(near).select("h", "doc_id", "value").collect()):
+    for r in sorted(near.select("h", "doc_id", "value").collect()):
         if r.doc_id not in drawn and taken[r.value] < share:
             drawn[r.doc_id] = r.value
             taken[r.value] += 1

@@ -35,14 +35,82 @@ def test_language_of_odd_rows(odd, none):
     assert {r.lang_pred for r in language.identify(unlabelled).collect()} == {"und"}
 
 
-def test_temperature_and_slices(monkeypatch):
-    sample = [(f"{w} " * 5, y) for w, y in [("the cat", "en"), ("der hund", "de"), ("the dog", "en"), ("die katze", "de")] * 20]
-    model = language.fit(sample)
-    text = "the cat and the dog " * 50
-    z = model.logits(text)
-    monkeypatch.setattr(language, "SLICE", 100)
-    assert model.classes == ["de", "en"] and z.argmax() == 1 and model.logits(text) == pytest.approx(z, rel=0.2)
+SAMPLE = [(f"{w} " * 5, y) for w, y in [("the cat", "en"), ("der hund", "de"), ("the dog", "en"), ("die katze", "de")] * 20]
+
+
+def naive_grams(text):
+    """All n-grams of a text between blanks, one after the other, hashed one by one."""
+    c = [ord(x) for x in f" {text} ".lower().replace("ς", "σ")]
+    out = []
+    for n in language.ORDERS:
+        for i in range(len(c) - n + 1):
+            h = n
+            for j in range(n):
+                h = ((h ^ c[i + j]) * int(language._MULTIPLY[j])) % 2**32
+                h ^= h >> 15
+            out.append(h % language.BUCKETS)
+    return out
+
+
+def test_slices_lose_and_add_no_grams(monkeypatch):
+    for text in ("", "a", "İI ΟΔΟΣ ΣΑΣ straße 東京 " * 7, "abc " * 30):
+        monkeypatch.setattr(language, "SLICE", 1 << 20)
+        assert sorted(np.concatenate(list(language.grams(text))).tolist()) == sorted(naive_grams(text))
+        for size in (1, 2, 3, 7, len(text) or 1):
+            monkeypatch.setattr(language, "SLICE", size)
+            assert sorted(np.concatenate(list(language.grams(text))).tolist()) == sorted(naive_grams(text))
+
+
+def test_training_equals_a_naive_one(monkeypatch):
+    """Follow-the-regularised-leader weight by weight, with the penalties in closed form, and scores gram by gram."""
+    import math
+    from collections import Counter, defaultdict
+
+    alpha, beta, l1, l2, sample = 0.5, 1.0, 1e-3, 1e-2, SAMPLE[:20]
+    model = language.fit(sample, 2, alpha, beta, l1, l2)
+    docs = [Counter(naive_grams(t)) for t, _ in sample]
+    df = Counter(f for d in docs for f in d)
+    idf = {f: math.log((1 + len(docs)) / (1 + n)) + 1 for f, n in df.items()}
+    classes = ["de", "en"]
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(f, k):
+        v = z[f, k]
+        return 0.0 if abs(v) <= l1 else -(v - math.copysign(l1, v)) / ((beta + math.sqrt(n[f, k])) / alpha + l2)
+
+    train = [i for i in range(len(docs)) if i % 5]
+    rng = np.random.default_rng(7)
+    for _ in range(2):
+        for i in rng.permutation(train):
+            x = {f: c / sum(docs[i].values()) * language.SCALE * idf[f] for f, c in docs[i].items()} | {"bias": 1.0}
+            w = {(f, k): weight(f, k) for f in x for k in range(2)}
+            s = [sum(x[f] * w[f, k] for f in x) for k in range(2)]
+            p = np.exp(np.array(s) - max(s)) / np.exp(np.array(s) - max(s)).sum()
+            for f in x:
+                for k in range(2):
+                    g = x[f] * (p[k] - (classes[k] == sample[i][1]))
+                    z[f, k] += g - (math.sqrt(n[f, k] + g * g) - math.sqrt(n[f, k])) / alpha * w[f, k]
+                    n[f, k] += g * g
+    raw = []
+    for text in ("the cat and the hund", "die", "zzz q"):
+        d = Counter(naive_grams(text))
+        total = sum(d.values())
+        raw.append([sum(c / total * language.SCALE * idf.get(f, math.log(1 + len(docs)) + 1) * weight(f, k) for f, c in d.items()) + weight("bias", k) for k in range(2)])
+        got = model.predict([text])
+        scale = model.logits(text) / np.array(raw[-1])
+        assert scale[0] == pytest.approx(scale[1], rel=1e-3) and got["lang_pred"][0] == classes[int(np.argmax(raw[-1]))]
+        q = np.exp(model.logits(text))
+        assert got["score"][0] == pytest.approx(q.max() / q.sum(), abs=1e-6)
+
+
+def test_temperature_and_many_languages():
+    model = language.fit(SAMPLE)
+    assert model.classes == ["de", "en"] and model.logits("the cat and the dog").argmax() == 1
     assert (model.table == 0).mean() > 0.9, "most weights are exactly 0"
+    many = language.fit([(f"{chr(0x4E00 + i)} word", f"l{i:03d}") for i in range(300)], 1)
+    assert len(many.classes) == 300 and many.table.size <= language.CELLS
+    tie = language.LanguageModel(["a", "b"], np.zeros((language.BUCKETS, 2)), np.zeros(2))
+    assert tie.predict(["x"]) == {"lang_pred": ["a"], "score": [0.5]}
 
 
 @pytest.mark.parametrize(("module", "column", "least"), [(toxicity, "toxic", 0.9), (quality, "quality", 0.95)])
@@ -107,11 +175,13 @@ def test_sample_is_bounded_and_stable(docs, labels):
     assert labelled_sample(docs, marked.limit(0), 40, "s") == []
 
 
-def test_sample_takes_the_most_frequent_values(spark, monkeypatch):
-    monkeypatch.setattr("tabulaire.llm.words.MOST_VALUES", 2)
-    docs = spark.createDataFrame([(i, "x", v) for i, v in enumerate("abbccc")], "doc_id long, text string, value string")
+def test_sample_has_every_value(spark):
+    values = [f"v{i:04d}" for i in range(1500)]
+    docs = spark.createDataFrame([(i, "x", v) for i, v in enumerate(values + values[:700])], "doc_id long, text string, value string")
+    marks = docs.select("doc_id", "value")
+    assert [v for _, v in sorted(labelled_sample(docs, marks, 2000, "s"))] == values
     with pytest.warns(UserWarning, match="label values"):
-        assert {v for _, v in labelled_sample(docs, docs.select("doc_id", "value"), 100, "s")} == {"b", "c"}
+        assert {v for _, v in labelled_sample(docs, marks, 700, "s")} == set(values[:700])
 
 
 def test_sample_ends_at_its_cap_by_rank(spark):
