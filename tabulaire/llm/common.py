@@ -20,11 +20,14 @@ STEP_BYTES = 2_000_000
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session leaves it unset (tests, one machine) a fresh folder is
-    made and set, so later calls of the same session use it too.
+    Where a session on one machine (as in tests) leaves it unset a fresh folder
+    is made and set, so later calls of the same session use it too; on a cluster
+    that is an error, for no folder of one machine would be shared.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tabulaire-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -87,7 +90,10 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = ST
 
 
 def bounded_arrow(spark: SparkSession, rows: int = 1024) -> None:
-    """Caps rows per Arrow batch, so that a run of very long texts stays within a worker's memory."""
+    """Caps rows per Arrow batch, so that a run of very long texts stays within a worker's memory.
+
+    The cap stays in the session: results are lazy, and are planned with it when they are asked for.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, rows)

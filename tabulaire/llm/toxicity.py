@@ -31,6 +31,7 @@ _SALTS = np.array([0] + [1 << 32] * len(PREFIXES), np.uint64)
 LEAST_DOCS = 4  #: training documents that a word or prefix must be in to get an embedding
 ROWS = 60_000  #: embeddings at most (3 MB): of more words and prefixes the most frequent
 LONG = 4096  #: bytes from which a word is known by its prefixes only
+BLANKS = 20  #: one empty text is learned as clean for so many others
 SAMPLE = 6000  #: labelled rows to learn from, at most
 SLOTS = 1 << 20
 FLAGGED = 0.002  #: share of clean rows that a threshold may flag
@@ -170,6 +171,7 @@ class ToxicityModel:
     network: Network
     shifts: dict[str, float]  #: by predicted language; "" for any other
     languages: language.LanguageModel
+    taught: bool = True  #: whether there were texts of both labels to learn from
 
     def shift(self, text: str | None) -> float:
         return self.shifts.get(self.languages.predict([text])["lang_pred"][0], self.shifts[""])
@@ -226,17 +228,22 @@ def fit(sample: list[tuple[str, int]], languages: language.LanguageModel, epochs
     known, leaning = _frequent([texts[i] for i in train], labels[train]) if train else (np.zeros(0, np.uint64), np.zeros(0))
     vocabulary, network = Vocabulary(known), Network(leaning)
     docs = [near(vocabulary.rows(features(to_bytes(t)))) for t in texts]
-    if 0 < labels[train].sum() < len(train):
-        network.train([docs[i] for i in train], labels[train].astype(np.float32), epochs)
-    model = ToxicityModel(vocabulary, network, {"": 0.0}, languages)
+    taught = 0 < labels[train].sum() < len(train)
+    blank = near(vocabulary.rows(features(b"")))
+    if taught:
+        # some empty texts among the clean ones: what the network does not know, other languages too, counts as clean
+        empty = [blank] * -(-len(train) // BLANKS)
+        network.train([docs[i] for i in train] + empty, np.r_[labels[train], np.zeros(len(empty))].astype(np.float32), epochs)
+    model = ToxicityModel(vocabulary, network, {"": 0.0}, languages, bool(taught))
     held = [i for i in range(len(sample)) if not i % 4]
     logits = np.array([network.logit(docs[i]) for i in held])
     named = np.array(languages.predict([texts[i] for i in held])["lang_pred"])
-    model.shifts[""] = _threshold(logits, labels[held])
+    floor = network.logit(blank) + 0.1 if taught else -np.inf
+    model.shifts[""] = max(floor, _threshold(logits, labels[held]))
     for name in sorted(set(map(str, named))):
         own = named == name
         if labels[held][own].sum() >= 8 and (1 - labels[held][own]).sum() >= 8:
-            model.shifts[name] = _threshold(logits[own], labels[held][own])
+            model.shifts[name] = max(floor, _threshold(logits[own], labels[held][own]))
     return model
 
 
