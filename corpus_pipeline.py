@@ -5,7 +5,8 @@ drops toxic ones, the near-duplicate join keeps one document of each class,
 decontamination drops documents that hold a window of a benchmark item, and
 packing returns the pieces of what is left. All but the last stage return the
 columns they are given. Models learn from the labelled rows of ``sf_dir``;
-each stage judges every row it is given.
+each stage judges every row it is given, whole texts, and takes any columns
+besides doc_id and text, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -22,7 +23,14 @@ LEAST_SURE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters and those in no language that the model is sure of."""
+    """Rejects documents without letters and those in no language that the model is sure of.
+
+    So null and empty texts go. A probability of exactly ``LEAST_SURE`` is sure
+    enough; of languages that tie the first by name counts. Repeated rows are
+    judged alike and all kept or all rejected; a null doc_id has no part in
+    learning and none in the decision. Without any labelled language nothing is
+    known, and all documents go.
+    """
     known = only(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", lang="lang")
     model = spark.sparkContext.broadcast(language.learn(known, fold_of(F.col("doc_id"), 4) != 2))
 
@@ -34,24 +42,46 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the toxicity model predicts as toxic."""
+    """Rejects documents that the toxicity model predicts as toxic (a score of 0.5 or more).
+
+    Null and empty texts have the score of a text without known words. Repeated
+    rows are judged alike; a null doc_id has no part in learning. Without labels
+    every score is about a half, but no document is rejected for that.
+    """
     known = only(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", lang="lang")
-    model = spark.sparkContext.broadcast(toxicity.learn(known, toxicity.labels_of(table(spark, sf_dir, "labels"), "toxic")))
+    learned = toxicity.learn(known, toxicity.labels_of(table(spark, sf_dir, "labels"), "toxic"))
+    if not learned.taught:
+        return docs
+    model = spark.sparkContext.broadcast(learned)
     return keep_rows(docs, lambda texts: model.value.score(texts)["predicted"] == 0)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each class of near duplicates."""
+    """Keeps one document of the smallest id of each class of near duplicates, as a whole row.
+
+    Rows without a doc_id come last in a class; of rows that repeat as a whole
+    one stays; rows that share a doc_id but no class all stay. Texts without
+    words (null and empty ones too) are copies of each other.
+    """
     return near.first_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that hold a window of a benchmark item."""
+    """Rejects documents that hold a window of a benchmark item.
+
+    Null and empty texts have no words and stay; repeated rows are judged
+    alike; the doc_id has no part in it; an empty benchmark rejects nothing.
+    """
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents that are left, packed into sequences."""
+    """Pieces of the documents that are left, packed into sequences.
+
+    A null or empty text is one piece, its end id; repeated rows are packed once
+    each; a null doc_id stays null; pieces of equal length are placed in the
+    order of doc_id, piece and ids.
+    """
     return pack_documents(docs)
 
 
