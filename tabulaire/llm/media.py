@@ -143,11 +143,11 @@ def _read(root: str, with_payload: bool):
         store, base = fs.FileSystem.from_uri(root)
         files: dict = {}
         for batch in batches:
-            rows: dict[str, list] = {k: [] for k in ("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")}
+            rows: dict[str, list] = {k: [] for k in ("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "stored_bytes")}
             payloads = []
             for doc_id, stored, places in zip(batch.column("doc_id").to_pylist(), batch.column("media").to_pylist(), batch.column("places").to_pylist(), strict=True):
                 n_bytes, chunks = parts(stored)
-                read = []
+                read, sizes = [], {}
                 for place, (digest, length) in zip(sorted(places, key=lambda p: p["position"]), chunks, strict=True):
                     if place["pack"] not in files:
                         if len(files) >= 64:
@@ -159,12 +159,13 @@ def _read(root: str, with_payload: bool):
                     if len(chunk) != length or hashlib.sha256(chunk).digest() != digest:
                         raise ValueError(f"damaged chunk {digest.hex()}")
                     read.append(chunk)
+                    sizes[digest] = place["size"]
                 payload = b"".join(read)
-                for column, value in zip(rows.values(), (doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), feature_of(payload)), strict=True):
+                for column, value in zip(rows.values(), (doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), feature_of(payload), len(stored) + sum(sizes.values())), strict=True):
                     column.append(value)
                 if with_payload:
                     payloads.append(payload)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
             yield pa.record_batch([pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)] + [pa.array(payloads, pa.binary())] * with_payload, names=[*rows, *["payload"] * with_payload])
 
     return run
@@ -194,8 +195,8 @@ def store_media(docs: DataFrame, root: str | None = None, *, doc_id: str = "doc_
 
 
 def read_media(media: DataFrame, root: str, with_payload: bool = False) -> DataFrame:
-    """Reconstructs and verifies the media of ``store_media``: doc_id, sizes and digests of payload and stored form, feature."""
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    """Reconstructs and verifies the media of ``store_media``: doc_id, sizes and digests of payload and stored form, feature, stored_bytes (the chunk list and its distinct chunks as compressed)."""
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, stored_bytes long"
     return media.select("doc_id", "media", "places").mapInArrow(_read(root, with_payload), schema + ", payload binary" * with_payload)
 
 
@@ -204,7 +205,8 @@ def media_round_trip(docs: DataFrame) -> DataFrame:
 
     Per row: doc_id, n_bytes (UTF-8), payload_bytes, payload_sha256, tail_crc32
     (last 16 bytes), media_bytes and media_sha256 (the stored chunk list),
-    feature. Null and empty texts are one unit of padding; a null doc_id stays
+    feature, stored_bytes (the chunk list and the compressed chunks that it
+    names, each once, whether or not other media share them). Null and empty texts are one unit of padding; a null doc_id stays
     null; repeated rows are kept; an empty table gives an empty result; other
     columns are ignored.
     """
