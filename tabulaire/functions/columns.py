@@ -10,6 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.caseSensitive": "true", "spark.sql.adaptive.enabled": "true"}
 
 
+#: What errors say of the columns asked for.
+NO_NUMBERS = "Dataset contains no numeric columns."
+ABSENT = "Columns not found in dataset: {names}"
+TEXTUAL = "Columns are not numeric: {names}"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
@@ -32,12 +38,12 @@ def numeric_columns(df: DataFrame, columns: Iterable[str] | None = None) -> list
     if not wanted:
         wanted = [name for name, kind in kinds.items() if isinstance(kind, T.NumericType)]
         if not wanted:
-            raise ValueError("Dataset contains no numeric columns.")
+            raise ValueError(NO_NUMBERS)
         return wanted
     if absent := [name for name in wanted if name not in kinds]:
-        raise ValueError(f"Columns not found in dataset: {absent}")
+        raise ValueError(ABSENT.format(names=absent))
     if textual := [name for name in wanted if not isinstance(kinds[name], (T.NumericType, T.BooleanType))]:
-        raise ValueError(f"Columns are not numeric: {textual}")
+        raise ValueError(TEXTUAL.format(names=textual))
     return list(dict.fromkeys(wanted))
 
 

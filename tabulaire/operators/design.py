@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tabulaire.functions.columns import named
 
 
+#: Fixed value: what the error says of features that are not there.
+NOT_FOUND = "The following requested features were not found in the input matrix: {names}"
+
+
 def select_features(df: DataFrame, features: Iterable[str]) -> DataFrame:
     """The features asked for, each once, in the order they were asked for; raises on names that are not there."""
     wanted = list(dict.fromkeys(features))
@@ -17,7 +21,7 @@ def select_features(df: DataFrame, features: Iterable[str]) -> DataFrame:
         raise ValueError("definedFeatures must not be empty")
     there = set(df.columns)
     if absent := [f for f in wanted if f not in there]:
-        raise ValueError(f"The following requested features were not found in the input matrix: {', '.join(absent)}")
+        raise ValueError(NOT_FOUND.format(names=", ".join(absent)))
     return df.select(*[named(f) for f in wanted])
 
 

@@ -26,11 +26,16 @@ def row_norm(values: list[Column], norm: str, wide: int = WIDE) -> Column:
     return F.sqrt(total) if norm == "l2" else total
 
 
-def check_complete(df: DataFrame, columns: list[str], norm: str, wide: int = WIDE) -> None:
-    """Raises ValueError that names the columns with missing values, before anything is written."""
+#: Fixed value: what the error says of columns with missing values.
+MISSING_VALUES = "{norm} normalization cannot process missing values. Columns containing NaN: {columns}. Apply missing-value preprocessing first."
+
+
+def check_complete(df: DataFrame, columns: list[str], norm: str, wide: int = WIDE) -> int:
+    """The number of rows; raises a ValueError that names the columns with missing values, before anything is written."""
     stats = column_stats(df, columns, {}, wide)
     if short := [c for c in columns if stats[c]["n"] < stats[""]["rows"]]:
-        raise ValueError(f"{norm} normalization cannot process missing values. Columns containing NaN: {short}. Apply missing-value preprocessing first.")
+        raise ValueError(MISSING_VALUES.format(norm=norm, columns=short))
+    return stats[""]["rows"]
 
 
 def normalize(df: DataFrame, norm: str, columns: list[str] | None = None, *, check: bool = False, wide: int = WIDE) -> DataFrame:

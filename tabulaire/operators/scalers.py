@@ -37,7 +37,7 @@ class Fitted:
 
     @property
     def samples_seen(self) -> int | list[int] | None:
-        """One number if every column has as many values, else one a column."""
+        """The values that were seen: one number if every column has as many, else one a column."""
         return (self.counts[0] if len(set(self.counts)) == 1 else self.counts) if self.counts else None
 
 
@@ -54,6 +54,10 @@ class Scaler:
     def expression(self, x: Column, at: int, fitted: Fitted) -> Column:
         raise NotImplementedError
 
+    def learned(self, fitted: Fitted) -> dict[str, object]:
+        """What a report says of a fit; min-max and max-abs have seen every row, missing or not."""
+        return {**fitted.values, "samples_seen": fitted.rows}
+
     def transform(self, df: DataFrame, fitted: Fitted) -> DataFrame:
         """``df`` with the fitted columns scaled, as doubles; other columns and the order stay."""
         numeric_columns(df, fitted.columns)
@@ -89,6 +93,9 @@ class Standard(Scaler):
             x = x - F.lit(fitted.values["mean"][at])
         return x / F.lit(fitted.values["scale"][at]) if self.with_std else x
 
+    def learned(self, fitted: Fitted) -> dict[str, object]:
+        return {**fitted.values, "samples_seen": fitted.samples_seen}
+
 
 @dataclass
 class MinMax(Scaler):
@@ -171,6 +178,9 @@ class Robust(Scaler):
             x = x - F.lit(fitted.values["center"][at])
         return x / F.lit(fitted.values["scale"][at]) if self.with_scaling else x
 
+    def learned(self, fitted: Fitted) -> dict[str, object]:
+        return {**fitted.values, "n_features_in": len(fitted.columns)}
+
 
 METHODS: dict[str, type[Scaler]] = {"standard": Standard, "min_max": MinMax, "max_abs": MaxAbs, "robust": Robust}
 

@@ -1,61 +1,36 @@
-"""Processes by name: read a table, run one operator, write the result, report what was done."""
+"""Processes by name: read a table, run one operator, write the result, report what was done.
+
+A table is read once for its types (delimited text only), once for what has to
+be known of all rows (fits and checks for missing values), and once to be
+transformed and written; rows are counted while they are written.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
-from dataclasses import asdict
 from time import perf_counter
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tabulaire.operators import FILTERS, MaxAbs, MinMax, Robust, Standard, complete_cases, feature_listing, normalize, select_features
-from tabulaire.operators.normalizers import check_complete
 from tabulaire.functions.columns import configure, numeric_columns
-from tabulaire.report import Error, FileInfo, Report, StorageLocation
-from tabulaire.requests import (
-    ColumnRequest,
-    FeatureExtractionRequest,
-    FeatureMatrixRequest,
-    FilterRequest,
-    MaxAbsRequest,
-    MinMaxRequest,
-    ProcessRequest,
-    ProcessResponse,
-    Record,
-    RobustRequest,
-    StandardRequest,
-)
+from tabulaire.operators import MaxAbs, MinMax, Robust, Standard, complete_cases, feature_listing, normalize, select_features
+from tabulaire.operators.normalizers import check_complete
+from tabulaire.report import Error, FeatureExtractionInfo, FeatureMatrixInfo, FileInfo, FilterInfo, NormInfo, Report, StorageLocation
+from tabulaire.requests import ENVELOPES, PROCESSES, FamilyRequest, FamilyResponse
 from tabulaire.sources.delimited import SEPARATORS, extension_of, read_header, write_delimited
 from tabulaire.sources.tables import read_table
 from tabulaire.tools import elapsed_ms, get_trace_id, parse_experiment_id, utc_now
 
-#: Process to its step's name, request and scaler.
+#: Process to its step's name and scaler.
 SCALERS = {
-    "standard_standardization": ("standard_scaler", StandardRequest, Standard),
-    "min_max_standardization": ("min_max_scaler", MinMaxRequest, MinMax),
-    "max_abs_standardization": ("max_abs_scaler", MaxAbsRequest, MaxAbs),
-    "robust_standardization": ("robust_scaler", RobustRequest, Robust),
+    "standard_standardization": ("standard_scaler", Standard),
+    "min_max_standardization": ("min_max_scaler", MinMax),
+    "max_abs_standardization": ("max_abs_scaler", MaxAbs),
+    "robust_standardization": ("robust_scaler", Robust),
 }
 NORMALIZERS = {"l1_normalization": "l1", "l2_normalization": "l2", "max_normalization": "max"}
-#: Families of processes, as requests group them.
-FAMILIES = {
-    "standardization": tuple(SCALERS),
-    "normalization": tuple(NORMALIZERS),
-    "sample_selection": FILTERS[0:2],
-    "class_labels": FILTERS[2:5],
-    "feature_selection": FILTERS[5:10],
-    "matrix_extraction": FILTERS[10:11],
-    "design_matrix": ("create_defined_feature_matrix", "feature_extraction"),
-}
-REQUESTS: dict[str, type[Record]] = {
-    **{name: request for name, (_, request, _) in SCALERS.items()},
-    **dict.fromkeys(NORMALIZERS, ColumnRequest),
-    **dict.fromkeys(FILTERS, FilterRequest),
-    "create_defined_feature_matrix": FeatureMatrixRequest,
-    "feature_extraction": FeatureExtractionRequest,
-}
 
 
 def _file(spark: SparkSession, path: str) -> FileInfo:
@@ -80,26 +55,30 @@ def output_path(process: str, source: str, target: StorageLocation) -> str:
     return base + extension
 
 
-def _write(df: DataFrame, path: str) -> None:
+def _write(df: DataFrame, path: str, single: bool) -> None:
     if extension_of(path) == ".parquet":
         df.write.mode("overwrite").parquet(path)
     else:
-        write_delimited(df, path)
+        write_delimited(df, path, single=single)
 
 
-def run(spark: SparkSession, process: str, source: str, target: StorageLocation | None = None, parameters: Mapping[str, Any] | None = None) -> Report:
-    """Runs one process on the table at ``source``; raises ValueError before anything is written if the request is wrong."""
-    if process not in REQUESTS:
+def run(spark: SparkSession, process: str, source: str, target: StorageLocation | None = None, parameters: Mapping[str, Any] | None = None, *, single: bool = True) -> Report:
+    """Runs one process on the table at ``source``; raises ValueError before anything is written if the request is wrong.
+
+    ``single`` writes delimited text as one file, by one task; without it, as a
+    folder of parts, by all.
+    """
+    if process not in PROCESSES:
         raise ValueError(f"unknown process: {process}")
     configure(spark)
-    request = REQUESTS[process].of(parameters or {})
-    report = Report(process)
+    types = ENVELOPES[process]
+    request = types.parameters.of(parameters or {})
+    report = types.report(process)
     if process == "feature_extraction":
         with report.step("extract_feature_names"):
             names = spark.read.parquet(source).columns if extension_of(source) == ".parquet" else read_header(spark, source)
-            listing = feature_listing(names, request.excluded_columns)
-            report.info = asdict(listing) | {"feature_count": listing.feature_count, "excluded_column_count": listing.excluded_column_count}
-        return report
+            found = feature_listing(names, request.excluded_columns)
+        return report.finish(FeatureExtractionInfo(found.feature_names, found.feature_count, found.total_column_count, found.excluded_columns, found.excluded_column_count, found.missing_excluded_columns))
     if target is None:
         raise ValueError("an output location is needed")
     out = output_path(process, source, target)
@@ -107,8 +86,12 @@ def run(spark: SparkSession, process: str, source: str, target: StorageLocation
         df = read_table(spark, source)
         report.input_file = _file(spark, source)
         said.append(f"Read {report.input_file.size_bytes} bytes.")
+    # counts of the rows that a job reads and writes, taken while it runs
+    read, written = Observation(), Observation()
+    count = F.count(F.lit(1)).alias("rows")
+    info = None
     if process in SCALERS:
-        step, _, kind = SCALERS[process]
+        step, kind = SCALERS[process]
         flags = {k: v for k, v in vars(request).items() if k not in ("numeric_columns", "chunk_size", "copy")}
         scaler = kind(request.numeric_columns, **flags)
         with report.step(f"{step}_fit") as said:
@@ -116,39 +99,58 @@ def run(spark: SparkSession, process: str, source: str, target: StorageLocation
             said.append(f"Fitted on {fitted.rows} rows.")
         with report.step(f"{step}_transform"):
             result = scaler.transform(df, fitted)
-        report.info = {"numeric_columns": fitted.columns, "numeric_column_count": len(fitted.columns), "rows_processed": fitted.rows, "chunk_size": request.chunk_size, "fit_chunks_processed": _chunks(fitted.rows, request.chunk_size), "transform_chunks_processed": _chunks(fitted.rows, request.chunk_size), "samples_seen": fitted.samples_seen, **flags, **fitted.values}
+        chunks = _chunks(fitted.rows, request.chunk_size)
+        info = PROCESSES[process][2](numeric_columns=fitted.columns, numeric_column_count=len(fitted.columns), rows_processed=fitted.rows, transform_chunks_processed=chunks, chunk_size=request.chunk_size, fit_chunks_processed=chunks, **flags, **scaler.learned(fitted))
     elif process in NORMALIZERS:
         norm = NORMALIZERS[process]
         with report.step(process):
             columns = numeric_columns(df, request.numeric_columns)
-            check_complete(df, columns, norm)
+            rows = check_complete(df, columns, norm)
             result = normalize(df, norm, columns)
-        rows = df.count()
-        report.info = {"norm": norm, "numeric_columns": columns, "numeric_column_count": len(columns), "rows_processed": rows, "chunk_size": request.chunk_size, "chunks_processed": _chunks(rows, request.chunk_size)}
+        info = NormInfo(columns, len(columns), rows, _chunks(rows, request.chunk_size), request.chunk_size, norm)
     elif process == "create_defined_feature_matrix":
         with report.step("select_defined_features"):
-            result = select_features(df, request.defined_features)
-        report.info = {"requested_features": list(dict.fromkeys(request.defined_features)), "selected_features": result.columns, "missing_features": [], "selected_feature_count": len(result.columns), "samples_processed": df.count()}
+            result = select_features(df, request.defined_features).observe(read, count)
     else:
-        with report.step("retain_complete_samples") as said:
-            result = complete_cases(df)
-            rows, kept = df.count(), result.count()
-            said.append(f"Processed {rows} samples, retained {kept}, removed {rows - kept}.")
-        report.info = {"rows_processed": rows, "rows_retained": kept, "rows_removed": rows - kept}
+        with report.step("retain_complete_samples"):
+            result = complete_cases(df.observe(read, count)).observe(written, count)
     with report.step("upload") as said:
-        _write(result, out)
+        _write(result, out, single)
         report.output_file = _file(spark, out)
         said.append(f"Wrote {report.output_file.size_bytes} bytes.")
-    return report
-
-
-def handle(spark: SparkSession, request: ProcessRequest, headers: Mapping[str, str] | None = None, body: Mapping[str, object] | None = None) -> ProcessResponse:
-    """Runs a request and returns a response in any case; errors become an ``Error`` with status 400 or 500."""
-    started = perf_counter()
-    ids = {"dataset_id": request.dataset_id, "experiment_id": parse_experiment_id(body or {"experimentId": uuid.uuid4()}), "trace_id": get_trace_id(headers or {})}
+    if process == "create_defined_feature_matrix":
+        wanted = list(dict.fromkeys(request.defined_features))
+        info = FeatureMatrixInfo(wanted, result.columns, [], len(wanted), len(result.columns), 0, read.get["rows"])
+    elif info is None:
+        rows, kept = read.get["rows"], written.get["rows"]
+        info = FilterInfo(rows, kept, rows - kept)
+        next(s for s in report.steps if s.step == "retain_complete_samples").message = f"Processed {rows} samples, retained {kept}, removed {rows - kept}."
+    return report.finish(info)
+
+
+def handle(spark: SparkSession, process: str, request: FamilyRequest | Mapping[str, Any], headers: Mapping[str, str] | None = None, *, single: bool = True) -> FamilyResponse:
+    """Runs a process as its request (a record, or the JSON object of one) says.
+
+    The response is of the process's own type in any case; what is wrong with
+    the request is an ``Error`` with status 400, whatever else goes wrong one
+    with 500, and either has no process request and response.
+    """
+    started, asked_at = perf_counter(), utc_now()
+    if process not in PROCESSES:
+        raise ValueError(f"unknown process: {process}")
+    types = ENVELOPES[process]
+    body = request if isinstance(request, Mapping) else {}
+    ids = {"experiment_id": parse_experiment_id(body), "trace_id": get_trace_id(headers or {})}
+    given = None
     try:
-        report = run(spark, request.process, request.input_blob.path, request.output_blob, request.parameters)
+        given = types.request.of({k: v for k, v in body.items() if k != "experimentId"}) if isinstance(request, Mapping) else request
+        parameters = getattr(given, types.asked)
+        report = run(spark, process, given.input_blob.path, given.output_blob, vars(parameters), single=single)
     except Exception as e:
-        code = 400 if isinstance(e, ValueError) else 500
-        return ProcessResponse(**ids, success=False, status_code=code, message="failed", completed_at=utc_now(), time_consumed_ms=elapsed_ms(started), error=Error(type(e).__name__, str(e)))
-    return ProcessResponse(**ids, success=True, status_code=200, message="completed", completed_at=utc_now(), time_consumed_ms=elapsed_ms(started), report=report)
+        status = 400 if isinstance(e, ValueError) else 500
+        known = {"dataset_id": given.dataset_id, "requested_by": given.requested_by, "requested_at": given.requested_at, "request_metadata": given.request_metadata} if given else {"dataset_id": str(body.get("datasetId", "")), "requested_at": asked_at}
+        return types.response(**ids, **known, success=False, status_code=status, message="failed", time_consumed_ms=elapsed_ms(started), error=Error(type(e).__name__, str(e)))
+    return types.response(
+        **ids, dataset_id=given.dataset_id, requested_by=given.requested_by, requested_at=given.requested_at, request_metadata=given.request_metadata, input_blob=given.input_blob, output_blob=given.output_blob,
+        success=True, status_code=200, message="completed", time_consumed_ms=elapsed_ms(started), **{types.asked: parameters, types.answered: report},
+    )

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabulaire.functions.columns import is_infinite, value_of
 
 WIDE = 60  #: more target columns than this are stacked
-EXACT_ROWS = 20_000_000  #: more values a column than this are not held in one percentile buffer
-KEPT = 500_000  #: values of a column that the last step of a selection may hold
+EXACT_VALUES = 2_000_000  #: more values than this, of all columns together, are not held in one aggregate's percentile buffers
+KEPT = 500_000  #: values, of all ranks together, that the last step of a selection may hold
 
 Aggregates = dict[str, Callable[[Column], Column]]
 
@@ -44,67 +44,84 @@ def column_stats(df: DataFrame, columns: list[str], aggregates: Aggregates, wide
     return {"": {"rows": rows}, **found}
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], odds: list[float], counts: dict[str, int], wide: int = WIDE, most: int = EXACT_ROWS) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, columns: list[str], odds: list[float], counts: dict[str, int], wide: int = WIDE, most: int = EXACT_VALUES) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of each column.
 
-    Up to ``most`` values a column, one percentile aggregate. Beyond, ranks are
-    selected by narrowing brackets, so that no task holds a column's values.
+    Up to ``most`` values, of all columns together, one percentile aggregate.
+    Beyond, ranks are selected by narrowing brackets, so that no task holds a
+    column's values: some ``wide`` columns at a time, all their brackets in each scan.
     """
-    small = [c for c in columns if counts[c] <= most]
-    large = [c for c in columns if counts[c] > most]
-    out: dict[str, list[float | None]] = {}
-    if small:
+    out: dict[str, list[float | None]] = {c: [None] * len(odds) for c in columns}
+    filled = [c for c in columns if counts[c]]
+    if sum(counts[c] for c in filled) <= most:
         points = F.array(*[F.lit(p) for p in odds])
-        stats = column_stats(df, small, {"q": lambda x: F.percentile(x, points)}, wide)
-        out |= {c: list(stats[c]["q"]) if stats[c]["q"] is not None else [None] * len(odds) for c in small}
-    for c in large:
-        ranks = {p: p * (counts[c] - 1) for p in odds}
-        values = select_ranks(df, c, sorted({int(r) for r in ranks.values()} | {min(int(r) + 1, counts[c] - 1) for r in ranks.values()}), counts[c])
-        out[c] = [values[int(r)] + (values[min(int(r) + 1, counts[c] - 1)] - values[int(r)]) * (r - int(r)) for r in (ranks[p] for p in odds)]
+        stats = column_stats(df, filled, {"q": lambda x: F.percentile(x, points)}, wide) if filled else {}
+        return out | {c: list(stats[c]["q"]) for c in filled}
+    for at in range(0, len(filled), max(1, wide)):
+        part = filled[at : at + max(1, wide)]
+        exact = {c: [p * (counts[c] - 1) for p in odds] for c in part}
+        wanted = {c: sorted({int(r) for r in ranks} | {min(int(r) + 1, counts[c] - 1) for r in ranks}) for c, ranks in exact.items()}
+        values = select_ranks(df, wanted, counts)
+        for c, ranks in exact.items():
+            found = values[c]
+            out[c] = [found[int(r)] + (found[min(int(r) + 1, counts[c] - 1)] - found[int(r)]) * (r - int(r)) for r in ranks]
     return out
 
 
-def select_ranks(df: DataFrame, column: str, ranks: list[int], n: int, kept: int = KEPT) -> dict[int, float]:
-    """The values of 0-based ``ranks`` among the ``n`` values of a column.
+def select_ranks(df: DataFrame, wanted: dict[str, list[int]], counts: dict[str, int], kept: int = KEPT) -> dict[str, dict[int, float]]:
+    """The values of 0-based ranks among each column's values (``counts`` of them, at least one).
 
-    Each round brackets every open rank between two approximate percentiles of
-    its bracket and counts exactly below and inside; brackets shrink by orders
-    of magnitude a round, and end in one value or in few enough to sort.
+    Each round brackets every open rank of every column between two approximate
+    percentiles of its bracket and counts exactly below and inside, in two scans
+    for all; brackets shrink by orders of magnitude a round, and end in one
+    value or in few enough to sort.
     """
-    x = df.select(value_of(column).alias("x")).where("x is not null")
-    low, high = x.agg(F.min("x"), F.max("x")).first()
-    done: dict[int, float] = {}
-    open_ = {r: (low, high, 0, n) for r in ranks}  # first and last value, values below, values inside
+    names = list(wanted)
+    x = df.select(*[value_of(c).alias(f"c{i}") for i, c in enumerate(names)])
+    ends = x.agg(*[make(f"c{i}").alias(f"{k}{i}") for i in range(len(names)) for k, make in (("a", F.min), ("b", F.max))]).first()
+    done: dict[str, dict[int, float]] = {c: {} for c in names}
+    # column and rank: first and last value, values below, values inside
+    open_ = {(i, r): (ends[f"a{i}"], ends[f"b{i}"], 0, counts[c]) for i, c in enumerate(names) for r in wanted[c]}
+
+    def inside(i: int, a: float, b: float) -> Column:
+        return F.when(F.col(f"c{i}").between(a, b), F.col(f"c{i}"))
+
+    def settle(key: tuple[int, int], value: float) -> None:
+        done[names[key[0]]][key[1]] = value
+        del open_[key]
+
     while open_:
-        inside = lambda a, b: F.when(F.col("x").between(a, b), F.col("x"))
-        for r, (a, b, _, _) in list(open_.items()):
+        for key, (a, b, _, _) in list(open_.items()):
             if a == b:
-                done[r] = a
-                del open_[r]
-        few = {r: s for r, s in open_.items() if s[3] <= kept}
+                settle(key, a)
+        few, total = {}, 0
+        for key, state in sorted(open_.items(), key=lambda o: o[1][3]):
+            total += state[3]
+            if total > kept:
+                break
+            few[key] = state
         if few:
-            row = x.agg(*[F.element_at(F.array_sort(F.collect_list(inside(a, b))), F.lit(r - below + 1)).alias(str(r)) for r, (a, b, below, _) in few.items()]).first()
-            done |= {r: row[str(r)] for r in few}
-            open_ = {r: s for r, s in open_.items() if r not in few}
+            row = x.agg(*[F.element_at(F.array_sort(F.collect_list(inside(i, a, b))), F.lit(r - below + 1)).alias(f"{i}_{r}") for (i, r), (a, b, below, _) in few.items()]).first()
+            for i, r in few:
+                settle((i, r), row[f"{i}_{r}"])
         if not open_:
             break
-        near = {r: ((r - below) / m) for r, (_, _, below, m) in open_.items()}
+        near = {(i, r): (r - below) / m for (i, r), (_, _, below, m) in open_.items()}
         spread = lambda p: [max(0.0, p - 0.0003), min(1.0, p + 0.0003)]
-        row = x.agg(*[F.percentile_approx(inside(a, b), spread(near[r]), 10_000).alias(str(r)) for r, (a, b, _, _) in open_.items()]).first()
-        cut = {r: (row[str(r)][0], row[str(r)][1]) for r in open_}
-        row = x.agg(*[F.count(F.when(test, 1)).alias(f"{name}{r}") for r, (p, q) in cut.items() for name, test in (("a", F.col("x") < p), ("b", F.col("x") <= p), ("c", F.col("x") < q), ("d", F.col("x") <= q))]).first()
-        for r, (a, b, below, m) in list(open_.items()):
-            (p, q), (na, nb, nc, nd) = cut[r], (row[f"{k}{r}"] for k in "abcd")
+        row = x.agg(*[F.percentile_approx(inside(i, a, b), spread(near[i, r]), 10_000).alias(f"{i}_{r}") for (i, r), (a, b, _, _) in open_.items()]).first()
+        cut = {(i, r): tuple(row[f"{i}_{r}"]) for i, r in open_}
+        sides = {"a": lambda v, p, q: v < p, "b": lambda v, p, q: v <= p, "c": lambda v, p, q: v < q, "d": lambda v, p, q: v <= q}
+        row = x.agg(*[F.count(F.when(test(F.col(f"c{i}"), p, q), 1)).alias(f"{k}{i}_{r}") for (i, r), (p, q) in cut.items() for k, test in sides.items()]).first()
+        for (i, r), (a, b, below, m) in list(open_.items()):
+            (p, q), (na, nb, nc, nd) = cut[i, r], (row[f"{k}{i}_{r}"] for k in "abcd")
             if r < na:  # left of both cuts
-                open_[r] = (a, p, below, nb - below)
+                open_[i, r] = (a, p, below, nb - below)
             elif r < nb:
-                done[r] = p
-                del open_[r]
+                settle((i, r), p)
             elif r < nc:
-                open_[r] = (p, q, na, nd - na)
+                open_[i, r] = (p, q, na, nd - na)
             elif r < nd:
-                done[r] = q
-                del open_[r]
+                settle((i, r), q)
             else:
-                open_[r] = (q, b, nc, below + m - nc)
+                open_[i, r] = (q, b, nc, below + m - nc)
     return done

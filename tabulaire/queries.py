@@ -51,32 +51,36 @@ def _norm(norm: str, columns: list[str], size: str) -> Query:
     return Query("lineitem", lambda df: _rounded(normalize(df.select(*KEYS, *columns), norm, columns), columns), sql)
 
 
-#: Filter query: its table, columns, and where nulls are put, as column to (key, modulus).
-_GAPS: dict[str, tuple[str, list[str], dict[str, tuple[str, int]]]] = {
-    "retain_complete_samples": ("lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"], {"l_quantity": ("l_linenumber", 3), "l_returnflag": ("l_orderkey", 7)}),
-    "retain_common_samples_across_layers": ("orders", ["o_orderkey", "o_totalprice", "o_orderstatus"], {"o_totalprice": ("o_orderkey", 5), "o_orderstatus": ("o_orderkey", 11)}),
-    "assign_class_labels": ("customer", ["c_custkey", "c_acctbal", "c_mktsegment"], {"c_acctbal": ("c_custkey", 4), "c_mktsegment": ("c_custkey", 9)}),
-    "detect_classification_type": ("part", ["p_partkey", "p_brand", "p_size", "p_retailprice"], {"p_brand": ("p_partkey", 6), "p_size": ("p_partkey", 5)}),
-    "extract_subtype_labels": ("supplier", ["s_suppkey", "s_name", "s_acctbal"], {"s_name": ("s_suppkey", 3), "s_acctbal": ("s_suppkey", 8)}),
-    "annotate": ("events", ["event_id", "user_id", "event_type", "value"], {"event_type": ("event_id", 10), "value": ("user_id", 7)}),
-    "remove_low_variance": ("labels", ["doc_id", "quality", "toxic"], {"quality": ("doc_id", 5)}),
-    "remove_no_signal": ("documents", ["doc_id", "lang", "source", "n_chars"], {"lang": ("doc_id", 4), "n_chars": ("doc_id", 9)}),
-    "select_correlation": ("conversations", ["conv_id", "turn", "role", "text"], {"role": ("conv_id", 6), "text": ("turn", 4)}),
-    "select_top_features": ("nation", ["n_nationkey", "n_name", "n_regionkey"], {"n_name": ("n_nationkey", 4)}),
-    "data_extraction": ("pages", ["page_id", "url"], {"url": ("page_id", 3)}),
+#: Filter query: its table, and where nulls are put, as column to (key, modulus). Every column of the table counts.
+_GAPS: dict[str, tuple[str, dict[str, tuple[str, int]]]] = {
+    "retain_complete_samples": ("lineitem", {"l_quantity": ("l_linenumber", 3), "l_returnflag": ("l_orderkey", 7)}),
+    "retain_common_samples_across_layers": ("orders", {"o_totalprice": ("o_orderkey", 5), "o_orderstatus": ("o_orderkey", 11)}),
+    "assign_class_labels": ("customer", {"c_acctbal": ("c_custkey", 4), "c_mktsegment": ("c_custkey", 9)}),
+    "detect_classification_type": ("part", {"p_brand": ("p_partkey", 6), "p_size": ("p_partkey", 5)}),
+    "extract_subtype_labels": ("supplier", {"s_name": ("s_suppkey", 3), "s_acctbal": ("s_suppkey", 8)}),
+    "annotate": ("events", {"event_type": ("event_id", 10), "value": ("user_id", 7)}),
+    "remove_low_variance": ("labels", {"quality": ("doc_id", 5)}),
+    "remove_no_signal": ("documents", {"lang": ("doc_id", 4), "n_chars": ("doc_id", 9)}),
+    "select_correlation": ("conversations", {"role": ("conv_id", 6), "text": ("turn", 4)}),
+    "select_top_features": ("nation", {"n_name": ("n_nationkey", 4)}),
+    "data_extraction": ("pages", {"url": ("page_id", 3)}),
 }
+#: Points in time are compared as microseconds, whatever an engine calls their type.
+_TIMES = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
 
 
 def _filter(name: str) -> Query:
-    table, columns, gaps = _GAPS[name]
+    table, gaps = _GAPS[name]
+    time = _TIMES.get(table)
 
     def build(df: DataFrame) -> DataFrame:
-        holes = {c: F.when(F.col(k) % m != 0, F.col(c)) for c, (k, m) in gaps.items()}
-        return complete_cases(df.select(*[holes.get(c, F.col(c)).alias(c) for c in columns]))
+        new = {c: F.when(F.col(k) % m != 0, F.col(c)) for c, (k, m) in gaps.items()}
+        if time:
+            new[time] = F.unix_micros(F.col(time).cast("timestamp"))
+        return complete_cases(df.select(*[new.get(c, F.col(c)).alias(c) for c in df.columns]))
 
-    put = ", ".join(f"CASE WHEN {gaps[c][0]} % {gaps[c][1]} <> 0 THEN {c} END AS {c}" if c in gaps else c for c in columns)
-    sql = f"SELECT * FROM (SELECT {put} FROM {table}) WHERE {' AND '.join(f'{c} IS NOT NULL' for c in columns)}"
-    return Query(table, build, sql)
+    put = [f"CASE WHEN {k} % {m} <> 0 THEN {c} END AS {c}" for c, (k, m) in gaps.items()] + [f"epoch_us({time}) AS {time}"] * bool(time)
+    return Query(table, build, f"SELECT * FROM (SELECT * REPLACE ({', '.join(put)}) FROM {table}) WHERE COLUMNS(*) IS NOT NULL")
 
 
 _WITH_GAPS = "(SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS l_quantity FROM lineitem)"

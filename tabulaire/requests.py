@@ -1,44 +1,35 @@
-"""Requests and responses of the processes: checked records that JSON objects turn into.
+"""Requests and responses: parameters of every process, and the envelopes of the seven families.
 
-Every name is camelCase in JSON and snake_case in Python; unknown names are
-rejected. ``copy`` and ``chunkSize`` are accepted, checked and reported, and
-change nothing: Spark has partitions instead of chunks.
+``copy`` and ``chunkSize`` are accepted, checked and reported, and change
+nothing: Spark has partitions instead of chunks. An envelope differs by process
+in the types of its parameters and report alone, so the envelopes are made from
+the table of processes (see ``envelopes``).
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, make_dataclass
 from datetime import datetime
-from typing import Any, Self
 
-from tabulaire.report import Error, Metadata, Report, StorageLocation
+from tabulaire.records import Record
+from tabulaire.report import (
+    Error,
+    FeatureExtractionInfo,
+    FeatureMatrixInfo,
+    FilterInfo,
+    MaxAbsInfo,
+    Metadata,
+    MinMaxInfo,
+    NormInfo,
+    Report,
+    RobustInfo,
+    StandardInfo,
+    StorageLocation,
+    report_of,
+)
 from tabulaire.tools import utc_now
 
 
-def _snake(name: str) -> str:
-    return re.sub(r"(?<=[a-z0-9])([A-Z])", lambda m: "_" + m[1].lower(), name)
-
-
-def _camel(name: str) -> str:
-    return re.sub(r"_([a-z0-9])", lambda m: m[1].upper(), name)
-
-
-class Record:
-    @classmethod
-    def of(cls, given: Mapping[str, Any]) -> Self:
-        """From a JSON object; names in either form, unknown ones are an error."""
-        known = {f.name for f in fields(cls)}
-        named = {_snake(k): v for k, v in given.items()}
-        if odd := sorted(k for k in given if _snake(k) not in known):
-            raise ValueError(f"unknown fields: {odd}")
-        return cls(**named)
-
-    def to_json(self) -> dict[str, Any]:
-        return {_camel(f.name): getattr(self, f.name) for f in fields(self)}
-
-
 @dataclass
 class ColumnRequest(Record):
     numeric_columns: list[str] | None = None
@@ -58,12 +49,12 @@ class StandardRequest(ColumnRequest):
 
 @dataclass
 class MinMaxRequest(ColumnRequest):
-    feature_range: tuple[float, float] = (0, 1)
+    feature_range: tuple[float, float] = (0.0, 1.0)
     clip: bool = False
 
     def __post_init__(self) -> None:
         super().__post_init__()
-        low, high = self.feature_range = tuple(self.feature_range)
+        low, high = self.feature_range = tuple(map(float, self.feature_range))
         if not low < high:
             raise ValueError("featureRange minimum must be less than its maximum")
 
@@ -82,7 +73,7 @@ class RobustRequest(ColumnRequest):
 
     def __post_init__(self) -> None:
         super().__post_init__()
-        low, high = self.quantile_range = tuple(self.quantile_range)
+        low, high = self.quantile_range = tuple(map(float, self.quantile_range))
         if not 0 < low < high < 100:
             raise ValueError("quantileRange must satisfy 0 < low < high < 100")
 
@@ -106,36 +97,96 @@ class FeatureExtractionRequest(Record):
     excluded_columns: list[str] = field(default_factory=list)
 
 
-@dataclass
-class ProcessRequest(Record):
-    """The envelope of a request: what to run, on which table, and where results go (None for header listings)."""
+@dataclass(kw_only=True)
+class FamilyRequest(Record):
+    """What every request says; a family's requests add ``<family>_process_request``. No output is written by header listings."""
 
     dataset_id: str
-    process: str
     input_blob: StorageLocation
     output_blob: StorageLocation | None = None
-    parameters: dict[str, Any] = field(default_factory=dict)
     requested_by: str | None = None
     requested_at: datetime = field(default_factory=utc_now)
     request_metadata: Metadata | None = None
 
+    def __post_init__(self) -> None:
+        if not self.dataset_id:
+            raise ValueError("datasetId must not be empty")
+
+
+@dataclass(kw_only=True)
+class FamilyResponse(Record):
+    """What every response says; a family's responses add ``<family>_process_request`` and ``<family>_process_response``, null in errors."""
 
-@dataclass
-class ProcessResponse(Record):
     dataset_id: str
     experiment_id: str
     trace_id: str
     success: bool
     status_code: int
     message: str
-    completed_at: datetime
     time_consumed_ms: float
-    report: Report | None = None
-    error: Error | None = None
+    requested_by: str | None = None
+    requested_at: datetime = field(default_factory=utc_now)
+    completed_at: datetime = field(default_factory=utc_now)
+    input_blob: StorageLocation | None = None
+    output_blob: StorageLocation | None = None
+    request_metadata: Metadata | None = None
     response_metadata: Metadata | None = None
+    error: Error | None = None
 
     def __post_init__(self) -> None:
         if not 100 <= self.status_code <= 599:
             raise ValueError("statusCode must be from 100 to 599")
         if self.time_consumed_ms < 0:
             raise ValueError("timeConsumedMs must not be negative")
+        if self.success != (self.error is None):
+            raise ValueError("a response has an error if and only if it has no success")
+
+
+#: Process to its family, parameters and what it reports; filters are added by name.
+PROCESSES: dict[str, tuple[str, type[Record], type[Record]]] = {
+    "standard_standardization": ("standardization", StandardRequest, StandardInfo),
+    "min_max_standardization": ("standardization", MinMaxRequest, MinMaxInfo),
+    "max_abs_standardization": ("standardization", MaxAbsRequest, MaxAbsInfo),
+    "robust_standardization": ("standardization", RobustRequest, RobustInfo),
+    **{f"{norm}_normalization": ("normalization", ColumnRequest, NormInfo) for norm in ("l1", "l2", "max")},
+    **dict.fromkeys(("retain_complete_samples", "retain_common_samples_across_layers"), ("sample_selection", FilterRequest, FilterInfo)),
+    **dict.fromkeys(("assign_class_labels", "detect_classification_type", "extract_subtype_labels"), ("class_labels", FilterRequest, FilterInfo)),
+    **dict.fromkeys(("annotate", "remove_low_variance", "remove_no_signal", "select_correlation", "select_top_features"), ("feature_selection", FilterRequest, FilterInfo)),
+    "data_extraction": ("matrix_extraction", FilterRequest, FilterInfo),
+    "create_defined_feature_matrix": ("design_matrix", FeatureMatrixRequest, FeatureMatrixInfo),
+    "feature_extraction": ("design_matrix", FeatureExtractionRequest, FeatureExtractionInfo),
+}
+
+
+@dataclass(frozen=True)
+class Envelopes:
+    """The types that go with a process."""
+
+    family: str
+    parameters: type[Record]
+    report: type[Report]
+    request: type[FamilyRequest]
+    response: type[FamilyResponse]
+
+    @property
+    def asked(self) -> str:
+        return f"{self.family}_process_request"
+
+    @property
+    def answered(self) -> str:
+        return f"{self.family}_process_response"
+
+
+def envelopes(process: str) -> Envelopes:
+    family, parameters, info = PROCESSES[process]
+    name = "".join(part.title() for part in process.split("_"))
+    report = report_of(f"{name}Report", info)
+    asked = f"{family}_process_request"
+    request = make_dataclass(f"{name}Request", [(asked, parameters)], bases=(FamilyRequest,), kw_only=True)
+    answers = [(asked, parameters | None, field(default=None)), (f"{family}_process_response", report | None, field(default=None))]
+    return Envelopes(family, parameters, report, request, make_dataclass(f"{name}Response", answers, bases=(FamilyResponse,), kw_only=True))
+
+
+ENVELOPES: dict[str, Envelopes] = {process: envelopes(process) for process in PROCESSES}
+#: Families and their processes.
+FAMILIES: dict[str, tuple[str, ...]] = {f: tuple(p for p, (own, _, _) in PROCESSES.items() if own == f) for f in dict.fromkeys(f for f, _, _ in PROCESSES.values())}

@@ -59,6 +59,12 @@ def _reader(spark: SparkSession, separator: str, multiline: bool):
     return spark.read.option("sep", separator).option("quote", '"').option("escape", '"').option("multiLine", multiline).option("nullValue", _NEVER).option("emptyValue", "").option("mode", "PERMISSIVE").option("maxColumns", 200_000).option("maxCharsPerColumn", -1)
 
 
+def breaks_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a record may go on in the next line: some line has an odd number of quotes. Read as plain lines, in parallel."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def read_header(spark: SparkSession, path: str, multiline: bool = True) -> list[str]:
     """The column names of a file; only its first record is read."""
     first = _reader(spark, separator_of(path), multiline).option("header", False).csv(path).limit(1).collect()
@@ -71,13 +77,16 @@ def _presence(text: Column) -> Column:
     return F.when(text.isin(*MISSING), None).otherwise(text)
 
 
-def read_delimited(spark: SparkSession, path: str, *, multiline: bool = True, types: dict[str, T.DataType] | None = None, preserve_order: bool = False) -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, *, multiline: bool | None = None, types: dict[str, T.DataType] | None = None, preserve_order: bool = False) -> DataFrame:
     """A typed table from CSV or TSV, by the extension of ``path``.
 
-    ``multiline`` allows line breaks in quotes; without it large files are
-    split over tasks. ``types`` skips inference for the columns it names.
-    ``preserve_order`` adds ``_row``, numbers that rise in file order.
+    Large files are split over tasks, unless quotes hold line breaks:
+    ``multiline`` says so, or is found out by a look at the lines (None).
+    ``types`` skips inference for the columns it names. ``preserve_order`` adds
+    ``_row``, numbers that rise in file order.
     """
+    separator_of(path)
+    multiline = breaks_lines(spark, path) if multiline is None else multiline
     names = read_header(spark, path, multiline)
     slots = [f"c{i}" for i in range(len(names) + 1)]  # one more than the header, to notice long rows
     schema = T.StructType([T.StructField(s, T.StringType()) for s in slots])

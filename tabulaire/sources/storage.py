@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import pickle
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -22,7 +25,7 @@ def create_container(spark: SparkSession, path: str) -> bool:
 
 
 def upload(spark: SparkSession, location: StorageLocation | str, data: bytes) -> int:
-    """Writes bytes, replacing what is there; the containing folder is made first."""
+    """Writes bytes, replacing what is there; the containing folder is made first. ``in_background`` does not wait."""
     path = location if isinstance(location, str) else location.path
     create_container(spark, path.rpartition("/")[0])
     fs, p = _at(spark, path)
@@ -32,6 +35,14 @@ def upload(spark: SparkSession, location: StorageLocation | str, data: bytes) ->
     return len(data)
 
 
+def in_background(work: Callable[..., Any], *arguments: Any) -> Future:
+    """``upload`` or ``download`` while the caller goes on; its result is the future's."""
+    pool = ThreadPoolExecutor(1)
+    future = pool.submit(work, *arguments)
+    pool.shutdown(wait=False)
+    return future
+
+
 def download(spark: SparkSession, location: StorageLocation | str) -> bytes:
     path = location if isinstance(location, str) else location.path
     if not path.strip():
@@ -39,12 +50,18 @@ def download(spark: SparkSession, location: StorageLocation | str) -> bytes:
     return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
 
 
-def save_model(spark: SparkSession, root: str, request_id: str, model: Any, kind: str = "svm") -> str:
-    """Pickles a model to ``experiments/{request_id}_{kind}_model.pickle`` below ``root``; the path."""
+def save_model(spark: SparkSession, root: str, request_id: str, model: Any, kind: str = "svm", model_type: str = "support-vector-machine") -> str:
+    """Pickles a model to ``experiments/{request_id}_{kind}_model.pickle`` below ``root``, with its metadata beside it; the path."""
     path = f"{root.rstrip('/')}/experiments/{request_id}_{kind}_model.pickle"
     upload(spark, path, pickle.dumps(model))
+    upload(spark, f"{path}.metadata.json", json.dumps({"request_id": request_id, "model_type": model_type}).encode())
     return path
 
 
+def model_metadata(spark: SparkSession, path: str) -> dict[str, str]:
+    """What ``save_model`` wrote about the model at ``path``."""
+    return json.loads(download(spark, f"{path}.metadata.json"))
+
+
 def load_model(spark: SparkSession, path: str) -> Any:
     return pickle.loads(download(spark, path))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tomllib
 import uuid
 from collections.abc import Mapping
@@ -28,17 +29,22 @@ def parse_experiment_id(body: Mapping[str, object]) -> str:
         return str(uuid.uuid4())
 
 
+#: The headers that carry a trace, and the shape of the second one: version, trace, span and flags.
+TRACE_HEADERS = ("X-Trace-ID", "traceparent")
+_PARENT = re.compile(r"[^-]*-([^-]{32})-[^-]*-[^-]*")
+
+
 def get_trace_id(headers: Mapping[str, str]) -> str:
-    """``X-Trace-ID``, else the trace of a four-part ``traceparent``, else a new id."""
-    if given := headers.get("X-Trace-ID"):
-        return given
-    fields = (headers.get("traceparent") or "").split("-")
-    return fields[1] if len(fields) == 4 and len(fields[1]) == 32 else uuid.uuid4().hex
+    """The trace that a request belongs to; a new one if its headers name none."""
+    own, parent = (headers.get(h) or "" for h in TRACE_HEADERS)
+    known = _PARENT.fullmatch(parent)
+    return own or (known[1] if known else uuid.uuid4().hex)
 
 
 def to_string_keyed_dict(value: object) -> dict[str, object]:
-    """The entries of a dict whose keys are texts; nothing for any other value."""
-    return {k: v for k, v in value.items() if isinstance(k, str)} if isinstance(value, dict) else {}
+    """What a JSON object can hold of ``value``: a dict's entries under text keys, nothing of anything else."""
+    entries = value.items() if isinstance(value, dict) else ()
+    return dict(e for e in entries if isinstance(e[0], str))
 
 
 @lru_cache

@@ -166,11 +166,26 @@ def test_selected_ranks_equal_percentiles(spark):
     df = spark.range(20_000).selectExpr("case when id % 3 = 0 then 7.0d else cast(pmod(hash(id), 5000) as double) end as x")
     everything = sorted(r.x for r in df.collect())
     ranks = [0, 17, 9_999, 10_000, 15_000, 19_999]
-    assert select_ranks(df, "x", ranks, len(everything), kept=50) == {r: everything[r] for r in ranks}
+    assert select_ranks(df, {"x": ranks}, {"x": len(everything)}, kept=50) == {"x": {r: everything[r] for r in ranks}}
     odds = [0.25, 0.5, 0.75]
     assert exact_quantiles(df, ["x"], odds, {"x": len(everything)}, most=10)["x"] == pytest.approx(exact_quantiles(df, ["x"], odds, {"x": len(everything)})["x"])
 
 
+def test_quantiles_of_many_columns(spark):
+    """Sixty columns, one of them empty: brackets equal buffers, and rounds scan the table for all columns at once."""
+    df = spark.range(3000).selectExpr(*[f"cast(pmod(hash(id, {i}), {10 ** (i % 5 + 1)}) as double) as x{i}" for i in range(59)], "cast(null as double) as x59").repartition(3).cache()
+    counts = dict.fromkeys(df.columns, 3000) | {"x59": 0}
+    odds = [0.1, 0.5, 0.9]
+    buffers = exact_quantiles(df, df.columns, odds, counts)
+    tracker, group = spark.sparkContext.statusTracker(), "brackets"
+    spark.sparkContext.setJobGroup(group, group)
+    brackets = exact_quantiles(df, df.columns, odds, counts, most=1000)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert brackets == {c: pytest.approx(q) if q[0] is not None else q for c, q in buffers.items()} and buffers["x59"] == [None] * 3
+    assert len(tracker.getJobIdsForGroup(group)) <= 20
+    df.unpersist()
+
+
 table = st.lists(st.tuples(st.one_of(st.none(), st.floats(-1e6, 1e6)), st.floats(-1e3, 1e3)), min_size=1, max_size=12)
 
 

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 
 from tabulaire.sources import read_delimited, read_header, read_table, write_delimited
-from tabulaire.sources.delimited import column_names
+from tabulaire.sources.delimited import breaks_lines, column_names
 
 QUIRKS = {
     "tokens": "a,b,c\n1,NA,x\n2,n/a,null\n3,,Na\n4,<NA>,-\n",
@@ -74,10 +74,21 @@ def test_round_trip(spark, tmp_path, name):
     assert read_header(spark, path) == df.columns
 
 
+def _splits(df):
+    """Whether large files would be split, as the scan's options say."""
+    scan = df._jdf.queryExecution().analyzed().collectLeaves().head().relation()
+    return f"multiLine={scan.options().apply('multiLine')}"
+
+
 def test_parallel_parts_and_parquet(spark, tmp_path):
     df = spark.range(100).selectExpr("id", "id * 2 as twice").repartition(4)
     folder = str(tmp_path / "parts.csv")
     write_delimited(df, folder, single=False)
-    assert read_table(spark, folder, multiline=False).count() == 100
+    assert read_table(spark, folder).count() == 100
+    (tmp_path / "broken.csv").write_text('a,b\n"x\ny",1\nz,2\n')
+    (tmp_path / "whole.csv").write_text('a,b\n"x y",1\n"z ""q""",2\n')
+    assert breaks_lines(spark, str(tmp_path / "broken.csv")) and not breaks_lines(spark, str(tmp_path / "whole.csv")) and not breaks_lines(spark, folder)
+    assert sorted(r.a for r in read_table(spark, str(tmp_path / "broken.csv")).collect()) == ["x\ny", "z"]
+    assert "multiLine=false" in _splits(read_table(spark, str(tmp_path / "whole.csv"))) and "multiLine=true" in _splits(read_table(spark, str(tmp_path / "broken.csv")))
     df.write.parquet(str(tmp_path / "t.parquet"))
     assert read_table(spark, str(tmp_path / "t.parquet")).count() == 100
