@@ -65,7 +65,7 @@ _GAPS: dict[str, tuple[str, dict[str, tuple[str, int]]]] = {
     "select_top_features": ("nation", {"n_name": ("n_nationkey", 4)}),
     "data_extraction": ("pages", {"url": ("page_id", 3)}),
 }
-#: Points in time are compared as microseconds, whatever an engine calls their type.
+#: Points in time are compared as texts, whatever an engine calls their type and whatever the session's time zone.
 _TIMES = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
 
 
@@ -76,10 +76,10 @@ def _filter(name: str) -> Query:
     def build(df: DataFrame) -> DataFrame:
         new = {c: F.when(F.col(k) % m != 0, F.col(c)) for c, (k, m) in gaps.items()}
         if time:
-            new[time] = F.unix_micros(F.col(time).cast("timestamp"))
+            new[time] = F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         return complete_cases(df.select(*[new.get(c, F.col(c)).alias(c) for c in df.columns]))
 
-    put = [f"CASE WHEN {k} % {m} <> 0 THEN {c} END AS {c}" for c, (k, m) in gaps.items()] + [f"epoch_us({time}) AS {time}"] * bool(time)
+    put = [f"CASE WHEN {k} % {m} <> 0 THEN {c} END AS {c}" for c, (k, m) in gaps.items()] + [f"strftime({time}, '%Y-%m-%d %H:%M:%S.%f') AS {time}"] * bool(time)
     return Query(table, build, f"SELECT * FROM (SELECT * REPLACE ({', '.join(put)}) FROM {table}) WHERE COLUMNS(*) IS NOT NULL")
 
 
