@@ -432,7 +432,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, tolerance:
     there is, or null; repeated rows are copies; an empty table gives an empty
     result; other columns are ignored.
     """
-    return _classes(docs, similarity, tolerance, doc_id, text).select("doc_id", "class_id", "n_links", "n_copies")
+    return _classes(docs, similarity, tolerance, doc_id, text)[0].select("doc_id", "class_id", "n_links", "n_copies")
 
 
 def _sized(nodes: DataFrame, name: str) -> DataFrame:
@@ -465,19 +465,19 @@ def _candidates(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     return sets
 
 
-def _refined(sets: DataFrame) -> DataFrame:
-    """``sets`` with the components of more than a block parted by the longer bands."""
+def _refined(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``sets`` with the components of more than a block parted by the longer bands; and the written table that says how."""
     large = sets.where(F.col("n") > BLOCK)
     packed = keep(large.mapInArrow(_sketch_again, PACKED), "longer-bands")
     parts = components(candidate_links(packed, LONG[0] * large.count()), "longer-links")
-    sized = _sized(large.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).join(parts, "node"), "refined").drop("size")
+    sized = _sized(large.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).join(parts, "node"), "refined")
     forget(packed)
     forget(parts)
-    return sets.where(F.col("n") <= BLOCK).unionByName(large.select("node", "shingles").join(sized, "node"))
+    return sets.where(F.col("n") <= BLOCK).unionByName(large.select("node", "shingles").join(sized.drop("size"), "node")), sized
 
 
-def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """As ``near_duplicates``, with each row's xxhash64 of its text (hash) and that of its class's first row (class_hash).
+def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[DataFrame]]:
+    """As ``near_duplicates``, with each row's xxhash64 of its text (hash) and that of its class's first row (class_hash); and the written tables it reads.
 
     The first row of a class has its smallest doc_id (null: only if all are) and, of these, the smallest hash.
     """
@@ -485,25 +485,31 @@ def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, d
     bounded_arrow(spark)
     rows = only(docs, doc_id=doc_id, text=text).withColumns({"doc_id": F.col("doc_id").cast("long"), "hash": F.xxhash64("text")})
     sketched = keep(rows.mapInArrow(_sketch, f"node long, doc_id long, hash long, same binary, size long, {PACKED}"), "sketches")
-    placed = _refined(_candidates(rows, sketched))
+    sets = _candidates(rows, sketched)
+    placed, refined = _refined(sets)
     n, size = F.col("n"), 8 * F.col("total")
     blocks = F.greatest(F.least(F.ceil(n / BLOCK), F.lit(16)), F.ceil(n / MOST), F.ceil(size / BLOCK_BYTES)).cast("int")
     placed = placed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "block", "shingles")
     dealt = pairs.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
     found = keep(dealt.mapInArrow(_verify(similarity, tolerance), "a long, b long, links long"), "links")
+    forget(sets)
+    forget(refined)
     counts = found.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n_links"))
     classes = components(found.where("a <> b").select("a", "b"), "links-of-classes")
     documents = sketched.where("same is not null").select("node", "doc_id", "hash", "same")
     texts = documents.groupBy("same").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")).alias("least"), F.count("*").alias("n_copies"))
     texts = keep(texts, "texts")
     linked = keep(documents.select("node", "same").join(counts, "node").join(classes, "node").join(texts.select("same", "least"), "same"), "linked")
+    forget(found)
+    forget(classes)
+    tables = [sketched, texts, linked]
     firsts = linked.groupBy("component").agg(F.min("least").alias("least_of_class"), F.count("*").alias("n"))
     linked = hot_join(linked, firsts.drop("n"), "component", ["node"], firsts.where(F.col("n") >= often(linked.count())).select("component")).select("same", "n_links", "least_of_class")
     first = F.coalesce("least_of_class", "least")
     named = texts.join(linked, "same", "left").select("same", first["doc_id"].alias("class_id"), first["hash"].alias("class_hash"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n_copies").cast("long").alias("n_copies"))
     hot = texts.where(F.col("n_copies") >= often(documents.count())).select("same")
-    return hot_join(documents, named, "same", ["node"], hot).drop("node", "same")
+    return hot_join(documents, named, "same", ["node"], hot).drop("node", "same"), tables
 
 
 def first_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -517,8 +523,11 @@ def first_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     mark = lambda i, h: F.xxhash64(i, h)
     name = "_mark" + max([c for c in docs.columns if c.startswith("_mark")], default="")  # no column of docs
     first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("hash") == F.col("class_hash"))
-    rows = _classes(docs, similarity).select(mark("doc_id", "hash").alias(name), first.alias("first"), "n_copies").where("not first or n_copies > 1")
+    classes, tables = _classes(docs, similarity)
+    rows = classes.select(mark("doc_id", "hash").alias(name), first.alias("first"), "n_copies").where("not first or n_copies > 1")
     found = keep(rows.groupBy(name).agg(F.max("first").alias("first"), F.count("*").alias("n")).where("not first or n > 1"), "repeated")
+    for old in tables:
+        forget(old)
     own = mark(docs["doc_id"].cast("long"), F.xxhash64(docs["text"]))
     may = sieve(found.select(F.col(name).alias("key")))
     # most rows are no candidates for dropping and take no part in a join

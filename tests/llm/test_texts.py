@@ -309,3 +309,42 @@ def test_longer_bands_keep_similar_texts_together():
             assert not similar or bands[0] & bands[1]
             apart += not bands[0] & bands[2]
     assert apart > 110
+
+
+def prefix_links(sets):
+    """All pairs of similarity 0.8 or more: every pair that shares one of the rarest shingles of either is compared."""
+    sizes = [len(x) for x in sets]
+    number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    rank = np.argsort(np.argsort(count, kind="stable"), kind="stable")[number]
+    ends = np.r_[0, np.cumsum(sizes)]
+    own = [np.sort(rank[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+    index, links = {}, []
+    for i in np.argsort(sizes, kind="stable"):
+        prefix = own[i][: sizes[i] - -(-4 * sizes[i] // 5) + 1].tolist()
+        for j in {j for g in prefix for j in index.get(g, ())}:
+            both = len(np.intersect1d(own[i], own[j], assume_unique=True))
+            if both >= 0.8 * (sizes[i] + sizes[j] - both) - 1e-9:
+                links.append((i, j))
+        for g in prefix:
+            index.setdefault(g, []).append(i)
+    return links
+
+
+def test_recall_at_ten_thousand_documents(spark):
+    """Every link and class of sf0.1, against all pairs that can be similar."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    texts: dict = {}
+    for r in docs.collect():
+        texts.setdefault(tuple(words(r.text)), []).append(r.doc_id)
+    keys = list(texts)
+    links = prefix_links([near.shingles(word_hashes(b" ".join(w))) for w in keys])
+    n_links, label = [0] * len(keys), [min(texts[w]) for w in keys]
+    for i, j in links:
+        n_links[i] += 1
+        n_links[j] += 1
+    for _ in range(20):
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    expected = {i: (label[n], n_links[n], len(texts[w])) for n, w in enumerate(keys) for i in texts[w]}
+    got = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in near.near_duplicates(docs).collect()}
+    assert got == expected and len(links) > 50
