@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabulaire.llm import decontaminate, language, near, toxicity
-from tabulaire.llm.common import fold_of, keep, only, table
+from tabulaire.llm.common import fold_of, forget, keep, only, table
 from tabulaire.llm.packing import pack_documents
 from tabulaire.llm.words import keep_rows
 
@@ -98,7 +98,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = keep(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            forget(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
