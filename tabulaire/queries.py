@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabulaire import process_queries
 from tabulaire.operators import FILTERS, complete_cases, extract_features, normalize, select_features, standardize
 
 Build = Callable[[DataFrame], DataFrame]
@@ -143,8 +144,8 @@ QUERIES["min_max_range_clip"] = Query("part", _min_max_clip, f"SELECT p_partkey,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: q.run for name, q in QUERIES.items()}
+    return {name: q.run for name, q in (QUERIES | process_queries.QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: q.sql for name, q in QUERIES.items()}
+    return {name: q.sql for name, q in (QUERIES | process_queries.QUERIES).items()}

@@ -5,9 +5,10 @@ import os
 import duckdb
 import pytest
 
-from tabulaire.queries import QUERIES
+from tabulaire import process_queries, queries
 from tests.conftest import DATA
 
+QUERIES = queries.QUERIES | process_queries.QUERIES
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
