@@ -10,14 +10,16 @@ follows the overall rate (``ODDS`` times its odds): it must be worse than others
 beyond doubt, be there 200 outcomes in all or millions. Fixed rules go before
 reputation.
 
-Everything is counted before it is shuffled; keys of very many rows are dealt
-over tasks. Only three prior strengths and the overall rate come to the driver.
+Everything is counted before it is shuffled; hosts of very many pages are dealt
+over tasks, and domains and suffixes of very many hosts are split by adaptive
+execution, for they are joined with one row each. Only three prior strengths and the overall rate come to the driver.
 """
 
 from __future__ import annotations
 
 import string
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -98,41 +100,36 @@ class Reputation:
         return odds * self.rate / (1 - self.rate + odds * self.rate)
 
 
-def _strength(children: DataFrame, n: str, k: str, of_n: str, of_k: str) -> float:
-    """Strength of the beta prior that parents give children, by the method of moments.
-
-    ``of_n`` and ``of_k`` are the parent's counts on each child's row.
-    """
+def _spread(children: DataFrame, n: str, k: str, of_n: str, of_k: str) -> DataFrame:
+    """One row of sums that say how far children's rates lie from their parents'; ``of_n`` and ``of_k`` are the parent's counts on each child's row."""
     p, own, share = F.try_divide(of_k, of_n), F.try_divide(k, n), F.try_divide(n, of_n)
-    total, seen, expected, binomial = children.agg(
-        F.sum(n), F.sum(F.col(n) * (own - p) * (own - p)), F.sum(p * (1 - p) * (1 - share)), F.sum(F.col(n) * p * (1 - p))
-    ).first()
+    return children.agg(F.sum(n).alias("total"), F.sum(F.col(n) * (own - p) * (own - p)).alias("seen"), F.sum(p * (1 - p) * (1 - share)).alias("expected"), F.sum(F.col(n) * p * (1 - p)).alias("binomial"))
+
+
+def _strength(total: float | None, seen: float | None, expected: float | None, binomial: float | None) -> float:
+    """Strength of the beta prior that parents give children, by the method of moments."""
     if not total or not binomial:
         return STRENGTH[0]
     between = max((seen - expected) / total, 1e-9)
     return min(max(binomial / total / between - 1, STRENGTH[0]), STRENGTH[1])
 
 
-def _up(children: DataFrame, parents: DataFrame, on: str, spread: str, how: str = "left") -> DataFrame:
-    """``children`` with the counts of their parents (one row a key); parents of very many children are dealt over tasks."""
-    counts = children.groupBy(on).agg(F.count("*").alias("n"))
-    return hot_join(children, parents, on, [spread], counts.where(F.col("n") >= often(children.count())).select(on), how)
-
-
 def learn(outcomes: DataFrame, many: tuple[str, ...] = MANY) -> Reputation:
     """Counts labelled outcomes, rows of (host, bad): bad 0 or 1, null not counted."""
     counted = outcomes.where("bad is not null").groupBy(site_of(F.col("host")).alias("site")).agg(F.count("*").alias("n_h"), F.sum("bad").alias("k_h"))
     suffix = suffix_of(F.col("site"), many)
     sites = keep(counted.select("site", domain_of(F.col("site"), suffix).alias("domain"), suffix.alias("suffix"), "n_h", "k_h"), "sites")
-    domains = keep(sites.groupBy("domain", "suffix").agg(F.sum("n_h").alias("n_d"), F.sum("k_h").alias("k_d")), "domains")
-    suffixes = keep(domains.groupBy("suffix").agg(F.sum("n_d").alias("n_s"), F.sum("k_d").alias("k_s")), "suffixes")
-    n, k = suffixes.agg(F.sum("n_s"), F.sum("k_s")).first()
-    up = (
-        _strength(_up(sites, domains.drop("suffix"), "domain", "site", "inner"), "n_h", "k_h", "n_d", "k_d"),
-        _strength(_up(domains, suffixes, "suffix", "domain", "inner"), "n_d", "k_d", "n_s", "k_s"),
-        _strength(suffixes.withColumns({"n_all": F.lit(n or 0), "k_all": F.lit(k or 0)}), "n_s", "k_s", "n_all", "k_all"),
-    )
-    return Reputation(sites, domains, suffixes, (k / n) if n else 0.0, up, many)
+    domains = sites.groupBy("domain", "suffix").agg(F.sum("n_h").alias("n_d"), F.sum("k_h").alias("k_d"))
+    suffixes = sites.groupBy("suffix").agg(F.sum("n_h").alias("n_s"), F.sum("k_h").alias("k_s"))
+    n, k = sites.agg(F.sum("n_h"), F.sum("k_h")).first()
+    levels = [
+        _spread(sites.join(domains.drop("suffix"), "domain"), "n_h", "k_h", "n_d", "k_d"),
+        _spread(domains.join(suffixes, "suffix"), "n_d", "k_d", "n_s", "k_s"),
+        _spread(suffixes.withColumns({"n_all": F.lit(n or 0), "k_all": F.lit(k or 0)}), "n_s", "k_s", "n_all", "k_all"),
+    ]
+    sums = {r.level: r for r in reduce(DataFrame.unionByName, [s.withColumn("level", F.lit(i)) for i, s in enumerate(levels)]).collect()}
+    strengths = tuple(_strength(*[float(x) if x is not None else None for x in sums[i][:4]]) for i in range(3))
+    return Reputation(sites, domains, suffixes, (k / n) if n else 0.0, strengths, many)
 
 
 def reputations(hosts: DataFrame, known: Reputation, z: float = Z) -> DataFrame:
@@ -142,8 +139,7 @@ def reputations(hosts: DataFrame, known: Reputation, z: float = Z) -> DataFrame:
     suffix = suffix_of(F.col("site"), known.many)
     rows = hosts.select("host", site.alias("site")).select("host", "site", domain_of(F.col("site"), suffix).alias("domain"), suffix.alias("suffix"))
     rows = rows.join(known.sites.select("site", "n_h", "k_h"), "site", "left")
-    rows = _up(rows, known.domains.drop("suffix"), "domain", "host")
-    rows = _up(rows, known.suffixes, "suffix", "host")
+    rows = rows.join(known.domains.drop("suffix"), "domain", "left").join(known.suffixes, "suffix", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     m_s = (zero("k_s") + per_suffix * F.lit(known.rate)) / (zero("n_s") + per_suffix)
     m_d = (zero("k_d") + per_domain * m_s) / (zero("n_d") + per_domain)
@@ -168,8 +164,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[tuple[str, str], .
     rows = only(pages, page_id=page_id, url=url).select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     known = learn(outcomes, many)
     counts = keep(rows.groupBy("host").agg(F.count("*").alias("n")), "hosts")
-    hosts = reputations(counts.select("host"), known, z)
     total = counts.agg(F.sum("n")).first()[0] or 0
+    hosts = reputations(counts.select("host"), known, z)
     rows = hot_join(rows, hosts, "host", ["page_id", "path"], counts.where(F.col("n") >= often(total)).select("host"), "left")
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
     return rows.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(says, F.when(F.col("bad_bound") > known.limit(odds), "block").otherwise("allow")).alias("verdict"), "bad_rate", "bad_bound")
