@@ -112,22 +112,36 @@ def least_matches(similarity: float, tolerance: float) -> list[int]:
 
 
 def _linked(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys in order, the first node of each, and the links (node, first node) of all others, each once."""
+    """The distinct keys in order, the first node of each, and links (node, first node) of all others."""
     order = np.lexsort((nodes, keys))
     keys, nodes = keys[order], nodes[order]
     first = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
     hub = nodes[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
     ok = nodes != hub
-    a, b = _once(nodes[ok], hub[ok])
-    return keys[first], nodes[first], a, b
+    return keys[first], nodes[first], nodes[ok], hub[ok]
 
 
-def _once(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs."""
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
-    return a[new], b[new]
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of ``n`` things the smallest that the links (i, j) connect it to."""
+    root = np.arange(n)
+    while True:
+        # links pull both roots down to the smaller, then paths are halved until they are flat
+        low = np.minimum(root[i], root[j])
+        before = root.copy()
+        np.minimum.at(root, root[i].copy(), low)
+        np.minimum.at(root, root[j].copy(), low)
+        while (root != root[root]).any():
+            root = root[root]
+        if (root == before).all():
+            return root
+
+
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, smallest node) that connect what the links (a, b) do, one for every other node."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = _roots(len(nodes), place[: len(a)], place[len(a) :])
+    leaf = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[leaf], nodes[root[leaf]]
 
 
 PACKED = "span int, n int, pack binary, a long, b long"
@@ -154,6 +168,7 @@ class _Bands:
         nodes = np.repeat(np.array(self.nodes, np.int64), [len(k) for k in self.keys])
         self.__init__()
         keys, nodes, a, b = _linked(keys, nodes)
+        a, b = _stars(a, b)
         edges = np.searchsorted((keys >> np.uint64(56)).astype(np.int64), np.arange(RANGES + 1))
         full = np.flatnonzero(np.diff(edges))
         packs = [_pack((keys[edges[s] : edges[s + 1]] >> np.uint64(8)) & np.uint64(2**48 - 1), nodes[edges[s] : edges[s + 1]]) for s in full]
@@ -234,7 +249,7 @@ def _split(parts: int):
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between the nodes that share a key, from packs sorted by range; a task's links are distinct where they fit in memory."""
+    """Links that connect the nodes that share a key, from packs sorted by range: stars, of all that a task holds at once."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     last = None
@@ -246,7 +261,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
 
     def out() -> pa.RecordBatch:
-        x, y = _once(np.concatenate(a), np.concatenate(b))
+        x, y = _stars(np.concatenate(a), np.concatenate(b))
         a[:], b[:] = [x[:0]], [y[:0]]
         return pa.record_batch([pa.array(x), pa.array(y)], names=["a", "b"])
 
@@ -368,21 +383,6 @@ def similar_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, s
     return rows[i[ok]], rows[j[ok]]
 
 
-def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of ``n`` texts the smallest text that the links (i, j) connect it to."""
-    root = np.arange(n)
-    while True:
-        # links pull both roots down to the smaller, then paths are halved until they are flat
-        low = np.minimum(root[i], root[j])
-        before = root.copy()
-        np.minimum.at(root, root[i].copy(), low)
-        np.minimum.at(root, root[j].copy(), low)
-        while (root != root[root]).any():
-            root = root[root]
-        if (root == before).all():
-            return root
-
-
 def _verify(similarity: float, tolerance: float):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
@@ -465,15 +465,17 @@ def _candidates(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     return sets
 
 
-def _refined(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``sets`` with the components of more than a block parted by the longer bands; and the written table that says how."""
+def _refined(sets: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """``sets`` with the components of more than a block, if there are any, parted by the longer bands; and the written tables that it reads."""
     large = sets.where(F.col("n") > BLOCK)
+    if large.isEmpty():
+        return sets, [sets]
     packed = keep(large.mapInArrow(_sketch_again, PACKED), "longer-bands")
     parts = components(candidate_links(packed, LONG[0] * large.count()), "longer-links")
     sized = _sized(large.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).join(parts, "node"), "refined")
     forget(packed)
     forget(parts)
-    return sets.where(F.col("n") <= BLOCK).unionByName(large.select("node", "shingles").join(sized.drop("size"), "node")), sized
+    return sets.where(F.col("n") <= BLOCK).unionByName(large.select("node", "shingles").join(sized.drop("size"), "node")), [sets, sized]
 
 
 def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[DataFrame]]:
@@ -485,16 +487,15 @@ def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, d
     bounded_arrow(spark)
     rows = only(docs, doc_id=doc_id, text=text).withColumns({"doc_id": F.col("doc_id").cast("long"), "hash": F.xxhash64("text")})
     sketched = keep(rows.mapInArrow(_sketch, f"node long, doc_id long, hash long, same binary, size long, {PACKED}"), "sketches")
-    sets = _candidates(rows, sketched)
-    placed, refined = _refined(sets)
+    placed, read = _refined(_candidates(rows, sketched))
     n, size = F.col("n"), 8 * F.col("total")
     blocks = F.greatest(F.least(F.ceil(n / BLOCK), F.lit(16)), F.ceil(n / MOST), F.ceil(size / BLOCK_BYTES)).cast("int")
     placed = placed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "block", "shingles")
     dealt = pairs.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
     found = keep(dealt.mapInArrow(_verify(similarity, tolerance), "a long, b long, links long"), "links")
-    forget(sets)
-    forget(refined)
+    for old in read:
+        forget(old)
     counts = found.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n_links"))
     classes = components(found.where("a <> b").select("a", "b"), "links-of-classes")
     documents = sketched.where("same is not null").select("node", "doc_id", "hash", "same")
