@@ -37,22 +37,26 @@ def lowered(text: str) -> np.ndarray:
 
 def grams(text: str) -> Iterator[np.ndarray]:
     """Bucket numbers of all character n-grams of a text between two blanks, lower-cased; very long texts slice by slice, no n-gram lost or added."""
-    carried = lowered(" ")
+    carried = 0  # code points of the slice before that the next one begins with
+    c = np.zeros(0, np.uint32)
     for at in range(0, len(text) or 1, SLICE):
-        new = lowered(text[at : at + SLICE] + (" " if at + SLICE >= len(text) else ""))
-        c = np.concatenate([carried, new])
+        part = text if len(text) <= SLICE else text[at : at + SLICE]
+        new = lowered(f"{' ' if not at else ''}{part}{' ' if at + SLICE >= len(text) else ''}")
+        c = np.concatenate([c[len(c) - carried :], new]) if at else new
         out = []
         with np.errstate(over="ignore"):
             for n in ORDERS:
-                # those that end in what is new (the first blank is new to the first slice)
-                own = c[max(0, len(carried) - (n - 1)) if at else 0 :]
+                # those that end in what is new
+                own = c[max(0, carried - (n - 1)) :]
                 if len(own) >= n:
                     h = np.full(len(own) - n + 1, n, np.uint32)
                     for j in range(n):
-                        h = (h ^ own[j : len(own) - n + 1 + j]) * _MULTIPLY[j]
+                        h ^= own[j : len(own) - n + 1 + j]
+                        h *= _MULTIPLY[j]
                         h ^= h >> np.uint32(15)
-                    out.append(h & np.uint32(BUCKETS - 1))
-        carried = c[-(max(ORDERS) - 1) :]
+                    h &= np.uint32(BUCKETS - 1)
+                    out.append(h)
+        carried = min(len(c), max(ORDERS) - 1)
         yield np.concatenate(out)
 
 
@@ -70,7 +74,8 @@ class LanguageModel:
         total, n = np.zeros(len(self.classes)), 0
         buckets = len(self.table)
         for g in grams(text):
-            g &= np.uint32(buckets - 1)
+            if buckets < BUCKETS:
+                g &= np.uint32(buckets - 1)
             if len(g) > buckets // 2:
                 total += np.bincount(g, minlength=buckets).astype(np.float32) @ self.table
             else:

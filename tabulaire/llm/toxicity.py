@@ -29,7 +29,7 @@ _WHOLE = 1 << 20
 _CUTS = np.array([_WHOLE, *PREFIXES])
 _SALTS = np.array([0] + [1 << 32] * len(PREFIXES), np.uint64)
 LEAST_DOCS = 4  #: training documents that a word or prefix must be in to get an embedding
-ROWS = 60_000  #: embeddings at most (3 MB): of more words and prefixes the most frequent
+ROWS = 60_000  #: embeddings at most (3 MB, and row numbers of two bytes): of more words and prefixes the most frequent
 LONG = 4096  #: bytes from which a word is known by its prefixes only
 BLANKS = 20  #: one empty text is learned as clean for so many others
 SAMPLE = 6000  #: labelled rows to learn from, at most
@@ -62,12 +62,12 @@ class Vocabulary:
     def __init__(self, hashes: np.ndarray):
         # hashes come by falling frequency: of two in one slot the more frequent stays
         self.hashes = np.r_[np.uint64(0), hashes]
-        self.slots = np.zeros(SLOTS, np.int32)
+        self.slots = np.zeros(SLOTS, np.uint16)
         self.slots[(hashes[::-1] % np.uint64(SLOTS)).astype(np.int64)] = np.arange(len(hashes), 0, -1)
 
     def rows(self, hashes: np.ndarray) -> np.ndarray:
         at = self.slots[(hashes % np.uint64(SLOTS)).astype(np.int64)]
-        return np.where(self.hashes[at] == hashes, at, 0)
+        return np.where(self.hashes[at] == hashes, at, np.uint16(0))
 
 
 def near(rows: np.ndarray) -> np.ndarray:
