@@ -51,6 +51,7 @@ RANGES = 256  #: ranges of keys that they are packed by (their first byte)
 SMALL = 200_000  #: candidate texts whose ids are broadcast, at most (some 15 MB); more are joined by a shuffle
 ENTRIES = 2_000_000  #: band keys of one range that a task holds; beyond, ranges are split
 
+
 def shingles(w: np.ndarray) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of ``WORDS`` words (hashed); fewer words are one shingle, no words none."""
     n = min(WORDS, len(w))
@@ -154,8 +155,8 @@ class _Bands:
     def __init__(self):
         self.keys, self.nodes, self.seen, self.n = [], [], set(), 0
 
-    def add(self, node: int, same: bytes, keys: np.ndarray) -> None:
-        """``keys`` of the text ``same``, if it is new."""
+    def add(self, node: int, same: bytes | int, keys: np.ndarray) -> None:
+        """``keys`` of the text that ``same`` tells from others, if it is new."""
         if same not in self.seen:
             self.seen.add(same)
             self.keys.append(keys)
@@ -472,7 +473,9 @@ def _refined(sets: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         return sets, [sets]
     packed = keep(large.mapInArrow(_sketch_again, PACKED), "longer-bands")
     parts = components(candidate_links(packed, LONG[0] * large.count()), "longer-links")
-    sized = _sized(large.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).join(parts, "node"), "refined")
+    # rows that repeat as a whole may come from several tasks
+    nodes = large.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).dropDuplicates(["node"])
+    sized = _sized(nodes.join(parts, "node"), "refined")
     forget(packed)
     forget(parts)
     return sets.where(F.col("n") <= BLOCK).unionByName(large.select("node", "shingles").join(sized.drop("size"), "node")), [sets, sized]
