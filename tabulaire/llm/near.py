@@ -495,7 +495,11 @@ def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, d
     blocks = F.greatest(F.least(F.ceil(n / BLOCK), F.lit(16)), F.ceil(n / MOST), F.ceil(size / BLOCK_BYTES)).cast("int")
     placed = placed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "block", "shingles")
-    dealt = pairs.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
+    # a component's pairs of blocks go to one partition after the other, so no task has several of a large one while others have none
+    number = F.col("y") * (F.col("y") + 1) / 2 + F.col("x")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    to = F.pmod(F.hash("component").cast("long") + number.cast("long"), F.lit(parts)).cast("int")
+    dealt = pairs.withColumn("to", to).repartitionById(parts, "to").drop("to").sortWithinPartitions("component", "x", "y")
     found = keep(dealt.mapInArrow(_verify(similarity, tolerance), "a long, b long, links long"), "links")
     for old in read:
         forget(old)
