@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, near, quality, toxicity, urls, warc
+from . import codes, decontaminate, near, quality, toxicity, urls, warc
+from .bpe import encode_documents
 from .common import table
 from .language import identify
 from .media import media_round_trip
@@ -56,8 +57,16 @@ def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_url_reputation, op3_warc_index, op4_suffix_decontamination, op5_bayes_jaccard_join, op6_media_chunks, op7_language_id, op8_best_fit_packing, op9_toxicity, op10_quality_neighbours)}
+    return {f.__name__: f for f in (op1_token_counts, op2_url_reputation, op3_warc_index, op4_suffix_decontamination, op5_bayes_jaccard_join, op6_media_chunks, op7_language_id, op8_best_fit_packing, op9_toxicity, op10_quality_neighbours, op11_bpe_round_trip, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -66,4 +75,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_warc_index": warc.sql(),
         "op4_suffix_decontamination": decontaminate.sql(),
         "op5_bayes_jaccard_join": near.sql(),
+        "op13_vector_codes": codes.sql(),
     }
