@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import codes, decontaminate, near, quality, toxicity, urls, warc
+from . import codes, decontaminate, near, quality, repair, toxicity, urls, warc
 from .bpe import encode_documents
 from .common import table
 from .language import identify
@@ -61,12 +61,16 @@ def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_url_reputation, op3_warc_index, op4_suffix_decontamination, op5_bayes_jaccard_join, op6_media_chunks, op7_language_id, op8_best_fit_packing, op9_toxicity, op10_quality_neighbours, op11_bpe_round_trip, op13_vector_codes)}
+    return {f.__name__: f for f in (op1_token_counts, op2_url_reputation, op3_warc_index, op4_suffix_decontamination, op5_bayes_jaccard_join, op6_media_chunks, op7_language_id, op8_best_fit_packing, op9_toxicity, op10_quality_neighbours, op11_bpe_round_trip, op12_conversation_repair, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -75,5 +79,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_warc_index": warc.sql(),
         "op4_suffix_decontamination": decontaminate.sql(),
         "op5_bayes_jaccard_join": near.sql(),
+        "op12_conversation_repair": repair.sql(),
         "op13_vector_codes": codes.sql(),
     }
