@@ -161,11 +161,12 @@ def _pack(capacity: int):
 def pack(pieces: DataFrame, capacity: int, group: int = GROUP) -> DataFrame:
     """``pieces`` (with doc_id, piece, length, ids_crc32) plus sequence_id and offset.
 
-    ``pieces`` should be a written table: it is counted, then read again.
+    ``pieces`` should be a written table: it is counted, then read again, and
+    its rows are dealt by their numbers too, so that equal pieces are in all groups.
     """
     whole, part = pieces.where(F.col("length") == capacity), pieces.where(F.col("length") < capacity)
     groups = max(1, round(part.count() / group))
-    dealt = part.repartition(groups, F.xxhash64("doc_id", "piece", "ids_crc32"))
+    dealt = part.withColumn("_row", F.monotonically_increasing_id()).repartition(groups, F.xxhash64("doc_id", "piece", "ids_crc32", "_row")).drop("_row")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
     packed = dealt.mapInArrow(_pack(capacity), schema)
     return whole.select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")).unionByName(packed)

@@ -26,6 +26,7 @@ SAMPLE = 4000  #: labelled rows, so 4000 vectors of 48 floats (0.8 MB) are broad
 NEIGHBOURS = 15
 SHARPNESS = 8.0  #: a neighbour's weight is its similarity to this power
 PLACES = 5  #: decimals of similarities; equal ones are ties
+LEAST = 1e-6  #: of its length, that a text must keep in the latent space to have a direction there
 BLOCK = 256  #: documents whose cosines are computed at once
 SLICE = 1 << 20
 
@@ -61,7 +62,11 @@ class QualityModel:
     rate: float  #: share of label 1: the score of a text that is near to nothing
 
     def vectorise(self, texts: list[str | None]) -> np.ndarray:
-        return _unit(_tf(texts) @ self.basis)
+        """Unit vectors; of texts without a term of the sample, or so little of one that its direction is rounding, zeros."""
+        own = _tf(texts)
+        x = own @ self.basis
+        known = np.linalg.norm(x, axis=1) > LEAST * np.linalg.norm(own, axis=1)
+        return _unit(x * known[:, None])
 
     def score(self, texts: list[str | None]) -> dict[str, np.ndarray]:
         p = np.full(len(texts), self.rate)
@@ -113,6 +118,7 @@ def fit(sample: list[tuple[str, int]], rate: float = 0.5, rank: int = RANK) -> Q
         q, _ = np.linalg.qr(x.T @ np.linalg.qr(x @ q)[0])
     _, _, v = np.linalg.svd(x @ q, full_matrices=False)
     directions = (q @ v.T)[:, :rank].astype(np.float32)
+    directions[~x.any(axis=0)] = 0  # terms that no text of the sample has
     return QualityModel(idf[:, None] * directions, _unit(x @ directions), np.array([int(y) for _, y in sample], float), rate)
 
 

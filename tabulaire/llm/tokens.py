@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import bounded_arrow, only, small_batches, tokenizer_path
-from .pretokens import WORD_END_SPLIT, Cache, Splitter
+from .pretokens import LONGEST, WORD_END_SPLIT, Cache, Splitter
 
 SUMMARY = 4096  #: counters a partition's summary keeps
-FREQUENT = 16_384  #: entries of the broadcast table at most (about 0.3 MB)
+FREQUENT = 16_384  #: entries of the broadcast table at most (about 0.3 MB), of ``LONGEST`` characters at most
 CACHED = 64_000_000  #: bytes of a worker's cache at most
 
 _splitters: dict = {}
@@ -56,7 +56,8 @@ def _summarise(path: str, most: int):
         for batch in small_batches(batches, "text"):
             for text in batch.column("text").to_pylist():
                 for _, pieces, _ in split(text or ""):
-                    counts.update(pieces)
+                    # what caches do not remember has no place in the table either, so both are bounded in bytes
+                    counts.update(pieces if max(map(len, pieces), default=0) <= LONGEST else [p for p in pieces if len(p) <= LONGEST])
                     if len(counts) > 16 * most:
                         counts = _trim(counts, most)
         packed = zlib.compress(json.dumps(_trim(counts, most)).encode())

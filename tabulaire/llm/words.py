@@ -91,46 +91,52 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int, seed: st
     """A bounded training sample of (text, value): ``most_rows`` rows at most in equal shares for each value, about ``most_chars`` characters.
 
     ``labels`` has (doc_id, value) and is all that is counted and drawn from:
-    each value's rows of the smallest hashes of ids, so a fair draw that is
+    each value's ids of the smallest hashes, so a fair draw that is
     the same at any partitioning. Every value is in the sample; of more values than
     ``most_rows`` the most frequent are, with a warning. Texts are then fetched for the
     drawn ids alone. The draw ends with the first text that goes beyond the characters (texts
     longer than all of them are passed over), so it favours no length. Null values, ids and texts take no part.
+    An id is drawn once however often it is labelled (with the least of its values that
+    may be drawn), and stands for one of its texts, the one of the smallest hash; so both bounds
+    hold for any tables, and no more than about the rows asked for are collected.
     """
     spark = docs.sparkSession
     labels = labels.where("doc_id is not null and value is not null").withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
-    found = labels.groupBy("value").count().orderBy(F.desc("count"), "value").limit(most_rows + 1).collect()
+    found = labels.groupBy("value").agg(F.count(F.lit(1)).alias("count"), F.approx_count_distinct("h", 0.05).alias("ids")).orderBy(F.desc("count"), "value").limit(most_rows + 1).collect()
     if len(found) > most_rows:
         warnings.warn(f"more than {most_rows} label values: only the most frequent are learned", stacklevel=2)
-    counts = {r.value: r["count"] for r in sorted(found[:most_rows], key=lambda r: r.value)}
+    counts = {r.value: r.ids for r in sorted(found[:most_rows], key=lambda r: r.value)}
     if not counts:
         return []
     share = max(1, most_rows // len(counts))
-    # hashes are uniform, so this many of the smallest hold the share's rows and few more
-    parts = {v: min(1.0, (share + 6 * share**0.5 + 6) / n) for v, n in counts.items()}
+    # hashes are uniform, so this many of the smallest hold the share's ids and few more, even if there are a third fewer than estimated
+    parts = {v: min(1.0, 1.5 * (share + 6 * share**0.5 + 6) / n) for v, n in counts.items()}
     bounds = spark.createDataFrame([(v, min(2**63 - 1, int(p * 2**64) - 2**63)) for v, p in parts.items()], T.StructType([labels.schema["value"], T.StructField("bound", T.LongType())]))
-    near = labels.join(F.broadcast(bounds), "value").where("h <= bound")
+    near = labels.join(F.broadcast(bounds), "value").where("h <= bound").groupBy("h", "doc_id").agg(F.min("value").alias("value"))
     drawn: dict = {}
     taken: dict = dict.fromkeys(counts, 0)
-    for r in sorted(near.select("h", "doc_id", "value").collect()):
-        if r.doc_id not in drawn and taken[r.value] < share:
+    for r in sorted(near.collect()):
+        if taken[r.value] < share:
             drawn[r.doc_id] = r.value
             taken[r.value] += 1
-    chosen = F.broadcast(spark.createDataFrame([(k,) for k in drawn], "doc_id long"))
-    rows = docs.select("doc_id", "text").where("text is not null").join(chosen, "doc_id", "left_semi")
+    rows = docs.select("doc_id", "text").where("text is not null").withColumn("t", F.xxhash64("text"))
+    ids = F.broadcast(spark.createDataFrame([(k,) for k in drawn], "doc_id long"))
+    own = rows.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("t", F.length("text").alias("n"))).alias("own"))
     rank = {k: i for i, k in enumerate(drawn)}
-    sizes = sorted((rank[r.doc_id], r.n, r.doc_id) for r in rows.select("doc_id", F.length("text").alias("n")).collect())
-    total, fits = 0, set()
-    for _, n, k in sizes:
+    sizes = sorted((rank[r.doc_id], r.own.n, r.own.t, r.doc_id) for r in own.collect())
+    total, fits = 0, []
+    for _, n, t, k in sizes:
         if n > most_chars:
             continue
         total += n
         if total > most_chars:
             break
-        fits.add(k)
-    if len(fits) < len(drawn):
-        rows = rows.join(F.broadcast(spark.createDataFrame([(k,) for k in fits], "doc_id long")), "doc_id", "left_semi") if fits else rows.limit(0)
-    return [(text, drawn[k]) for _, k, text in sorted((rank[r.doc_id], r.doc_id, r.text) for r in rows.collect())]
+        fits.append((k, t))
+    if not fits:
+        return []
+    chosen = F.broadcast(spark.createDataFrame(fits, "doc_id long, t long"))
+    texts = rows.join(chosen, ["doc_id", "t"], "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return [(text, drawn[k]) for _, k, text in sorted((rank[r.doc_id], r.doc_id, r.text) for r in texts.collect())]
 
 
 def score_rows(rows: DataFrame, score, schema: str, kinds: dict[str, pa.DataType]) -> DataFrame:

@@ -126,6 +126,13 @@ def test_odd_rows(spark, odd, none, module, column):
     got = module.score_documents(odd, labels)
     assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == len(ODD)
     assert all(0 <= r.score <= 1 for r in got.collect())
+    by = {r.doc_id: r.score for r in got.collect()}
+    if module is quality:
+        rate = quality.learn(odd, toxicity.labels_of(labels, column)).rate
+        assert by[2] == by[3] == pytest.approx(rate), "null and empty texts have the share of label 1"
+    else:
+        known = toxicity.learn(odd.selectExpr("doc_id", "text", "lang"), toxicity.labels_of(labels, column))
+        assert by[2] == by[3] == pytest.approx(float(known.score([""])["score"][0])), "null and empty texts have the score of a text without known words"
     assert module.score_documents(odd, labels.limit(0)).count() == len(ODD)
     assert module.score_documents(none, labels).count() == 0
 
@@ -166,6 +173,27 @@ def test_order_of_labels_has_no_effect():
     assert quality.initials("Ab  cD\n\tÉf | x".encode()) == b"ac\xc3|x" and quality.initials(b"") == quality.initials(b" \n") == b""
 
 
+def test_texts_without_shared_terms_have_the_rate():
+    sample = [(f"alpha beta gamma {i}", int(i < 90)) for i in range(100)]
+    model = quality.fit(sample, 0.9)
+    assert model.score(["ЖЩЮ ЖЩЮ ЖЩЮ", "東京東京東京", "", None])["score"].tolist() == [0.9] * 4
+    assert not model.vectorise(["ЖЩЮ ЖЩЮ ЖЩЮ"]).any() and model.vectorise(["alpha"]).any()
+
+
+def test_sample_bounds_hold_for_repeated_ids(spark):
+    """Twenty thousand rows of one id, labelled as often: one row of the sample, and all caps hold."""
+    docs = spark.range(300).selectExpr("id as doc_id", "concat('text ', id, repeat('.', 10)) as text")
+    docs = docs.unionAll(spark.range(20_000).selectExpr("7L as doc_id", "concat('copy ', id % 3, repeat('x', 20)) as text"))
+    labels = spark.range(300).selectExpr("id as doc_id", "cast(id % 2 as int) as value").unionAll(spark.range(20_000).selectExpr("7L as doc_id", "cast(id % 2 as int) as value"))
+    whole = labelled_sample(docs, labels, 1000, "s")
+    assert len(whole) == 300 and sum(t.startswith("copy") or t.startswith("text 7.") for t, _ in whole) == 1
+    assert whole == labelled_sample(docs.repartition(5), labels.repartition(3), 1000, "s")
+    few = labelled_sample(docs, labels, 20, "s", 1000)
+    assert len(few) <= 20 and sum(len(t) for t, _ in few) <= 1000
+    only_seven = labelled_sample(docs, labels.where("doc_id = 7"), 20, "s", 1000)
+    assert len(only_seven) == 1 and only_seven[0][1] == 0
+
+
 def test_sample_is_bounded_and_stable(docs, labels):
     marked = toxicity.labels_of(labels, "quality")
     one = labelled_sample(docs, marked, 40, "s")

@@ -1,17 +1,17 @@
 import json
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from unittest import mock
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from tabulaire.llm.common import tokenizer_path
+from tabulaire.llm.common import keep, tokenizer_path
 from tabulaire.llm import pretokens
-from tabulaire.llm.packing import CapacityTree, best_fit_decreasing, encode, merged_in_order, pack_documents
+from tabulaire.llm.packing import CapacityTree, best_fit_decreasing, encode, merged_in_order, pack, pack_documents
 from tabulaire.llm.pretokens import BYTE_LEVEL_SPLIT
-from tabulaire.llm.tokens import splitter, token_counts
+from tabulaire.llm.tokens import frequent_lengths, splitter, token_counts
 from tests.llm.conftest import ODD
 
 WORD_PATH, BYTE_PATH = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.json")
@@ -64,6 +64,12 @@ def test_caches_are_bounded_by_bytes():
     assert cache.all_of(["w1", "zz"], ["w1", "zzz"]) == [2, 3]
 
 
+def test_summaries_hold_no_long_pretokens(spark):
+    docs = spark.createDataFrame([("abc " * 50 + "x" * 5000 + " " + "y" * 300,)] * 20, "text string")
+    words, lengths = json.loads(zlib.decompress(frequent_lengths(docs, WORD_PATH)))
+    assert words == ["abc"] and lengths == [len(ids_of(WORD, "abc"))]
+
+
 def test_merges_are_in_order(tmp_path):
     assert merged_in_order(BYTE_PATH)
     for vocab, merges, ok in (({"a": 0, "b": 1, "ab": 2, "aab": 3}, [["a", "b"], ["a", "ab"]], True), ({"a": 0, "b": 1, "ab": 3, "ba": 2}, [["a", "b"], ["b", "a"]], False), ({"a": 0, "ab": 1, "b": 2}, ["a b"], False)):
@@ -123,6 +129,14 @@ def test_tree_finds_the_tightest():
     assert [tree.take(4), tree.take(9), tree.take(10), tree.take(4), tree.take(0), tree.take(0)] == [(9, 9), (9, 9), (16, 16), None, (3, 3), None]
 
 
+def test_equal_pieces_are_dealt_over_all_groups(spark):
+    pieces = keep(spark.range(20_000).selectExpr("cast(null as long) as doc_id", "0 as piece", "0L as start", "7L as length", "1L as ids_crc32"), "pieces")
+    rows = pack(pieces, 64, group=1000).collect()
+    groups = Counter(r.sequence_id >> 40 for r in rows)
+    assert len(rows) == 20_000 and len(groups) == 20 and max(groups.values()) < 1400
+    assert check_sequences(rows, 64) <= 20_000 // 9 + 21
+
+
 def test_packs_tightly(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = pack_documents(docs).collect()
