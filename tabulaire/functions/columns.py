@@ -63,6 +63,6 @@ def finite(column: str) -> Column:
     return F.when(is_infinite(value), said).otherwise(value)
 
 
-def replaced(df: DataFrame, new: dict[str, Column]) -> DataFrame:
-    """``df`` with some columns computed anew in one projection; order and other columns stay."""
-    return df.select(*[new[c].alias(c) if c in new else named(c) for c in df.columns])
+def replaced(df: DataFrame, new: dict[str, Column], columns: Iterable[str] | None = None) -> DataFrame:
+    """``df`` (or ``columns`` of it) with some columns computed anew in one projection; order and other columns stay."""
+    return df.select(*[new[c].alias(c) if c in new else named(c) for c in (df.columns if columns is None else columns)])

@@ -1,29 +1,36 @@
-"""Column scalers: fit once (one aggregate), then transform any table by a plain projection.
+"""Column scalers: fit (one aggregate of one row), then transform any table by a plain projection.
 
 Missing values are skipped by fits and stay missing in results. Standard
 deviations are those of the population, quantiles are exact and interpolated,
-and a scale of 0 becomes 1. Fitted numbers are literals in the projection, so
-a transform is a narrow, generated-code stage, in batch and in streams alike.
+and a scale of 0 becomes 1. A scaler says once, as columns, what it learns from a
+column's statistics; that serves three ways: ``fit`` collects it, and
+transforms by literals; ``apply`` leaves it in the plan as a scalar subquery, so
+no job runs before the result is asked for; ``finish`` takes statistics that
+were merged from parts (see ``plans.state``).
 """
 
 from __future__ import annotations
 
-import math
 import warnings
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import asdict, dataclass, field
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabulaire.functions.columns import finite, numeric_columns, replaced
-from tabulaire.plans.stats import WIDE, column_stats, exact_quantiles
+from tabulaire.plans.state import sketched_quantiles, statistics
+from tabulaire.plans.stats import WIDE, Aggregates, collected, quantiles, summary
 
 EPS = 2.220446049250313e-16  #: fixed value: the spacing of doubles at 1
 
+#: A statistic of a column by its name.
+Stat = Callable[[str], Column]
 
-def safe_scale(scale: float | None) -> float | None:
-    """1 for a scale that is 0 but for rounding."""
-    return None if scale is None else 1.0 if scale < 10 * EPS else scale
+
+def safe_scale(scale: Column) -> Column:
+    """1 for a scale that is 0 but for rounding; null stays null."""
+    return F.when(scale < 10 * EPS, F.lit(1.0)).otherwise(scale)
 
 
 @dataclass
@@ -48,12 +55,67 @@ class Scaler:
     columns: list[str] | None = None
     wide: int = field(default=WIDE, repr=False)
 
-    def fit(self, df: DataFrame) -> Fitted:
+    #: Statistics that ``learned_from`` needs besides n.
+    aggregates = property(lambda self: {})
+    #: The results of ``learned_from`` that ``expression`` needs.
+    used = ()
+
+    def learned_from(self, stat: Stat) -> dict[str, Column]:
+        """What is learned of a column, from its statistics."""
         raise NotImplementedError
 
-    def expression(self, x: Column, at: int, fitted: Fitted) -> Column:
+    def expression(self, x: Column, learned: Stat) -> Column:
+        """The scaled value."""
         raise NotImplementedError
 
+    def kept(self, values: dict[str, list]) -> dict[str, list]:
+        """What of all that was learned the flags leave."""
+        return values
+
+    @property
+    def flags(self) -> dict[str, object]:
+        """The parameters besides the columns."""
+        return {k: v for k, v in asdict(self).items() if k not in ("columns", "wide")}
+
+    def plan(self, df: DataFrame, columns: list[str]) -> DataFrame:
+        """One row: rows, and found, all that is learned of each column in order."""
+        one = summary(df, columns, self.aggregates, self.wide)
+        return self._learn(one)
+
+    def _learn(self, one: DataFrame) -> DataFrame:
+        def learn(f: Column) -> Column:
+            made = self.learned_from(lambda name: f[name])
+            return F.struct(f["n"].alias("n"), f["bad"].alias("bad"), *[c.alias(k) for k, c in made.items()])
+
+        return one.select("rows", F.transform("found", learn).alias("found"))
+
+    def fit(self, df: DataFrame) -> Fitted:
+        columns = numeric_columns(df, self.columns)
+        return self.fitted(columns, *collected(self.plan(df, columns), columns))
+
+    def fitted(self, columns: list[str], rows: int, found: list[dict]) -> Fitted:
+        names = [k for k in (found[0] if found else {}) if k not in ("n", "bad")]
+        if not names or len(found[0]) == 1:  # a stacked table without rows: nothing was learned
+            names = list(self.learned_from(lambda name: F.lit(None).cast("double")))
+        values = {k: [f.get(k) for f in found] for k in names}
+        return Fitted(columns, rows, [f["n"] for f in found], self.kept(values))
+
+    def stated(self, state: DataFrame) -> DataFrame:
+        """A merged state with the statistics that ``learned_from`` asks for."""
+        return statistics(state)
+
+    def finish(self, state: DataFrame, columns: list[str] | None = None) -> Fitted:
+        """The fit of a merged state (see ``plans.state``), a row a column; by default all its columns, by name."""
+        made = self.learned_from(F.col)
+        state = self.stated(state)
+        rows = {r["column_name"]: r.asDict() for r in state.select("column_name", "rows", "n", F.col("infinite").alias("bad"), *[c.alias(k) for k, c in made.items()]).collect()}
+        columns = list(columns or self.columns or sorted(rows))
+        if absent := [c for c in columns if c not in rows]:
+            raise ValueError(f"the state has no columns {absent}")
+        if infinite := [c for c in columns if rows[c]["bad"]]:
+            raise ValueError(f"Input contains infinity in columns: {infinite}")
+        return self.fitted(columns, max((r["rows"] for r in rows.values()), default=0), [{k: v for k, v in rows[c].items() if k not in ("column_name", "rows")} for c in columns])
+
     def learned(self, fitted: Fitted) -> dict[str, object]:
         """What a report says of a fit; min-max and max-abs have seen every row, missing or not."""
         return {**fitted.values, "samples_seen": fitted.rows}
@@ -61,10 +123,18 @@ class Scaler:
     def transform(self, df: DataFrame, fitted: Fitted) -> DataFrame:
         """``df`` with the fitted columns scaled, as doubles; other columns and the order stay."""
         numeric_columns(df, fitted.columns)
-        return replaced(df, {c: self.expression(finite(c), i, fitted) for i, c in enumerate(fitted.columns)})
+        return replaced(df, {c: self.expression(finite(c), lambda name, i=i: F.lit(fitted.values[name][i])) for i, c in enumerate(fitted.columns)})
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return self.transform(df, self.fit(df))
+        """Fit and transform in one plan: no job runs here; the fit is a scalar subquery, found once before the scan of the result."""
+        columns = numeric_columns(df, self.columns)
+        name = "fit"
+        while name in df.columns:
+            name += "_"
+        # the numbers go with each row as one struct, which generated code reads in place
+        row = self.plan(df, columns).select(F.array(*[F.struct(*[F.get("found", F.lit(i))[k].alias(k) for k in self.used]) for i in range(len(columns))]) if self.used else F.lit(0)).scalar()
+        whole = df.select("*", row.alias(name))
+        return replaced(whole, {c: self.expression(finite(c), lambda k, i=i: F.col(name)[i][k]) for i, c in enumerate(columns)}, df.columns)
 
 
 @dataclass
@@ -74,24 +144,27 @@ class Standard(Scaler):
     with_mean: bool = True
     with_std: bool = True
 
-    def fit(self, df: DataFrame) -> Fitted:
-        columns = numeric_columns(df, self.columns)
-        stats = column_stats(df, columns, {"mean": F.avg, "variance": F.var_pop}, self.wide)
-        mean, variance, scale = [], [], []
-        for c in columns:
-            n, m, v = stats[c]["n"], stats[c]["mean"], stats[c]["variance"]
-            mean.append(m)
-            variance.append(v)
-            # a variance within the rounding of its own computation is that of a constant
-            constant = v is not None and v <= n * EPS * v + (n * m * EPS) ** 2
-            scale.append(None if v is None else 1.0 if constant else math.sqrt(v))
-        values = {"mean": mean if self.with_mean or self.with_std else [], "variance": variance if self.with_std else [], "scale": scale if self.with_std else []}
-        return Fitted(columns, stats[""]["rows"], [stats[c]["n"] for c in columns], values)
-
-    def expression(self, x: Column, at: int, fitted: Fitted) -> Column:
+    @property
+    def aggregates(self) -> Aggregates:
+        return {"mean": F.avg, "variance": F.var_pop}
+
+    @property
+    def used(self) -> tuple[str, ...]:
+        return ("mean",) * self.with_mean + ("scale",) * self.with_std
+
+    def learned_from(self, stat: Stat) -> dict[str, Column]:
+        n, mean, variance = stat("n"), stat("mean"), stat("variance")
+        # a variance within the rounding of its own computation is that of a constant
+        rounding = n * EPS * variance + (n * mean * EPS) * (n * mean * EPS)
+        return {"mean": mean, "variance": variance, "scale": F.when(variance <= rounding, F.lit(1.0)).otherwise(F.sqrt(variance))}
+
+    def kept(self, values: dict[str, list]) -> dict[str, list]:
+        return {"mean": values["mean"] if self.with_mean or self.with_std else [], "variance": values["variance"] if self.with_std else [], "scale": values["scale"] if self.with_std else []}
+
+    def expression(self, x: Column, learned: Stat) -> Column:
         if self.with_mean:
-            x = x - F.lit(fitted.values["mean"][at])
-        return x / F.lit(fitted.values["scale"][at]) if self.with_std else x
+            x = x - learned("mean")
+        return x / learned("scale") if self.with_std else x
 
     def learned(self, fitted: Fitted) -> dict[str, object]:
         return {**fitted.values, "samples_seen": fitted.samples_seen}
@@ -108,20 +181,20 @@ class MinMax(Scaler):
         if not self.feature_range[0] < self.feature_range[1]:
             raise ValueError(f"featureRange must rise: {self.feature_range}")
 
-    def fit(self, df: DataFrame) -> Fitted:
-        columns = numeric_columns(df, self.columns)
-        stats = column_stats(df, columns, {"least": F.min, "most": F.max}, self.wide)
-        low, high = self.feature_range
-        values: dict[str, list] = {k: [] for k in ("min_adjustment", "scale", "data_min", "data_max", "data_range")}
-        for c in columns:
-            a, b = stats[c]["least"], stats[c]["most"]
-            scale = None if a is None else (high - low) / safe_scale(b - a)
-            for key, value in zip(values, (None if a is None else low - a * scale, scale, a, b, None if a is None else b - a), strict=True):
-                values[key].append(value)
-        return Fitted(columns, stats[""]["rows"], [stats[c]["n"] for c in columns], values)
-
-    def expression(self, x: Column, at: int, fitted: Fitted) -> Column:
-        y = x * F.lit(fitted.values["scale"][at]) + F.lit(fitted.values["min_adjustment"][at])
+    @property
+    def aggregates(self) -> Aggregates:
+        return {"low": F.min, "high": F.max}
+
+    used = ("scale", "min_adjustment")
+
+    def learned_from(self, stat: Stat) -> dict[str, Column]:
+        low, high = map(float, self.feature_range)
+        span = stat("high") - stat("low")
+        scale = F.lit(high - low) / safe_scale(span)
+        return {"min_adjustment": F.lit(low) - stat("low") * scale, "scale": scale, "data_min": stat("low"), "data_max": stat("high"), "data_range": span}
+
+    def expression(self, x: Column, learned: Stat) -> Column:
+        y = x * learned("scale") + learned("min_adjustment")
         low, high = map(float, self.feature_range)
         # least and greatest skip nulls, so missing values have to be kept out of them
         return F.when(y.isNotNull(), F.least(F.greatest(y, F.lit(low)), F.lit(high))) if self.clip else y
@@ -137,14 +210,17 @@ class MaxAbs(Scaler):
         if self.clip:
             warnings.warn("clip has no effect on the max-abs scaler", stacklevel=3)
 
-    def fit(self, df: DataFrame) -> Fitted:
-        columns = numeric_columns(df, self.columns)
-        stats = column_stats(df, columns, {"top": lambda x: F.max(F.abs(x))}, self.wide)
-        top = [stats[c]["top"] for c in columns]
-        return Fitted(columns, stats[""]["rows"], [stats[c]["n"] for c in columns], {"max_abs": top, "scale": [safe_scale(a) for a in top]})
+    @property
+    def aggregates(self) -> Aggregates:
+        return {"top": lambda x: F.max(F.abs(x))}
+
+    used = ("scale",)
 
-    def expression(self, x: Column, at: int, fitted: Fitted) -> Column:
-        return x / F.lit(fitted.values["scale"][at])
+    def learned_from(self, stat: Stat) -> dict[str, Column]:
+        return {"max_abs": stat("top"), "scale": safe_scale(stat("top"))}
+
+    def expression(self, x: Column, learned: Stat) -> Column:
+        return x / learned("scale")
 
 
 @dataclass
@@ -161,22 +237,36 @@ class Robust(Scaler):
         if not 0 < low < high < 100:
             raise ValueError(f"quantileRange must satisfy 0 < low < high < 100: {self.quantile_range}")
 
-    def fit(self, df: DataFrame) -> Fitted:
-        columns = numeric_columns(df, self.columns)
-        stats = column_stats(df, columns, {}, self.wide)
+    @property
+    def odds(self) -> list[float]:
         low, high = (q / 100 for q in self.quantile_range)
-        counts = {c: stats[c]["n"] for c in columns}
-        found = exact_quantiles(df, columns, [low, 0.5, high], counts, self.wide)
+        return [low, 0.5, high]
+
+    @property
+    def used(self) -> tuple[str, ...]:
+        return ("center",) * self.with_centering + ("scale",) * self.with_scaling
+
+    def plan(self, df: DataFrame, columns: list[str]) -> DataFrame:
+        return self._learn(quantiles(df, columns, self.odds, self.wide))
+
+    def stated(self, state: DataFrame) -> DataFrame:
+        """Quantiles of a state are those of its sketch: near ones, unless it has seen few values."""
+        return sketched_quantiles(state, self.odds)
+
+    def learned_from(self, stat: Stat) -> dict[str, Column]:
+        low, _, high = self.odds
         normal = NormalDist()
         adjust = normal.inv_cdf(high) - normal.inv_cdf(low) if self.unit_variance else 1.0
-        scale = [None if found[c][0] is None else safe_scale(found[c][2] - found[c][0]) / adjust for c in columns]
-        values = {"center": [found[c][1] for c in columns] if self.with_centering else None, "scale": scale if self.with_scaling else None}
-        return Fitted(columns, stats[""]["rows"], list(counts.values()), values)
+        at = lambda i: F.get(stat("q").cast("array<double>"), F.lit(i))
+        return {"center": at(1), "scale": safe_scale(at(2) - at(0)) / F.lit(adjust)}
+
+    def kept(self, values: dict[str, list]) -> dict[str, list]:
+        return {"center": values["center"] if self.with_centering else None, "scale": values["scale"] if self.with_scaling else None}
 
-    def expression(self, x: Column, at: int, fitted: Fitted) -> Column:
+    def expression(self, x: Column, learned: Stat) -> Column:
         if self.with_centering:
-            x = x - F.lit(fitted.values["center"][at])
-        return x / F.lit(fitted.values["scale"][at]) if self.with_scaling else x
+            x = x - learned("center")
+        return x / learned("scale") if self.with_scaling else x
 
     def learned(self, fitted: Fitted) -> dict[str, object]:
         return {**fitted.values, "n_features_in": len(fitted.columns)}
@@ -186,4 +276,5 @@ METHODS: dict[str, type[Scaler]] = {"standard": Standard, "min_max": MinMax, "ma
 
 
 def standardize(df: DataFrame, method: str, columns: list[str] | None = None, **flags) -> DataFrame:
+    """Fit and transform as one lazy plan."""
     return METHODS[method](columns, **flags).apply(df)

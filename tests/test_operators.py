@@ -4,7 +4,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from tabulaire.operators import FILTERS, MaxAbs, MinMax, Robust, Standard, complete_cases, extract_features, feature_listing, normalize, select_features, standardize
-from tabulaire.plans.stats import column_stats, exact_quantiles, select_ranks
+from tabulaire.operators.scalers import METHODS
+from tabulaire.plans import stats
+from tabulaire.plans.stats import collected, column_stats, quantiles
 
 SCHEMA = "sample_id string, x double, y double, k double, flag boolean, note string"
 ROWS = [("s1", 1.0, -4.0, 7.0, True, "a"), ("s2", 2.0, 0.0, 7.0, False, None), ("s3", 3.0, 2.0, 7.0, True, "b"), ("s4", 4.0, 8.0, 7.0, True, "c"), ("s5", None, 4.0, 7.0, False, "d")]
@@ -162,28 +164,85 @@ def test_names_with_dots_and_case(spark):
     assert out.columns == ["a.b", "A.b"] and sorted(r[1] for r in out.collect()) == [-1, 1] and sorted(r[0] for r in out.collect()) == [1, 3]
 
 
-def test_selected_ranks_equal_percentiles(spark):
-    df = spark.range(20_000).selectExpr("case when id % 3 = 0 then 7.0d else cast(pmod(hash(id), 5000) as double) end as x")
-    everything = sorted(r.x for r in df.collect())
-    ranks = [0, 17, 9_999, 10_000, 15_000, 19_999]
-    assert select_ranks(df, {"x": ranks}, {"x": len(everything)}, kept=50) == {"x": {r: everything[r] for r in ranks}}
-    odds = [0.25, 0.5, 0.75]
-    assert exact_quantiles(df, ["x"], odds, {"x": len(everything)}, most=10)["x"] == pytest.approx(exact_quantiles(df, ["x"], odds, {"x": len(everything)})["x"])
+def exact(df, columns, odds, small=None, wide=60):
+    rows, found = collected(quantiles(df, columns, odds, wide, small), columns)
+    return {c: f["q"] if "q" in f else None for c, f in zip(columns, found, strict=True)}
 
 
-def test_quantiles_of_many_columns(spark):
-    """Sixty columns, one of them empty: brackets equal buffers, and rounds scan the table for all columns at once."""
-    df = spark.range(3000).selectExpr(*[f"cast(pmod(hash(id, {i}), {10 ** (i % 5 + 1)}) as double) as x{i}" for i in range(59)], "cast(null as double) as x59").repartition(3).cache()
-    counts = dict.fromkeys(df.columns, 3000) | {"x59": 0}
+def plainly(values, p):
+    values = sorted(v for v in values if v is not None)
+    at = p * (len(values) - 1)
+    low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+    return low + (high - low) * (at - int(at))
+
+
+COLUMNS = {
+    "tied_ends": "case when id < 100000 then 0.0D when id < 100010 then id / 1e9 else 1.0D end",
+    "spread": "cast(hash(id) as double)",
+    "few": "cast(pmod(hash(id), 17) as double)",
+    "heavy": "case when id % 3 = 0 then 7.0D else cast(pmod(hash(id), 5000) as double) end",
+    "huge_and_tiny": "pow(10.0D, pmod(hash(id), 600) - 300) * if(id % 2 = 0, 1, -1)",
+    "gaps": "case when id % 10 = 0 then cast(id as double) end",
+    "none": "cast(null as double)",
+    "one": "case when id = 77 then 3.5D end",
+}
+
+
+def test_quantiles_by_sketches_are_exact(spark):
+    """Beyond what a sketch holds, with ties at the ends of brackets, inside them, and everywhere."""
+    df = spark.range(200_010).selectExpr(*[f"{e} as {c}" for c, e in COLUMNS.items()])
+    odds = [0.25, 0.500013, 0.9]
+    got, plain = exact(df, df.columns, odds, small=False), df.toPandas()
+    for c in df.columns:
+        values = [v for v in plain[c].tolist() if v == v]
+        assert got[c] == (pytest.approx([plainly(values, p) for p in odds], rel=1e-12) if values else None), c
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7])
+def test_quantiles_of_few_rows(spark, n):
+    df = spark.range(n).selectExpr("cast(id as double) as x", "cast(null as double) as y")
+    odds = [0.1, 0.5, 0.9]
+    expected = [plainly(list(range(n)), p) for p in odds] if n else None
+    assert exact(df, ["x", "y"], odds, small=False) == {"x": pytest.approx(expected) if n else None, "y": None}
+    assert exact(df, ["x", "y"], odds, small=True) == {"x": pytest.approx(expected) if n else None, "y": None}
+
+
+def scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan")
+
+
+def test_quantiles_take_three_scans(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select("l_quantity", "l_extendedprice", "l_discount")
+    assert scans(quantiles(df, df.columns, [0.25, 0.5, 0.75], small=True)) == 1
+    one = quantiles(df, df.columns, [0.25, 0.5, 0.75], small=False)
+    assert scans(one) == 3
+    rows, found = collected(one, df.columns)
+    assert rows == df.count() and all(f["n"] == rows for f in found)
+
+
+def test_many_columns_by_sketches(spark, monkeypatch):
+    monkeypatch.setattr(stats, "STACKED", 4)
+    df = spark.range(3000).selectExpr(*[f"cast(pmod(hash(id, {i}), {10 ** (i % 5 + 1)}) as double) as x{i}" for i in range(9)], "cast(null as double) as x9")
     odds = [0.1, 0.5, 0.9]
-    buffers = exact_quantiles(df, df.columns, odds, counts)
-    tracker, group = spark.sparkContext.statusTracker(), "brackets"
+    assert exact(df, df.columns, odds, small=False) == {c: q and pytest.approx(q) for c, q in exact(df, df.columns, odds, small=True).items()}
+
+
+@pytest.mark.parametrize("method", ["standard", "min_max", "max_abs", "robust"])
+@pytest.mark.parametrize("flags", [{}, {"wide": 0}])
+def test_no_job_before_the_action(spark, method, flags):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_quantity", "l_tax")
+    group = f"lazy-{method}-{len(flags)}"
     spark.sparkContext.setJobGroup(group, group)
-    brackets = exact_quantiles(df, df.columns, odds, counts, most=1000)
+    out = standardize(df, method, ["l_quantity", "l_tax"], **flags)
+    asked = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert brackets == {c: pytest.approx(q) if q[0] is not None else q for c, q in buffers.items()} and buffers["x59"] == [None] * 3
-    assert len(tracker.getJobIdsForGroup(group)) <= 20
-    df.unpersist()
+    assert not asked
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" in plan and "Join" not in plan
+    scaler = METHODS[method](["l_quantity", "l_tax"], **flags)
+    order = lambda rows: sorted(tuple(round(v, 12) + 0.0 for v in r) for r in rows)
+    assert order(out.collect()) == order(scaler.transform(df, scaler.fit(df)).collect())
 
 
 table = st.lists(st.tuples(st.one_of(st.none(), st.floats(-1e6, 1e6)), st.floats(-1e3, 1e3)), min_size=1, max_size=12)
