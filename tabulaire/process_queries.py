@@ -73,8 +73,8 @@ def _stored_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fitted scaler, saved and loaded, then applied."""
     df = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     scaler = Standard(["s_acctbal"])
-    fitted = load_model(spark, save_model(spark, scratch(spark), "q", scaler.fit(df), "scaler", "standard-scaler"))
-    return scaler.transform(df, fitted).withColumn("s_acctbal", F.round("s_acctbal", 6) + 0.0)
+    stored, fitted = load_model(spark, save_model(spark, scratch(spark), "q", (scaler, scaler.fit(df)), "scaler", "standard-scaler"))
+    return stored.transform(df, fitted).withColumn("s_acctbal", F.round("s_acctbal", 6) + 0.0)
 
 
 def _asked(spark: SparkSession, sf_dir: str, process: str, table: str, parameters: dict) -> Report:

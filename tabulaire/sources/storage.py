@@ -10,8 +10,11 @@ from typing import Any
 
 from pyspark.sql import SparkSession
 
+from tabulaire.operators.scalers import Fitted, Scaler
 from tabulaire.report import StorageLocation
 
+from .artefacts import load_fit, save_fit
+
 
 def _at(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -51,9 +54,17 @@ def download(spark: SparkSession, location: StorageLocation | str) -> bytes:
 
 
 def save_model(spark: SparkSession, root: str, request_id: str, model: Any, kind: str = "svm", model_type: str = "support-vector-machine") -> str:
-    """Pickles a model to ``experiments/{request_id}_{kind}_model.pickle`` below ``root``, with its metadata beside it; the path."""
-    path = f"{root.rstrip('/')}/experiments/{request_id}_{kind}_model.pickle"
-    upload(spark, path, pickle.dumps(model))
+    """Saves a model below ``experiments`` in ``root``, with its metadata beside it; the path.
+
+    A scaler and its fit (a pair) become ``{request_id}_{kind}_model.fit``, a typed
+    table (see ``artefacts``); anything else is pickled to ``..._model.pickle``.
+    """
+    base = f"{root.rstrip('/')}/experiments/{request_id}_{kind}_model"
+    if isinstance(model, tuple) and len(model) == 2 and isinstance(model[0], Scaler) and isinstance(model[1], Fitted):
+        path = save_fit(spark, *model, f"{base}.fit")
+    else:
+        path = f"{base}.pickle"
+        upload(spark, path, pickle.dumps(model))
     upload(spark, f"{path}.metadata.json", json.dumps({"request_id": request_id, "model_type": model_type}).encode())
     return path
 
@@ -63,5 +74,10 @@ def model_metadata(spark: SparkSession, path: str) -> dict[str, str]:
     return json.loads(download(spark, f"{path}.metadata.json"))
 
 
-def load_model(spark: SparkSession, path: str) -> Any:
+def load_model(spark: SparkSession, path: str, *, trusted: bool = False) -> Any:
+    """What ``save_model`` saved. A pickle runs whatever it holds, so it is loaded only if the caller trusts all who can write there."""
+    if path.endswith(".fit"):
+        return load_fit(spark, path)
+    if not trusted:
+        raise ValueError(f"{path} is a pickle: load it with trusted=True if nobody else can write there")
     return pickle.loads(download(spark, path))

@@ -146,7 +146,9 @@ def test_storage(spark, tmp_path):
     upload(spark, f"{root}/a/b.bin", b"\x00\xff")
     assert download(spark, f"{root}/a/b.bin") == b"\x00\xff"
     path = save_model(spark, root, "r1", {"w": [1, 2]})
-    assert load_model(spark, path) == {"w": [1, 2]} and model_metadata(spark, path) == {"request_id": "r1", "model_type": "support-vector-machine"}
+    with pytest.raises(ValueError, match="pickle"):
+        load_model(spark, path)
+    assert load_model(spark, path, trusted=True) == {"w": [1, 2]} and model_metadata(spark, path) == {"request_id": "r1", "model_type": "support-vector-machine"}
     assert in_background(upload, spark, f"{root}/later", b"x").result() == 1 and in_background(download, spark, f"{root}/later").result() == b"x"
     with pytest.raises(ValueError):
         StorageLocation(" ", "x")
