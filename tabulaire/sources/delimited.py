@@ -3,8 +3,8 @@
 The header names the columns (repeats become ``a.1``, blanks ``Unnamed: 1``), a
 fixed set of tokens means missing, types are inferred over the whole table
 (never dates), short rows are filled with missing values and long rows are an
-error. Everything is read as text once by Spark's reader with a schema of our
-own; inference is one aggregate.
+error. Everything is read as text by Spark's own parser with a schema of our
+own, in as many tasks as the file has splits; inference is one aggregate.
 """
 
 from __future__ import annotations
@@ -14,6 +14,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tabulaire.functions.columns import named
+from tabulaire.plans.stats import WIDE
+
+from .files import join_parts
+from .records import records
 
 #: The extensions and their separators.
 SEPARATORS = {".csv": ",", ".tsv": "\t"}
@@ -55,8 +59,12 @@ def column_names(header: Iterable[str | None]) -> list[str]:
     return out
 
 
+def _options(separator: str) -> dict[str, object]:
+    return {"sep": separator, "quote": '"', "escape": '"', "nullValue": _NEVER, "emptyValue": "", "mode": "PERMISSIVE", "maxColumns": 200_000, "maxCharsPerColumn": -1}
+
+
 def _reader(spark: SparkSession, separator: str, multiline: bool):
-    return spark.read.option("sep", separator).option("quote", '"').option("escape", '"').option("multiLine", multiline).option("nullValue", _NEVER).option("emptyValue", "").option("mode", "PERMISSIVE").option("maxColumns", 200_000).option("maxCharsPerColumn", -1)
+    return spark.read.options(**_options(separator)).option("multiLine", multiline)
 
 
 def breaks_lines(spark: SparkSession, path: str) -> bool:
@@ -70,7 +78,8 @@ def read_header(spark: SparkSession, path: str, multiline: bool = True) -> list[
     first = _reader(spark, separator_of(path), multiline).option("header", False).csv(path).limit(1).collect()
     if not first:
         raise ValueError(f"No columns to parse from file: {path}")
-    return column_names(first[0])
+    *cells, last = first[0]
+    return column_names([*cells, last and last.removesuffix("\r")])  # of a file whose quotes hold other line ends than its own
 
 
 def _presence(text: Column) -> Column:
@@ -80,55 +89,87 @@ def _presence(text: Column) -> Column:
 def read_delimited(spark: SparkSession, path: str, *, multiline: bool | None = None, types: dict[str, T.DataType] | None = None, preserve_order: bool = False) -> DataFrame:
     """A typed table from CSV or TSV, by the extension of ``path``.
 
-    Large files are split over tasks, unless quotes hold line breaks:
-    ``multiline`` says so, or is found out by a look at the lines (None).
-    ``types`` skips inference for the columns it names. ``preserve_order`` adds
-    ``_row``, numbers that rise in file order.
+    Files are split over tasks, also where quotes hold line breaks (see
+    ``records``): ``multiline`` says that they do, or is found out by a look at the
+    lines (None). ``types`` skips inference for the columns it names.
+    ``preserve_order`` adds ``_row``, the row's number from 0 in the order of files
+    by name and of rows in a file, without gaps.
     """
-    separator_of(path)
+    separator = separator_of(path)
     multiline = breaks_lines(spark, path) if multiline is None else multiline
     names = read_header(spark, path, multiline)
     slots = [f"c{i}" for i in range(len(names) + 1)]  # one more than the header, to notice long rows
     schema = T.StructType([T.StructField(s, T.StringType()) for s in slots])
-    raw = _reader(spark, separator_of(path), multiline).option("header", True).option("enforceSchema", True).schema(schema).csv(path)
+    if multiline:
+        rows = records(spark, path, separator)
+        options = {k: str(v) for k, v in _options(separator).items()}
+        raw = rows.select("file", "block", "at", F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options).alias("r")).select("file", "block", "at", "r.*")
+    else:
+        raw = _reader(spark, separator, False).option("header", True).option("enforceSchema", True).schema(schema).csv(path)
+        if preserve_order:
+            raw = raw.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
     said = F.raise_error(F.concat(F.lit(f"Expected {len(names)} fields in a row, saw more: "), F.col(slots[-1])))
     texts = [F.when(F.col(slots[-1]).isNotNull(), said.cast("string")).otherwise(_presence(F.col(s))) for s in slots[:-1]]
     table = raw.select(*[t.alias(n) for t, n in zip(texts, names, strict=True)])
     kinds = dict(types or {})
     kinds |= infer(table, [n for n in names if n not in kinds])
-    typed = table.select(*[as_type(named(n), kinds[n]).alias(n) for n in names])
-    return typed.withColumn("_row", F.monotonically_increasing_id()) if preserve_order else typed
+    typed = [as_type(t, kinds[n]).alias(n) for t, n in zip(texts, names, strict=True)]
+    return _numbered(raw, typed) if preserve_order else raw.select(*typed)
+
+
+def _numbered(raw: DataFrame, columns: list[Column]) -> DataFrame:
+    """``columns`` of ``raw`` and ``_row``: what blocks (file, block) before a row's own hold, and its place (``at``) in its own.
+
+    Nothing is sorted: blocks are counted in one pass, a row a block comes to the driver, and their running totals go back.
+    """
+    blocks = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("least")).collect()
+    totals, before = [], 0
+    for b in sorted(blocks, key=lambda b: (b.file, b.block)):
+        totals.append((b.file, b.block, before - b.least))
+        before += b.n
+    offsets = F.broadcast(raw.sparkSession.createDataFrame(totals, "file string, block long, offset long"))
+    return raw.join(offsets, ["file", "block"]).select(*columns, (F.col("offset") + F.col("at")).alias("_row"))
 
 
-def infer(table: DataFrame, columns: list[str]) -> dict[str, T.DataType]:
+def infer(table: DataFrame, columns: list[str], wide: int = WIDE) -> dict[str, T.DataType]:
     """The type of each text column over all its values: long, double, boolean or string.
 
     Missing values make whole numbers doubles and leave booleans text; a column
-    of missing values only is double; without rows every column is text.
+    of missing values only is double; without rows every column is text. One scan:
+    what a column can still be is narrowed by three tests that are true of all its
+    values or not; of more than ``wide`` columns all are stacked, so the
+    plan has these tests once however many columns there are.
     """
     if not columns:
         return {}
     every = lambda test: F.coalesce(F.bool_and(test), F.lit(True))
-    marks = []
-    for i, c in enumerate(columns):
-        x = named(c)
-        whole = x.rlike(_INTEGER) & F.expr(f"try_cast(trim(`{c.replace('`', '``')}`) AS bigint)").isNotNull()
-        marks += [F.count(x).alias(f"n{i}"), every(whole).alias(f"l{i}"), every(x.rlike(_NUMBER)).alias(f"d{i}"), every(x.isin(*_TRUE, *_FALSE)).alias(f"b{i}")]
-    row = table.agg(F.count(F.lit(1)).alias("rows"), *marks).first()
-    out: dict[str, T.DataType] = {}
-    for i, c in enumerate(columns):
-        full = row[f"n{i}"] == row["rows"]
-        if not row["rows"]:
-            out[c] = T.StringType()
-        elif row[f"l{i}"] and full:
-            out[c] = T.LongType()
-        elif row[f"d{i}"]:
-            out[c] = T.DoubleType()
-        elif row[f"b{i}"] and full:
-            out[c] = T.BooleanType()
-        else:
-            out[c] = T.StringType()
-    return out
+    tests = {
+        "n": lambda x: F.count(x),
+        "l": lambda x: every(x.rlike(_INTEGER) & F.trim(x).try_cast("bigint").isNotNull()),
+        "d": lambda x: every(x.rlike(_NUMBER)),
+        "b": lambda x: every(x.isin(*_TRUE, *_FALSE)),
+    }
+    count = F.count(F.lit(1)).alias("rows")
+    if len(columns) > wide:
+        stacked = table.select(F.posexplode(F.array(*[named(c) for c in columns])).alias("at", "x"))
+        found = {r["at"]: r for r in stacked.groupBy("at").agg(count, *[make(F.col("x")).alias(k) for k, make in tests.items()]).collect()}
+        marks = [found[i].asDict() if i in found else {"rows": 0} for i in range(len(columns))]
+    else:
+        row = table.agg(count, *[make(named(c)).alias(f"{k}{i}") for i, c in enumerate(columns) for k, make in tests.items()]).first()
+        marks = [{"rows": row["rows"], **{k: row[f"{k}{i}"] for k in tests}} for i in range(len(columns))]
+    return {c: _kind(m) for c, m in zip(columns, marks, strict=True)}
+
+
+def _kind(m: dict) -> T.DataType:
+    """The narrowest type that a column's tests leave."""
+    full = m["rows"] and m["n"] == m["rows"]
+    if not m["rows"]:
+        return T.StringType()
+    if m["l"] and full:
+        return T.LongType()
+    if m["d"]:
+        return T.DoubleType()
+    return T.BooleanType() if m["b"] and full else T.StringType()
 
 
 def as_type(text: Column, kind: T.DataType) -> Column:
@@ -144,38 +185,32 @@ def as_type(text: Column, kind: T.DataType) -> Column:
 def write_delimited(df: DataFrame, path: str, *, separator: str | None = None, single: bool = True) -> str:
     """Writes ``df`` with a header, missing values empty, replacing what is there; the format is that of ``path``.
 
-    ``single`` makes one file at ``path``, rows in their order; otherwise
-    ``path`` is a folder of parts, written in parallel.
+    All tasks write. Parts are named in the order of the table's partitions, so
+    one after the other they hold the rows as ``df.collect()`` has them; of a table
+    that was read from one file and went through no shuffle that is the file's own
+    order. ``single`` joins them to one file at ``path`` by the file system;
+    otherwise ``path`` is their folder, and each part has the header.
     """
     separator = separator or separator_of(path)
     rows = df.select(*[_shown(f).alias(f.name) for f in df.schema])
     folder = f"{path}.parts" if single else path
-    writer = (rows.coalesce(1) if single else rows).write.mode("overwrite").option("sep", separator).option("header", True).option("quote", '"').option("escape", '"').option("nullValue", "").option("emptyValue", '""').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    writer.csv(folder)
+    writer = rows.write.mode("overwrite").options(sep=separator, quote='"', escape='"', nullValue="", emptyValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    writer.option("header", not single).csv(folder)
     if single:
-        _gather(df, folder, path, separator)
+        head = _header(df, separator)
+        join_parts(df.sparkSession, folder, path, head)
     return path
 
 
+def _header(df: DataFrame, separator: str) -> bytes:
+    """The names as the writer quotes them."""
+    quoted = ['"' + c.replace('"', '""') + '"' if not c or c[0] in " \t" or c[-1] in " \t" or any(x in c for x in (separator, '"', "\n", "\r")) else c for c in df.columns]
+    return (separator.join(quoted) + "\n").encode()
+
+
 def _shown(field: T.StructField) -> Column:
     """Booleans as True and False, NaN as missing, all else as Spark writes it."""
     x = named(field.name)
     if isinstance(field.dataType, T.BooleanType):
         return F.when(x, "True").when(~x, "False")
     return F.nanvl(x, F.lit(None).cast(field.dataType)) if isinstance(field.dataType, (T.DoubleType, T.FloatType)) else x
-
-
-def _gather(df: DataFrame, folder: str, path: str, separator: str) -> None:
-    """Moves the only part of ``folder`` to ``path``, through Spark's own file systems."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    at, to = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(conf)
-    parts = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-")]
-    fs.delete(to, True)
-    if parts:
-        fs.rename(parts[0], to)
-    else:  # nothing was written: an empty table still has a header
-        out = fs.create(to, True)
-        out.write(bytearray((separator.join(df.columns) + "\n").encode()))
-        out.close()
-    fs.delete(at, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import pickle
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import Future, ThreadPoolExecutor
 from typing import Any
 
@@ -14,28 +14,20 @@ from tabulaire.operators.scalers import Fitted, Scaler
 from tabulaire.report import StorageLocation
 
 from .artefacts import load_fit, save_fit
-
-
-def _at(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+from .files import at, read_stream, write_stream
 
 
 def create_container(spark: SparkSession, path: str) -> bool:
     """Makes a folder; False if it was there."""
-    fs, p = _at(spark, path)
+    fs, p = at(spark, path)
     return False if fs.exists(p) else bool(fs.mkdirs(p))
 
 
-def upload(spark: SparkSession, location: StorageLocation | str, data: bytes) -> int:
-    """Writes bytes, replacing what is there; the containing folder is made first. ``in_background`` does not wait."""
+def upload(spark: SparkSession, location: StorageLocation | str, data: bytes | Iterable[bytes]) -> int:
+    """Writes bytes, or a stream of them, replacing what is there; the containing folder is made first. ``in_background`` does not wait."""
     path = location if isinstance(location, str) else location.path
     create_container(spark, path.rpartition("/")[0])
-    fs, p = _at(spark, path)
-    out = fs.create(p, True)
-    out.write(bytearray(data))
-    out.close()
-    return len(data)
+    return write_stream(spark, path, [data] if isinstance(data, (bytes, bytearray)) else data)
 
 
 def in_background(work: Callable[..., Any], *arguments: Any) -> Future:
@@ -46,11 +38,12 @@ def in_background(work: Callable[..., Any], *arguments: Any) -> Future:
     return future
 
 
-def download(spark: SparkSession, location: StorageLocation | str) -> bytes:
+def download(spark: SparkSession, location: StorageLocation | str, offset: int = 0, length: int | None = None) -> bytes:
+    """The bytes of a blob, or a range of them; ``files.read_stream`` gives those of a large one in chunks."""
     path = location if isinstance(location, str) else location.path
     if not path.strip():
         raise ValueError("a name is needed")
-    return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+    return b"".join(read_stream(spark, path, offset=offset, length=length))
 
 
 def save_model(spark: SparkSession, root: str, request_id: str, model: Any, kind: str = "svm", model_type: str = "support-vector-machine") -> str:
