@@ -242,6 +242,12 @@ class Robust(Scaler):
         low, high = (q / 100 for q in self.quantile_range)
         return [low, 0.5, high]
 
+    @property
+    def adjust(self) -> float:
+        """What the quantiles of a normal distribution of unit variance are apart, if scales are to give that."""
+        low, _, high = self.odds
+        return NormalDist().inv_cdf(high) - NormalDist().inv_cdf(low) if self.unit_variance else 1.0
+
     @property
     def used(self) -> tuple[str, ...]:
         return ("center",) * self.with_centering + ("scale",) * self.with_scaling
@@ -254,11 +260,8 @@ class Robust(Scaler):
         return sketched_quantiles(state, self.odds)
 
     def learned_from(self, stat: Stat) -> dict[str, Column]:
-        low, _, high = self.odds
-        normal = NormalDist()
-        adjust = normal.inv_cdf(high) - normal.inv_cdf(low) if self.unit_variance else 1.0
         at = lambda i: F.get(stat("q").cast("array<double>"), F.lit(i))
-        return {"center": at(1), "scale": safe_scale(at(2) - at(0)) / F.lit(adjust)}
+        return {"center": at(1), "scale": safe_scale(at(2) - at(0)) / F.lit(self.adjust)}
 
     def kept(self, values: dict[str, list]) -> dict[str, list]:
         return {"center": values["center"] if self.with_centering else None, "scale": values["scale"] if self.with_scaling else None}
