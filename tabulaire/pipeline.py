@@ -65,8 +65,8 @@ def _write(df: DataFrame, path: str, single: bool) -> None:
 def run(spark: SparkSession, process: str, source: str, target: StorageLocation | None = None, parameters: Mapping[str, Any] | None = None, *, single: bool = True) -> Report:
     """Runs one process on the table at ``source``; raises ValueError before anything is written if the request is wrong.
 
-    ``single`` writes delimited text as one file, by one task; without it, as a
-    folder of parts, by all.
+    ``single`` makes delimited output one file, without it a folder of parts; all
+    tasks write in either case.
     """
     if process not in PROCESSES:
         raise ValueError(f"unknown process: {process}")
@@ -128,7 +128,7 @@ def run(spark: SparkSession, process: str, source: str, target: StorageLocation
     return report.finish(info)
 
 
-def handle(spark: SparkSession, process: str, request: FamilyRequest | Mapping[str, Any], headers: Mapping[str, str] | None = None, *, single: bool = True) -> FamilyResponse:
+def handle(spark: SparkSession, process: str, request: FamilyRequest | Mapping[str, Any], headers: Mapping[str, str] | None = None) -> FamilyResponse:
     """Runs a process as its request (a record, or the JSON object of one) says.
 
     The response is of the process's own type in any case; what is wrong with
@@ -145,7 +145,7 @@ def handle(spark: SparkSession, process: str, request: FamilyRequest | Mapping[s
     try:
         given = types.request.of({k: v for k, v in body.items() if k != "experimentId"}) if isinstance(request, Mapping) else request
         parameters = getattr(given, types.asked)
-        report = run(spark, process, given.input_blob.path, given.output_blob, vars(parameters), single=single)
+        report = run(spark, process, given.input_blob.path, given.output_blob, vars(parameters), single=given.single_file)
     except Exception as e:
         status = 400 if isinstance(e, ValueError) else 500
         known = {"dataset_id": given.dataset_id, "requested_by": given.requested_by, "requested_at": given.requested_at, "request_metadata": given.request_metadata} if given else {"dataset_id": str(body.get("datasetId", "")), "requested_at": asked_at}

@@ -29,6 +29,9 @@ class Query:
 
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 KEYS = ["l_orderkey", "l_linenumber"]
+_L2 = f"sqrt({' + '.join(f'{c} * {c}' for c in LINE)})"
+#: Points in time are compared as texts, whatever an engine calls their type and whatever the session's time zone.
+_TIMES = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
 
 
 def _rounded(df: DataFrame, columns: list[str], places: int = 6) -> DataFrame:
@@ -46,6 +49,18 @@ def _scaled(table: str, keys: list[str], columns: list[str], method: str, expres
     return Query(table, lambda df: _rounded(standardize(before(df).select(*keys, *columns), method, columns, **flags), columns, places), sql)
 
 
+def _whole(table: str, columns: list[str], build: Build, expressions: dict[str, str], source: str | None = None) -> Query:
+    """An operator on ``columns`` of a whole table, all other columns passed through; points in time as texts."""
+    time = _TIMES.get(table)
+    put = [f"{e} AS {c}" for c, e in expressions.items()] + ([f"strftime({time}, '%Y-%m-%d %H:%M:%S.%f') AS {time}"] if time else [])
+
+    def run(df: DataFrame) -> DataFrame:
+        out = _rounded(build(df), columns)
+        return out.withColumn(time, F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS")) if time else out
+
+    return Query(table, run, f"SELECT * REPLACE ({', '.join(put)}) FROM {source or table}")
+
+
 def _norm(norm: str, columns: list[str], size: str) -> Query:
     sized = f"(SELECT *, {size} AS size FROM lineitem)"
     sql = f"SELECT {', '.join(KEYS)}, {_round_sql({c: f'{c} / CASE WHEN size = 0 THEN 1 ELSE size END' for c in columns})} FROM {sized}"
@@ -66,8 +81,6 @@ _GAPS: dict[str, tuple[str, dict[str, tuple[str, int]]]] = {
     "select_top_features": ("nation", {"n_name": ("n_nationkey", 4)}),
     "data_extraction": ("pages", {"url": ("page_id", 3)}),
 }
-#: Points in time are compared as texts, whatever an engine calls their type and whatever the session's time zone.
-_TIMES = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
 
 
 def _filter(name: str) -> Query:
@@ -99,7 +112,7 @@ def _standard_sql(x: str = "{x}") -> str:
 
 
 QUERIES: dict[str, Query] = {
-    "standard_standardization": _scaled("lineitem", KEYS, LINE, "standard", _standard_sql()),
+    "standard_standardization": _whole("lineitem", LINE, lambda df: standardize(df, "standard", LINE), {c: f"round({_standard_sql().format(x=c)}, 6) + 0.0" for c in LINE}),
     "standard_no_mean": _scaled("lineitem", KEYS, LINE, "standard", "{x} / stddev_pop({x}) OVER ()", with_mean=False),
     "standard_no_std": _scaled("lineitem", KEYS, LINE, "standard", "{x} - avg({x}) OVER ()", places=7, with_std=False),
     "standard_with_missing": _scaled("lineitem", KEYS, ["l_quantity"], "standard", _standard_sql(), lambda df: df.withColumn("l_quantity", F.when(F.col("l_linenumber") != 3, F.col("l_quantity"))), _WITH_GAPS),
@@ -108,12 +121,12 @@ QUERIES: dict[str, Query] = {
     "min_max_standardization": _scaled("orders", ["o_orderkey"], ["o_totalprice"], "min_max", "({x} - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ())"),
     "min_max_range": _scaled("part", ["p_partkey"], ["p_size", "p_retailprice"], "min_max", "2.0 * ({x} - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ()) - 1.0", feature_range=(-1, 1)),
     "max_abs_standardization": _scaled("customer", ["c_custkey"], ["c_acctbal"], "max_abs", "{x} / max(abs({x})) OVER ()"),
-    "robust_standardization": _scaled("events", ["event_id"], ["value"], "robust", _ROBUST.format(t="events", a=0.25, b=0.75)),
+    "robust_standardization": _whole("events", ["value"], lambda df: standardize(df, "robust", ["value"]), {"value": f"round({_ROBUST.format(t='events', a=0.25, b=0.75).format(x='value')}, 6) + 0.0"}),
     "robust_unit_variance": _scaled("events", ["event_id"], ["value"], "robust", "1.3489795003921634 * " + _ROBUST.format(t="events", a=0.25, b=0.75), unit_variance=True),
     "robust_q10_q90": _scaled("orders", ["o_orderkey"], ["o_totalprice"], "robust", _ROBUST.format(t="orders", a=0.1, b=0.9), quantile_range=(10.0, 90.0)),
     "robust_no_center": _scaled("orders", ["o_orderkey"], ["o_totalprice"], "robust", _ROBUST.format(t="orders", a=0.25, b=0.75).replace("({x} - (SELECT quantile_cont({x}, 0.5) FROM orders))", "{x}"), with_centering=False),
     "l1_normalization": _norm("l1", LINE, " + ".join(f"abs({c})" for c in LINE)),
-    "l2_normalization": _norm("l2", LINE, f"sqrt({' + '.join(f'{c} * {c}' for c in LINE)})"),
+    "l2_normalization": _whole("lineitem", LINE, lambda df: normalize(df, "l2", LINE), {c: f"round({c} / CASE WHEN {_L2} = 0 THEN 1 ELSE {_L2} END, 6) + 0.0" for c in LINE}),
     "max_normalization": _norm("max", LINE, f"greatest({', '.join(f'abs({c})' for c in LINE)})"),
     "l2_zero_row": _norm("l2", ["l_discount", "l_tax"], "sqrt(l_discount * l_discount + l_tax * l_tax)"),
     **{name: _filter(name) for name in FILTERS},

@@ -107,6 +107,8 @@ class FamilyRequest(Record):
     requested_by: str | None = None
     requested_at: datetime = field(default_factory=utc_now)
     request_metadata: Metadata | None = None
+    #: Whether delimited output is one file or a folder of parts.
+    single_file: bool = True
 
     def __post_init__(self) -> None:
         if not self.dataset_id:
