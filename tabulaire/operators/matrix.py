@@ -9,20 +9,19 @@ merge like any others; transforms, norms and filters are maps without a shuffle.
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tabulaire.functions.columns import named, numeric_columns, value_of
 from tabulaire.operators.design import NOT_FOUND
 from tabulaire.operators.normalizers import MISSING_VALUES, NORMS
 from tabulaire.operators.scalers import EPS, Fitted, MaxAbs, MinMax, Robust, Scaler, Standard
 from tabulaire.plans.state import SCHEMA as STATE, merged
-from tabulaire.sources.delimited import MISSING, _shown, column_names, separator_of
+from tabulaire.sources.delimited import _MISSING, _shown, cells_of, infer_wide, separator_of, wide_header
 from tabulaire.sources.files import join_parts
 from tabulaire.sources.records import records
 
@@ -203,6 +202,14 @@ def scale_matrix(matrix: Matrix, scaler: Scaler, fitted: Fitted | None = None) -
     return _mapped(matrix, block)
 
 
+def check_complete_matrix(matrix: Matrix, norm: str) -> int:
+    """The number of rows; raises a ValueError that names the features with missing values, before anything is written."""
+    seen = MaxAbs().finish(merged(matrix_state(matrix)), matrix.names)
+    if short := [c for c, n in zip(matrix.names, seen.counts, strict=True) if n < seen.rows]:
+        raise ValueError(MISSING_VALUES.format(norm=norm, columns=short))
+    return seen.rows
+
+
 def normalize_matrix(matrix: Matrix, norm: str) -> Matrix:
     """Rows divided by their norm; rows of zeros stay, a missing value is an error."""
     if norm not in NORMS:
@@ -242,23 +249,24 @@ def _numbers(cells: list[str], names: list[str]) -> list[float]:
         out = []
         for cell, name in zip(cells, names, strict=True):
             try:
-                out.append(float("nan") if cell in MISSING else float(cell))
+                out.append(float("nan") if cell in _MISSING else float(cell))
             except ValueError:
                 raise ValueError(f"feature {name!r} is not numeric: {cell!r}") from None
         return out
 
 
-def read_matrix(spark: SparkSession, path: str, keys: Iterable[str] = ()) -> Matrix:
+def read_matrix(spark: SparkSession, path: str, keys: Iterable[str] | None = None) -> Matrix:
     """CSV or TSV as a matrix: ``keys`` are its text columns, all others features of numbers.
 
-    The header alone is read here. Rows are split and converted in Arrow batches, by
-    every task a part of the file; no column but the keys is ever one of Spark's.
+    Without ``keys`` all columns that are not numbers are, found by one scan for
+    types. Else the header alone is read here. Rows are split and converted in
+    Arrow batches, by every task a part of the file; no column but the keys is
+    ever one of Spark's. The header is one line.
     """
-    separator, wanted = separator_of(path), list(keys)
-    head = spark.read.option("lineSep", "\n").text(path).where(F.trim("value") != "").limit(1).collect()
-    if not head:
-        raise ValueError(f"No columns to parse from file: {path}")
-    names = column_names(next(csv.reader([head[0].value.removesuffix("\r")], delimiter=separator)))
+    separator, names = separator_of(path), wide_header(spark, path)
+    if keys is None:
+        keys = [n for n, kind in infer_wide(spark, path, names).items() if not isinstance(kind, T.NumericType)]
+    wanted = list(keys)
     if absent := [k for k in wanted if k not in names]:
         raise ValueError(NOT_FOUND.format(names=", ".join(absent)))
     beside, inside = [names.index(k) for k in wanted], [i for i, n in enumerate(names) if n not in set(wanted)]
@@ -266,14 +274,9 @@ def read_matrix(spark: SparkSession, path: str, keys: Iterable[str] = ()) -> Mat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, width):
-            rows = []
-            for value in batch.column(0).to_pylist():
-                cells = next(csv.reader([value], delimiter=separator)) if '"' in value else value.split(separator)
-                if len(cells) > width:
-                    raise ValueError(f"Expected {width} fields in a row, saw more: {len(cells)}")
-                rows.append(cells + [""] * (width - len(cells)))
+            rows = [cells_of(value, separator, width) for value in batch.column(0).to_pylist()]
             x = np.array([_numbers([r[i] for i in inside], features) for r in rows], float).reshape(len(rows), len(features))
-            yield pa.record_batch([*[pa.array([None if r[i] in MISSING else r[i] for r in rows], pa.string()) for i in beside], _listed(x)], names=[f"c{i}" for i in range(len(beside) + 1)])
+            yield pa.record_batch([*[pa.array([None if r[i] in _MISSING else r[i] for r in rows], pa.string()) for i in beside], _listed(x)], names=[f"c{i}" for i in range(len(beside) + 1)])
 
     schema = ", ".join([f"c{i} string" for i in range(len(beside))] + [f"c{len(beside)} array<double>"])
     return Matrix(records(spark, path, separator).select("value").mapInArrow(run, schema).toDF(*wanted, VALUES), features)

@@ -14,12 +14,13 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tabulaire.functions.columns import configure, numeric_columns
+from tabulaire.functions.columns import NO_NUMBERS, configure, numeric_columns
 from tabulaire.operators import MaxAbs, MinMax, Robust, Standard, complete_cases, feature_listing, normalize, select_features
+from tabulaire.operators.matrix import Matrix, check_complete_matrix, fit_matrix, normalize_matrix, read_matrix, scale_matrix, write_matrix
 from tabulaire.operators.normalizers import check_complete
 from tabulaire.report import Error, FeatureExtractionInfo, FeatureMatrixInfo, FileInfo, FilterInfo, NormInfo, Report, StorageLocation
 from tabulaire.requests import ENVELOPES, PROCESSES, FamilyRequest, FamilyResponse
-from tabulaire.sources.delimited import SEPARATORS, extension_of, read_header, write_delimited
+from tabulaire.sources.delimited import SEPARATORS, extension_of, read_header, wide_header, write_delimited
 from tabulaire.sources.tables import read_table
 from tabulaire.tools import elapsed_ms, get_trace_id, parse_experiment_id, utc_now
 
@@ -30,6 +31,7 @@ SCALERS = {
     "max_abs_standardization": ("max_abs_scaler", MaxAbs),
     "robust_standardization": ("robust_scaler", Robust),
 }
+WIDE_FILE = 1000  #: more columns than this are read as a matrix
 NORMALIZERS = {"l1_normalization": "l1", "l2_normalization": "l2", "max_normalization": "max"}
 
 
@@ -62,6 +64,19 @@ def _write(df: DataFrame, path: str, single: bool) -> None:
         write_delimited(df, path, single=single)
 
 
+def _as_matrix(spark: SparkSession, process: str, source: str, out: str, request: Any, single: bool) -> Matrix | None:
+    """The table as a matrix, where it is a file of very many columns, texts before numbers, and all numbers are worked on; else None."""
+    if process not in SCALERS and process not in NORMALIZERS or extension_of(source) not in SEPARATORS or not single:
+        return None
+    if len(names := wide_header(spark, source)) <= WIDE_FILE:
+        return None
+    matrix = read_matrix(spark, source)
+    if not matrix.names:
+        raise ValueError(NO_NUMBERS)
+    whole = [*matrix.others, *matrix.names] == names
+    return matrix if whole and (request.numeric_columns or matrix.names) == matrix.names else None
+
+
 def run(spark: SparkSession, process: str, source: str, target: StorageLocation | None = None, parameters: Mapping[str, Any] | None = None, *, single: bool = True) -> Report:
     """Runs one process on the table at ``source``; raises ValueError before anything is written if the request is wrong.
 
@@ -82,8 +97,10 @@ def run(spark: SparkSession, process: str, source: str, target: StorageLocation
     if target is None:
         raise ValueError("an output location is needed")
     out = output_path(process, source, target)
+    matrix = None
     with report.step("download") as said:
-        df = read_table(spark, source)
+        matrix = _as_matrix(spark, process, source, out, request, single)
+        df = matrix.rows if matrix else read_table(spark, source)
         report.input_file = _file(spark, source)
         said.append(f"Read {report.input_file.size_bytes} bytes.")
     # counts of the rows that a job reads and writes, taken while it runs
@@ -95,18 +112,18 @@ def run(spark: SparkSession, process: str, source: str, target: StorageLocation
         flags = {k: v for k, v in vars(request).items() if k not in ("numeric_columns", "chunk_size", "copy")}
         scaler = kind(request.numeric_columns, **flags)
         with report.step(f"{step}_fit") as said:
-            fitted = scaler.fit(df)
+            fitted = fit_matrix(matrix, scaler) if matrix else scaler.fit(df)
             said.append(f"Fitted on {fitted.rows} rows.")
         with report.step(f"{step}_transform"):
-            result = scaler.transform(df, fitted)
+            result = scale_matrix(matrix, scaler, fitted) if matrix else scaler.transform(df, fitted)
         chunks = _chunks(fitted.rows, request.chunk_size)
         info = PROCESSES[process][2](numeric_columns=fitted.columns, numeric_column_count=len(fitted.columns), rows_processed=fitted.rows, transform_chunks_processed=chunks, chunk_size=request.chunk_size, fit_chunks_processed=chunks, **flags, **scaler.learned(fitted))
     elif process in NORMALIZERS:
         norm = NORMALIZERS[process]
         with report.step(process):
-            columns = numeric_columns(df, request.numeric_columns)
-            rows = check_complete(df, columns, norm)
-            result = normalize(df, norm, columns)
+            columns = matrix.names if matrix else numeric_columns(df, request.numeric_columns)
+            rows = check_complete_matrix(matrix, norm) if matrix else check_complete(df, columns, norm)
+            result = normalize_matrix(matrix, norm) if matrix else normalize(df, norm, columns)
         info = NormInfo(columns, len(columns), rows, _chunks(rows, request.chunk_size), request.chunk_size, norm)
     elif process == "create_defined_feature_matrix":
         with report.step("select_defined_features"):
@@ -115,7 +132,7 @@ def run(spark: SparkSession, process: str, source: str, target: StorageLocation
         with report.step("retain_complete_samples"):
             result = complete_cases(df.observe(read, count)).observe(written, count)
     with report.step("upload") as said:
-        _write(result, out, single)
+        write_matrix(result, out) if matrix else _write(result, out, single)
         report.output_file = _file(spark, out)
         said.append(f"Wrote {report.output_file.size_bytes} bytes.")
     if process == "create_defined_feature_matrix":

@@ -9,8 +9,11 @@ own, in as many tasks as the file has splits; inference is one aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import csv
+import re
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tabulaire.functions.columns import named
@@ -24,6 +27,7 @@ SEPARATORS = {".csv": ",", ".tsv": "\t"}
 #: The texts that mean a missing value.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
+_MISSING = frozenset(MISSING)
 _INTEGER = r"^\s*[+-]?[0-9]{1,19}\s*$"
 _NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 _TRUE, _FALSE = ("True", "TRUE", "true"), ("False", "FALSE", "false")
@@ -82,6 +86,15 @@ def read_header(spark: SparkSession, path: str, multiline: bool = True) -> list[
     return column_names([*cells, last and last.removesuffix("\r")])  # of a file whose quotes hold other line ends than its own
 
 
+def wide_header(spark: SparkSession, path: str) -> list[str]:
+    """``read_header`` of a file whose header is one line, however many names it has."""
+    separator = separator_of(path)
+    head = spark.read.option("lineSep", "\n").text(path).where(F.trim("value") != "").limit(1).collect()
+    if not head:
+        raise ValueError(f"No columns to parse from file: {path}")
+    return column_names(next(csv.reader([head[0].value.removesuffix("\r")], delimiter=separator)))
+
+
 def _presence(text: Column) -> Column:
     return F.when(text.isin(*MISSING), None).otherwise(text)
 
@@ -160,6 +173,76 @@ def infer(table: DataFrame, columns: list[str], wide: int = WIDE) -> dict[str, T
     return {c: _kind(m) for c, m in zip(columns, marks, strict=True)}
 
 
+_WHOLE, _FRACTION = re.compile(_INTEGER), re.compile(_NUMBER)
+
+
+class TypeStates:
+    """What each column of a table can still be, narrowed cell by cell: whole number, number, boolean, or else text."""
+
+    def __init__(self, width: int):
+        self.rows = 0
+        self.n = [0] * width
+        self.tests = {k: [True] * width for k in "ldb"}
+
+    def add(self, rows: list[list[str]]) -> None:
+        self.rows += len(rows)
+        for i, column in enumerate(zip(*rows, strict=True)):
+            there = [c for c in column if c not in _MISSING]
+            self.n[i] += len(there)
+            for k, test in (("l", _is_whole), ("d", _is_number), ("b", _is_boolean)):
+                if there and self.tests[k][i]:
+                    self.tests[k][i] = test(there)
+
+
+def _is_whole(cells: list[str]) -> bool:
+    try:
+        values = list(map(int, cells))
+    except ValueError:
+        return False
+    return -(2**63) <= min(values) and max(values) < 2**63 and all(map(_WHOLE.match, cells))
+
+
+def _is_number(cells: list[str]) -> bool:
+    try:
+        list(map(float, cells))
+    except ValueError:
+        return False
+    return all(map(_FRACTION.match, cells))
+
+
+def _is_boolean(cells: list[str]) -> bool:
+    return set(cells) <= {*_TRUE, *_FALSE}
+
+
+def cells_of(record: str, separator: str, width: int) -> list[str]:
+    """A record's fields, short ones filled up; a longer one is an error."""
+    cells = next(csv.reader([record], delimiter=separator)) if '"' in record else record.split(separator)
+    if len(cells) > width:
+        raise ValueError(f"Expected {width} fields in a row, saw more: {len(cells)}")
+    return cells + [""] * (width - len(cells))
+
+
+def infer_wide(spark: SparkSession, path: str, names: list[str]) -> dict[str, T.DataType]:
+    """``infer`` of a file of very many columns in one scan, none of them ever a column of Spark's.
+
+    Each task narrows one state a column over its records; the states, a row a
+    column and task, are then merged by one grouping.
+    """
+    separator, width = separator_of(path), len(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states, most = TypeStates(width), max(1, 4_000_000 // width)
+        for batch in batches:
+            for at in range(0, batch.num_rows, most):
+                states.add([cells_of(r, separator, width) for r in batch.column(0).slice(at, most).to_pylist()])
+        columns = [pa.array(range(width), pa.int32()), pa.array([states.rows] * width, pa.int64()), pa.array(states.n, pa.int64()), *[pa.array(states.tests[k]) for k in "ldb"]]
+        yield pa.record_batch(columns, names=["at", "rows", "n", "l", "d", "b"])
+
+    states = records(spark, path, separator).select("value").mapInArrow(run, "at int, rows long, n long, l boolean, d boolean, b boolean")
+    found = {r["at"]: r.asDict() for r in states.groupBy("at").agg(F.sum("rows").alias("rows"), F.sum("n").alias("n"), *[F.bool_and(k).alias(k) for k in "ldb"]).collect()}
+    return {name: _kind(found.get(i, {"rows": 0})) for i, name in enumerate(names)}
+
+
 def _kind(m: dict) -> T.DataType:
     """The narrowest type that a column's tests leave."""
     full = m["rows"] and m["n"] == m["rows"]

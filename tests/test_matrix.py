@@ -10,6 +10,7 @@ import pytest
 from tabulaire.operators import MaxAbs, MinMax, Robust, Standard, complete_cases, normalize, select_features
 from tabulaire.operators.matrix import chosen_features, complete_rows, fit_matrix, matrix_state, normalize_matrix, pack, read_matrix, scale_matrix, write_matrix
 from tabulaire.plans.state import merged, resume, save_part
+from tabulaire.sources.delimited import infer_wide, read_delimited
 
 NAMES = ["x", "a.b", "gaps", "none", "k", "whole"]
 
@@ -94,7 +95,7 @@ def test_files(spark, tmp_path, name):
     assert list(back.columns) == ["id", "note", "g,1\tx", "g2", "g2.1"] and sorted(back["note"]) == sorted(r.note for r in rows) and back["g,1\tx"].sum() == sum(i / 4 for i in range(50))
     (tmp_path / f"bad-{name}").write_text(separator.join("ab") + "\n" + separator.join(["1", "x"]) + "\n")
     with pytest.raises(Exception, match="'b' is not numeric"):
-        read_matrix(spark, str(tmp_path / f"bad-{name}")).rows.collect()
+        read_matrix(spark, str(tmp_path / f"bad-{name}"), []).rows.collect()
 
 
 def test_twenty_thousand_columns(spark, tmp_path):
@@ -116,6 +117,48 @@ def test_twenty_thousand_columns(spark, tmp_path):
     assert np.allclose(robust.values["center"], np.median(x, 0)) and np.allclose(robust.values["scale"], np.quantile(x, 0.75, axis=0) - np.quantile(x, 0.25, axis=0))
 
 
+def test_types_of_wide_files(spark, tmp_path):
+    """As the types of columns are found, of 3,000 columns in one scan."""
+    kinds = {"l": ["1", "-2", ""], "w": ["1", "+2", " 3"], "f": ["1", "2.5", "NA"], "b": ["True", "false", "TRUE"], "s": ["x", "1", "2"], "n": ["", "NA", "nan"], "g": ["99999999999999999999", "1", "2"], "i": ["inf", "-Infinity", "1"], "m": ["True", "", "False"], "u": ["1_0", "2", "3"], "d": ["NAN", "1", "2"], "q": ['"1"', '"2"', "3"]}
+    names = [f"{k}{j}" for j in range(250) for k in kinds]
+    rows = [",".join(kinds[n[0]][i] for n in names) for i in range(3)]
+    (tmp_path / "t.csv").write_text(",".join(names) + "\n" + "\n".join(rows) + "\n")
+    expected = {"l": "double", "w": "bigint", "f": "double", "b": "boolean", "s": "string", "n": "double", "g": "double", "i": "double", "m": "string", "u": "string", "d": "string", "q": "bigint"}
+    got = infer_wide(spark, str(tmp_path / "t.csv"), names)
+    assert {n: t.simpleString() for n, t in got.items()} == {n: expected[n[0]] for n in names}
+    (tmp_path / "small.csv").write_text(",".join(kinds) + "\n" + "\n".join(",".join(kinds[k][i] for k in kinds) for i in range(3)) + "\n")
+    assert {c: t for c, t in read_delimited(spark, str(tmp_path / "small.csv")).dtypes} == expected
+    (tmp_path / "head.csv").write_text(",".join(names) + "\n")
+    assert {t.simpleString() for t in infer_wide(spark, str(tmp_path / "head.csv"), names).values()} == {"string"}
+
+
+@pytest.mark.parametrize(("process", "parameters"), [("standard_standardization", {}), ("robust_standardization", {"quantileRange": [10, 90]}), ("l2_normalization", {"chunkSize": 7})])
+def test_processes_on_wide_files(spark, tmp_path, process, parameters, monkeypatch):
+    """The same file and report as by columns."""
+    from tabulaire import pipeline
+    from tabulaire.report import StorageLocation
+
+    rng = np.random.default_rng(1)
+    x = np.round(rng.normal(size=(30, 60)), 4)
+    (tmp_path / "in.csv").write_text("id,site," + ",".join(f"g{i}" for i in range(60)) + "\n" + "".join(f's{i},"a,{i}",' + ",".join(map(str, r)) + "\n" for i, r in enumerate(x)))
+    plain = pipeline.run(spark, process, str(tmp_path / "in.csv"), StorageLocation(str(tmp_path), "plain"), parameters)
+    monkeypatch.setattr(pipeline, "WIDE_FILE", 10)
+    seen = []
+    monkeypatch.setattr(pipeline, "write_matrix", lambda m, p: seen.append(p) or write_matrix(m, p))
+    wide = pipeline.run(spark, process, str(tmp_path / "in.csv"), StorageLocation(str(tmp_path), "wide"), parameters)
+    assert seen, "the table was a matrix"
+    one, other = pd.read_csv(tmp_path / "plain.csv"), pd.read_csv(tmp_path / "wide.csv")
+    pd.testing.assert_frame_equal(one, other, check_exact=False, rtol=1e-9)
+    for k, v in vars(plain.info).items():
+        w = getattr(wide.info, k)
+        assert w == (pytest.approx(v, rel=1e-9) if isinstance(v, list) and v and isinstance(v[0], float) else v), k
+    # columns that are not all the numbers, or not last, go by columns
+    (tmp_path / "mixed.csv").write_text("g0,id," + ",".join(f"g{i}" for i in range(1, 20)) + "\n" + "".join("1,s," + ",".join("2" for _ in range(19)) + "\n" for _ in range(3)))
+    seen.clear()
+    report = pipeline.run(spark, process, str(tmp_path / "mixed.csv"), StorageLocation(str(tmp_path), "mixed-out"), parameters)
+    assert not seen and report.info.numeric_column_count == 20 and list(pd.read_csv(tmp_path / "mixed-out.csv").columns[:2]) == ["g0", "id"]
+
+
 def test_merged_states_of_many_tasks(spark):
     df = spark.range(1000).selectExpr("cast(id as double) as x").repartition(16)
     state = merged(matrix_state(pack(df))).first()
