@@ -31,6 +31,7 @@ WINDOW = 32  #: bytes that the gear hash looks back
 ROLL = 1 << 30  #: bytes of a pack after which a task begins the next
 SEEN = 200_000  #: digests a task remembers as written; beyond, a repeated chunk may be written again
 SLICE = 4_000_000  #: bytes hashed at once
+READ = 8 << 20  #: bytes of neighbouring chunks that are read at once
 MAGIC = b"CDC1"
 
 _GEAR = np.random.default_rng(1).integers(0, 2**32, 256, np.uint32)
@@ -138,6 +139,21 @@ def feature_of(samples: bytes) -> str:
     return f"mean={mean};sd={int(max(spread, 0) ** 0.5)};crossings={int((high[1:] != high[:-1]).sum())};values={len(np.unique(x))}"
 
 
+def reads(places: list[dict], most: int = READ) -> Iterator[tuple[str, int, int, list[int]]]:
+    """(pack, offset, size, places by number) of each read that a list of chunks takes: chunks that lie side by side in a pack are read at once, up to ``most`` bytes."""
+    run: tuple[str, int, int, list[int]] | None = None
+    for i in sorted(range(len(places)), key=lambda i: (places[i]["pack"], places[i]["offset"])):
+        pack, offset, size = places[i]["pack"], places[i]["offset"], places[i]["size"]
+        if run and run[0] == pack and offset <= run[1] + run[2] and offset + size - run[1] <= max(most, run[2]):
+            run = (pack, run[1], max(run[2], offset + size - run[1]), [*run[3], i])
+        else:
+            if run:
+                yield run
+            run = (pack, offset, size, [i])
+    if run:
+        yield run
+
+
 def _read(root: str, with_payload: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(root)
@@ -147,19 +163,24 @@ def _read(root: str, with_payload: bool):
             payloads = []
             for doc_id, stored, places in zip(batch.column("doc_id").to_pylist(), batch.column("media").to_pylist(), batch.column("places").to_pylist(), strict=True):
                 n_bytes, chunks = parts(stored)
-                read, sizes = [], {}
-                for place, (digest, length) in zip(sorted(places, key=lambda p: p["position"]), chunks, strict=True):
-                    if place["pack"] not in files:
+                places = sorted(places, key=lambda p: p["position"])
+                read, sizes = [b""] * len(chunks), {}
+                if len(places) != len(chunks):
+                    raise ValueError(f"{len(chunks) - len(places)} chunks have no place")
+                for pack, offset, size, own in reads(places):
+                    if pack not in files:
                         if len(files) >= 64:
                             files.pop(next(iter(files))).close()
-                        files[place["pack"]] = store.open_input_file(f"{base}/{place['pack']}")
-                    f = files[place["pack"]]
-                    f.seek(place["offset"])
-                    chunk = zlib.decompress(f.read(place["size"]))
-                    if len(chunk) != length or hashlib.sha256(chunk).digest() != digest:
-                        raise ValueError(f"damaged chunk {digest.hex()}")
-                    read.append(chunk)
-                    sizes[digest] = place["size"]
+                        files[pack] = store.open_input_file(f"{base}/{pack}")
+                    files[pack].seek(offset)
+                    raw = files[pack].read(size)
+                    for i in own:
+                        (digest, length), at = chunks[i], places[i]["offset"] - offset
+                        chunk = zlib.decompress(raw[at : at + places[i]["size"]])
+                        if len(chunk) != length or hashlib.sha256(chunk).digest() != digest:
+                            raise ValueError(f"damaged chunk {digest.hex()}")
+                        read[i] = chunk
+                        sizes[digest] = places[i]["size"]
                 payload = b"".join(read)
                 for column, value in zip(rows.values(), (doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), feature_of(payload), len(stored) + sum(sizes.values())), strict=True):
                     column.append(value)

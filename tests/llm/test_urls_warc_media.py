@@ -212,3 +212,12 @@ def test_chunks_follow_content(monkeypatch):
     assert max(sizes) <= media.MOST and min(sizes[:-1]) >= media.LEAST
     monkeypatch.setattr(media, "SLICE", 1000)
     assert media.cuts(moved) == ends
+
+
+def test_neighbouring_chunks_are_read_at_once():
+    place = lambda pack, offset, size: {"pack": pack, "offset": offset, "size": size}
+    places = [place("a", 100, 10), place("a", 110, 5), place("b", 0, 7), place("a", 115, 20), place("a", 110, 5), place("a", 200, 1), place("b", 7, 9), place("b", 16, 100)]
+    got = list(media.reads(places, most=50))
+    assert got == [("a", 100, 35, [0, 1, 4, 3]), ("a", 200, 1, [5]), ("b", 0, 16, [2, 6]), ("b", 16, 100, [7])]
+    assert sorted(i for _, _, _, own in got for i in own) == list(range(len(places)))
+    assert list(media.reads([], 50)) == []
