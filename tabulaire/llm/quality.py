@@ -110,7 +110,8 @@ def fit(sample: list[tuple[str, int]], rate: float = 0.5, rank: int = RANK) -> Q
     if not sample:
         return QualityModel(np.zeros((TERMS, rank), np.float32), np.zeros((0, rank), np.float32), np.zeros(0), rate)
     x = _tf([t for t, _ in sample])
-    idf = (np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))) + 1).astype(np.float32)
+    there = np.count_nonzero(x, axis=0)
+    idf = (np.log((1 + len(x)) / (1 + there)) + 1).astype(np.float32)
     x *= idf
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
     q = np.random.default_rng(3).normal(size=(TERMS, min(rank + 10, len(x)))).astype(np.float32)
@@ -118,7 +119,7 @@ def fit(sample: list[tuple[str, int]], rate: float = 0.5, rank: int = RANK) -> Q
         q, _ = np.linalg.qr(x.T @ np.linalg.qr(x @ q)[0])
     _, _, v = np.linalg.svd(x @ q, full_matrices=False)
     directions = (q @ v.T)[:, :rank].astype(np.float32)
-    directions[~x.any(axis=0)] = 0  # terms that no text of the sample has
+    directions[there == 0] = 0  # terms that no text of the sample has
     return QualityModel(idf[:, None] * directions, _unit(x @ directions), np.array([int(y) for _, y in sample], float), rate)
 
 

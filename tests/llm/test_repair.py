@@ -61,22 +61,8 @@ def strings(rows):
     short = lambda roles: roles if roles in ("", "s") else "su"[: 2 if roles.endswith("u") else 0] or "sua"
     names = {"u": "user", "a": "assistant"}
 
-    def inserted(states, most):
-        out = dict(states)
-        for _ in range(most):
-            for roles, (cost, audit, lines) in list(out.items()):
-                for r in "ua":
-                    new = roles + r
-                    if re.fullmatch("s?(ua)*u?", new):
-                        found = (cost + 5, audit + "I", (*lines, f"{names[r]}:"))
-                        yield_ = short(new)
-                        if yield_ not in out or found[:2] < out[yield_][:2]:
-                            out[yield_] = found
-        return out
-
     for (role, text), fault in zip(rows, faults(rows), strict=True):
         new = {}
-        # every number of inserts is kept apart: a cheaper state is no better if its audit is longer
         for roles, (cost, audit, lines) in best.items():
             paths = [(roles, cost, audit, lines)]
             for _ in range(2):
