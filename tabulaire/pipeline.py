@@ -7,7 +7,6 @@ transformed and written; rows are counted while they are written.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from time import perf_counter
 from typing import Any
