@@ -26,7 +26,7 @@ SAMPLE = 4000  #: labelled rows, so 4000 vectors of 48 floats (0.8 MB) are broad
 NEIGHBOURS = 15
 SHARPNESS = 8.0  #: a neighbour's weight is its similarity to this power
 PLACES = 5  #: decimals of similarities; equal ones are ties
-LEAST = 1e-6  #: of its length, that a text must keep in the latent space to have a direction there
+LEAST = 1.5e-6  #: length that a text must keep in the latent space to have a direction there
 BLOCK = 256  #: documents whose cosines are computed at once
 SLICE = 1 << 20
 
@@ -63,10 +63,9 @@ class QualityModel:
 
     def vectorise(self, texts: list[str | None]) -> np.ndarray:
         """Unit vectors; of texts without a term of the sample, or so little of one that its direction is rounding, zeros."""
-        own = _tf(texts)
-        x = own @ self.basis
-        known = np.linalg.norm(x, axis=1) > LEAST * np.linalg.norm(own, axis=1)
-        return _unit(x * known[:, None])
+        x = _tf(texts) @ self.basis
+        # a text's terms are two parts of unit length, or one, or none
+        return _unit(x * (np.linalg.norm(x, axis=1) > LEAST)[:, None])
 
     def score(self, texts: list[str | None]) -> dict[str, np.ndarray]:
         p = np.full(len(texts), self.rate)
