@@ -57,8 +57,6 @@ class Scaler:
 
     #: Statistics that ``learned_from`` needs besides n.
     aggregates = property(lambda self: {})
-    #: The results of ``learned_from`` that ``expression`` needs.
-    used = ()
 
     def learned_from(self, stat: Stat) -> dict[str, Column]:
         """What is learned of a column, from its statistics."""
@@ -131,10 +129,9 @@ class Scaler:
         name = "fit"
         while name in df.columns:
             name += "_"
-        # the numbers go with each row as one struct, which generated code reads in place
-        row = self.plan(df, columns).select(F.array(*[F.struct(*[F.get("found", F.lit(i))[k].alias(k) for k in self.used]) for i in range(len(columns))]) if self.used else F.lit(0)).scalar()
-        whole = df.select("*", row.alias(name))
-        return replaced(whole, {c: self.expression(finite(c), lambda k, i=i: F.col(name)[i][k]) for i, c in enumerate(columns)}, df.columns)
+        # the numbers go with each row as one array, which generated code reads in place
+        whole = df.select("*", self.plan(df, columns).select("found").scalar().alias(name))
+        return replaced(whole, {c: self.expression(finite(c), lambda k, i=i: F.get(name, F.lit(i))[k]) for i, c in enumerate(columns)}, df.columns)
 
 
 @dataclass
@@ -148,10 +145,6 @@ class Standard(Scaler):
     def aggregates(self) -> Aggregates:
         return {"mean": F.avg, "variance": F.var_pop}
 
-    @property
-    def used(self) -> tuple[str, ...]:
-        return ("mean",) * self.with_mean + ("scale",) * self.with_std
-
     def learned_from(self, stat: Stat) -> dict[str, Column]:
         n, mean, variance = stat("n"), stat("mean"), stat("variance")
         # a variance within the rounding of its own computation is that of a constant
@@ -185,8 +178,6 @@ class MinMax(Scaler):
     def aggregates(self) -> Aggregates:
         return {"low": F.min, "high": F.max}
 
-    used = ("scale", "min_adjustment")
-
     def learned_from(self, stat: Stat) -> dict[str, Column]:
         low, high = map(float, self.feature_range)
         span = stat("high") - stat("low")
@@ -214,8 +205,6 @@ class MaxAbs(Scaler):
     def aggregates(self) -> Aggregates:
         return {"top": lambda x: F.max(F.abs(x))}
 
-    used = ("scale",)
-
     def learned_from(self, stat: Stat) -> dict[str, Column]:
         return {"max_abs": stat("top"), "scale": safe_scale(stat("top"))}
 
@@ -248,10 +237,6 @@ class Robust(Scaler):
         low, _, high = self.odds
         return NormalDist().inv_cdf(high) - NormalDist().inv_cdf(low) if self.unit_variance else 1.0
 
-    @property
-    def used(self) -> tuple[str, ...]:
-        return ("center",) * self.with_centering + ("scale",) * self.with_scaling
-
     def plan(self, df: DataFrame, columns: list[str]) -> DataFrame:
         return self._learn(quantiles(df, columns, self.odds, self.wide))
 
