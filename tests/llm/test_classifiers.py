@@ -300,3 +300,26 @@ def test_quality_of_held_out_texts():
     found = model.score([r[1] for r in known])["predicted"]
     truth = np.array([r[2] for r in known])
     assert (found == truth).mean() > 0.99 and (found[truth == 0] == 0).mean() > 0.95 and found[truth == 1].mean() > 0.995
+
+
+def test_toxicity_learns_from_all_rows(spark):
+    """Of 12,000 labelled texts, more than any sample held: each word that four or more training texts have has its row, no other word; all shards and tasks count alike."""
+    from pyspark.sql import functions as F
+
+    n, rare = 12_000, 300
+    docs = spark.range(n).selectExpr("id as doc_id", f"concat('plain ', if(id % 2 = 0, 'calm', 'vile'), ' rare', (id % {rare * 5}) div 5 * 1000 + (id div {rare * 5}) div 2) as text", "'en' as lang")
+    labels = spark.range(n).selectExpr("id as doc_id", "cast(id % 2 as int) as value")
+    rows = toxicity.labelled_rows(docs.unionAll(docs), labels.unionAll(labels))
+    assert rows.count() == n, "an id is learned once"
+    model = toxicity.learn(docs, labels, held=9, epochs=1)
+    texts = rows.where(F.pmod("h", F.lit(4)) != 0).select("text").collect()
+    count = {}
+    for r in texts:
+        word = r.text.split()[2]
+        count[word] = count.get(word, 0) + 1
+    first = lambda word: int(toxicity.features(word.encode())[0, 0])
+    known = set(model.vocabulary.hashes.tolist())
+    assert {w for w in count if first(w) in known} == {w for w, k in count.items() if k >= toxicity.LEAST_DOCS} and len(count) > 1000
+    assert model.score(["plain calm", "plain vile"])["predicted"].tolist() == [0, 1] and model.languages.classes == ["en"]
+    again = toxicity.learn(docs.repartition(7), labels.repartition(3), held=9, epochs=1)
+    assert (again.network.e == model.network.e).all() and again.shifts == model.shifts, "the same at any partitioning"
