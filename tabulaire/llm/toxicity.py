@@ -30,14 +30,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import language
 from .common import bounded_arrow, fold_of, forget, keep, only, sieve, small_batches
-from .words import _BACK, _LOW, _POWER, _spans, mix, score_rows, to_bytes
+from .words import _BACK, _LOW, _POWER, _spans, _sums, mix, score_rows, to_bytes
 
 PREFIXES = (3, 4, 5, 6, 7, 8)  #: bytes
 WIDTHS = (1, 2, 3)
 DIM, FILTERS = 12, 12
-_WHOLE = 1 << 20
-_CUTS = np.array([_WHOLE, *PREFIXES])
-_SALTS = np.array([0] + [1 << 32] * len(PREFIXES), np.uint64)
+_HEAD = max(PREFIXES)
 LEAST_DOCS = 4  #: training documents that a word or prefix must be in to get an embedding
 ROWS = 60_000  #: embeddings at most (3 MB, and row numbers of two bytes): of more words and prefixes the most frequent
 LONG = 4096  #: bytes from which a word is known by its prefixes only
@@ -45,31 +43,70 @@ BLANKS = 20  #: one empty text is learned as clean for so many others
 EPOCHS = 8
 SHARD = 4096  #: rows that one task trains on between two averages, about
 SHARD_BYTES = 32_000_000  #: of row numbers in a shard, about; a shard of longer texts is cut
+PACK = 1_000_000  #: bytes of packed row numbers whose forms are told apart at once
 FLUSH = 500_000  #: hashes that a task counts before it hands them on
 LANGUAGES = 2000  #: that are told apart, at most
 FIXED = 1 << 24  #: sums of weights are whole multiples of 1 / FIXED, so they are the same in any order
 GRID = 256  #: logits are counted in steps of 1 / GRID
 SLOTS = 1 << 20
+STEP = 1024  #: forms that are filtered at once
+LOOK = 1 << 16  #: words whose filters' responses are held at once
 FLAGGED = 0.002  #: share of clean rows that a threshold may flag
 
 
-def features(raw: bytes) -> np.ndarray:
-    """(words, 1 + prefixes) 64-bit hashes; 0 where a word is shorter than the prefix, and for the whole of a word of ``LONG`` bytes or more."""
-    out, inside = [], False  # whether the last part ended inside a word
+def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each different word of ``texts`` once, as (words, 1 + prefixes) 64-bit hashes; which of them stand in the texts, one after the other; and how many in each text.
+
+    A hash is 0 where a word is shorter than the prefix, and for the whole of a word of ``LONG`` bytes or more.
+    """
+    data = np.frombuffer(b"\n".join(texts), np.uint8)  # joined by a byte that no word has
+    keys, starts, long = [], [], []
+    at, inside = 0, False  # whether the last part ended inside a word
     with np.errstate(over="ignore"):
-        for part in _spans(np.frombuffer(raw, np.uint8)):
-            low = _LOW[part]
-            edge = np.flatnonzero(np.diff(np.r_[0, low != 0, 0].astype(np.int8)))
-            starts, stops = edge[::2], edge[1::2]
-            if inside and len(starts) and not starts[0]:
-                starts, stops = starts[1:], stops[1:]
-            inside = bool(len(low)) and low[-1] != 0
-            total = np.r_[np.uint64(0), np.cumsum(low * _POWER[: len(low)], dtype=np.uint64)]
-            cut = np.minimum((stops - starts)[:, None], _CUTS)
-            sums = (total[starts[:, None] + cut] - total[starts, None]) * _BACK[starts, None] + cut.astype(np.uint64) + _SALTS
-            known = np.where(_CUTS == _WHOLE, cut < LONG, cut == _CUTS)
-            out.append(np.where(known, mix(sums), np.uint64(0)))
-    return np.concatenate(out)
+        for part in _spans(data):
+            begin, stops, sums, total = _sums(part)
+            first = int(inside and len(begin) and not begin[0])
+            inside = bool(len(stops)) and stops[-1] == len(part)
+            begin, size, sums = begin[first:], (stops - begin)[first:], sums[first:]
+            big = size >= LONG  # known by its first bytes only
+            heads = (total[begin[big] + _HEAD] - total[begin[big]]) * _BACK[begin[big]] + np.uint64(1 << 33)
+            sums[big], size[big] = heads, _HEAD
+            keys.append(mix(sums + size.astype(np.uint64)))
+            starts.append(begin + at)
+            long.append(big)
+            at += len(part)
+        keys, starts, long = np.concatenate(keys), np.concatenate(starts), np.concatenate(long)
+        order = np.argsort(keys)
+        new = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
+        own, place = order[new], np.empty(len(keys), np.int64)
+        place[order] = np.cumsum(new) - 1
+        at = starts[own, None] + np.arange(_HEAD)
+        head = np.where(at < len(data), _LOW[data[np.minimum(at, len(data) - 1)]], 0) if len(own) else np.zeros((0, _HEAD), np.uint8)
+        size = np.cumprod(head != 0, 1).sum(1)
+        sums = np.cumsum(head * _POWER[:_HEAD], 1, dtype=np.uint64)[:, np.array(PREFIXES) - 1]
+        known = mix(sums + np.array(PREFIXES, np.uint64) + np.uint64(1 << 32))
+    hashes = np.empty((len(own), 1 + len(PREFIXES)), np.uint64)
+    hashes[:, 0] = np.where(long[own], 0, keys[own])
+    hashes[:, 1:] = np.where(size[:, None] >= np.array(PREFIXES), known, 0)
+    ends = np.cumsum(np.array([len(t) + 1 for t in texts], np.int64))
+    return hashes, place, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
+def features(raw: bytes) -> np.ndarray:
+    """The hashes of ``words`` for each word of a text."""
+    hashes, place, _ = words([raw])
+    return hashes[place]
+
+
+def distinct(docs: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """All different rows of ``docs`` (row numbers of words), the first of them zeros, and each document as places among them."""
+    rows = np.vstack([np.zeros_like(docs[0], shape=(1, docs[0].shape[1])), *docs]).astype(np.uint16)
+    rows = np.pad(rows, [(0, 0), (0, -rows.shape[1] % 4)])
+    place = np.zeros(len(rows), np.int64)
+    for part in np.ascontiguousarray(rows).view(np.uint64).T:
+        own = np.unique(part, return_inverse=True)[1]
+        _, first, place = np.unique(place * (own.max() + 1) + own, return_index=True, return_inverse=True)
+    return rows[first, : docs[0].shape[1]], np.split(place[1:].astype(np.int32), np.cumsum([len(d) for d in docs[:-1]]))
 
 
 class Vocabulary:
@@ -91,7 +128,8 @@ def near(rows: np.ndarray) -> np.ndarray:
 
     Filters respond to every window of unknown words alike, so their maxima stay the same.
     """
-    kept = np.convolve(rows.any(1), np.ones(2 * max(WIDTHS) - 1), "same")[: len(rows)] > 0 if len(rows) else np.zeros(0, bool)
+    reach = max(WIDTHS) - 1
+    kept = np.convolve(rows.any(1), np.ones(2 * reach + 1))[reach : reach + len(rows)] > 0 if len(rows) else np.zeros(0, bool)
     return np.vstack([rows[kept], np.zeros((max(WIDTHS), rows.shape[1]), rows.dtype)])
 
 
@@ -120,55 +158,112 @@ class Network:
 
     def embed(self, rows: np.ndarray) -> np.ndarray:
         """The word vectors of ``rows`` and those of the blanks after them."""
-        x = np.zeros((len(rows) + max(WIDTHS) - 1, DIM), np.float32)
-        for j in range(rows.shape[1]):
-            x[: len(rows)] += self.e[rows[:, j]]
+        return np.vstack([self.vectors(rows), np.zeros((max(WIDTHS) - 1, DIM), np.float32)])
+
+    def vectors(self, forms: np.ndarray) -> np.ndarray:
+        """The vector of each of ``forms`` (row numbers of a word)."""
+        x = np.zeros((len(forms), DIM), np.float32)
+        for j in range(forms.shape[1]):
+            x += self.e.take(forms[:, j], 0)
         return x
 
+    def logits(self, forms: np.ndarray, place: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The scores of texts of ``sizes`` words, which are ``forms[place]``; texts of unknown words only, and empty ones, get the filters' response to nothing.
+
+        Filters are applied once to each form, with sums in a fixed order, so a
+        text's score is the same whatever texts are scored with it.
+        """
+        gap = max(WIDTHS)  # blanks after each text: filters also run over its end
+        x = np.ascontiguousarray(np.vstack([np.zeros((1, DIM), np.float32), self.vectors(forms)]).T)
+        filters = [f for w in self.w for f in w]
+        parts = np.empty((len(filters), x.shape[1], FILTERS), np.float32)
+        for at in range(0, x.shape[1], STEP):
+            part = 0
+            for rows, e in zip(np.concatenate(filters, 1), x[:, at : at + STEP], strict=True):
+                part += rows[:, None] * e
+            parts[:, at : at + STEP] = part.reshape(len(filters), FILTERS, -1).transpose(0, 2, 1)
+        begin = np.cumsum(sizes + gap) - sizes - gap
+        seen = np.zeros(len(place) + gap * len(sizes), np.int64)
+        seen[np.arange(len(place)) + gap * np.repeat(np.arange(len(sizes)), sizes)] = place + 1
+        most = np.full((len(WIDTHS), len(sizes), FILTERS), -np.inf, np.float32)
+        last = len(seen) - gap + 1
+        for at in range(0, last, LOOK):
+            stop = min(at + LOOK, last)
+            some = np.flatnonzero((begin < stop) & (begin + sizes >= at))
+            if not len(some):  # between two texts
+                continue
+            edges = np.stack([np.maximum(begin[some], at), np.minimum(begin[some] + sizes[some] + 1, stop)], 1).ravel() - at
+            edges, own = edges[:-1] if edges[-1] == stop - at else edges, iter(parts)
+            for k, width in enumerate(WIDTHS):
+                y = next(own).take(seen[at:stop], 0)
+                for j in range(1, width):
+                    y += next(own).take(seen[at + j : stop + j], 0)
+                most[k, some] = np.maximum(most[k, some], np.maximum.reduceat(y, edges, 0)[::2])
+        pooled = np.maximum(most + np.stack(self.b)[:, None], 0).astype(np.float64)
+        total = np.full(len(sizes), self.bias[0], np.float64)
+        for i, out in enumerate(self.out):
+            total += pooled[i // FILTERS, :, i % FILTERS] * np.float64(out)
+        return total
+
     def logit(self, rows: np.ndarray) -> float:
-        """The score of one text; texts of unknown words only, and empty ones, get the filters' response to nothing."""
-        pooled = np.maximum(np.concatenate([y.max(0) for y in self.maps(self.embed(near(rows)))]), 0)
-        return float(pooled @ self.out + self.bias[0])
+        """The score of one text."""
+        return float(self.logits(rows, np.arange(len(rows)), np.array([len(rows)]))[0])
 
     def gradients(self, docs: list[np.ndarray], labels: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """Of the mean logistic loss, for w, b, out and bias; and embedding rows (each once) with theirs.
+        """Of the mean logistic loss, for w, b, out and bias; and embedding rows (each once) with theirs."""
+        return self.slopes(*distinct(docs), labels)
+
+    def slopes(self, forms: np.ndarray, docs: list[np.ndarray], labels: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """The gradients on ``docs`` as places among ``forms``, of which the first is a blank.
 
         The documents' words stand one after the other, with blanks between
         that no filter sees beyond; only what a maximum came from gets a gradient.
+        Each form is embedded and filtered once.
         """
         gap = max(WIDTHS) - 1
-        blanks = np.zeros((gap, docs[0].shape[1]), docs[0].dtype)
-        rows = np.vstack([part for d in docs for part in (d, blanks)])
+        blanks = np.zeros(gap, np.int32)
+        rows = np.concatenate([part for d in docs for part in (d, blanks)])
         starts = np.cumsum([0] + [len(d) + gap for d in docs[:-1]])
-        x = self.embed(rows)
+        marks = np.zeros(len(forms), np.int32)
+        marks[rows] = 1
+        own = forms[marks > 0]
+        rows = (np.cumsum(marks) - 1)[rows]
+        x = self.vectors(own)
         tops = np.empty((len(docs), len(WIDTHS), FILTERS), np.int64)
         pooled = np.empty(tops.shape, np.float32)
-        for k, y in enumerate(self.maps(x)):
+        n = len(rows) - gap
+        for k, (w, b) in enumerate(zip(self.w, self.b, strict=True)):
+            y = (x @ w[0]).take(rows[:n], 0)
+            for j in range(1, len(w)):
+                y += (x @ w[j]).take(rows[j : j + n], 0)
             for i, (at, d) in enumerate(zip(starts, docs, strict=True)):
                 tops[i, k] = at + y[at : at + len(d)].argmax(0)
-            pooled[:, k] = y[tops[:, k], np.arange(FILTERS)]
+            pooled[:, k] = y[tops[:, k], np.arange(FILTERS)] + b
         flat = np.maximum(pooled, 0).reshape(len(docs), -1)
         g = (1 / (1 + np.exp(-np.clip(flat @ self.out + self.bias[0], -30, 30))) - labels).astype(np.float32) / len(docs)
         back = np.where(pooled > 0, (g[:, None] * self.out).reshape(pooled.shape), 0)
         gw, where, grads = [np.zeros_like(w) for w in self.w], [], []
         for k, width in enumerate(WIDTHS):
             for j in range(width):
-                at = tops[:, k] + j
+                at = rows[tops[:, k] + j]
                 gw[k][j] = np.einsum("ife,if->ef", x[at], back[:, k])
-                r = np.vstack([rows, blanks])[at.ravel()]
-                where.append(r.ravel())
-                grads.append(np.repeat((self.w[k][j].T * back[:, k, :, None]).reshape(-1, DIM), r.shape[1], 0))
+                where.append(at.ravel())
+                grads.append((self.w[k][j].T * back[:, k, :, None]).reshape(-1, DIM))
         where, grads = np.concatenate(where), np.concatenate(grads)
-        some = (where > 0) & grads.any(1)
-        found, place = np.unique(where[some], return_inverse=True)
-        ge = np.stack([np.bincount(place, grads[some, e], len(found)) for e in range(DIM)], 1).astype(np.float32)
-        return [*gw, *(back[:, k].sum(0) for k in range(len(WIDTHS))), g @ flat, np.array([g.sum()], np.float32)], found, ge
+        of_forms = np.stack([np.bincount(where, grads[:, e], len(own)) for e in range(DIM)], 1)
+        some = of_forms.any(1)
+        numbers = own[some]
+        found, place = np.unique(numbers, return_inverse=True)
+        spread = np.repeat(of_forms[some], numbers.shape[1], 0)
+        ge = np.stack([np.bincount(place.ravel(), spread[:, e], len(found)) for e in range(DIM)], 1).astype(np.float32)
+        known = (found > 0) & ge.any(1)
+        return [*gw, *(back[:, k].sum(0) for k in range(len(WIDTHS))), g @ flat, np.array([g.sum()], np.float32)], found[known], ge[known]
 
     def train(self, docs: list[np.ndarray], labels: np.ndarray, epochs: int, rate: float = 0.05, batch: int = 32) -> None:
         """Adagrad, by batches in random order."""
-        rng, squares = np.random.default_rng(5), self.squares()
+        rng, squares, (forms, docs) = np.random.default_rng(5), self.squares(), distinct(docs)
         for _ in range(epochs):
-            self.epoch(docs, labels, squares, rng, rate, batch)
+            self.epoch(forms, docs, labels, squares, rng, rate, batch)
 
     @property
     def weights(self) -> list[np.ndarray]:
@@ -179,11 +274,11 @@ class Network:
         """What Adagrad has summed up before the first batch: for the weights, then for the embeddings."""
         return [np.full(a.shape, 1e-6, np.float32) for a in [*self.weights, self.e]]
 
-    def epoch(self, docs: list[np.ndarray], labels: np.ndarray, squares: list[np.ndarray], rng: np.random.Generator, rate: float = 0.05, batch: int = 32) -> None:
+    def epoch(self, forms: np.ndarray, docs: list[np.ndarray], labels: np.ndarray, squares: list[np.ndarray], rng: np.random.Generator, rate: float = 0.05, batch: int = 32) -> None:
         order = rng.permutation(len(docs))
         for at in range(0, len(order), batch):
             chosen = order[at : at + batch]
-            given, found, ge = self.gradients([docs[i] for i in chosen], labels[chosen])
+            given, found, ge = self.slopes(forms, [docs[i] for i in chosen], labels[chosen])
             for a, s, g in zip(self.weights, squares[:-1], given, strict=True):
                 s += g * g
                 a -= rate * g / np.sqrt(s)
@@ -199,15 +294,13 @@ class ToxicityModel:
     languages: language.LanguageModel
     taught: bool = True  #: whether there were texts of both labels to learn from
 
-    def shift(self, text: str | None) -> float:
-        return self.shifts.get(self.languages.predict([text])["lang_pred"][0], self.shifts[""])
-
-    def logit(self, text: str | None) -> float:
-        return self.network.logit(self.vocabulary.rows(features(to_bytes(text))))
+    def logits(self, texts: list[str | None]) -> np.ndarray:
+        hashes, place, sizes = words([to_bytes(t) for t in texts])
+        return self.network.logits(self.vocabulary.rows(hashes), place, sizes)
 
     def score(self, texts: list[str | None]) -> dict[str, list]:
-        z = np.array([self.logit(t) - self.shift(t) for t in texts]).reshape(len(texts))
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        shifts = [self.shifts.get(v, self.shifts[""]) for v in self.languages.predict(texts)["lang_pred"]]
+        p = 1 / (1 + np.exp(-np.clip(self.logits(texts) - np.array(shifts), -30, 30)))
         return {"score": p, "predicted": (p >= 0.5).astype(np.int32)}
 
 
@@ -230,14 +323,19 @@ def _threshold(logits: np.ndarray, labels: np.ndarray, times: np.ndarray | None
     return float(cuts[best[np.argmax(gaps[best])]])
 
 
-def _counted(so_far: tuple, texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``so_far`` (hashes, number of texts that have each, number of those of label 1) and what ``texts`` add."""
-    known, n, toxic = so_far
-    seen = [np.unique(features(to_bytes(t))) for t in texts]
-    marks = np.repeat(labels, [len(x) for x in seen])
-    known, place = np.unique(np.concatenate([known, *seen]), return_inverse=True)
-    n = np.bincount(place, weights=np.r_[n, np.ones(len(marks))], minlength=len(known))
-    return known, n, np.bincount(place, weights=np.r_[toxic, marks], minlength=len(known))
+def _counted(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes in ``texts``, the number of texts that have each, and the number of those of label 1."""
+    hashes, place, sizes = words([to_bytes(t) for t in texts])
+    known, column = np.unique(hashes, return_inverse=True)
+    text, word = np.divmod(np.unique(np.repeat(np.arange(len(texts)), sizes) * len(hashes) + place), max(1, len(hashes)))
+    text, own = np.divmod(np.unique(text[:, None] * len(known) + column.reshape(hashes.shape)[word]), max(1, len(known)))
+    return known, np.bincount(own, minlength=len(known)).astype(float), np.bincount(own, labels[text], len(known))
+
+
+def _total(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What some counts add up to."""
+    known, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return known, *(np.bincount(place, np.concatenate([p[i] for p in parts]), len(known)) for i in (1, 2))
 
 
 _NOTHING = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
@@ -252,10 +350,7 @@ def _leaning(n: np.ndarray, toxic: np.ndarray, both: list[int]) -> np.ndarray:
 
 def _frequent(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of at least ``LEAST_DOCS`` texts by falling number of texts, and their leaning; counted some texts at a time."""
-    found = _NOTHING
-    for at in range(0, len(texts), 100):
-        found = _counted(found, texts[at : at + 100], labels[at : at + 100])
-    known, n, toxic = found
+    known, n, toxic = _total([_NOTHING, *(_counted(texts[at : at + 100], labels[at : at + 100]) for at in range(0, len(texts), 100))])
     often = np.flatnonzero((n >= LEAST_DOCS) & (known > 0))
     often = often[np.argsort(-n[often], kind="stable")][:ROWS]
     return known[often], _leaning(n[often], toxic[often], [(labels == v).sum() for v in (0, 1)])
@@ -304,18 +399,23 @@ def _words(rows: DataFrame) -> DataFrame:
     """Of all ``rows`` (text, value): hash, n and toxic, the texts that have a word or prefix and those of label 1 among them, added up by task and then by a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _NOTHING
+        parts, size, merged = [_NOTHING], 0, 0  # entries in all, and in the first, which is merged
 
         def out() -> pa.RecordBatch:
-            return pa.record_batch([pa.array(found[0].view(np.int64)), pa.array(found[1].astype(np.int64)), pa.array(found[2].astype(np.int64))], names=["hash", "n", "toxic"])
+            return pa.record_batch([pa.array(parts[0][0].view(np.int64)), *[pa.array(x.astype(np.int64)) for x in parts[0][1:]]], names=["hash", "n", "toxic"])
 
         for batch in small_batches(batches, "text"):
             texts, labels = batch.column("text").to_pylist(), batch.column("value").to_numpy()
             for at in range(0, len(texts), 100):
-                found = _counted(found, texts[at : at + 100], labels[at : at + 100])
-                if len(found[0]) > FLUSH:
-                    yield out()
-                    found = _NOTHING
+                parts.append(_counted(texts[at : at + 100], labels[at : at + 100]))
+                size += len(parts[-1][0])
+                if size > merged + FLUSH:
+                    parts = [_total(parts)]
+                    size = merged = len(parts[0][0])
+                    if merged > FLUSH:
+                        yield out()
+                        parts, size, merged = [_NOTHING], 0, 0
+        parts = [_total(parts)]
         yield out()
 
     counts = rows.select("text", "value").mapInArrow(run, "hash long, n long, toxic long")
@@ -338,10 +438,16 @@ def _languages(rows: DataFrame) -> language.LanguageModel:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(classes), buckets), np.int64)
         for batch in small_batches(batches, "text"):
+            found: dict = {}  # of a batch, so no more than some times its texts
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if lang in place and language.has_letter(text):
                     for g in language.grams(text):
-                        total[place[lang]] += np.bincount(g & np.uint32(buckets - 1), minlength=buckets)
+                        if len(g) > buckets:
+                            total[place[lang]] += np.bincount(g & np.uint32(buckets - 1), minlength=buckets)
+                        else:
+                            found.setdefault(lang, []).append(g)
+            for lang, own in found.items():
+                total[place[lang]] += np.bincount(np.concatenate(own) & np.uint32(buckets - 1), minlength=buckets)
         yield pa.record_batch([pa.array([_packed(total)], pa.binary())], names=["total"])
 
     counts = _added(rows.mapInArrow(run, "total binary"), lambda a, b: a + b)
@@ -370,26 +476,36 @@ def _shards(rows: DataFrame, vocabulary: Vocabulary, n: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
-            numbers = [near(shared.value.rows(features(to_bytes(t)))) for t in batch.column("text").to_pylist()]
+            hashes, place, sizes = words([to_bytes(t) for t in batch.column("text").to_pylist()])
+            known = shared.value.rows(hashes)
+            numbers = [near(known[own]) for own in np.split(place, np.cumsum(sizes[:-1]))]
             packs = [zlib.compress(x.astype(np.uint16).tobytes(), 1) for x in numbers]
             yield pa.record_batch([batch.column("shard"), batch.column("h"), batch.column("value"), pa.array(packs, pa.binary())], names=["shard", "h", "value", "numbers"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, docs, labels, total = None, [], [], 0
+        own, parts, labels, total = None, [], [], 0  # parts: forms and the documents made of them
 
         def out() -> pa.RecordBatch:
-            return pa.record_batch([pa.array([own], pa.int64()), pa.array([pickle.dumps((docs, labels), 5)], pa.binary())], names=["shard", "pack"])
+            forms, places = distinct([f for f, _ in parts])
+            docs = [at[d] for at, (_, docs) in zip(places, parts, strict=True) for d in docs]
+            pack = _packed((forms, np.concatenate(docs), [len(d) for d in docs], labels))
+            return pa.record_batch([pa.array([own], pa.int64()), pa.array([pack], pa.binary())], names=["shard", "pack"])
 
-        for batch in batches:
+        for batch in small_batches(batches, "numbers", PACK):
+            docs = []
             for shard, value, numbers in zip(batch.column("shard").to_pylist(), batch.column("value").to_pylist(), batch.column("numbers").to_pylist(), strict=True):
-                size = len(zlib.decompress(numbers))
-                if docs and (shard != own or total + size > SHARD_BYTES):
+                size = len(numbers := zlib.decompress(numbers))
+                if labels and (shard != own or total + size > SHARD_BYTES):
+                    if docs:
+                        parts.append(distinct(docs))
                     yield out()
-                    docs, labels, total = [], [], 0
+                    parts, docs, labels, total = [], [], [], 0
                 own, total = shard, total + size
-                docs.append(numbers)
+                docs.append(np.frombuffer(numbers, np.uint16).reshape(-1, 1 + len(PREFIXES)))
                 labels.append(value)
-        if docs:
+            if docs:
+                parts.append(distinct(docs))
+        if parts:
             yield out()
 
     rows = rows.select(F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard"), "h", "text", "value")
@@ -422,12 +538,12 @@ def _trained(shards: DataFrame, network: Network, blank: np.ndarray, epochs: int
         def run(batches: Iterator[pa.RecordBatch], epoch=epoch, shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    packs, labels = pickle.loads(batch.column("pack")[i].as_py())
-                    docs = [np.frombuffer(zlib.decompress(x), np.uint16).reshape(-1, 1 + len(PREFIXES)) for x in packs]
+                    forms, docs, sizes, labels = _unpacked(batch.column("pack")[i].as_py())
+                    docs = np.split(docs, np.cumsum(sizes[:-1]))
                     empty = -(-len(docs) // BLANKS)  # what the network does not know, other languages too, counts as clean
                     own, sums = pickle.loads(pickle.dumps(shared.value, 5))
                     before = sums[-1].copy()
-                    own.epoch(docs + [blank] * empty, np.r_[labels, np.zeros(empty)].astype(np.float32), sums, np.random.default_rng([5, epoch, batch.column("shard")[i].as_py()]))
+                    own.epoch(forms, docs + [np.zeros(len(blank), np.int32)] * empty, np.r_[labels, np.zeros(empty)].astype(np.float32), sums, np.random.default_rng([5, epoch, batch.column("shard")[i].as_py()]))
                     rows = np.flatnonzero((sums[-1] != before).any(1))
                     got = 1, [_fixed(x) for x in [*own.weights, *sums[:-1]]], rows, [np.ones(len(rows), np.int64), _fixed(own.e[rows]), _fixed(sums[-1][rows])]
                     yield pa.record_batch([pa.array([_packed(got)], pa.binary())], names=["sums"])
@@ -448,7 +564,7 @@ def _shifts(rows: DataFrame, model: ToxicityModel, floor: float) -> dict[str, fl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             texts = batch.column("text").to_pylist()
-            z = np.rint(np.clip([shared.value.logit(t) for t in texts], -30, 30) * GRID).astype(np.int64)
+            z = np.rint(np.clip(shared.value.logits(texts), -30, 30) * GRID).astype(np.int64)
             yield pa.record_batch([pa.array(shared.value.languages.predict(texts)["lang_pred"], pa.string()), pa.array(z), batch.column("value")], names=["lang", "z", "value"])
 
     counted = rows.select("text", "value").mapInArrow(run, "lang string, z long, value int").groupBy("lang", "z", "value").agg(F.count(F.lit(1)).alias("n")).orderBy("lang", "z", "value").collect()

@@ -323,3 +323,27 @@ def test_toxicity_learns_from_all_rows(spark):
     assert model.score(["plain calm", "plain vile"])["predicted"].tolist() == [0, 1] and model.languages.classes == ["en"]
     again = toxicity.learn(docs.repartition(7), labels.repartition(3), held=9, epochs=1)
     assert (again.network.e == model.network.e).all() and again.shifts == model.shifts, "the same at any partitioning"
+
+
+def test_toxicity_of_a_text_is_its_own():
+    """Texts scored together, and in pieces, have bit for bit the scores that they have alone: those of a naive network, short ones too; row numbers, joined, stand for the same words."""
+    rng = np.random.default_rng(2)
+    sample = [(" ".join(rng.choice(["one", "two", "three", "four"], 40)) + (" vile" if i % 2 else ""), i % 2) for i in range(120)]
+    model = toxicity.fit(sample, language.fit([]))
+    texts = [*(t for t, _ in sample[:9]), "", None, "unseen vile", "vile unseen", "unseen words then vile", "x", "vile", "one two " * 700, "q" * 5000 + " vile", "two " * 40_000]
+    together = model.logits(texts)
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(toxicity, "LOOK", 5)
+        assert (model.logits(texts[:-1]) == together[:-1]).all()
+    assert (np.array([model.logits([t])[0] for t in texts]) == together).all()
+    docs = [model.vocabulary.rows(toxicity.features((t or "").encode())) for t in texts]
+    for rows, z in zip(docs[:-2], together):
+        blank = np.zeros((3, rows.shape[1]), rows.dtype)
+        if len(rows) < 100:
+            assert z == pytest.approx(naive_logit(model.network, np.vstack([rows, blank])), abs=1e-4)
+        assert z == pytest.approx(model.network.logit(toxicity.near(rows)), abs=1e-4), "words out of a filter's reach of known ones do not matter"
+    forms, places = toxicity.distinct(docs)
+    assert not forms[0].any() and len(np.unique(forms, axis=0)) == len(forms) and all((forms[p] == d).all() for p, d in zip(places, docs, strict=True))
+    hashes, place, sizes = toxicity.words([(t or "").encode() for t in texts])
+    assert (hashes[place] == np.concatenate([toxicity.features((t or "").encode()) for t in texts])).all() and sizes.tolist() == [len(d) for d in docs]
+    assert len(np.unique(hashes, axis=0)) == len(hashes), "each word once"
