@@ -49,6 +49,8 @@ BLOCK_BYTES = 8_000_000  #: and so many bytes of shingles
 FLUSH = 1_000_000  #: band keys that a task gathers before it packs them (some 40 MB)
 RANGES = 256  #: ranges of keys that they are packed by (their first byte)
 SMALL = 200_000  #: candidate texts whose ids are broadcast, at most (some 15 MB); more are joined by a shuffle
+DENSE = 200  #: cells of a product of matrices that take as long as one shingle of a pair looked up
+CHUNK = 16_384  #: pairs verified at first, where only what they connect is wanted
 ENTRIES = 2_000_000  #: band keys of one range that a task holds; beyond, ranges are split
 
 
@@ -345,16 +347,71 @@ def _members(may: Sieve):
     return run
 
 
-def similar_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i of ``left``, j of ``right``, i before j) whose Jaccard similarity is at least ``similarity``."""
+def _shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray):
+    """A function that counts the common shingles of some of the pairs (i, j), given their places among them."""
+    rows, column = np.unique(np.r_[i, j], return_inverse=True)
+    i, j = column[: len(i)], column[len(i) :]
+    owner = np.repeat(np.arange(len(rows)), [len(sets[r]) for r in rows])
+    number, count = np.unique(np.concatenate([sets[r] for r in rows]), return_inverse=True, return_counts=True)[1:]
+    shared = count[number] > 1
+    rank = np.cumsum(count > 1) - 1
+    owner, number = owner[shared], rank[number[shared]]
+    n, edges = int((count > 1).sum()), np.searchsorted(owner, np.arange(len(rows) + 1))
+
+    def dense() -> np.ndarray:
+        # shingles of at least two texts as columns of 0 and 1, some columns at a time
+        order = np.argsort(number, kind="stable")
+        by, where = owner[order], number[order]
+        common = np.zeros((len(rows), len(rows)), np.float32)
+        for lo in range(0, n, 4096):
+            a, b = np.searchsorted(where, [lo, lo + 4096])
+            x = np.zeros((len(rows), min(4096, n - lo)), np.float32)
+            x[by[a:b], where[a:b] - lo] = 1
+            common += x @ x.T
+        return common
+
+    def counts(some: np.ndarray) -> np.ndarray:
+        own, other = i[some], j[some]
+        sizes = np.diff(edges)[other]
+        if len(rows) ** 2 * n < DENSE * int(sizes.sum()):
+            return dense()[own, other].astype(np.int64)
+        out, marks, order = np.zeros(len(some), np.int64), np.zeros(n, bool), np.argsort(own, kind="stable")
+        cut = np.flatnonzero(np.diff(own[order], prepend=-1, append=-1))
+        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+            pairs = order[lo:hi]
+            mine = number[edges[own[pairs[0]]] : edges[own[pairs[0]] + 1]]
+            marks[mine] = True
+            size = sizes[pairs]
+            stop = np.cumsum(size)
+            at = np.arange(stop[-1]) + np.repeat(edges[other[pairs]] - stop + size, size)
+            total = np.r_[0, np.cumsum(marks[number[at]])]
+            out[pairs] = total[stop] - total[stop - size]
+            marks[mine] = False
+        return out
+
+    return counts
+
+
+def similar_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float, tolerance: float, connect: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i of ``left``, j of ``right``, i before j) whose Jaccard similarity is at least ``similarity``; with ``connect`` only some of them, that connect what all do."""
     sizes = np.array([len(s) for s in sets])
     values = np.stack([signature(s) for s in sets])
-    i, j = np.meshgrid(left.astype(np.int32), right.astype(np.int32), indexing="ij")
-    ok = (i < j) if left is right else np.ones(i.shape, bool)
-    ok &= np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j])
-    i, j = i[ok], j[ok]
-    hits = np.zeros(len(i), np.int16)
-    for at, least in zip(range(0, HASHES, STEP), least_matches(similarity, tolerance), strict=True):
+    a, b = sizes[left][:, None], sizes[right]
+    ok = np.minimum(a, b) >= similarity * np.maximum(a, b)
+    if left is right:
+        ok &= left[:, None] < right
+    steps = list(zip(range(0, HASHES, STEP), least_matches(similarity, tolerance), strict=True))
+    # while many pairs are left all are compared, a hash at a time
+    x, y, seen = np.ascontiguousarray(values[left].T), np.ascontiguousarray(values[right].T), np.zeros(ok.shape, np.uint8)
+    while steps and 8 * np.count_nonzero(ok) > ok.size:
+        at, least = steps.pop(0)
+        for k in range(at, at + STEP):
+            seen += x[k][:, None] == y[k]
+        ok &= seen >= least
+    i, j = np.nonzero(ok)
+    hits = seen[i, j].astype(np.int16)
+    i, j = left[i].astype(np.int32), right[j].astype(np.int32)
+    for at, least in steps:
         for lo in range(0, len(i), 65_536):
             part = slice(lo, lo + 65_536)
             hits[part] += (values[i[part], at : at + STEP] == values[j[part], at : at + STEP]).sum(1)
@@ -362,29 +419,24 @@ def similar_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, s
         i, j, hits = i[ok], j[ok], hits[ok]
     if not len(i):
         return i, j
-    # exact: shingles of at least two texts as columns of 0 and 1, some columns at a time
-    rows, column = np.unique(np.r_[i, j], return_inverse=True)
-    i, j = column[: len(i)], column[len(i) :]
-    owner = np.repeat(np.arange(len(rows)), sizes[rows])
-    number, count = np.unique(np.concatenate([sets[r] for r in rows]), return_inverse=True, return_counts=True)[1:]
-    shared = count[number] > 1
-    rank = np.cumsum(count > 1) - 1
-    owner, number = owner[shared], rank[number[shared]]
-    order = np.argsort(number, kind="stable")
-    owner, number = owner[order], number[order]
-    common = np.zeros((len(rows), len(rows)), np.float32)
-    for lo in range(0, int(number[-1]) + 1 if len(number) else 0, 4096):
-        a, b = np.searchsorted(number, [lo, lo + 4096])
-        x = np.zeros((len(rows), min(4096, int(number[-1]) + 1 - lo)), np.float32)
-        x[owner[a:b], number[a:b] - lo] = 1
-        common += x @ x.T
-    own = sizes[rows]
-    both = common[i, j].astype(np.int64)
-    ok = both >= similarity * (own[i] + own[j] - both) - 1e-9
-    return rows[i[ok]], rows[j[ok]]
-
-
-def _verify(similarity: float, tolerance: float):
+    # exact; if only what is connected is asked for, the likeliest pairs first, and none that others connect already
+    common = _shared(sets, i, j)
+    rest, most = (np.argsort(-hits, kind="stable"), CHUNK) if connect else (np.arange(len(i)), len(i))
+    found = [rest[:0]]
+    while len(rest):
+        some, rest = rest[:most], rest[most:]
+        both = common(some)
+        found.append(some[both >= similarity * (sizes[i[some]] + sizes[j[some]] - both) - 1e-9])
+        most *= 2
+        if len(rest):
+            links = np.concatenate(found)
+            root = _roots(len(sets), i[links], j[links])
+            rest = rest[root[i[rest]] != root[j[rest]]]
+    links = np.sort(np.concatenate(found))
+    return i[links], j[links]
+
+
+def _verify(similarity: float, tolerance: float, connect: bool):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
     def settle(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -396,7 +448,7 @@ def _verify(similarity: float, tolerance: float):
         right = left if x == y else np.flatnonzero(block == y)
         if not len(left) or not len(right):
             return
-        i, j = similar_pairs(sets, left, right, similarity, tolerance)
+        i, j = similar_pairs(sets, left, right, similarity, tolerance, connect)
         if not len(i):
             return
         links = np.bincount(np.r_[i, j], minlength=len(nodes))
@@ -481,10 +533,11 @@ def _refined(sets: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     return sets.where(F.col("n") <= BLOCK).unionByName(large.select("node", "shingles").join(sized.drop("size"), "node")), [sets, sized]
 
 
-def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[DataFrame]]:
+def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, doc_id: str = "doc_id", text: str = "text", connect: bool = False) -> tuple[DataFrame, list[DataFrame]]:
     """As ``near_duplicates``, with each row's xxhash64 of its text (hash) and that of its class's first row (class_hash); and the written tables it reads.
 
     The first row of a class has its smallest doc_id (null: only if all are) and, of these, the smallest hash.
+    With ``connect`` links are found only as far as classes need them, so n_links is too small.
     """
     spark = docs.sparkSession
     bounded_arrow(spark)
@@ -500,7 +553,7 @@ def _classes(docs: DataFrame, similarity: float, tolerance: float = TOLERANCE, d
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     to = F.pmod(F.hash("component").cast("long") + number.cast("long"), F.lit(parts)).cast("int")
     dealt = pairs.withColumn("to", to).repartitionById(parts, "to").drop("to").sortWithinPartitions("component", "x", "y")
-    found = keep(dealt.mapInArrow(_verify(similarity, tolerance), "a long, b long, links long"), "links")
+    found = keep(dealt.mapInArrow(_verify(similarity, tolerance, connect), "a long, b long, links long"), "links")
     for old in read:
         forget(old)
     counts = found.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n_links"))
@@ -531,7 +584,7 @@ def first_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     mark = lambda i, h: F.xxhash64(i, h)
     name = "_mark" + max([c for c in docs.columns if c.startswith("_mark")], default="")  # no column of docs
     first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("hash") == F.col("class_hash"))
-    classes, tables = _classes(docs, similarity)
+    classes, tables = _classes(docs, similarity, connect=True)
     rows = classes.select(mark("doc_id", "hash").alias(name), first.alias("first"), "n_copies").where("not first or n_copies > 1")
     found = keep(rows.groupBy(name).agg(F.max("first").alias("first"), F.count("*").alias("n")).where("not first or n > 1"), "repeated")
     for old in tables:

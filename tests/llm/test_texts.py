@@ -175,6 +175,40 @@ def test_one_row_of_each_class_stays(spark):
     assert sorted(map(str, got)) == sorted(map(str, [(1, tuple(words(a))), (5, tuple(words(b))), (8, tuple(words(c + " z"))), (7, (b"x", b"y")), (None, (b"q",)), (9, ())]))
 
 
+@pytest.mark.parametrize("dense", [0, 10**9])
+def test_similar_pairs_of_large_groups(monkeypatch, dense):
+    """All pairs by either way to count; where only what they connect is wanted, far fewer are verified and the classes are the same."""
+    monkeypatch.setattr(near, "DENSE", dense)
+    monkeypatch.setattr(near, "CHUNK", 50)
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**63, (3, 60)).astype(np.uint64)
+    sets = []
+    for i in range(240):  # one word in sixty or a third of them differ
+        own = base[i % 3].copy()
+        own[rng.choice(60, rng.choice([1, 2, 20]), replace=False)] = rng.integers(0, 2**63)
+        sets.append(np.unique(own))
+    counted, shared = [], near._shared
+
+    def watched(*a):
+        counts = shared(*a)
+        return lambda some: counted.append(len(some)) or counts(some)
+
+    monkeypatch.setattr(near, "_shared", watched)
+    half, every = np.arange(120), np.arange(240)
+    similar = {(i, j) for i in every for j in every[i + 1 :] if len(both := np.intersect1d(sets[i], sets[j])) >= 0.8 * (len(sets[i]) + len(sets[j]) - len(both)) - 1e-9}
+    for left, right in ((every, every), (half, half + 120)):
+        left, right = (left, left) if left is every else (left, right)
+        expected = {(i, j) for i, j in similar if i in left and j in right}
+        counted.clear()
+        pairs = near.similar_pairs(sets, left, right, 0.8, 1e-7)
+        total = sum(counted)
+        assert set(zip(*map(np.ndarray.tolist, pairs))) == expected and len(expected) > 1000
+        counted.clear()
+        some = near.similar_pairs(sets, left, right, 0.8, 1e-7, connect=True)
+        assert set(zip(*map(np.ndarray.tolist, some))) <= expected and sum(counted) < total / 2
+        assert (near._roots(240, *some) == near._roots(240, *pairs)).all()
+
+
 def test_posterior_bound():
     for n, least in zip(range(near.STEP, near.HASHES + 1, near.STEP), near.least_matches(0.8, 1e-7), strict=True):
         # numerically: the share of Beta(m+1, n-m+1) above the threshold
